@@ -4,22 +4,40 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, pii
+from . import exact, lang, packing, pii
+
+#: Vocabulary of the packing query; the file is never part of this library.
+VOCABULARY = "word_bpe_49k.json"
+
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), vocabulary())
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.find_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang.identify(_table(spark, sf_dir, "documents"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_spans(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op9_pii)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_exact_dedup, op8_language_id, op9_pii)}
 
 ORACLES = {
     "op2_exact_dedup": r"""
