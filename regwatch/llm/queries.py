@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, lang, packing, pii, toxicity, warc
+from . import decontam, exact, lang, packing, pii, toxicity, warc
 
 #: Vocabulary of the packing query; the file is never part of this library.
 VOCABULARY = "word_bpe_49k.json"
@@ -37,6 +37,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang.identify(_table(spark, sf_dir, "documents"))
 
@@ -45,7 +49,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_spans(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_exact_dedup, op3_warc_derivatives, op5_toxicity, op8_language_id, op9_pii)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_exact_dedup, op3_warc_derivatives, op5_toxicity, op7_decontamination, op8_language_id, op9_pii)}
 
 ORACLES = {
     "op2_exact_dedup": r"""
