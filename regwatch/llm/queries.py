@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, exact, lang, packing, pii, toxicity, warc
+from . import decontam, exact, lang, near, packing, pii, toxicity, warc
 
 #: Vocabulary of the packing query; the file is never part of this library.
 VOCABULARY = "word_bpe_49k.json"
@@ -33,6 +33,10 @@ def op3_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.derive(warc.responses(_table(spark, sf_dir, "pages")))
 
 
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.classes(_table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -49,7 +53,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_spans(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_exact_dedup, op3_warc_derivatives, op5_toxicity, op7_decontamination, op8_language_id, op9_pii)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_exact_dedup, op3_warc_derivatives, op4_minhash_near_dedup, op5_toxicity, op7_decontamination, op8_language_id, op9_pii)}
 
 ORACLES = {
     "op2_exact_dedup": r"""
