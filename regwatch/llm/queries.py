@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, exact, lang, near, packing, pii, toxicity, warc
+from . import decontam, exact, lang, lm, near, packing, pii, substring, toxicity, warc
 
 #: Vocabulary of the packing query; the file is never part of this library.
 VOCABULARY = "word_bpe_49k.json"
@@ -41,6 +41,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.report(_table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -53,7 +57,11 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_spans(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_exact_dedup, op3_warc_derivatives, op4_minhash_near_dedup, op5_toxicity, op7_decontamination, op8_language_id, op9_pii)}
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_exact_dedup, op3_warc_derivatives, op4_minhash_near_dedup, op5_toxicity, op6_substring_dedup, op7_decontamination, op8_language_id, op9_pii, op10_lm_scoring)}
 
 ORACLES = {
     "op2_exact_dedup": r"""
