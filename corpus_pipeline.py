@@ -1,10 +1,56 @@
-"""Documents to training sequences: language, exact copies, near copies, benchmark leaks, packing."""
+"""Documents to training sequences: language, exact copies, near copies, benchmark leaks, packing.
+
+Each stage takes (spark, docs, sf_dir) and works on all that the stage before it kept. All but the last return rows of
+``documents``; the last returns the packed pieces of what is left. Rows of null doc_id and null text are judged as the
+operators' docstrings say: a null text has no language and goes in the first stage.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+from regwatch.llm import decontam, exact, lang, near, packing
+from regwatch.llm.common import shared_dir
+from regwatch.llm.queries import vocabulary
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in some language; texts without a letter go."""
+    return lang.keep_known(docs)
+
+
+def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that differs in white space only."""
+    return exact.drop_duplicates(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates."""
+    return near.drop_near_duplicates(docs)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontam.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The places of all documents left in training sequences."""
+    return packing.pack_documents(docs, vocabulary())
+
+
+STAGES = [("language", language), ("exact_copies", exact_copies), ("near_copies", near_copies), ("benchmark_leaks", benchmark_leaks), ("packed", packed)]
+
+#: SQL can express neither the trained network nor the packing.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result of the last stage on documents; every stage is written in the shared folder and read again."""
+    docs, folder = spark.read.parquet(f"{sf_dir}/documents.parquet"), f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    for k, (name, stage) in enumerate(STAGES):
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}-{name}")
+        docs = spark.read.parquet(f"{folder}/{k}-{name}")
+    return docs
