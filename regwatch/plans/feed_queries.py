@@ -34,8 +34,8 @@ def removal(wanted: str, inside: str = "true") -> str:
                when not ({CODE} = 'full' and {ADDRESS} <> '') then 'incomplete address' when {CHAIN} then 'chain' when {INSTITUTION} then 'institution' when {REISSUE} then 're-issue' end"""
 
 
-INSIDE = "authority_name in ('FRANCE', 'GERMANY', 'CANADA', 'BRAZIL', 'CHINA')"
-COUNCILS = ["FRANCE", "GERMANY", "CANADA", "BRAZIL", "CHINA"]
+INSIDE = "authority_name in ('NATION_1', 'NATION_2', 'NATION_3', 'NATION_5', 'NATION_8')"
+COUNCILS = ["NATION_1", "NATION_2", "NATION_3", "NATION_5", "NATION_8"]
 
 
 @query()
@@ -45,9 +45,9 @@ def x1_feed_records(v):
     return feed.feed_records(labelled(v), inserts, entities, v("register_publishers"), judged_runs(v), v("runs"), v("companies"))
 
 
-@query("select entity_id from {feed} where authority_name like '%RAN%' and lower(business_type) like '%pub%' and classification = 'NEW_VENUE' and regexp_extract(post_code, '^[A-Z]+') = 'D'")
+@query("select entity_id from {feed} where authority_name like '%NATION_1%' and lower(business_type) like '%pub%' and classification = 'NEW_VENUE' and regexp_extract(post_code, '^[A-Z]+') = 'D'")
 def x2_filter_feed(v):
-    return feed.filter_feed(v("feed"), area="d", publisher="ran", business_type="PUB", label="NEW_VENUE").select("entity_id")
+    return feed.filter_feed(v("feed"), area="d", publisher="nation_1", business_type="PUB", label="NEW_VENUE").select("entity_id")
 
 
 @query("select entity_id, business_type = 'Farmers/growers' as noise from {feed}")
@@ -165,10 +165,10 @@ def gazetteer(v):
     rows = pubs.select(F.concat(F.lit("greater "), F.lower("region_name")).alias("place_key"), F.lit("region_synonym").alias("kind"), c("region_name").alias("target")).distinct()
     rows = rows.unionByName(pubs.select(F.concat(F.lower("name"), F.lit(" city")).alias("place_key"), F.lit("city").alias("kind"), c("name").alias("target")))
     one = pubs.where("publisher = '0'")
-    return rows.unionByName(one.select(F.lit("everywhere").alias("place_key"), F.lit("national").alias("kind"), F.lit("").alias("target"))).unionByName(one.select(F.lit("uk").alias("place_key"), F.lit("abbreviation").alias("kind"), F.lit("united kingdom").alias("target")))
+    return rows.unionByName(one.select(F.lit("everywhere").alias("place_key"), F.lit("national").alias("kind"), F.lit("").alias("target"))).unionByName(one.select(F.lit("uk").alias("place_key"), F.lit("abbreviation").alias("kind"), F.lit("nation_5").alias("target")))
 
 
-PLACE = """case o_orderkey % 9 when 0 then 'France, Germany' when 1 then 'Greater Asia' when 2 then 'UK' when 3 then 'China City and India' when 4 then 'Atlantis' when 5 then 'France and Atlantis' when 6 then 'Everywhere' when 7 then 'EUROPE / Japan' else ' the brazil. ' end"""
+PLACE = """case o_orderkey % 9 when 0 then 'Nation_3, Nation_7' when 1 then 'Greater Asia' when 2 then 'UK' when 3 then 'Nation_8 City and Nation_9' when 4 then 'Atlantis' when 5 then 'Nation_3 and Atlantis' when 6 then 'Everywhere' when 7 then 'EUROPE / Nation_12' else ' the nation_2. ' end"""
 
 
 def resolved(v):
@@ -178,8 +178,8 @@ def resolved(v):
 
 @query(f"""with pl as (select distinct {PLACE} as place from {{orders}}), want as (
         select place, p.publisher from pl join {{publishers}} p on
-          (place = 'France, Germany' and name in ('FRANCE', 'GERMANY')) or (place = 'Greater Asia' and region_name = 'ASIA') or (place = 'UK' and name = 'UNITED KINGDOM') or (place = 'China City and India' and name in ('CHINA', 'INDIA'))
-          or place = 'Everywhere' or (place = 'EUROPE / Japan' and (region_name = 'EUROPE' or name = 'JAPAN')) or (place = ' the brazil. ' and name = 'BRAZIL'))
+          (place = 'Nation_3, Nation_7' and name in ('NATION_3', 'NATION_7')) or (place = 'Greater Asia' and region_name = 'ASIA') or (place = 'UK' and name = 'NATION_5') or (place = 'Nation_8 City and Nation_9' and name in ('NATION_8', 'NATION_9'))
+          or place = 'Everywhere' or (place = 'EUROPE / Nation_12' and (region_name = 'EUROPE' or name = 'NATION_12')) or (place = ' the nation_2. ' and name = 'NATION_2'))
         select pl.place, string_agg(publisher, ',' order by publisher) as publishers from pl left join want on pl.place = want.place group by 1""")
 def t1_resolve_territories(v):
     return resolved(v).select("place", F.array_join("publishers", ",").alias("publishers"))
@@ -287,7 +287,7 @@ def w10_send_gate(v):
 
 @query()
 def w11_diverse_top_k(v):
-    rows = feed.report_rows(v("feed")).withColumn("territory", F.substring("council", 1, 1))
+    rows = feed.report_rows(v("feed")).withColumn("territory", F.substring("council", 1, 8))
     return windows.diverse_top_k(rows, 5, ["territory"]).select("territory", "pick", "entity_id", "status", "council")
 
 

@@ -49,7 +49,8 @@ OUT = "select entity_id, insert_date, company_number, round(raw, 4) as score, ca
 
 
 def idf(v):
-    return resolve.word_idf(v("companies"))
+    """The weights, kept: every name that is scored is joined with them."""
+    return resolve.word_idf(v("companies")).persist()
 
 
 def slim(df):
@@ -62,12 +63,13 @@ def district(v):
 
 def merged(v):
     i = idf(v)
-    return resolve.merge_candidates(district(v), resolve.national_candidates(v("inserts"), v("companies"), i), resolve.operator_candidates(v("inserts"), v("companies"), i))
+    parts = resolve.district_candidates(v("inserts"), v("companies"), i), resolve.national_candidates(v("inserts"), v("companies"), i), resolve.operator_candidates(v("inserts"), v("companies"), i)
+    return resolve.merge_candidates(*parts).persist()
 
 
-def matched(v):
+def matched(v, candidates):
     """Match runs with what K3 and K4 need of their events."""
-    runs = resolve.match_runs(merged(v), v("inserts"))
+    runs = resolve.match_runs(candidates, v("inserts"))
     return v("inserts").select("entity_id", "insert_date", "business_name", "first_seen_date").join(runs, ["entity_id", "insert_date"])
 
 
@@ -76,8 +78,9 @@ def labelled(v):
     events, entities, i = v("inserts"), v("entities"), idf(v)
     exact = classify.predecessor_exact(events, entities)
     before = exact.unionByName(classify.predecessor_fallback(events, entities, i, exact))
-    m = matched(v)
-    return classify.classify(events, merged(v), before, classify.existing_operator(m), classify.operator_venue_count(m), i)
+    candidates = merged(v)
+    m = matched(v, candidates).persist()
+    return classify.classify(events, candidates, before.persist(), classify.existing_operator(m), classify.operator_venue_count(m), i)
 
 
 @query(f"with {IDF} select word, round(weight, 9) as weight from idf")
