@@ -11,7 +11,6 @@ from .match_queries import labelled, merged
 from .registry import query
 
 c = F.col
-DAY = F.lit("1998-01-31").cast("date")
 ADDRESS = "concat_ws(', ', nullif(address_line_1, ''), nullif(address_line_2, ''), nullif(address_line_3, ''), nullif(address_line_4, ''))"
 LIVE = "coalesce(nullif(postcode_live, ''), nullif(post_code, ''))"
 CODE = f"case when length(replace(coalesce({LIVE}, ''), ' ', '')) = 0 then 'none' when length(replace({LIVE}, ' ', '')) < 5 then 'district_only' else 'full' end"
@@ -70,7 +69,7 @@ BULK = "coalesce(nullif(post_code, ''), nullif(postcode_live, ''))"
            cast(cast(date '1998-01-31' - first_seen_date as int) as varchar) as days_since_first_seen, case when batch_publication then 'Yes' else 'No' end as batch_publication, case when coalesce(evidence_company_number, '') <> '' then 'Yes' else 'No' end as match_status,
            coalesce(company_name, '') as company_name, '56101, 56102' as sic_codes, coalesce(cast(previous_last_seen as varchar), '') as previous_last_seen from {{feed}}""")
 def x5_build_feed(v):
-    return feed.build_feed(v("feed"), DAY).select("fhrsid", "business_name", "address", "postcode", "postcode_source", "days_since_first_seen", "batch_publication", "match_status", "company_name", "sic_codes", "previous_last_seen")
+    return feed.build_feed(v("feed"), F.lit("1998-01-31").cast("date")).select("fhrsid", "business_name", "address", "postcode", "postcode_source", "days_since_first_seen", "batch_publication", "match_status", "company_name", "sic_codes", "previous_last_seen")
 
 
 def address():

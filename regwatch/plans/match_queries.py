@@ -11,7 +11,12 @@ from .registry import query
 from .text_queries import NORM
 
 c = F.col
-AS_OF = F.lit("2024-01-25").cast("date")
+
+
+def date(text: str):
+    return F.lit(text).cast("date")
+
+
 norm = lambda name: NORM.replace("@", name)
 
 IDF = f"""cn as (select company_number, company_name, address_line_1, postcode, split_part(postcode, ' ', 1) as district, date_of_creation, {norm('company_name')} as norm from {{companies}}),
@@ -143,8 +148,8 @@ def m10_distinct_prefixes(v):
 @query(f"with {PREFIXES} select * from pf where strpos(prefix_norm, ' ') > 0 and prefix_norm not in (select {norm('company_name')} from {{companies}} where cast(company_number as bigint) % 2 = 0)")
 def m11_unsatisfied_prefixes(v):
     hits = v("companies").where("cast(company_number as bigint) % 2 = 0").select(t.company_name_norm(c("company_name")).alias("prefix_norm")).distinct()
-    checks = hits.limit(0).withColumn("checked_date", AS_OF)
-    return resolve.unsatisfied_prefixes(resolve.distinct_prefixes(v("inserts")), hits, checks, AS_OF)
+    checks = hits.limit(0).withColumn("checked_date", date("2024-01-25"))
+    return resolve.unsatisfied_prefixes(resolve.distinct_prefixes(v("inserts")), hits, checks, date("2024-01-25"))
 
 
 @query()
@@ -159,7 +164,7 @@ def m13_events_to_match(v):
     inserts = v("inserts")
     done = inserts.where("entity_id % 4 = 0")
     labels = done.select("entity_id", "insert_date", F.when(c("entity_id") % 8 == 0, "UNKNOWN").otherwise("NEW_VENUE").alias("classification"))
-    return resolve.events_to_match(inserts, done, labels, AS_OF).select("entity_id", "insert_date")
+    return resolve.events_to_match(inserts, done, labels, date("2024-01-25")).select("entity_id", "insert_date")
 
 
 K1_SQL = """k1 as (select e.entity_id, p.entity_id as predecessor_id, p.last_seen_date as predecessor_last_seen,
@@ -275,18 +280,15 @@ def looked_up(v):
     return v("feed").where("entity_id % 4 <> 3").select("entity_id", F.when(c("entity_id") % 4 == 0, F.concat(F.lit("D"), (c("entity_id") % 10).cast("string"))).alias("post_code"))
 
 
-E_DAY = F.lit("1998-01-01").cast("date")
-
-
 @query("select entity_id from {feed} where post_code is null and postcode_live is null and (entity_id % 2 <> 0 or entity_id % 60 >= 30)")
 def e1_backfill_candidates(v):
-    return enrich.backfill_candidates(unfilled(v), E_DAY).select("entity_id")
+    return enrich.backfill_candidates(unfilled(v), date("1998-01-01")).select("entity_id")
 
 
 @query("""select entity_id, case when post_code is null and entity_id % 4 = 0 then 'D' || cast(entity_id % 10 as varchar) else postcode_live end as postcode_live,
           case when post_code is null and entity_id % 4 <> 3 then date '1998-01-01' when entity_id % 2 = 0 then date '1998-01-01' - cast(entity_id % 60 as int) end as postcode_checked_at from {feed}""")
 def e2_apply_backfill(v):
-    return enrich.apply_backfill(unfilled(v), looked_up(v), E_DAY).select("entity_id", "postcode_live", "postcode_checked_at")
+    return enrich.apply_backfill(unfilled(v), looked_up(v), date("1998-01-01")).select("entity_id", "postcode_live", "postcode_checked_at")
 
 
 @query("select entity_id, case when post_code is not null then 'bulk' when postcode_live is not null then 'live_api' end as source from {feed}")
