@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import decontam, exact, lang, lm, near, packing, pii, substring, toxicity, warc
 
@@ -30,7 +31,9 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.derive(warc.responses(_table(spark, sf_dir, "pages")))
+    made = warc.derive(warc.responses(_table(spark, sf_dir, "pages")))
+    source = lambda kind: F.col("headers")[f"X-Source-{kind}-Digest"].alias(f"source_{kind.lower()}_digest")
+    return made.select(*(c for c in made.columns if c != "headers"), source("Payload"), source("Block"))
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +66,9 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_exact_dedup, op3_warc_derivatives, op4_minhash_near_dedup, op5_toxicity, op6_substring_dedup, op7_decontamination, op8_language_id, op9_pii, op10_lm_scoring)}
 
+#: An id from a hash h, as the WARC operator cuts it.
+_UUID = "'urn:uuid:' || substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-8' || substr(h, 18, 3) || '-' || substr(h, 21, 12)"
+
 ORACLES = {
     "op2_exact_dedup": r"""
         with t as (select doc_id, length(coalesce(text, '')) n,
@@ -71,4 +77,20 @@ ORACLES = {
                      first_value(doc_id) over (partition by h order by n desc, doc_id nulls last) keep_id from t)
         select doc_id, keep_id, cast(group_size as bigint) group_size, doc_id is not distinct from keep_id as kept, h text_sha256 from g
     """,
+    "op3_warc_derivatives": rf"""
+        with p as (select url, coalesce(html, '') html from pages),
+        r as (select url, html, 'HTTP/1.1 200 OK' || chr(13) || chr(10) || 'Content-Type: text/html; charset=utf-8' || chr(13) || chr(10) || chr(13) || chr(10) || html as block from p),
+        s as (select *, 'sha256:' || sha256(html) as pd, 'sha256:' || sha256(block) as bd, sha256('response' || chr(10) || coalesce(url, '') || chr(10) || '{warc.UNDATED}' || chr(10) || chr(10) || block) as h from r),
+        a as (select *, {_UUID} as source, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', ' ', 'g'), '(?is)<script\b.*?</script\s*>', ' ', 'g'), '(?is)<style\b.*?</style\s*>', ' ', 'g'),
+              '(?is)</?(?:{warc.BLOCKS})\b[^>]*>', chr(10), 'g'), '(?s)<[a-zA-Z/!?][^>]*>', '', 'g') as t from s),
+        b as (select *, replace(replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&nbsp;', ' '), '&amp;', '&') as u from a),
+        c as (select *, regexp_replace(regexp_replace(regexp_replace(u, '[ \t\r\f\x0B]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'), '^[ \n]+|[ \n]+$', '', 'g') as text from b),
+        m as (select 'conversion' as kind, 'text/plain; charset=utf-8' as ct, *, text as body from c
+              union all select 'metadata', 'application/warc-fields', *, 'http-status: 200' || chr(13) || chr(10) || 'http-header-content-type: text/html; charset=utf-8' || chr(13) || chr(10)
+                || 'payload-characters: ' || cast(length(html) as varchar) || chr(13) || chr(10) || 'text-characters: ' || cast(length(text) as varchar) || chr(13) || chr(10)
+                || 'title: ' || trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title', 1), '\s+', ' ', 'g')) || chr(13) || chr(10) from c),
+        n as (select kind, ct, url, source, pd, bd, body, sha256(kind || chr(10) || coalesce(url, '') || chr(10) || '{warc.UNDATED}' || chr(10) || source || chr(10) || body) as h from m)
+        select {_UUID} as record_id, kind as warc_type, url as target_uri, '{warc.UNDATED}' as warc_date, source as refers_to, ct as content_type,
+               'sha256:' || sha256(body) as payload_digest, 'sha256:' || sha256(body) as block_digest, body as block, pd as source_payload_digest, bd as source_block_digest from n
+    """,
 }
