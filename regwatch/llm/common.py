@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from collections.abc import Iterable
 
@@ -25,9 +26,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise df in the shared folder, so that later reads neither repeat its work nor depend on an executor."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise df in the shared folder, so that later reads neither repeat its work nor depend on an executor.
+
+    The shuffle files behind it are not needed any more; Spark removes them once the driver has collected its garbage,
+    which otherwise may be long after the disks are full.
+    """
+    spark = df.sparkSession
+    shared_dir(spark)
+    out = df.checkpoint(eager=True)
+    del df
+    gc.collect()
+    spark._jvm.System.gc()
+    return out
 
 
 def text_of(docs: DataFrame, *more: str) -> DataFrame:
