@@ -7,8 +7,8 @@ of each of K coordinates is the signature: two documents agree in a coordinate w
 Jaccard similarity. A document looks at no more of the time axis than fills all coordinates, about K ln K darts.
 
 Documents of equal words are one class from the start. Classes that share a band meet in its bucket. First all of a
-bucket are compared with its leader, the one that meets most others; then buckets that still hold several components
-are searched exhaustively for links between components, in blocks. Every link is verified on the shingles.
+bucket are compared with its leader, the one that meets most others; then the buckets of a leader, if several components
+are left in them, are searched exhaustively for links between components, in blocks. Every link is verified on the shingles.
 
 Defined results: words are lower-cased runs without white space; a text of fewer than five words has one shingle, all
 of it; null, empty and blank texts are one class; rows that share a doc_id are one node; a row of null doc_id belongs to
@@ -34,7 +34,7 @@ K = BANDS * ROWS
 #: Two documents are linked when NUMBER * shared >= OVER * united shingles: a similarity of 0.8.
 OVER, NUMBER = 4, 5
 #: Classes of one block of a bucket that is searched exhaustively, and shingles that are compared at once.
-BLOCK, COLUMNS = 256, 4096
+BLOCK, COLUMNS = 512, 4096
 
 
 def strips(words: list[bytes]) -> np.ndarray:
@@ -169,7 +169,7 @@ def _labels(docs: DataFrame, members: DataFrame) -> DataFrame:
     """node and component of all nodes that have a link."""
     degree = members.groupBy("node").agg(F.sum("size").alias("degree"))
     leaders = members.join(degree, "node").groupBy("key").agg(F.max(F.struct("degree", (-F.col("node")).alias("least"))).alias("top"))
-    stars = members.join(leaders.select("key", (-F.col("top.least")).alias("a")), "key").where("a != node").select("a", F.col("node").alias("b")).distinct()
+    stars = cut(members.join(leaders.select("key", (-F.col("top.least")).alias("a")), "key").where("a != node").select("a", F.col("node").alias("b")).distinct())
     nodes = members.select("node").distinct()
     texts = text_of(docs).join(nodes, F.col("doc_id") == F.col("node"), "left_semi")
     own = cut(texts.mapInArrow(_stripped, "node long, strips binary").distinct())
@@ -178,11 +178,12 @@ def _labels(docs: DataFrame, members: DataFrame) -> DataFrame:
     links = cut(stars.join(right, "b").join(left, "a").mapInArrow(_verified, "a long, b long").distinct())
     first = components(links)
 
-    placed = members.join(first, "node", "left").select("node", "key", "size", F.coalesce("component", "node").alias("component"))
-    mixed_ = placed.where("size > 2").groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("mark")).where("lo < hi")
-    mixed_ = mixed_.groupBy("n", "mark").agg(F.min("key").alias("key")).select("key")  # equal buckets of several bands count once
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = placed.join(mixed_, "key").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+    # all buckets of one leader are searched as one group, so bands that meet the same classes again cost nothing
+    met = stars.select(F.col("a").alias("key"), F.col("b").alias("node")).unionByName(stars.select(F.col("a").alias("key"), F.col("a").alias("node")).distinct())
+    placed = met.join(first, "node", "left").select("node", "key", F.coalesce("component", "node").alias("component"))
+    mixed_ = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo < hi and n > 2")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    dealt = placed.join(mixed_.select("key", "n"), "key").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     dealt = dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "component", "block")
     found = dealt.join(own, "node").groupBy("key", "i", "j").applyInArrow(_searched, "a long, b long")
