@@ -108,10 +108,25 @@ def needed(name: str) -> list[str]:
     return [*out, name]
 
 
+#: Views that many operators of one query read; they are kept, so that a plan holds them once.
+KEPT = ("raw_snapshots", "runs", "snapshots", "entities", "inserts", "companies", "feed")
+_kept: dict[tuple, DataFrame] = {}
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table or view of the data in sf_dir."""
     if name not in VIEWS:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    key = (spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), sf_dir, name)
+    if key not in _kept:
+        df = _made(spark, sf_dir, name)
+        if name not in KEPT:
+            return df
+        _kept[key] = df
+    return _kept[key].persist()
+
+
+def _made(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     sql = VIEWS[name]
     for a, b in SPARK:
         sql = sql.replace(a, b)
