@@ -147,7 +147,7 @@ class Scorer:
     _open: tuple[tuple, Scorer] | None = None
 
     def __init__(self, words: list[str], stems: list[str]):
-        self.lexicon, self.clean, self.hits = Lexicon(words, stems), set(), {}
+        self.lexicon, self.grades = Lexicon(words, stems), {}
 
     @classmethod
     def of(cls, words: list[str], stems: list[str]) -> Scorer:
@@ -159,21 +159,18 @@ class Scorer:
     def features(self, text: str) -> list[float]:
         """Intercept, sums of exact and of misspelt hits by context, their share of the words, and whether any is exact."""
         words = text.encode("utf-8", "replace").split()
-        met = set(words)
-        for word in met - self.clean - self.hits.keys():
-            if grade := self.lexicon.match(term_of(word.decode("utf-8", "replace"))):
-                self.hits[word] = grade
-            else:
-                self.clean.add(word)
-        bad = met & self.hits.keys()
+        grades, met = self.grades, set(words)
+        if len(grades) > WORDS:
+            grades.clear()
+        for word in [w for w in met if w not in grades]:
+            grades[word] = self.lexicon.match(term_of(word.decode("utf-8", "replace")))
+        bad = {w for w in met if grades[w]}
         sums = [0.0, 0.0, 0.0]
         if bad:
             decoded = [w.decode("utf-8", "replace") for w in words]
             for i, word in enumerate(words):
                 if word in bad:
-                    sums[self.hits[word]] += context_score(decoded, i)
-        if len(self.clean) > WORDS:
-            self.clean.clear()
+                    sums[grades[word]] += context_score(decoded, i)
         return [1.0, math.log1p(sums[2]), math.log1p(sums[1]), min(1.0, 20 * (sums[1] + sums[2]) / max(1, len(words))), float(sums[2] > 0)]
 
 
