@@ -23,6 +23,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +31,8 @@ from .common import chunks, cut, hashes, mixed, text_of, words_of
 
 WINDOW, ROUNDS = 50, 8
 BASE = 0x9E3779B97F4A7C15
-CHUNK = 3_000_000
+#: Characters of the texts that a task takes up at once, plain and compressed.
+CHUNK, PRESSED = 3_000_000, 1_000_000
 
 
 @lru_cache(maxsize=2)
@@ -131,10 +133,25 @@ def runs(h: np.ndarray, bounds: np.ndarray):
     return starts, keys, first, np.concatenate([first[1:], [len(starts)]])
 
 
-def _texts(batches, columns: list[str]):
-    """Chunks of rows with their words, the words' hashes and the bounds of the texts."""
-    for rows in chunks(batches, columns, CHUNK):
-        split = [words_of(t) for t in rows[-1]]
+def _pressed(batches):
+    press = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        for start in range(0, batch.num_rows, 512):
+            part = batch.slice(start, 512)
+            texts = [press.compress(b" ".join(words_of(t))) for t in part.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(texts, pa.binary())], ["doc_id", "text"])
+
+
+def pressed(texts: DataFrame) -> DataFrame:
+    """doc_id and the words of the text, compressed for a shuffle."""
+    return texts.mapInArrow(_pressed, "doc_id long, text binary")
+
+
+def _texts(batches, columns: list[str], size: int = CHUNK):
+    """Chunks of rows with their words, the words' hashes and the bounds of the texts (plain or compressed)."""
+    opened = zstandard.ZstdDecompressor().decompress
+    for rows in chunks(batches, columns, size):
+        split = [opened(t).split() if isinstance(t, bytes) else words_of(t) for t in rows[-1]]
         bounds = np.concatenate([[0], np.cumsum([len(w) for w in split])]).astype(np.int64)
         yield rows, split, hashes((w for words in split for w in words), int(bounds[-1])), bounds
 
@@ -161,7 +178,7 @@ def _scanned(batches):
 
 def _candidates(batches):
     """Runs of windows whose anchors occur elsewhere, with the hash of their stretch and of every window."""
-    for (ids, shared, _), split, h, bounds in _texts(batches, ["doc_id", "shared", "text"]):
+    for (ids, shared, _), split, h, bounds in _texts(batches, ["doc_id", "shared", "text"], PRESSED):
         starts, keys, first, last = runs(h, bounds)
         owner = np.searchsorted(bounds, starts[first], "right") - 1
         cuts = np.searchsorted(owner, np.arange(len(split) + 1))
@@ -205,7 +222,7 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     keys = own.select("doc_id", F.explode("keys").alias("key"))
     spread = keys.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("key")
     shared = keys.join(spread, "key").groupBy("doc_id").agg(F.collect_list("key").alias("shared"))
-    found = cut(texts.join(shared, "doc_id").select("doc_id", "shared", "text").mapInArrow(_candidates, "doc_id long, mark long, key long, span long, start int, windows binary"))
+    found = cut(pressed(texts).join(shared, "doc_id").select("doc_id", "shared", "text").mapInArrow(_candidates, "doc_id long, mark long, key long, span long, start int, windows binary"))
 
     spans = found.groupBy("key", "span").agg(F.min("doc_id").alias("lo"))
     varied = spans.groupBy("key").agg(F.count("*").alias("spans"), F.min("lo").alias("any")).where("spans > 1").select("key")
@@ -213,7 +230,7 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     whole = slim.join(spans, ["key", "span"]).where("doc_id > lo").select("doc_id", "mark", "start", "n")
     # of equal stretches under an anchor the smallest document's stands for all; it is compared with the others' windows
     firsts = found.join(spans, ["key", "span"]).where("doc_id = lo").join(varied, "key", "left_semi").select("doc_id", "mark", "key", "start", "windows")
-    single = cut(firsts.mapInArrow(_exploded, "doc_id long, mark long, key long, window long, start int"))
+    single = firsts.mapInArrow(_exploded, "doc_id long, mark long, key long, window long, start int")
     best = single.groupBy("key", "window").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
     part = single.join(best, ["key", "window"]).where("doc_id > lo").select("doc_id", "mark", "start", F.lit(1).alias("n"))
     return scan.drop("keys").join(least, "sha", "left"), whole.unionByName(part)
@@ -238,10 +255,11 @@ def _own(places, words: list[bytes]) -> list:
 
 
 def _cleaned(batches):
-    for ids, places, texts in chunks(batches, ["doc_id", "places", "text"], CHUNK):
+    opened = zstandard.ZstdDecompressor().decompress
+    for ids, places, texts in chunks(batches, ["doc_id", "places", "text"], PRESSED):
         out: list[list] = [[], [], [], []]
         for doc_id, found, text in zip(ids, places, texts, strict=True):
-            words = words_of(text)
+            words = opened(text).split()
             gone = _covered(len(words), _own(found, words))
             kept = b" ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g)
             for column, value in zip(out, (doc_id, hashlib.sha256(b" ".join(words)).hexdigest(), int(gone.sum()), hashlib.sha256(kept).hexdigest()), strict=True):
@@ -252,7 +270,7 @@ def _cleaned(batches):
 def report(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256."""
     scan, found = repeats(docs)
-    touched = text_of(docs).join(_places(found), "doc_id").select("doc_id", "places", "text")
+    touched = pressed(text_of(docs)).join(_places(found), "doc_id").select("doc_id", "places", "text")
     cleaned = touched.mapInArrow(_cleaned, "__id long, __sha string, removed long, kept string").distinct()
     both = scan.join(cleaned, (F.col("doc_id") == F.col("__id")) & (F.col("sha") == F.col("__sha")), "left")
     copy = (F.col("doc_id") > F.col("least")) & (F.col("n_words") >= WINDOW)
