@@ -25,7 +25,7 @@ HIDDEN, EPOCHS, BATCH, RATE = 16, 3, 128, 0.01
 #: Longest stretch of bytes that the network reads at once; longer words are read in such stretches.
 LONGEST = 32
 #: Words that a worker remembers.
-WORDS = 400_000
+WORDS = 200_000
 UNKNOWN = "und"
 SPACE = 32
 

@@ -25,7 +25,7 @@ from .common import chunks, cut, text_of
 
 CAPACITY, END = 4096, 1
 #: Entries that a worker remembers: whole words, and the letter runs and marks in them.
-WORDS, PARTS = 700_000, 900_000
+WORDS, PARTS = 250_000, 700_000
 #: Rows that share one bucket of a length while ranks are dealt out, and the fewest buckets.
 RANK_ROWS, LEAST_BUCKETS = 20_000, 64
 
