@@ -41,7 +41,8 @@ CONTEXT = {
     "iban": "iban|bank|account|konto|compte|cuenta",
 }
 BONUS, REACH = 0.2, 40
-_PART = "0*+(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
+# A part of zeros alone has nothing left after them; the pattern of the span sees to it that every part has a digit.
+_PART = "0*+(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})?"
 
 
 def _digits(span: Column) -> Column:

@@ -43,6 +43,17 @@ def test_base_spans_match_brute_force(spark):
     assert pii.find_spans(docs.limit(0)).count() == 0
 
 
+def test_addresses_with_zero_parts_match_brute_force(spark):
+    texts = ["10.0.0.1", "0.0.0.0", "000.1.1.1", "255.255.255.0", "at 192.168.0.1, and 100.20.00.0255", "0.0.0.256", "00.0.0.1000", "1.0.0", "8.8.8.8", "260.0.0.0", "0.199.200.249", "0300.0.0.1"]
+    rng = random.Random(4)
+    texts += [".".join(rng.choice(["0", "00", "1", "9", "010", "99", "100", "199", "249", "255", "256", "0256", "300"]) for _ in range(4)) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for text, r in zip(texts, pii.find_spans(docs).collect(), strict=True):
+        counts, sha = brute(text)
+        assert ([r.n_email, r.n_ip, r.n_card, r.n_phone], r.base_sha256) == (counts, sha), text
+    assert [r.text for r in pii.redact(docs.where("doc_id < 2")).collect()] == ["[ip]", "[ip]"]
+
+
 def test_checksums_and_context(spark):
     one = spark.createDataFrame([("DE89370400440532013000", "4539148803436467"), ("DE89370400440532013001", "4539148803436468")], "a string, b string")
     assert [tuple(r) for r in one.select(pii.mod97(F.col("a")), pii.luhn(F.col("b"))).collect()] == [(True, True), (False, False)]
