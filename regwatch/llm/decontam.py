@@ -4,7 +4,8 @@ Fixed masks pick some of the words at each position and ignore the others, so a
 ignored place. Test and training seeds are joined on their hash. A Bloom filter of the test seeds, whose size has a
 fixed bound, keeps almost all training seeds out of that join and loses none. Each hit names an item and a diagonal;
 along it the words are compared, and an item counts as contained when some stretch of WINDOW words (or the whole item,
-if shorter) agrees in at least AGREE of its words. The masks hit every stretch of 13 words with up to two changes.
+if shorter) agrees in at least AGREE of its words. The masks of a length hit every stretch with as many changes as that
+allows: two in 10 to 13 words, one in 5 to 9.
 
 Defined results: words are lower-cased runs without white space; null and empty texts contain nothing; an item of
 fewer than LEAST_WORDS words is not looked for, one of fewer than SHORT words must occur whole and unchanged; rows that
@@ -25,7 +26,9 @@ from .common import chunks, cut, hashes, mixed, text_of, words_of
 
 #: Words that count (1) and words that are ignored (0).
 MASKS = ("11101011", "11001111")
-WINDOW, AGREE, SHORT, LEAST_WORDS = 13, 0.8, 12, 5
+#: The masks of items of so many words or more, up to the next entry; all hold an ignored place.
+BY_LENGTH = {5: ("1011", "1101"), 6: ("10111", "11101"), 8: ("101111", "111011"), 10: ("110111", "11001011", "10100111"), 12: (*MASKS, "1111011"), 13: MASKS}
+WINDOW, AGREE, SHORT, LEAST_WORDS = 13, 0.8, 5, 1
 #: Bits of the Bloom filter: so many for each seed, within these bounds (the largest is 16 MB).
 SEED_BITS, LEAST_BITS, MOST_BITS = 512, 1 << 20, 1 << 27
 PROBES = 3
@@ -50,9 +53,14 @@ def word_hashes(text: str) -> np.ndarray:
     return hashes(words, len(words))
 
 
+def masks_of(n: int) -> tuple[str, ...]:
+    """The masks for an item of n words: one of its whole length if it must be unchanged."""
+    return ("1" * n,) if n < SHORT else BY_LENGTH[max(k for k in BY_LENGTH if k <= n)]
+
+
 def masks_for(lengths: list[int]) -> list[str]:
-    """The masks, and one of their whole length for items too short for them."""
-    return [*MASKS, *("1" * n for n in sorted(set(lengths)) if LEAST_WORDS <= n < SHORT)]
+    """The masks for items of these numbers of words, each once."""
+    return list(dict.fromkeys(m for n in sorted(set(lengths)) for m in masks_of(n)))
 
 
 def _items(batches):
@@ -68,18 +76,17 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
     return rows.mapInArrow(_items, "item_id string, n int, item array<long>")
 
 
-def _item_seeds(items: DataFrame, masks: list[str]) -> DataFrame:
+def _item_seeds(items: DataFrame) -> DataFrame:
     def made(batches):
         for batch in batches:
             out: list[list] = [[], [], []]
             for item_id, item in zip(batch.column("item_id").to_pylist(), batch.column("item"), strict=True):
                 h = item.values.to_numpy(zero_copy_only=False).view(np.uint64)
-                for mask in masks:
-                    if len(h) >= SHORT or len(mask) == len(h) and "0" not in mask:
-                        s = seeds(h, mask).view(np.int64)
-                        out[0] += s.tolist()
-                        out[1] += [item_id] * len(s)
-                        out[2] += range(len(s))
+                for mask in masks_of(len(h)):
+                    s = seeds(h, mask).view(np.int64)
+                    out[0] += s.tolist()
+                    out[1] += [item_id] * len(s)
+                    out[2] += range(len(s))
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.int32())], ["seed", "item_id", "place"])
 
     return items.mapInArrow(made, "seed long, item_id string, place int")
@@ -126,8 +133,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row for each item found in a document: doc_id, item_id, item_words, agreeing, best (agreeing words of the best
     stretch) and start (first word of that stretch in the document)."""
     items = cut(benchmark_items(benchmark))
-    masks = masks_for([r.n for r in items.where(F.col("n") < SHORT).select("n").distinct().collect()])
-    item_seeds = cut(_item_seeds(items, masks))
+    # As many rows as BY_LENGTH has lengths, at most.
+    masks = masks_for([r.n for r in items.select(F.least("n", F.lit(max(BY_LENGTH))).alias("n")).distinct().collect()])
+    item_seeds = cut(_item_seeds(items))
     shared = docs.sparkSession.sparkContext.broadcast(bloom(item_seeds))
 
     def hits(batches):
@@ -139,12 +147,17 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             rows: dict[int, tuple[list, list]] = {}
             for mask in masks:
                 s = seeds(h, mask)
-                for at in _in(filter_, s):
-                    k = int(np.searchsorted(ends, at, "right"))
-                    if at + len(mask) <= ends[k]:
-                        found = rows.setdefault(k, ([], []))
-                        found[0].append(int(s[at].view(np.int64)))
-                        found[1].append(int(at - (ends[k] - len(split[k]))))
+                at = _in(filter_, s)
+                own = np.searchsorted(ends, at, "right")
+                inside = at + len(mask) <= ends[own]
+                at, own = at[inside], own[inside]
+                if "0" not in mask:  # such items are unchanged: a document's first place of each says all
+                    first = np.sort(np.unique(np.stack([own, s[at].view(np.int64)]), axis=1, return_index=True)[1])
+                    at, own = at[first], own[first]
+                for k, seed, place in zip(own.tolist(), s[at].view(np.int64).tolist(), at.tolist(), strict=True):
+                    found = rows.setdefault(k, ([], []))
+                    found[0].append(seed)
+                    found[1].append(place - int(ends[k] - len(split[k])))
             own = list(rows)
             yield pa.RecordBatch.from_arrays(
                 [

@@ -10,6 +10,33 @@ def test_masks_hit_any_stretch_with_two_changes():
         assert any(all(at + k not in pair for k, c in enumerate(m) if c == "1") for m in decontam.MASKS for at in range(13 - len(m) + 1))
 
 
+def test_masks_hit_all_allowed_changes_of_each_length():
+    for n in range(1, 31):
+        width = min(n, decontam.WINDOW)
+        changes = 0 if n < decontam.SHORT else width - math.ceil(decontam.AGREE * width)
+        assert changes == (0 if n < 5 else 1 if n < 10 else 2)
+        for changed in itertools.combinations(range(width), changes):
+            assert any(all(at + k not in changed for k, c in enumerate(m) if c == "1") for m in decontam.masks_of(n) for at in range(width - len(m) + 1)), (n, changed)
+
+
+def test_short_items_are_found_at_all_change_positions(spark):
+    items = {n: [f"i{n}w{k}" for k in range(n)] for n in range(1, 14)}
+    docs, want = [], set()
+    for n, item in items.items():
+        allowed = 0 if n < 5 else 1 if n < 10 else 2
+        for count in range(allowed + 2):
+            for changed in itertools.combinations(range(n), count):
+                docs.append((len(docs), " ".join(["a", "b", *("x" if k in changed else w for k, w in enumerate(item)), "c", "d"])))
+                if count <= allowed:
+                    want.add((docs[-1][0], str(n)))
+    docs.append((len(docs), "i1w0 a " * 500 + "i3w0 i3w1"))
+    want.add((docs[-1][0], "1"))
+    tests = spark.createDataFrame([(n, " ".join(item)) for n, item in items.items()], "item_id long, text string")
+    got = decontam.overlaps(spark.createDataFrame(docs, "doc_id long, text string"), tests).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want and len(got) == len(want)
+    assert {r.start for r in got} == {0, 2}
+
+
 def brute(docs, items):
     out = set()
     for (d, text), (i, test) in itertools.product(docs, items):
