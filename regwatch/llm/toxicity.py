@@ -3,7 +3,8 @@
 Terms and stems that mark toxic documents are learned from a bounded sample of labelled rows and kept in a trie. Words
 are run through the intersection of that trie with the Levenshtein automata of its terms, made deterministic as states
 are met: one edit for terms of five letters or more, two for terms of nine or more, none below; stems match as
-prefixes. Every hit gets a score from a window of words around it: quotation marks and reporting verbs lower it,
+prefixes. All letter runs of a word are tried and the best one counts; signs that mask letters, as in "id10t", stand
+for the letters they look like. Every hit gets a score from a window of words around it: quotation marks and reporting verbs lower it,
 second persons raise it. A logistic regression over the sums gives the document's score.
 
 Defined results: null and empty texts get the score of a text without hits; a null doc_id stays null; labels of null
@@ -37,13 +38,17 @@ PREDICT_AT = 0.3
 QUOTES = set("\"“”„«»‹›‘’'`")
 REPORTS = set("said says say wrote writes called calls quote quoted word term sagte nannte schrieb wort dit appelle mot dijo llama palabra".split())
 PERSONS = set("you your youre u du dich dein ihr tu te toi vous ton usted eres tus".split())
-_LETTERS = re.compile(r"[^\W\d_]+(?:[@$0-9*!][^\W\d_]+)*")
+#: Signs that mask letters, and the letters they look like; an asterisk stands for any.
+LOOKS = {"@": "a", "$": "s", "!": "il", "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g", "*": None}
+_SIGN = re.compile(r"[@$0-9*!]")
+#: Runs of letters alone, with single signs within, and with any signs within or before.
+_RUNS = tuple(map(re.compile, (r"[^\W\d_]+", r"[^\W\d_]+(?:[@$0-9*!][^\W\d_]+)*", r"[@$0-9*!]*[^\W\d_]+(?:[@$0-9*!]+[^\W\d_]+)*")))
 
 
-def term_of(word: str) -> str:
-    """Lower-case letters of a word without what stands around them."""
-    found = _LETTERS.search(word)
-    return found[0].lower() if found else ""
+def terms_of(word: str) -> list[str]:
+    """The lower-case letter runs of a word, without and with the signs in and before them."""
+    kinds = _RUNS if _SIGN.search(word) else _RUNS[:1]
+    return list(dict.fromkeys(run.lower() for kind in kinds for run in kind.findall(word)))
 
 
 def edits_for(term: str) -> int:
@@ -130,6 +135,26 @@ class Lexicon:
             best = max(best, stem)
         return max(best, self.found[state][0])
 
+    def masked(self, term: str) -> int:
+        """1: a term, or a stem begins it, if signs are read as what they look like, at most one for each letter; 0: neither."""
+        nodes, letters = {0}, 0
+        for k, c in enumerate(term):
+            letters += c not in LOOKS
+            looks = LOOKS.get(c, c)
+            nodes = {child for n in nodes for letter, child in self.children[n].items() if looks is None or letter == c or letter in looks}
+            if not nodes:
+                return 0
+            if letters >= max(2, (k + 1) / 2) and any(self.stem_edits[n] >= 0 for n in nodes):
+                return 1
+        return int(letters >= max(2, len(term) / 2) and any(self.word_edits[n] >= 0 for n in nodes))
+
+    def grade(self, word: str) -> int:
+        """The best grade of the letter runs of a word."""
+        best = 0
+        for term in terms_of(word):
+            best = max(best, self.match(term) or (self.masked(term) if _SIGN.search(term) else 0))
+        return best
+
 
 def context_score(words: list[str], at: int) -> float:
     """1 for a plain hit; less in quotation marks or reported speech, more beside a second person."""
@@ -137,7 +162,7 @@ def context_score(words: list[str], at: int) -> float:
     own = words[at]
     opened = sum(c in QUOTES and c not in "'’" for w in before for c in w) % 2 == 1
     quoted = own[:1] in QUOTES or own[-1:] in QUOTES or own.rstrip(".,;:!?")[-1:] in QUOTES or (opened and any(c in QUOTES for w in after for c in w))
-    near = {term_of(w) for w in before + after}
+    near = {t for w in before + after for t in terms_of(w)}
     return max(0.1, 1.0 - 0.6 * quoted - 0.3 * bool(near & REPORTS) + 0.2 * bool(near & PERSONS))
 
 
@@ -163,7 +188,7 @@ class Scorer:
         if len(grades) > WORDS:
             grades.clear()
         for word in [w for w in met if w not in grades]:
-            grades[word] = self.lexicon.match(term_of(word.decode("utf-8", "replace")))
+            grades[word] = self.lexicon.grade(word.decode("utf-8", "replace"))
         bad = {w for w in met if grades[w]}
         sums = [0.0, 0.0, 0.0]
         if bad:
@@ -189,8 +214,8 @@ def _counted(batches):
     counts: list[Counter] = [Counter(), Counter()]
     for toxic, texts in chunks(batches, ["toxic", "text"]):
         for kind, text in zip(toxic, texts, strict=True):
-            terms = {term_of(w.decode("utf-8", "replace")) for w in set(text.encode("utf-8", "replace").split())}
-            counts[kind].update(t + "$" for t in terms if t)
+            terms = {t for w in set(text.encode("utf-8", "replace").split()) for t in terms_of(w.decode("utf-8", "replace"))}
+            counts[kind].update(t + "$" for t in terms)
             counts[kind].update({t[:n] for t in terms for n in STEMS if len(t) > n})
     for kind in (0, 1):
         items = list(counts[kind].items())

@@ -1,5 +1,7 @@
 import random
 
+import pyarrow as pa
+
 from regwatch.llm import toxicity
 
 
@@ -29,6 +31,27 @@ def test_automaton_matches_edit_distance():
         assert lexicon.match(term) == want, term
 
 
+def test_every_run_of_a_word_is_graded():
+    scorer = toxicity.Scorer(["idiot", "shit"], ["vequ"])
+    hits = lambda text: scorer.features(text)[1:3]
+    none, exact, misspelt = hits("well then"), hits("idiot"), hits("idiott")
+    assert none == [0.0, 0.0] and exact[0] > 0 and misspelt[1] > 0
+    for text in ("well...idiot", "<b>idiot</b>", "you/idiot", "so,idiot,so", "a--shit", "l'idiot", "**idiot**", "you!idiot", "one.two/vequa-three", "x" * 50 + "/idiot"):
+        assert hits(text) == exact, text
+    for text in ("id10t", "i**ot", "$hit", "*hit", "sh!t", "$h1t", "v3qua", "(1d1ot)"):
+        assert hits(text) == misspelt, text
+    for text in ("****bold", "10th", "2024", "***", "i5", "x1000", "*house*", "shirt", "h1t", "*****x", "*t"):
+        assert hits(text) == none, text
+    at = "they wrote \"well...idiot\" home".split()
+    assert toxicity.context_score(at, 2) == toxicity.context_score("they wrote \"idiot\" home".split(), 2)
+
+
+def test_terms_are_learned_from_every_run():
+    rows = pa.RecordBatch.from_pydict({"toxic": [1, 0], "text": ["you/idiot $hit", "well"]})
+    counts = {r["term"]: (r["toxic"], r["clean"]) for batch in toxicity._counted([rows]) for r in batch.to_pylist()}
+    assert counts["idiot$"] == counts["you$"] == counts["$hit$"] == (1, 0) and counts["well$"] == (0, 1)
+
+
 def test_context_separates_quotation_from_abuse():
     plain = toxicity.context_score("well the idiot came home".split(), 2)
     quoted = toxicity.context_score('they wrote "the idiot came" home'.split(), 3)
