@@ -152,11 +152,29 @@ def m11_unsatisfied_prefixes(v):
     return resolve.unsatisfied_prefixes(resolve.distinct_prefixes(v("inserts")), hits, checks, date("2024-01-25"))
 
 
+def searched(v):
+    """All companies as a search finds them: some dissolved, some dormant, by the size of their part."""
+    part = v("part").select(F.lpad(c("p_partkey").cast("string"), 8, "0").alias("company_number"), "p_size")
+    status, codes = F.when(c("p_size") % 4 == 0, "dissolved").otherwise("active"), F.array(F.when(c("p_size") % 5 == 0, "99999").otherwise("56101"), F.lit("56102"))
+    return v("companies").drop("company_status", "sic_codes").join(part, "company_number").withColumns({"company_status": status, "sic_codes": codes})
+
+
+@query()
+def m11_unsatisfied_prefixes_national(v):
+    """Prefixes without a hit among the active companies, unless the name of a dissolved one was checked lately."""
+    found = searched(v)
+    hits = resolve.operator_candidates(v("inserts"), found.where("company_status = 'active'"), idf(v)).select("entity_id", "insert_date").distinct()
+    hits = hits.join(v("inserts"), ["entity_id", "insert_date"]).select(t.company_name_norm(t.operator_prefix(c("business_name"))).alias("prefix_norm")).distinct()
+    checks = found.where("company_status = 'dissolved'").select(t.company_name_norm(c("company_name")).alias("prefix_norm"), F.date_sub(date("2024-01-25"), c("p_size") * 2).alias("checked_date"))
+    return resolve.unsatisfied_prefixes(resolve.distinct_prefixes(v("inserts")), hits, checks, date("2024-01-25"))
+
+
 @query()
 def m12_accept_search_results(v):
-    pf = resolve.distinct_prefixes(v("inserts")).select("prefix")
-    found = pf.crossJoin(F.broadcast(v("companies").where("cast(company_number as bigint) <= 20"))).select("prefix", c("company_name").alias("title"), "company_number", "company_status", F.from_json("sic_codes", "array<string>").alias("sic_codes"))
-    return resolve.accept_search_results(found, idf(v))
+    first = lambda norm: F.substring_index(norm, " ", 1)
+    pf = resolve.distinct_prefixes(v("inserts")).where("prefix_norm <> ''").select("prefix", first(c("prefix_norm")).alias("block"))
+    found = searched(v).select(c("company_name").alias("title"), "company_number", "company_status", "sic_codes", first(t.company_name_norm(c("company_name"))).alias("block"))
+    return resolve.accept_search_results(pf.join(found, "block").drop("block"), idf(v))
 
 
 @query("""select entity_id, insert_date from {inserts} where entity_id % 4 <> 0 or (entity_id % 8 = 0 and date '2024-01-25' - insert_date <= 90)""")
