@@ -206,6 +206,13 @@ def k2_predecessor_fallback(v):
     return classify.predecessor_fallback(asked, v("spells"), idf(v), exact, Params(fallback_score=1.0)).select("entity_id", "predecessor_id")
 
 
+@query()
+def k2_predecessor_fallback_all(v):
+    """All spells, at the operator's own score."""
+    exact = classify.predecessor_exact(v("spells"), v("spells"))
+    return classify.predecessor_fallback(v("spells"), v("spells"), idf(v), exact).select("entity_id", "predecessor_id")
+
+
 FEED_MATCH = "fm as (select entity_id, insert_date, business_name, first_seen_date, evidence_company_number as best_company_number, case when entity_id % 3 = 0 then 0.5 else 0.8 end as best_score from {feed} where evidence_company_number is not null)"
 
 

@@ -1,5 +1,6 @@
 """Matching queries over whole tables, against brute force."""
 
+import collections
 import datetime as dt
 
 import pytest
@@ -62,3 +63,26 @@ def test_m11_uses_national_hits_and_recent_checks(v, weights):
             want.add(p.prefix_norm)
     assert dropped
     assert {r.prefix_norm for r in m.m11_unsatisfied_prefixes_national(v).collect()} == want
+
+
+def test_k2_finds_similar_names_of_all_spells(spark, v, weights):
+    near = [w for w, _ in sorted(weights.items(), key=lambda x: (-x[1], x[0]))][:12]
+    day = lambda k: dt.date(2020, 1, 1) + dt.timedelta(k)
+    names = [" ".join(near), " ".join(near[:11]), " ".join(near[:9]), near[3], " ".join(reversed(near)), "", None]
+    rows = [(k, day(k), names[k % 7], f"{k % 17} Road", f"d{k % 3} 1aa", day(k * 5 % 90), day(k * 5 % 90 + 3)) for k in range(90)]
+    rows += [(201, day(0), names[0], "1 Way", "z1", day(0), day(3)), (202, day(9), names[1], "2 Way", "z1", day(9), day(12)), (203, day(20), names[2], "3 Way", "z1", day(20), day(22))]
+    spells = spark.createDataFrame(rows, "entity_id long, insert_date date, business_name string, address_line_1 string, postcode string, first_seen_date date, last_seen_date date")
+    norm = {r.entity_id: r.norm for r in spells.select("entity_id", t.company_name_norm(F.col("business_name")).alias("norm")).collect()}
+    want, scores = {}, collections.Counter()
+    for a in rows:
+        before = [b for b in rows if b[4] == a[4] and b[0] != a[0] and b[6] < a[5]]
+        if any(b[3] == a[3] for b in before):
+            continue
+        scored = [(round(similarity(norm[a[0]], norm[b[0]], weights), 12), b[6].toordinal(), -b[0]) for b in before]
+        best = max((s for s in scored if s[0] >= 0.9), default=None)
+        if best:
+            want[a[0]] = -best[2]
+            scores[best[0] < 1] += 1
+    got = m.k2_predecessor_fallback_all(lambda name: spells if name == "spells" else v(name)).collect()
+    assert {r.entity_id: r.predecessor_id for r in got} == want
+    assert scores[True] and scores[False] and any(k % 5 for k in want)
