@@ -21,6 +21,15 @@ def landed(df, form: str, **options) -> str:
     return path
 
 
+#: Records of a landed page or report, about.
+PAGE = 1000
+
+
+def page_of(df, key):
+    """A page number by a hash of key; there are as many pages as the rows of df fill."""
+    return F.pmod(F.xxhash64(key), F.lit(max(1, -(-df.count() // PAGE))))
+
+
 def register_file(v) -> str:
     rows = v("feed").select(
         F.when(c("entity_id") % 50 != 0, c("entity_id").cast("string")).alias("FHRSID"), c("business_name").alias("BusinessName"), c("business_type").alias("BusinessType"), c("address_line_1").alias("AddressLine1"),
@@ -54,21 +63,29 @@ def s4_read_publisher_index(v):
     return readers.read_publisher_index(rows.sparkSession, landed(rows, "xml", rowTag="WebLocalAuthorityAPI", rootTag="Index")).select("id", "publisher", "name", "region_name")
 
 
-@query("select company_number, company_name, address_line_1, postcode as postal_code, date_of_creation, '10710,56101' as codes from {companies} where cast(company_number as bigint) % 13 <> 0")
-def s5_read_company_pages(v):
+def company_pages(v):
     k = c("company_number").cast("long")
     item = F.struct(F.when(k % 13 != 0, c("company_number")).alias("company_number"), "company_name", c("date_of_creation").cast("string").alias("date_of_creation"), F.struct("address_line_1", c("postcode").alias("postal_code")).alias("registered_office_address"), F.array(F.lit("56101"), F.lit("10710")).alias("sic_codes"))
-    pages = v("companies").groupBy((k % 20).alias("page")).agg(F.count("*").alias("hits"), F.collect_list(item).alias("items")).drop("page")
-    good, _ = readers.read_company_pages(pages.sparkSession, landed(pages.repartition(20), "json", maxRecordsPerFile=1), "test")
+    return v("companies").groupBy(page_of(v("companies"), k).alias("page")).agg(F.count("*").alias("hits"), F.collect_list(item).alias("items")).drop("page")
+
+
+@query("select company_number, company_name, address_line_1, postcode as postal_code, date_of_creation, '10710,56101' as codes from {companies} where cast(company_number as bigint) % 13 <> 0")
+def s5_read_company_pages(v):
+    pages = company_pages(v)
+    good, _ = readers.read_company_pages(pages.sparkSession, landed(pages, "json", maxRecordsPerFile=1), "test")
     return good.select("company_number", "company_name", "address_line_1", "postal_code", "date_of_creation", F.array_join("sic_codes", ",").alias("codes"))
 
 
-@query("select entity_id, post_code from {feed}")
-def s6_read_lookup_pages(v):
+def lookup_pages(v):
     k = c("entity_id")
     item = F.struct(k.cast("string").alias("FHRSID"), F.coalesce("post_code", F.lit("")).alias("PostCode"))
-    pages = v("feed").groupBy((k % 12).alias("page")).agg(F.collect_list(item).alias("establishments")).select("establishments", F.struct(c("page").alias("pageNumber")).alias("meta"))
-    return readers.read_lookup_pages(pages.sparkSession, landed(pages.repartition(12), "json", maxRecordsPerFile=1))
+    return v("feed").groupBy(page_of(v("feed"), k).alias("page")).agg(F.collect_list(item).alias("establishments")).select("establishments", F.struct(c("page").alias("pageNumber")).alias("meta"))
+
+
+@query("select entity_id, post_code from {feed}")
+def s6_read_lookup_pages(v):
+    pages = lookup_pages(v)
+    return readers.read_lookup_pages(pages.sparkSession, landed(pages, "json", maxRecordsPerFile=1))
 
 
 @query(f"select cast(entity_id as varchar) as fhrsid, business_name, nullif(coalesce({BULK}, ''), '') as postcode from {{feed}}")
@@ -93,12 +110,21 @@ def s11_read_ground_truth(v):
     return readers.read_ground_truth(rows.sparkSession, landed(rows, "csv", header=True)).select("entity_id", "true_company", "blank")
 
 
-@query("select source_ip, cast(sum(count) as bigint) as messages, min(begin_) as begin_ from {auth_records} group by 1")
-def a1_read_auth_reports(v):
+def auth_reports(v):
+    """Reports of a reporter and day; as many of each as the largest day of one fills."""
     seconds = lambda x: F.unix_timestamp(c(x).cast("timestamp"))
     record = F.struct(F.struct("source_ip", "count", F.struct("disposition", "dkim", "spf").alias("policy_evaluated")).alias("row"), F.struct("header_from").alias("identifiers"))
-    rows = v("auth_records").groupBy("reporter", "begin_", "end_").agg(F.collect_list(record).alias("record"))
-    rows = rows.select(F.struct(c("reporter").alias("org_name"), F.struct(seconds("begin_").alias("begin"), seconds("end_").alias("end")).alias("date_range")).alias("report_metadata"), F.struct(F.lit("none").alias("p")).alias("policy_published"), "record")
+    day = ["reporter", "begin_", "end_"]
+    most = v("auth_records").groupBy(*day).count().agg(F.max("count")).first()[0] or 0
+    # Equal records are dealt out too: the number of a row stands in the hash.
+    part = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(max(1, -(-most // PAGE)))).alias("part")
+    rows = v("auth_records").select("*", part).groupBy(*day, "part").agg(F.collect_list(record).alias("record"))
+    return rows.select(F.struct(c("reporter").alias("org_name"), F.struct(seconds("begin_").alias("begin"), seconds("end_").alias("end")).alias("date_range")).alias("report_metadata"), F.struct(F.lit("none").alias("p")).alias("policy_published"), "record")
+
+
+@query("select source_ip, cast(sum(count) as bigint) as messages, min(begin_) as begin_ from {auth_records} group by 1")
+def a1_read_auth_reports(v):
+    rows = auth_reports(v)
     out = readers.read_auth_reports(rows.sparkSession, landed(rows, "xml", rowTag="feedback", rootTag="reports"))
     return out.groupBy("source_ip").agg(F.sum("count").alias("messages"), F.min("begin").alias("begin_"))
 
