@@ -154,9 +154,12 @@ def train(docs: DataFrame, rows: int = SAMPLE_ROWS) -> ByteGru | None:
     """A network learned from text and lang of the learning folds, of about ``rows`` documents of each language.
 
     The documents are those whose hash is under a threshold set by the counts, so they spread over the whole table.
+    More than MOST_LANGS languages are an error: none is left out.
     """
     known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (fold(F.col("doc_id"), 4) != 2))
-    counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGS).collect()}
+    counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGS + 1).collect()}
+    if len(counts) > MOST_LANGS:
+        raise ValueError(f"more than {MOST_LANGS} languages to learn")
     if not counts:
         return None
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, rows / n))])

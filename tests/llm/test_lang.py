@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 
 from regwatch.llm import lang
 
@@ -57,3 +58,10 @@ def test_held_out_accuracy_and_edges(spark):
     assert kept.columns == docs.columns and kept.count() == len(rows) - 3
     assert lang.identify(docs.limit(0)).count() == 0
     assert {r.lang_pred for r in lang.identify(docs.withColumn("lang", docs.lang.substr(9, 1)).where("lang is null")).collect()} == {"und"}
+
+
+def test_too_many_languages_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(lang, "MOST_LANGS", 2)
+    docs = spark.createDataFrame([(i, "some text", f"l{i % 3}") for i in range(60)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="more than 2 languages"):
+        lang.train(docs)
