@@ -1,17 +1,21 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
-The network reads a word (a run without white space, with a space at either end) byte by byte in both directions and
-gives every position a distribution over the languages; a document's probability of a language is the mean over all
-positions of all its words. It starts afresh at each word, so equal words have equal outputs and a worker computes them
-once. The network is small, trained by backpropagation through time on a bounded sample of labelled documents.
+The network runs over a text's bytes in both directions, across words, and gives every position a distribution over the
+languages; a document's probability of a language is the mean over all positions. Long texts are read in stretches:
+each position is labelled once, by states that have run over at least CONTEXT bytes before and behind it, or over all
+there are. The network is small, trained by backpropagation through time on a bounded sample of labelled documents.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0; a null doc_id stays null and counts as
-the empty text in the fold; repeated rows are judged each by itself; an empty table gives an empty result; without any
-labelled row every text is ``und``; further columns of the input are ignored by ``identify`` and kept by ``keep_known``.
+the empty text in the fold; repeated rows are judged each by itself; of equal probabilities the language that sorts
+first wins; very long texts are read whole, a stretch at a time; an empty table gives an empty result; without any
+labelled row every text is ``und``; further columns of the input, whatever their names, are ignored by ``identify`` and
+kept by ``keep_known``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,15 +23,23 @@ from pyspark.sql import functions as F
 
 from .common import chunks, fold
 
-#: Rows of each language that may be learned from, and the most languages and words in all.
-SAMPLE_ROWS, MOST_LANGS, SAMPLE_WORDS = 300, 200, 60_000
-HIDDEN, EPOCHS, BATCH, RATE = 16, 3, 128, 0.01
-#: Longest stretch of bytes that the network reads at once; longer words are read in such stretches.
-LONGEST = 32
-#: Words that a worker remembers.
-WORDS = 200_000
+#: Rows of each language that may be learned from, and the most languages: more are an error, none is left out.
+SAMPLE_ROWS, MOST_LANGS = 300, 200
+#: Stretches that a sampled document gives, spread over its whole text, and their bytes.
+CROPS, CROP = 4, 96
+HIDDEN, EPOCHS, BATCH, RATE = 12, 4, 64, 0.02
+#: Bytes of a text that one column of a batch labels, bytes of context to either side, and columns of a batch.
+STRETCH, CONTEXT, COLUMNS = 256, 32, 512
+#: Characters of the texts that a task takes up at once.
+TEXTS = 2_000_000
+#: Probabilities that are held at once.
+CELLS = 1 << 20
+#: A document whose best language has a lower score is in none of the learned languages.
+LEAST_SCORE = 0.4
 UNKNOWN = "und"
 SPACE = 32
+#: A byte that UTF-8 never uses fills up columns.
+FILL = b"\xff"
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -85,7 +97,7 @@ class ByteGru:
         n = self.hidden
         for way, (xs, ms, ks, up) in {"f": (x, mask, kf, dh[:, :, :n]), "b": (x[::-1], mask[::-1], kb, dh[::-1, :, n:])}.items():
             wh = self.p[f"h{way}"]
-            gx, gh, gb = np.zeros((256, 3 * n), np.float32), np.zeros_like(wh), np.zeros(3 * n, np.float32)
+            gh, each = np.zeros_like(wh), np.zeros((*xs.shape, 3 * n), wh.dtype)
             back = np.zeros((x.shape[1], n), np.float32)
             for t in range(len(xs) - 1, -1, -1):
                 h, z, r, s, g = ks[t]
@@ -97,57 +109,114 @@ class ByteGru:
                 dr = ds * g * r * (1 - r)
                 da = np.concatenate([dz, dr, ds], 1)
                 dg = np.concatenate([dz, dr, ds * r], 1)
-                np.add.at(gx, xs[t], da)
+                each[t] = da
                 gh += h.T @ dg
-                gb += da.sum(0)
                 back = whole * (1 - m) + on * (1 - z) + dg @ wh.T
-            out |= {f"x{way}": gx, f"h{way}": gh, f"b{way}": gb}
+            flat, spots = each.reshape(-1, 3 * n), xs.ravel()
+            gx = np.stack([np.bincount(spots, column, 256) for column in flat.T], 1).astype(wh.dtype)
+            out |= {f"x{way}": gx, f"h{way}": gh, f"b{way}": flat.sum(0)}
         return out, loss
 
-    def fit(self, words: list[bytes], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 1) -> ByteGru:
-        """Adam over batches of words of like length."""
+    def fit(self, stretches: list[bytes], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 1) -> ByteGru:
+        """Adam over batches of stretches of like length."""
         rng = np.random.default_rng(seed)
         mean = {k: np.zeros_like(v) for k, v in self.p.items()}
         square = {k: np.zeros_like(v) for k, v in self.p.items()}
-        lengths = np.array([len(w) for w in words])
-        step = 0
+        lengths = np.array([len(w) for w in stretches])
+        step, rate = 0, RATE
         for _ in range(epochs):
-            order = rng.permutation(len(words))
+            order = rng.permutation(len(stretches))
             order = order[np.argsort(lengths[order], kind="stable")]
             cuts = [order[i : i + BATCH] for i in range(0, len(order), BATCH)]
             for k in rng.permutation(len(cuts)):
-                x, mask = padded([words[i] for i in cuts[k]])
+                x, mask = padded([stretches[i] for i in cuts[k]])
                 grads, _ = self.gradients(x, mask, labels[cuts[k]])
                 step += 1
                 for name, g in grads.items():
                     mean[name] = 0.9 * mean[name] + 0.1 * g
                     square[name] = 0.99 * square[name] + 0.01 * g * g
-                    self.p[name] -= RATE * (mean[name] / (1 - 0.9**step)) / (np.sqrt(square[name] / (1 - 0.99**step)) + 1e-6)
+                    self.p[name] -= rate * (mean[name] / (1 - 0.9**step)) / (np.sqrt(square[name] / (1 - 0.99**step)) + 1e-6)
+            rate /= 2
         return self
 
-    def sums(self, words: list[bytes]) -> np.ndarray:
-        """For each word the sum of its positions' probabilities, and their number as the last column."""
-        stretches = [(i, w[k : k + LONGEST]) for i, w in enumerate(words) for k in range(0, len(w), LONGEST)]
-        stretches.sort(key=lambda s: len(s[1]))
-        out = np.zeros((len(words), len(self.langs) + 1), np.float32)
-        for k in range(0, len(stretches), 2048):
-            owners, parts = zip(*stretches[k : k + 2048], strict=True)
-            x, mask = padded(list(parts))
-            prob, _ = self.forward(x, mask)
-            prob *= mask[:, :, None]
-            np.add.at(out, list(owners), np.concatenate([prob.sum(0), mask.sum(0)[:, None].astype(np.float32)], 1))
+    def _states(self, x: np.ndarray, steps: Iterable[int], d: str) -> np.ndarray:
+        """States of one direction after each of the steps, by step: (rows of x, hidden, columns). A state stands still
+        on FILL. Gates are computed as tanh of halves, with the halves put into the weights."""
+        n = self.hidden
+        half = np.repeat(np.array([0.5, 0.5, 1.0], np.float32), n)
+        wx = np.ascontiguousarray(((self.p[f"x{d}"] + self.p[f"b{d}"]) * half).T)
+        wx[:n, FILL[0]] = -30.0
+        wh = np.ascontiguousarray(self.p[f"h{d}"].T) * np.float32(0.5)
+        out = np.empty((len(x), n, x.shape[1]), np.float32)
+        h = np.zeros((n, x.shape[1]), np.float32)
+        a, g = np.empty((3 * n, x.shape[1]), np.float32), np.empty((3 * n, x.shape[1]), np.float32)
+        gates, s = a[: 2 * n], a[2 * n :]
+        z, r = gates[:n], gates[n:]
+        for t in steps:
+            np.take(wx, x[t], 1, out=a, mode="clip")
+            np.matmul(wh, h, out=g)
+            gates += g[: 2 * n]
+            np.tanh(gates, out=gates)
+            r += 1
+            r *= g[2 * n :]
+            s += r
+            np.tanh(s, out=s)
+            z += 1
+            z *= 0.5
+            s -= h
+            s *= z
+            h = np.add(h, s, out=out[t])
         return out
 
-
-def padded(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes as (steps, words) between a space at either end, and which of them are not filling."""
-    steps = max(map(len, words)) + 2
-    x = np.full((len(words), steps), SPACE, np.uint8)
-    lengths = np.array([len(w) + 2 for w in words])
-    flat = np.frombuffer(b"".join(words), np.uint8)
-    inside = (np.arange(steps)[None, :] >= 1) & (np.arange(steps)[None, :] < lengths[:, None] - 1)
-    x[inside] = flat
-    return np.ascontiguousarray(x.T), np.ascontiguousarray((np.arange(steps)[None, :] < lengths[:, None]).T)
+    def sums(self, texts: list[bytes]) -> np.ndarray:
+        """For each text the sum of its positions' probabilities, and their number as the last column."""
+        out = np.zeros((len(self.langs) + 1, len(texts)), np.float64)
+        parts = sorted((min(STRETCH, len(text) - lo), k, lo) for k, text in enumerate(texts) for lo in range(0, len(text), STRETCH))
+        for i in range(0, len(parts), COLUMNS):
+            own = parts[i : i + COLUMNS]
+            most = own[-1][0]
+            rows = most + 2 * CONTEXT
+            filled = []
+            for n, k, lo in own:
+                left = min(lo, CONTEXT)
+                filled.append((FILL * (CONTEXT + most - n - left) + texts[k][lo - left : lo + n + CONTEXT]).ljust(rows, FILL))
+            x = np.frombuffer(b"".join(filled), np.uint8).reshape(len(own), rows).T.astype(np.intp)
+            forth = self._states(x, range(rows - CONTEXT), "f")
+            back = self._states(x, range(rows - 1, CONTEXT - 1, -1), "b")
+            lengths = np.array([n for n, _, _ in own])
+            pooled = np.zeros((len(self.langs), len(own)))
+            wide = max(1, CELLS // (len(self.langs) * len(own)))
+            for lo in range(CONTEXT, CONTEXT + most, wide):
+                at = slice(lo, min(lo + wide, CONTEXT + most))
+                e = np.matmul(self.p["o"][: self.hidden].T, forth[at]) + np.matmul(self.p["o"][self.hidden :].T, back[at])
+                e += self.p["c"][:, None]
+                e -= e.max(1, keepdims=True)
+                np.exp(e, out=e)
+                e /= e.sum(1, keepdims=True)
+                e *= (np.arange(at.start, at.stop)[:, None] >= CONTEXT + most - lengths)[:, None, :]
+                pooled += e.sum(0)
+            np.add.at(out.T, [k for _, k, _ in own], np.concatenate([pooled, lengths[None, :]]).T)
+        return out.T
+
+
+def padded(stretches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes as (steps, stretches), and which of them are not filling."""
+    steps = max(map(len, stretches))
+    x = np.frombuffer(b"".join([w.ljust(steps, b" ") for w in stretches]), np.uint8).reshape(len(stretches), steps)
+    inside = np.arange(steps)[None, :] < np.array([len(w) for w in stretches])[:, None]
+    return np.ascontiguousarray(x.T), np.ascontiguousarray(inside.T)
+
+
+def framed(text: str) -> bytes:
+    """The bytes of a text between a space at either end."""
+    return b" " + text.encode("utf-8", "replace") + b" "
+
+
+def crops(text: str) -> list[bytes]:
+    """Stretches of a text for learning: at most CROPS, evenly spread over all of it."""
+    whole = framed(text)
+    n = min(CROPS, -(-len(whole) // CROP))
+    return [whole[at : at + CROP] for at in ((len(whole) - CROP) * k // max(1, n - 1) if n > 1 else 0 for k in range(n))]
 
 
 def train(docs: DataFrame, rows: int = SAMPLE_ROWS) -> ByteGru | None:
@@ -156,112 +225,64 @@ def train(docs: DataFrame, rows: int = SAMPLE_ROWS) -> ByteGru | None:
     The documents are those whose hash is under a threshold set by the counts, so they spread over the whole table.
     More than MOST_LANGS languages are an error: none is left out.
     """
-    known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (fold(F.col("doc_id"), 4) != 2))
+    known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (fold(F.col("doc_id"), 4) != 2)).select("doc_id", "text", "lang")
     counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGS + 1).collect()}
     if len(counts) > MOST_LANGS:
         raise ValueError(f"more than {MOST_LANGS} languages to learn")
     if not counts:
         return None
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, rows / n))])
-    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
+    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.col("text"), F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
     langs = sorted(counts)
-    each = max(1, SAMPLE_WORDS // len(langs))
 
     def sampled(batches):
-        """Words of the sampled documents; from a long document words spread over all of it."""
         for lang, texts in chunks(batches, ["lang", "text"]):
-            most = max(20, 2 * each // rows)
-            words = [t.encode("utf-8", "replace").split() for t in texts]
-            yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array([w[:: max(1, len(w) // most)][:most] for w in words], pa.list_(pa.binary()))], ["lang", "words"])
-
-    sample = known.where(F.element_at(share, F.col("lang")) > draw).select("lang", "text").mapInArrow(sampled, "lang string, words array<binary>")
-    found = sample.limit(4 * rows * len(langs)).collect()
-    pairs = sorted((bytes(w)[:LONGEST], r.lang) for r in found for w in r.words)
-    rng = np.random.default_rng(7)
-    words, labels = [], []
-    for k, lang in enumerate(langs):
-        own = [w for w, x in pairs if x == lang]
-        own = [own[i] for i in rng.permutation(len(own))[:each]]
-        words += own
-        labels += [k] * len(own)
-    return ByteGru(langs).fit(words, np.array(labels, np.int64)) if words else None
-
-
-class Reader:
-    """The network beside the words that this worker has met."""
-
-    _open: tuple[bytes, Reader] | None = None
-
-    def __init__(self, model: ByteGru):
-        self.model, self.place, self.table, self.size = model, {}, np.zeros((1 << 16, len(model.langs) + 1), np.float32), 0
-
-    @classmethod
-    def of(cls, key: bytes, model: ByteGru) -> Reader:
-        if cls._open is None or cls._open[0] != key:
-            cls._open = (key, cls(model))
-        return cls._open[1]
-
-    def scores(self, texts: list[str]) -> np.ndarray:
-        """Mean probabilities over all positions: (texts, languages)."""
-        split = [t.encode("utf-8", "replace").split() for t in texts]
-        met = set().union(*split)
-        new = [w for w in met if w not in self.place]
-        if len(self.place) + len(new) > WORDS:
-            self.place.clear()
-            self.size, new = 0, list(met)
-        if new:
-            while self.size + len(new) > len(self.table):
-                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            self.table[self.size : self.size + len(new)] = self.model.sums(new)
-            self.place.update(zip(new, range(self.size, self.size + len(new)), strict=True))
-            self.size += len(new)
-        out, get = np.zeros((len(texts), len(self.model.langs)), np.float64), self.place.__getitem__
-        for i, words in enumerate(split):
-            if words:
-                total = self.table[np.fromiter(map(get, words), np.int64, len(words))].sum(0, dtype=np.float64)
-                out[i] = total[:-1] / total[-1]
-        return out
+            yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array([crops(t) for t in texts], pa.list_(pa.binary()))], ["lang", "crops"])
+
+    sample = known.where(F.element_at(share, F.col("lang")) > draw).select("lang", "text").mapInArrow(sampled, "lang string, crops array<binary>")
+    found = sample.limit(2 * rows * len(langs)).collect()  # a bound for the driver; the threshold lets half as many pass
+    pairs = sorted((bytes(c), langs.index(r.lang)) for r in found for c in r.crops)
+    return ByteGru(langs).fit([c for c, _ in pairs], np.array([k for _, k in pairs], np.int64)) if pairs else None
+
+
+def judged(model: ByteGru | None, texts: list[str]) -> tuple[list[str], list[float]]:
+    """Language and score of each text."""
+    langs, best = [UNKNOWN] * len(texts), [0.0] * len(texts)
+    spoken = [k for k, t in enumerate(texts) if model is not None and any(map(str.isalpha, t))]
+    if spoken:
+        sums = model.sums([framed(texts[k]) for k in spoken])
+        prob = sums[:, :-1] / sums[:, -1:]
+        for k, at, p in zip(spoken, prob.argmax(1).tolist(), prob.max(1).tolist(), strict=True):
+            langs[k], best[k] = model.langs[at], min(1.0, p)
+    return langs, best
 
 
 def identify(docs: DataFrame, model: ByteGru | None = None) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score; learned from docs unless a model is given."""
-    model = model or train(docs)
-    key = b"" if model is None else b"".join(model.p[k].tobytes()[:64] for k in sorted(model.p))
-    shared = docs.sparkSession.sparkContext.broadcast((key, model))
+    shared = docs.sparkSession.sparkContext.broadcast(model or train(docs))
 
     def predicted(batches):
-        key, model = shared.value
-        for ids, held, texts in chunks(batches, ["doc_id", "held_out", "text"]):
-            spoken = [model is not None and any(map(str.isalpha, t)) for t in texts]
-            langs, best = [UNKNOWN] * len(texts), [0.0] * len(texts)
-            if model is not None:
-                prob = Reader.of(key, model).scores(texts)
-                for i, at in enumerate(prob.argmax(1)):
-                    if spoken[i]:
-                        langs[i], best[i] = model.langs[at], min(1.0, float(prob[i, at]))
+        for ids, held, texts in chunks(batches, ["doc_id", "held_out", "text"], TEXTS):
+            langs, best = judged(shared.value, texts)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(held, pa.bool_()), pa.array(langs, pa.string()), pa.array(best, pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (fold(F.col("doc_id"), 4) == 2).alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
     return rows.mapInArrow(predicted, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def keep_known(docs: DataFrame, model: ByteGru | None = None) -> DataFrame:
-    """The rows of docs in a language: those that ``identify`` calls ``und`` go. Whole texts pass through once."""
-    model = model or train(docs)
-    key = b"" if model is None else b"".join(model.p[k].tobytes()[:64] for k in sorted(model.p))
-    shared = docs.sparkSession.sparkContext.broadcast((key, model))
+def keep_known(docs: DataFrame, model: ByteGru | None = None, langs: Iterable[str] | None = None, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of docs that ``identify`` finds to be in one of ``langs`` (all learned ones unless given) with a score of
+    at least ``least``. Whole texts pass through once."""
+    shared = docs.sparkSession.sparkContext.broadcast(model or train(docs))
+    wanted = None if langs is None else frozenset(langs)
     at = docs.columns.index("text")
 
     def kept(batches):
-        key, model = shared.value
         for batch in batches:
-            for start in range(0, batch.num_rows, 1024):
-                part = batch.slice(start, 1024)
-                texts = [t or "" for t in part.column(at).to_pylist()]
-                if model is None:
-                    continue
-                prob = Reader.of(key, model).scores(texts)
-                keep = [bool(p.any()) and any(map(str.isalpha, t)) for p, t in zip(prob, texts, strict=True)]
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                found, best = judged(shared.value, [t or "" for t in part.column(at).to_pylist()])
+                keep = [x != UNKNOWN and (wanted is None or x in wanted) and p >= least for x, p in zip(found, best, strict=True)]
                 yield part.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(kept, docs.schema)

@@ -32,11 +32,49 @@ def test_gradients_match_differences():
 SPACE = lang.SPACE
 
 
-def test_words_are_pooled_over_all_positions():
+def states(model, text, d):
+    """The recurrence of one direction, a byte at a time."""
+    n, h, out = model.hidden, np.zeros(model.hidden), []
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    for byte in text if d == "f" else text[::-1]:
+        a, g = model.p[f"x{d}"][byte] + model.p[f"b{d}"], h @ model.p[f"h{d}"]
+        z, r = sigmoid(a[:n] + g[:n]), sigmoid(a[n : 2 * n] + g[n : 2 * n])
+        h = (1 - z) * h + z * np.tanh(a[2 * n :] + r * g[2 * n :])
+        out.append(h)
+    return np.array(out if d == "f" else out[::-1])
+
+
+def test_every_position_is_labelled_from_its_context(monkeypatch):
+    monkeypatch.setattr(lang, "STRETCH", 20)
+    monkeypatch.setattr(lang, "CONTEXT", 6)
+    monkeypatch.setattr(lang, "COLUMNS", 7)
+    model, rng = lang.ByteGru(["a", "b", "c"]), random.Random(3)
+    texts = [bytes(rng.choices(range(1, 250), k=n)) for n in (1, 2, 19, 20, 21, 45, 140)]
+    got = model.sums(texts)
+    for text, row in zip(texts, got, strict=True):
+        want = np.zeros(3)
+        for lo in range(0, len(text), 20):
+            hi, left = min(lo + 20, len(text)), min(lo, 6)
+            forth = states(model, text[lo - left : hi], "f")[left:]
+            back = states(model, text[lo : hi + 6], "b")[: hi - lo]
+            logits = np.concatenate([forth, back], 1) @ model.p["o"] + model.p["c"]
+            e = np.exp(logits)
+            want += (e / e.sum(1, keepdims=True)).sum(0)
+        assert row[-1] == len(text) and np.allclose(row[:-1], want, atol=1e-3)
+
+
+def test_the_order_of_words_matters():
     model = lang.ByteGru(["a", "b"])
-    word = b"x" * 70
-    parts = [model.forward(*lang.padded([word[k : k + lang.LONGEST]]))[0].sum((0, 1)) for k in range(0, 70, lang.LONGEST)]
-    assert np.allclose(model.sums([b"q", word])[1, :2], np.sum(parts, 0), atol=1e-4)
+    one, two = model.sums([lang.framed("foo bar"), lang.framed("bar foo")])
+    assert abs(one[0] - two[0]) > 1e-4
+
+
+def test_crops_spread_over_the_whole_text():
+    text = "".join(chr(97 + k % 26) for k in range(5000))
+    got = lang.crops(text)
+    whole = lang.framed(text)
+    assert len(got) == lang.CROPS and whole.startswith(got[0]) and whole.endswith(got[-1])
+    assert lang.crops("ab") == [b" ab "] and lang.crops("") == [b"  "]
 
 
 def test_held_out_accuracy_and_edges(spark):
@@ -54,8 +92,14 @@ def test_held_out_accuracy_and_edges(spark):
         if r.held_out and want and r.lang_pred != "und":
             right, total = right + (r.lang_pred == want), total + 1
     assert total > 50 and right / total > 0.97
-    kept = lang.keep_known(docs)
-    assert kept.columns == docs.columns and kept.count() == len(rows) - 3
+    model = lang.train(docs)
+    judged = {r.doc_id: r for r in lang.identify(docs, model).collect()}
+    kept = lang.keep_known(docs, model)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} == {d for d, r in judged.items() if r.lang_pred != "und" and r.score >= lang.LEAST_SCORE}
+    foreign = {r.doc_id for r in lang.keep_known(docs, model, ["en", "de"]).collect()}
+    assert foreign == {d for d, r in judged.items() if r.lang_pred in ("en", "de") and r.score >= lang.LEAST_SCORE} and 904 not in foreign
+    assert not {900, 901, 902} & foreign and lang.keep_known(docs, model, least=1.01).count() == 0
     assert lang.identify(docs.limit(0)).count() == 0
     assert {r.lang_pred for r in lang.identify(docs.withColumn("lang", docs.lang.substr(9, 1)).where("lang is null")).collect()} == {"und"}
 
