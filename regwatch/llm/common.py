@@ -17,10 +17,12 @@ MASK = (1 << 64) - 1
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the cluster names none."""
+    """The folder that driver and executors share, as the session names it; a local master may do without one."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir", None)
     if sc._jsc.sc().getCheckpointDir().isEmpty():
+        if named is None and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="regwatch-checkpoint-"))
     return named or sc._jsc.sc().getCheckpointDir().get()
 
@@ -40,6 +42,14 @@ def cut(df: DataFrame) -> DataFrame:
     return out
 
 
+def free(name: str, *frames: DataFrame) -> str:
+    """The name, or a longer one that is no column of the frames (in any spelling)."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def text_of(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id and text (null: empty) of docs, without its other columns."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)

@@ -6,13 +6,15 @@ dominate every alternative are fixed for good (Martello and Toth's reduction), t
 first. The solution is a list of runs of equal pieces, joined back to the pieces by length and rank.
 
 Defined results: null text is empty and gives the end token alone; a null doc_id stays null; repeated rows are packed
-each by itself; very long texts are cut at every ``capacity`` tokens; an empty table gives an empty result; further
-columns of the input are ignored.
+each by itself; very long texts are cut at every ``capacity`` tokens; among pieces of one length any may take a place,
+and the same ones do when a task is repeated; an empty table gives an empty result; further columns of the input,
+whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from bisect import bisect_left, insort
 
@@ -21,70 +23,84 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, cut, text_of
+from .common import chunks, cut, free, text_of
 
 CAPACITY, END = 4096, 1
-#: Entries that a worker remembers: whole words, and the letter runs and marks in them.
-WORDS, PARTS = 250_000, 700_000
+#: Bytes of the parts of words that a worker remembers, in two generations, and what an entry takes besides its text.
+REMEMBERED, ENTRY = 120_000_000, 240
 #: Rows that share one bucket of a length while ranks are dealt out, and the fewest buckets.
 RANK_ROWS, LEAST_BUCKETS = 20_000, 64
 
 #: How the vocabulary's pre-tokenizer splits lower-case Latin-1 text; any other word is left to the library whole.
 _LATIN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^\t-\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼-¾]+")
 _SPECIAL = "<|"
+_BLANK = re.compile(r"[ \t-\r]")
 
 
-class WordTokens:
-    """Token ids (little-endian 32-bit) of white-space separated words, which this vocabulary encodes one by one."""
+class PartTokens:
+    """Token ids (little-endian 32-bit) of the parts of words (letter runs, digits, marks), which this vocabulary encodes
+    one by one. Parts that have not been met for a generation are forgotten."""
 
-    _open: dict[str, WordTokens] = {}
+    _open: tuple[str, PartTokens] | None = None
 
     @classmethod
-    def of(cls, path: str) -> WordTokens:
+    def of(cls, path: str) -> PartTokens:
         """The one that this worker keeps from task to task."""
-        if path not in cls._open:
-            cls._open[path] = cls(path)
-        return cls._open[path]
+        if cls._open is None or cls._open[0] != path:
+            cls._open = (path, cls(path))
+        return cls._open[1]
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self.words]
-        if len(self.words) + len(new) > WORDS:
-            self.words.clear()
-            new = list(words)
-        if len(self.parts) > PARTS:
-            self.parts.clear()
-        split: list[list[str]] = []
-        for word in new:
-            text = word.decode("utf-8", "replace")
-            latin = max(text) <= "ÿ" and _SPECIAL not in text
-            split.append(_LATIN.findall(text.lower()) if latin else [text])
-        parts = list({p for ps in split for p in ps if p not in self.parts})
-        self.parts.update(zip(parts, self._encoded(parts), strict=True))
-        for word, ps in zip(new, split, strict=True):
-            self.words[word] = self.parts[ps[0]] if len(ps) == 1 else b"".join([self.parts[p] for p in ps])
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.size = 0
+
+    def _learn(self, parts: set[str]) -> None:
+        """Afterwards all parts are in the young generation."""
+        new = parts.difference(self.young)
+        if self.size > REMEMBERED // 2:
+            self.old, self.young, self.size, new = self.young, {}, 0, parts
+        known = [p for p in new if p in self.old]
+        self.young.update(zip(known, map(self.old.__getitem__, known), strict=True))
+        fresh = list(new.difference(known)) if known else list(new)
+        codes = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
+        self.young.update(zip(fresh, [_little(c.ids) for c in codes], strict=True))
+        self.size += ENTRY * len(new) + 3 * sum(map(len, new))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.encode("utf-8", "replace").split() for t in texts]
-        self.learn(set().union(*split))
-        get = self.words.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        split = [_parts(t) for t in texts]
+        self._learn(set().union(*split))
+        return [b"".join(map(self.young.__getitem__, parts)) for parts in split]
+
+
+def _little(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def _parts(text: str) -> list[str]:
+    """Strings whose ids, end to end, are the text's: the pre-tokenizer's parts, or whole words where it knows better."""
+    if _SPECIAL not in text:
+        try:
+            text.encode("latin-1")
+            return _LATIN.findall(text.lower())
+        except UnicodeEncodeError:
+            pass
+    out: list[str] = []
+    for word in _BLANK.split(text):
+        if word:
+            latin = max(word) <= "ÿ" and _SPECIAL not in word
+            out += _LATIN.findall(word.lower()) if latin else [word]
+    return out
 
 
 def tokenize(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """Pieces of at most ``capacity`` tokens: doc_id, piece, start, length, ids_crc32, and ids if asked for."""
 
     def pieces(batches):
-        tokens = WordTokens.of(path)
+        tokens = PartTokens.of(path)
         end = np.array([END], "<u4").tobytes()
         for ids, texts in chunks(batches, ["doc_id", "text"], 2_000_000):
             rows: list[list] = [[], [], [], [], [], []]
@@ -190,16 +206,21 @@ class Plan:
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """pieces (doc_id, piece, length and more) with sequence_id and offset, gapless from 0 in every sequence."""
+    """pieces (doc_id, piece, length and more) with sequence_id and offset, gapless from 0 in every sequence.
+
+    Rows are told apart by their place, so pieces must be a written or checkpointed table: rows of equal ids, or of none,
+    are dealt out like all others, and a repeated task deals them the same way.
+    """
     counts = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most `capacity` rows
     runs = np.array(sorted(Plan(counts, capacity).runs) or np.zeros((0, 6)), np.int64).reshape(-1, 6)
     buckets = max(LEAST_BUCKETS, sum(counts.values()) // RANK_ROWS)
-    dealt = pieces.withColumn("__bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)).cast("int"))
-    sums = dealt.groupBy("length", "__bucket").agg(F.count("*").alias("__n"))
-    before = Window.partitionBy("length").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
-    within = Window.partitionBy("length", "__bucket").orderBy("doc_id", "piece")
-    ranked = dealt.join(sums, ["length", "__bucket"]).withColumn("__rank", F.col("__before") + F.row_number().over(within) - 1).select(*pieces.columns, "__rank")
+    place, bucket, rank = (free(f"__{c}", pieces) for c in ("place", "bucket", "rank"))
+    dealt = pieces.withColumn(place, F.monotonically_increasing_id()).withColumn(bucket, F.pmod(F.xxhash64(place), F.lit(buckets)).cast("int"))
+    sums = dealt.groupBy("length", bucket).agg(F.count("*").alias("n"))
+    before = Window.partitionBy("length").orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("length", bucket, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(rank))
+    within = Window.partitionBy("length", bucket).orderBy(place)
+    ranked = dealt.join(sums, ["length", bucket]).select(*(dealt[c] for c in pieces.columns), (F.col(rank) + F.row_number().over(within) - 1).alias(rank))
     shared = pieces.sparkSession.sparkContext.broadcast(runs)  # a bounded number of runs for each length
 
     names = pieces.columns
@@ -208,9 +229,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         runs = shared.value
         key = (runs[:, 0] << 44) + runs[:, 1]
         for batch in batches:
-            length, rank = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("length", "__rank"))
-            size, first, _, each, sequence, offset = runs[np.searchsorted(key, (length << 44) + rank, "right") - 1].T
-            turn = rank - first
+            length, own = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("length", rank))
+            size, first, _, each, sequence, offset = runs[np.searchsorted(key, (length << 44) + own, "right") - 1].T
+            turn = own - first
             columns = [batch.column(c) for c in names]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(sequence + turn // each), pa.array(offset + turn % each * size)], [*names, "sequence_id", "offset"])
 

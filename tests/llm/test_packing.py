@@ -64,11 +64,28 @@ def test_words_encode_as_the_whole_text():
     rng = random.Random(2)
     bits = ["the", "The,", "don't", "I'LL", "ünß", "²x", "a1b22", "%%%", " ", "\n", "\t", "\xa0", "\x1c", "日本", "é", "Σς", "İ", "<|endoftext|>", "_'s", "😀", "\x85", "ª", "µm", " ", "﻿"]
     texts = ["".join(rng.choices(bits, k=rng.randrange(12))) for _ in range(3000)] + [""]
-    got = packing.WordTokens(PATH).encode(texts)
+    got = packing.PartTokens(PATH).encode(texts)
     for text, ids in zip(texts, got, strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_forgetting_parts_changes_no_ids(monkeypatch):
+    texts = [f"w{i % 50}x the {i}, {'q' * (i % 9)}" for i in range(400)]
+    want = packing.PartTokens(PATH).encode(texts)
+    monkeypatch.setattr(packing, "REMEMBERED", 20_000)
+    tokens = packing.PartTokens(PATH)
+    assert [tokens.encode([t])[0] for t in texts] == want
+    assert len(tokens.young) + len(tokens.old) < 150
+
+
+def test_rows_without_ids_spread_over_buckets(spark):
+    rows = [(None, 0, 7, 5)] * 3000 + [(1, 0, 7, 3)] * 3
+    pieces = spark.createDataFrame(rows, "doc_id long, piece int, __place int, length long").checkpoint()
+    got = packing.pack(pieces, 16).collect()
+    assert len(got) == 3003 and got[0]["__place"] == 7
+    assert len({(r.sequence_id, r.offset) for r in got}) == 3003
+
+
 def test_documents_are_packed(spark):
     rng = random.Random(5)
     rows = [(i, " ".join(rng.choice(["alpha", "beta,", "Γ"]) for _ in range(rng.choice([0, 3, 40, 300])))) for i in range(200)]
