@@ -56,10 +56,14 @@ def predecessor_fallback(events: DataFrame, entities: DataFrame, idf: DataFrame,
 def existing_operator(matched: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """The earliest other entity, seen strictly before, whose best match is the same company.
     matched: entity_id, insert_date, business_name, first_seen_date, best_company_number, best_score."""
-    other = matched.where(F.col("best_score") >= p.score_medium).select("best_company_number", F.col("entity_id").alias("existing_operator_id"), F.col("business_name").alias("existing_operator_name"), F.col("first_seen_date").alias("existing_operator_first_seen"))
-    rows = matched.join(other, "best_company_number").where("entity_id <> existing_operator_id and existing_operator_first_seen < first_seen_date")
-    first = F.min(F.struct("existing_operator_first_seen", "existing_operator_id", "existing_operator_name")).alias("o")
-    return rows.groupBy(*EVENT).agg(first).select(*EVENT, "o.*")
+    own = F.struct(F.col("first_seen_date").alias("existing_operator_first_seen"), F.col("entity_id").alias("existing_operator_id"), F.col("business_name").alias("existing_operator_name"))
+    known = matched.where((F.col("best_score") >= p.score_medium) & F.col("first_seen_date").isNotNull() & F.col("entity_id").isNotNull()).select("best_company_number", own.alias("o"))
+    # An entity's answer is the earliest row of its company, or, where that is its own, the earliest of the other entities.
+    first = known.groupBy("best_company_number").agg(F.min("o").alias("first"))
+    second = known.join(first, "best_company_number").where("o.existing_operator_id <> first.existing_operator_id").groupBy("best_company_number").agg(F.min("o").alias("second"))
+    rows = matched.join(first, "best_company_number").join(second, "best_company_number", "left")
+    rows = rows.withColumn("o", F.when(F.col("first.existing_operator_id") != F.col("entity_id"), F.col("first")).otherwise(F.col("second")))
+    return rows.where("o.existing_operator_first_seen < first_seen_date").groupBy(*EVENT).agg(F.min("o").alias("o")).select(*EVENT, "o.*")
 
 
 def operator_venue_count(matched: DataFrame, p: Params = DEFAULT) -> DataFrame:

@@ -46,9 +46,18 @@ def bag_weight(bag: Column) -> Column:
 
 def name_similarity(norm_a: Column, bag_a: Column, norm_b: Column, bag_b: Column) -> Column:
     """Weight of the shared words over that of all words; 1 for equal names, 0 if either is empty."""
-    shared = bag_weight(F.array_intersect(bag_a, bag_b))
-    united = bag_weight(bag_a) + bag_weight(bag_b) - shared
-    return F.when((text(norm_a) == "") | (text(norm_b) == ""), 0.0).when(norm_a == norm_b, 1.0).when((shared > 0) & (united > 0), F.round(shared / united, 12)).otherwise(0.0)
+    sums = F.array(F.struct(bag_weight(F.array_intersect(bag_a, bag_b)).alias("shared"), (bag_weight(bag_a) + bag_weight(bag_b)).alias("both")))
+    united = lambda x: x["both"] - x["shared"]
+    ratio = F.transform(sums, lambda x: F.when((x["shared"] > 0) & (united(x) > 0), F.round(x["shared"] / united(x), 12)).otherwise(0.0))[0]
+    return F.when((text(norm_a) == "") | (text(norm_b) == ""), 0.0).when(norm_a == norm_b, 1.0).otherwise(ratio)
+
+
+def leading_words(bag: Column, total: Column, least: float) -> Column:
+    """The heaviest words of a bag: those before which words of at most a (1 - least) part of its weight stand. Two bags
+    whose score is ``least`` or more share one of these words of either."""
+    ahead = lambda x, y: (y["weight"] > x["weight"]) | ((y["weight"] == x["weight"]) & (y["word"] < x["word"]))
+    before = lambda x: F.aggregate(bag, F.lit(0.0), lambda a, y: a + F.when(ahead(x, y), y["weight"]).otherwise(0.0))
+    return F.transform(F.filter(bag, lambda x: before(x) <= (1 - least) * total + 1e-9), lambda x: x["word"])
 
 
 def address_density(companies: DataFrame, p: Params = DEFAULT) -> DataFrame:
@@ -100,16 +109,22 @@ def district_candidates(events: DataFrame, companies: DataFrame, idf: DataFrame,
 def national_candidates(events: DataFrame, companies: DataFrame, idf: DataFrame, p: Params = DEFAULT, name: Column | None = None, strategy: str = "national") -> DataFrame:
     """Companies anywhere that share the first word and score enough.
 
-    score = S / (A + B - S) and S <= min(A, B), so a score of t needs min(A, B) >= t max(A, B); the join drops pairs
-    beyond that bound before any words are compared.
+    score = S / (A + B - S) and S <= min(A, B), so a score of t needs min(A, B) >= t max(A, B), and one of the heaviest
+    words of either name in common. The join takes only pairs within both bounds, or of equal names.
     """
-    left = _prepared_events(events, F.col("business_name") if name is None else name, idf).where("event_norm <> ''")
-    left = left.withColumn("block", F.substring_index("event_norm", " ", 1)).withColumn("wa", bag_weight(F.col("event_bag")))
-    right = prepared_companies(companies, idf, p).where("company_norm <> ''").withColumn("block", F.substring_index("company_norm", " ", 1)).withColumn("wb", bag_weight(F.col("company_bag")))
+
+    def keyed(df: DataFrame, norm: str, bag: str, weight: str) -> DataFrame:
+        """A row for each key of a name: its first word, and in turn one of its leading words or the whole name."""
+        rows = df.where(f"{norm} <> ''").withColumn("block", F.substring_index(norm, " ", 1)).withColumn(weight, bag_weight(F.col(bag)))
+        whole = F.array(F.concat(F.lit("="), F.col(norm)))
+        return rows.withColumn("key", F.explode(F.concat(whole, leading_words(F.col(bag), F.col(weight), p.national_score))))
+
+    left = keyed(_prepared_events(events, F.col("business_name") if name is None else name, idf), "event_norm", "event_bag", "wa")
+    right = keyed(prepared_companies(companies, idf, p), "company_norm", "company_bag", "wb")
     near = (F.least("wa", "wb") >= p.national_score * F.greatest("wa", "wb") - 1e-9) | (F.col("event_norm") == F.col("company_norm"))
-    pairs = left.join(right, (left["block"] == right["block"]) & near)
+    pairs = left.join(right, (left["block"] == right["block"]) & (left["key"] == right["key"]) & near)
     exact = name_similarity(F.col("event_norm"), F.col("event_bag"), F.col("company_norm"), F.col("company_bag"))
-    rows = pairs.withColumn("__score", exact).where(F.col("__score") >= p.national_score).withColumn("name_similarity_score", F.round("__score", 4))
+    rows = pairs.withColumn("score", exact).where(F.col("score") >= p.national_score).dropDuplicates([*EVENT, "company_number"]).withColumn("name_similarity_score", F.round("score", 4))
     rows = rows.withColumn("match_strategy", F.lit(strategy)).withColumn("postcode_district", F.col("district")).withColumn("address_matches_establishment", F.lit(False))
     return _ranked(rows.select(*CANDIDATE), p.top_candidates)
 
