@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import math
 import tempfile
 from collections.abc import Iterable
 
@@ -50,6 +51,13 @@ def free(name: str, *frames: DataFrame) -> str:
     return name
 
 
+def free_prefix(prefix: str, *frames: DataFrame) -> str:
+    """The prefix, or a longer one with which no column of the frames begins (in any spelling)."""
+    while any(c.lower().startswith(prefix) for f in frames for c in f.columns):
+        prefix += "_"
+    return prefix
+
+
 def text_of(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id and text (null: empty) of docs, without its other columns."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)
@@ -94,3 +102,29 @@ def chunks(batches: Iterable, columns: list[str], chars: int = BATCH_CHARS):
                 out, size = [[] for _ in columns], 0
     if out[0]:
         yield out
+
+
+#: Probes of the Bloom filter: the lowest bits of a 64-bit hash after each of these shifts.
+PROBES = (0, 18, 37)
+
+
+def bloom(keys: DataFrame, bits_each: int, least: int = 1 << 20, most: int = 1 << 27) -> np.ndarray:
+    """A Bloom filter, as 64-bit words, of the column ``key`` (long hashes). Spark merges its words; the driver gets
+    most / 64 of them at most (16 MB), however many keys there are: with more keys it lets more others pass."""
+    bits = min(most, max(least, 1 << math.ceil(math.log2(max(1, keys.count() * bits_each)))))
+    at = F.explode(F.array(*(F.shiftrightunsigned("key", k).bitwiseAND(bits - 1) for k in PROBES))).alias("at")
+    words = keys.select(at).select(F.shiftright("at", 6).alias("w"), F.expr("shiftleft(1L, cast(at & 63 as int))").alias("b"))
+    table = words.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    out = np.zeros(bits // 64, np.uint64)
+    out[table.column("w").to_numpy()] = table.column("b").to_numpy().view(np.uint64)
+    return out
+
+
+def in_bloom(filter_: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Indices of the keys (unsigned) that the filter may hold."""
+    found = np.arange(len(keys))
+    top = np.uint64(len(filter_) * 64 - 1)
+    for k in PROBES:
+        at = (keys[found] >> np.uint64(k)) & top
+        found = found[(filter_[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) > 0]
+    return found

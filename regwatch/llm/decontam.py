@@ -8,9 +8,10 @@ if shorter) agrees in at least AGREE of its words. The masks of a length hit eve
 allows: two in 10 to 13 words, one in 5 to 9.
 
 Defined results: words are lower-cased runs without white space; null and empty texts contain nothing; an item of
-fewer than LEAST_WORDS words is not looked for, one of fewer than SHORT words must occur whole and unchanged; rows that
-share a doc_id get what any of them contains; empty tables give no hits; further columns are ignored by ``overlaps``
-and ``report`` and kept by ``drop_contaminated``.
+fewer than LEAST_WORDS words (none) is not looked for, one of fewer than SHORT words must occur whole and unchanged; rows
+that share a doc_id get what any of them contains; of equal stretches the first one counts, of equal items the last in
+order; very long texts are searched whole; empty tables give no hits; further columns, whatever their names, are ignored
+by ``overlaps`` and ``report`` and kept by ``drop_contaminated``.
 """
 
 from __future__ import annotations
@@ -22,16 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, cut, hashes, mixed, text_of, words_of
+from .common import bloom, chunks, cut, free, hashes, in_bloom, mixed, text_of, words_of
 
 #: Words that count (1) and words that are ignored (0).
 MASKS = ("11101011", "11001111")
 #: The masks of items of so many words or more, up to the next entry; all hold an ignored place.
 BY_LENGTH = {5: ("1011", "1101"), 6: ("10111", "11101"), 8: ("101111", "111011"), 10: ("110111", "11001011", "10100111"), 12: (*MASKS, "1111011"), 13: MASKS}
 WINDOW, AGREE, SHORT, LEAST_WORDS = 13, 0.8, 5, 1
-#: Bits of the Bloom filter: so many for each seed, within these bounds (the largest is 16 MB).
-SEED_BITS, LEAST_BITS, MOST_BITS = 512, 1 << 20, 1 << 27
-PROBES = 3
+#: Bits of the Bloom filter for each seed.
+SEED_BITS = 512
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -92,29 +92,6 @@ def _item_seeds(items: DataFrame) -> DataFrame:
     return items.mapInArrow(made, "seed long, item_id string, place int")
 
 
-def bloom(item_seeds: DataFrame) -> np.ndarray:
-    """A bit array over the seeds, gathered as 64-bit words that Spark has merged: at most MOST_BITS / 64 rows."""
-    n = item_seeds.count()
-    bits = min(MOST_BITS, max(LEAST_BITS, 1 << math.ceil(math.log2(max(1, n * SEED_BITS)))))
-    places = F.explode(F.array(*(F.shiftrightunsigned("seed", 7 * k) for k in range(PROBES)))).alias("p")
-    at = F.col("p").bitwiseAND(bits - 1)
-    words = item_seeds.select(places).select(F.shiftright(at, 6).alias("w"), F.expr(f"shiftleft(1L, cast((p & {bits - 1}) & 63 as int))").alias("b"))
-    table = words.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
-    out = np.zeros(bits // 64, np.uint64)
-    out[table.column("w").to_numpy()] = table.column("b").to_numpy().view(np.uint64)
-    return out
-
-
-def _in(filter_: np.ndarray, s: np.ndarray) -> np.ndarray:
-    """Indices of the seeds that the filter may hold."""
-    found = np.arange(len(s))
-    top = np.uint64(len(filter_) * 64 - 1)
-    for k in range(PROBES):
-        at = (s[found] >> np.uint64(7 * k)) & top
-        found = found[(filter_[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) > 0]
-    return found
-
-
 def _agreeing(doc: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[int, int, int]:
     """Words that agree along the diagonal, and the best stretch's agreeing words and first word in the document."""
     n = len(item)
@@ -136,7 +113,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     # As many rows as BY_LENGTH has lengths, at most.
     masks = masks_for([r.n for r in items.select(F.least("n", F.lit(max(BY_LENGTH))).alias("n")).distinct().collect()])
     item_seeds = cut(_item_seeds(items))
-    shared = docs.sparkSession.sparkContext.broadcast(bloom(item_seeds))
+    shared = docs.sparkSession.sparkContext.broadcast(bloom(item_seeds.select(F.col("seed").alias("key")), SEED_BITS))
 
     def hits(batches):
         filter_ = shared.value
@@ -147,7 +124,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             rows: dict[int, tuple[list, list]] = {}
             for mask in masks:
                 s = seeds(h, mask)
-                at = _in(filter_, s)
+                at = in_bloom(filter_, s)
                 own = np.searchsorted(ends, at, "right")
                 inside = at + len(mask) <= ends[own]
                 at, own = at[inside], own[inside]
@@ -197,11 +174,12 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document: doc_id, contaminated, n_items, worst_item, worst_agreeing, worst_words."""
     found = overlaps(docs, benchmark).groupBy("doc_id").agg(F.count("*").alias("n_items"), F.max(F.struct("agreeing", "item_words", "item_id")).alias("worst"))
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-    both = ids.join(found.withColumnRenamed("doc_id", "__id"), F.col("doc_id").eqNullSafe(F.col("__id")), "left")
+    both = ids.join(found.withColumnRenamed("doc_id", "found_id"), F.col("doc_id").eqNullSafe(F.col("found_id")), "left")
     return both.select("doc_id", F.col("n_items").isNotNull().alias("contaminated"), F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"), F.col("worst.item_id").alias("worst_item"), F.col("worst.agreeing").cast("long").alias("worst_agreeing"), F.col("worst.item_words").cast("long").alias("worst_words"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs that contain no benchmark item."""
-    bad = cut(overlaps(docs, benchmark).select(F.col("doc_id").alias("__id")).distinct())
-    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(F.col("__id")), "left_anti")
+    own = free("__id", docs)
+    bad = cut(overlaps(docs, benchmark).select(F.col("doc_id").alias(own)).distinct())
+    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad[own]), "left_anti")

@@ -1,19 +1,22 @@
 """Long repeated passages across documents, by recompression.
 
-A text is a string of word symbols. The first round names runs of equal words, each further round splits the symbols
-into left and right ones by a hash and names every pair of a left symbol before a right one. Names are hashes of what
-they stand for, so they are global without being exchanged, and all rounds of a text run in one task. Each symbol knows
-the stretch of words that alone decides it; wherever that stretch occurs, in any text, the symbol does too. So every
-window of WINDOW words has an anchor that depends on its words only: of the symbols decided within it, on the highest
-level that has one, the one of least hash. Windows that are equal have equal anchors.
-
-Spark then joins: anchors that occur in several documents reveal candidates; runs of windows under one anchor are
-verified by the hash of their whole stretch, and where stretches of an anchor differ, window by window.
+A text is a string of word symbols. Each round first names the runs of equal symbols, then splits the symbols into left
+and right ones by a hash and names every pair of a left symbol before a right one. Names are hashes of what they stand
+for, so they are the same in all documents without being exchanged, and all rounds of a text run in the task that holds
+it. Each symbol knows the stretch of words that alone decides it; wherever that stretch occurs, in any text, the symbol
+does too. So every window of WINDOW words has an anchor that depends on its words only: of the symbols decided within
+it, on the highest level that has one, the one of least hash. Windows that are equal have equal anchors.
+
+Spark then joins: anchors that occur in several documents reveal candidates. Runs of windows under one anchor are
+verified by the hash of their whole stretch; where stretches of an anchor differ, one document of each stretch is
+compared with the others window by window. Texts are read again for this rather than shuffled: Bloom filters of a
+bounded size tell a task which of its anchors matter, and what they let pass beyond that is only more to compare.
 
 Defined results: words are runs without white space, unchanged; null and empty texts have none; a word goes when a
 window that covers it also starts in a document of smaller doc_id, judged on the input; rows of null doc_id neither
 lose words nor make others lose any; rows that share a doc_id do not affect each other; a text shorter than a window
-keeps all; an empty table gives an empty result; further columns are ignored by ``report`` and kept by ``remove``.
+keeps all; very long texts are treated whole, like all others; an empty table gives an empty result; further columns,
+whatever their names, are ignored by ``report`` and kept by ``remove``.
 """
 
 from __future__ import annotations
@@ -27,9 +30,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, cut, hashes, mixed, text_of, words_of
+from .common import bloom, chunks, cut, free, hashes, in_bloom, mixed, text_of, words_of
 
-WINDOW, ROUNDS = 50, 8
+WINDOW, ROUNDS = 50, 4
+#: Bits of a Bloom filter for each anchor.
+ANCHOR_BITS = 16
 BASE = 0x9E3779B97F4A7C15
 #: Characters of the texts that a task takes up at once, plain and compressed.
 CHUNK, PRESSED = 3_000_000, 1_000_000
@@ -70,18 +75,18 @@ def levels(h: np.ndarray, bounds: np.ndarray) -> list[tuple[np.ndarray, np.ndarr
         after[:-1] = np.where(same, hi[1:], after[:-1])
         return before, after
 
-    if not n:
-        return out
-    first = np.ones(n, bool)
-    first[1:] = (sym[1:] != sym[:-1]) | (d[1:] != d[:-1])
-    at = np.flatnonzero(first)
-    last = np.concatenate([at[1:], [n]]) - 1
-    before, after = neighbours(d, lo, hi)
-    size = (last - at + 1).astype(np.uint64)
-    sym = np.where(size > 1, mixed(sym[at] ^ mixed(size, 31), 32), sym[at])
-    lo, hi, d = before[at], after[last], d[at]
-    out.append((sym, lo, hi))
-    for k in range(ROUNDS):
+    for k in range(ROUNDS if n else 0):
+        # runs: a symbol is decided by its neighbours too, as they end its run
+        first = np.ones(len(sym), bool)
+        first[1:] = (sym[1:] != sym[:-1]) | (d[1:] != d[:-1])
+        at = np.flatnonzero(first)
+        last = np.concatenate([at[1:], [len(sym)]]) - 1
+        before, after = neighbours(d, lo, hi)
+        size = (last - at + 1).astype(np.uint64)
+        sym = np.where(size > 1, mixed(sym[at] ^ mixed(size, 31 + k), 51 + k), sym[at])
+        lo, hi, d = before[at], after[last], d[at]
+        out.append((sym, lo, hi))
+        # pairs
         left = mixed(sym, 100 + k) & np.uint64(1) > 0
         pair = np.zeros(len(sym), bool)
         pair[:-1] = left[:-1] & ~left[1:] & (d[1:] == d[:-1])
@@ -147,13 +152,12 @@ def pressed(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(_pressed, "doc_id long, text binary")
 
 
-def _texts(batches, columns: list[str], size: int = CHUNK):
-    """Chunks of rows with their words, the words' hashes and the bounds of the texts (plain or compressed)."""
-    opened = zstandard.ZstdDecompressor().decompress
-    for rows in chunks(batches, columns, size):
-        split = [opened(t).split() if isinstance(t, bytes) else words_of(t) for t in rows[-1]]
+def _texts(batches):
+    """Chunks of doc_id and text with the words, their hashes and the bounds of the texts."""
+    for rows in chunks(batches, ["doc_id", "text"], CHUNK):
+        split = [words_of(t) for t in rows[-1]]
         bounds = np.concatenate([[0], np.cumsum([len(w) for w in split])]).astype(np.int64)
-        yield rows, split, hashes((w for words in split for w in words), int(bounds[-1])), bounds
+        yield rows[0], split, hashes((w for words in split for w in words), int(bounds[-1])), bounds
 
 
 def _short(sha: str) -> int:
@@ -161,7 +165,7 @@ def _short(sha: str) -> int:
 
 
 def _scanned(batches):
-    for (ids, _), split, h, bounds in _texts(batches, ["doc_id", "text"]):
+    for ids, split, h, bounds in _texts(batches):
         starts, keys, first, _ = runs(h, bounds)
         owner = np.searchsorted(bounds, starts[first], "right") - 1
         own = np.split(keys[first], np.searchsorted(owner, np.arange(1, len(split))))
@@ -176,64 +180,78 @@ def _scanned(batches):
         )
 
 
-def _candidates(batches):
-    """Runs of windows whose anchors occur elsewhere, with the hash of their stretch and of every window."""
-    for (ids, shared, _), split, h, bounds in _texts(batches, ["doc_id", "shared", "text"], PRESSED):
-        starts, keys, first, last = runs(h, bounds)
-        owner = np.searchsorted(bounds, starts[first], "right") - 1
-        cuts = np.searchsorted(owner, np.arange(len(split) + 1))
-        keep = np.concatenate([np.isin(keys[first[cuts[k] : cuts[k + 1]]], np.array(s, np.int64).view(np.uint64)) for k, s in enumerate(shared)]) if len(first) else np.zeros(0, bool)
-        first, last, owner = first[keep], last[keep], owner[keep]
-        spans = stretch_hashes(h, starts[first], starts[last - 1] + WINDOW)
-        each = stretch_hashes(h, starts, starts + WINDOW).view(np.int64)
-        marks = {k: _short(hashlib.sha256(b" ".join(split[k])).hexdigest()) for k in np.unique(owner).tolist()}
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([ids[k] for k in owner], pa.int64()),
-                pa.array([marks[k] for k in owner.tolist()], pa.int64()),
-                pa.array(keys[first].view(np.int64)),
-                pa.array(spans.view(np.int64)),
-                pa.array((starts[first] - bounds[owner]).astype(np.int32)),
-                pa.array([each[a:b].tobytes() for a, b in zip(first, last, strict=True)], pa.binary()),
-            ],
-            ["doc_id", "mark", "key", "span", "start", "windows"],
-        )
+def _marks(split: list[list[bytes]], owner: np.ndarray) -> np.ndarray:
+    """For each owner a short mark of the text, as rows may share a doc_id."""
+    marks = {k: _short(hashlib.sha256(b" ".join(split[k])).hexdigest()) for k in np.unique(owner).tolist()}
+    return np.array([marks[k] for k in owner.tolist()], np.int64)
+
 
+def _met(shared):
+    """Runs of windows whose anchors may occur elsewhere, with the hash of their stretch."""
 
-def _exploded(batches):
+    def met(batches):
+        for ids, split, h, bounds in _texts(batches):
+            starts, keys, first, last = runs(h, bounds)
+            keep = in_bloom(shared.value, keys[first])
+            first, last = first[keep], last[keep]
+            owner = np.searchsorted(bounds, starts[first], "right") - 1
+            spans = stretch_hashes(h, starts[first], starts[last - 1] + WINDOW)
+            columns = [np.array(ids, np.int64)[owner], _marks(split, owner), keys[first].view(np.int64), spans.view(np.int64), (starts[first] - bounds[owner]).astype(np.int32), (last - first).astype(np.int32)]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["doc_id", "mark", "key", "span", "start", "n"])
+
+    return met
+
+
+def _first_of(key: np.ndarray, span: np.ndarray, doc_id: np.ndarray) -> np.ndarray:
+    return mixed(mixed(key, 41) ^ mixed(span, 42) ^ mixed(doc_id, 43), 44)
+
+
+def _named(batches):
+    """The one hash of (key, span, lo) that ``_single`` looks for."""
     for batch in batches:
-        for at in range(0, batch.num_rows, 2000):
-            part = batch.slice(at, 2000)
-            each = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column("windows")]
-            sizes = np.array([len(x) for x in each])
-            turn = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            spread = lambda c: pa.array(np.repeat(part.column(c).to_numpy(), sizes))  # noqa: B023,E731
-            start = np.repeat(part.column("start").to_numpy(), sizes) + turn
-            yield pa.RecordBatch.from_arrays([spread("doc_id"), spread("mark"), spread("key"), pa.array(np.concatenate(each)), pa.array(start.astype(np.int32))], ["doc_id", "mark", "key", "window", "start"])
+        key, span, lo = (batch.column(c).to_numpy().view(np.uint64) for c in ("key", "span", "lo"))
+        yield pa.RecordBatch.from_arrays([pa.array(_first_of(key, span, lo).view(np.int64))], ["key"])
+
+
+def _single(shared):
+    """The windows of those runs that stand for all equal stretches of an anchor with several."""
+
+    def single(batches):
+        for ids, split, h, bounds in _texts(batches):
+            starts, keys, first, last = runs(h, bounds)
+            owner = np.searchsorted(bounds, starts[first], "right") - 1
+            spans = stretch_hashes(h, starts[first], starts[last - 1] + WINDOW)
+            keep = in_bloom(shared.value, _first_of(keys[first], spans, np.array(ids, np.int64)[owner].view(np.uint64)))
+            first, last, owner = first[keep], last[keep], owner[keep]
+            sizes = last - first
+            at = np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+            each = stretch_hashes(h, starts[at], starts[at] + WINDOW).view(np.int64)
+            owner, marks = np.repeat(owner, sizes), np.repeat(_marks(split, owner), sizes)
+            columns = [np.array(ids, np.int64)[owner], marks, keys[at].view(np.int64), each, (starts[at] - bounds[owner]).astype(np.int32)]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["doc_id", "mark", "key", "window", "start"])
+
+    return single
 
 
 def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The scan (doc_id, n_words, sha, least: the smallest doc_id of equal words) and the stretches of windows that also
     start in a smaller document (doc_id, mark, start, n), copies of a whole text aside."""
-    texts = text_of(docs)
+    texts, share = text_of(docs), docs.sparkSession.sparkContext.broadcast
+    named = texts.where("doc_id is not null")
     scan = cut(texts.mapInArrow(_scanned, "doc_id long, n_words long, sha string, keys array<long>"))
     least = cut(scan.groupBy("sha").agg(F.min("doc_id").alias("least")))
-    own = scan.join(least, "sha").where("doc_id = least")
-    keys = own.select("doc_id", F.explode("keys").alias("key"))
-    spread = keys.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("key")
-    shared = keys.join(spread, "key").groupBy("doc_id").agg(F.collect_list("key").alias("shared"))
-    found = cut(pressed(texts).join(shared, "doc_id").select("doc_id", "shared", "text").mapInArrow(_candidates, "doc_id long, mark long, key long, span long, start int, windows binary"))
-
-    spans = found.groupBy("key", "span").agg(F.min("doc_id").alias("lo"))
-    varied = spans.groupBy("key").agg(F.count("*").alias("spans"), F.min("lo").alias("any")).where("spans > 1").select("key")
-    slim = found.select("doc_id", "mark", "key", "span", "start", (F.octet_length("windows") / 8).cast("int").alias("n"))
-    whole = slim.join(spans, ["key", "span"]).where("doc_id > lo").select("doc_id", "mark", "start", "n")
-    # of equal stretches under an anchor the smallest document's stands for all; it is compared with the others' windows
-    firsts = found.join(spans, ["key", "span"]).where("doc_id = lo").join(varied, "key", "left_semi").select("doc_id", "mark", "key", "start", "windows")
-    single = firsts.mapInArrow(_exploded, "doc_id long, mark long, key long, window long, start int")
-    best = single.groupBy("key", "window").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
+    own = scan.join(least, "sha").where("doc_id = least").select(F.explode("keys").alias("key"))
+    spread = cut(own.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
+    found = cut(named.mapInArrow(_met(share(bloom(spread, ANCHOR_BITS))), "doc_id long, mark long, key long, span long, start int, n int"))
+
+    spans = cut(found.groupBy("key", "span").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")))
+    varied = spans.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    firsts = cut(spans.join(varied, "key", "left_semi").select("key", "span", "lo").mapInArrow(_named, "key long"))
+    whole = cut(found.join(spans.where("lo < hi").select("key", "span", "lo"), ["key", "span"]).where("doc_id > lo").select("doc_id", "mark", "start", "n"))
+    single = cut(named.mapInArrow(_single(share(bloom(firsts, ANCHOR_BITS))), "doc_id long, mark long, key long, window long, start int"))
+    best = single.groupBy("key", "window").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("key", "window", "lo")
     part = single.join(best, ["key", "window"]).where("doc_id > lo").select("doc_id", "mark", "start", F.lit(1).alias("n"))
-    return scan.drop("keys").join(least, "sha", "left"), whole.unionByName(part)
+    return scan.select("doc_id", "n_words", "sha").join(least, "sha", "left"), whole.unionByName(part)
 
 
 def _covered(n: int, places: list) -> np.ndarray:
@@ -264,15 +282,16 @@ def _cleaned(batches):
             kept = b" ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g)
             for column, value in zip(out, (doc_id, hashlib.sha256(b" ".join(words)).hexdigest(), int(gone.sum()), hashlib.sha256(kept).hexdigest()), strict=True):
                 column.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.string(), pa.int64(), pa.string()), strict=True)], ["__id", "__sha", "removed", "kept"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.string(), pa.int64(), pa.string()), strict=True)], ["own_id", "own_sha", "removed", "kept"])
 
 
 def report(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256."""
     scan, found = repeats(docs)
-    touched = pressed(text_of(docs)).join(_places(found), "doc_id").select("doc_id", "places", "text")
-    cleaned = touched.mapInArrow(_cleaned, "__id long, __sha string, removed long, kept string").distinct()
-    both = scan.join(cleaned, (F.col("doc_id") == F.col("__id")) & (F.col("sha") == F.col("__sha")), "left")
+    places = cut(_places(found))
+    touched = pressed(text_of(docs)).join(places, "doc_id").select("doc_id", "places", "text")
+    cleaned = touched.mapInArrow(_cleaned, "own_id long, own_sha string, removed long, kept string").distinct()
+    both = scan.join(cleaned, (F.col("doc_id") == F.col("own_id")) & (F.col("sha") == F.col("own_sha")), "left")
     copy = (F.col("doc_id") > F.col("least")) & (F.col("n_words") >= WINDOW)
     return both.select(
         "doc_id",
@@ -286,9 +305,9 @@ def remove(docs: DataFrame) -> DataFrame:
     """docs with the repeated words gone from text; texts that lose words are joined anew by single spaces."""
     scan, found = repeats(docs)
     copies = scan.where((F.col("doc_id") > F.col("least")) & (F.col("n_words") >= WINDOW)).select("doc_id", F.conv(F.substring("sha", 1, 16), 16, -10).cast("long").alias("mark"), F.lit(0).alias("start"), (F.col("n_words") - WINDOW + 1).cast("int").alias("n")).distinct()
-    places = _places(found.unionByName(copies)).withColumnRenamed("doc_id", "__id")
-    columns, schema = docs.columns, docs.schema
-    joined = docs.join(places, docs["doc_id"].cast("long") == F.col("__id"), "left").drop("__id").withColumnRenamed("places", "__places")
+    columns, schema, own = docs.columns, docs.schema, free("__id", docs)
+    places = _places(found.unionByName(copies)).select(F.col("doc_id").alias(own), F.col("places").alias(f"{own}places"))
+    joined = docs.join(places, docs["doc_id"].cast("long") == places[own], "left").drop(own)
     at = columns.index("text")
 
     def emptied(batches):

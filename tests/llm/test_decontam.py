@@ -75,3 +75,10 @@ def test_matches_brute_force(spark):
     assert kept.columns == table.columns and sorted(r.doc_id for r in kept.collect()) == sorted(d for d, _ in docs if d not in bad)
     assert decontam.report(table.limit(0), tests).count() == 0
     assert decontam.drop_contaminated(table, tests.limit(0)).count() == len(docs)
+
+
+def test_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "x one two three four five six seven eight nine ten eleven twelve thirteen y", 7), (2, "clean", 8), (None, None, 9)], "doc_id int, text string, __id int")
+    items = spark.createDataFrame([(1, "one two three four five six seven eight nine ten eleven twelve thirteen")], "item_id long, text string")
+    kept = decontam.drop_contaminated(docs, items)
+    assert kept.columns == docs.columns and {tuple(r) for r in kept.collect()} == {(2, "clean", 8), (None, None, 9)}

@@ -61,6 +61,20 @@ def test_equal_windows_have_equal_anchors():
         assert len(seen) == 1
 
 
+def test_rounds_shrink_periodic_texts():
+    h = hashes([b"a", b"b"] * 2000, 4000)
+    sizes = [len(sym) for sym, _, _ in substring.levels(h, np.array([0, 4000]))]
+    assert sizes[0] == 4000 and sizes[-1] <= 4
+    assert [len(x[0]) for x in substring.levels(hashes([b"q"] * 900, 900), np.array([0, 900]))][1] == 1
+
+
+def test_clashing_names(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, text, 5, 6), (2, f"x {text} y", 7, 8), (None, None, 9, 9)], "doc_id int, text string, __id int, __idplaces int")
+    got = substring.remove(docs)
+    assert got.columns == docs.columns and {tuple(r) for r in got.collect()} == {(1, text, 5, 6), (2, "x y", 7, 8), (None, None, 9, 9)}
+
+
 def test_matches_brute_force(spark):
     rows = corpus(1)
     docs = spark.createDataFrame([(*r, 3, "z") for r in rows], "doc_id long, text string, n_words int, sha string")
