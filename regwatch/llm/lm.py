@@ -3,25 +3,25 @@
 The model mixes the maximum-likelihood estimates of bigrams and unigrams and a uniform share. The mixture weights
 depend on how often the context occurs (buckets by powers of two) and are learned by expectation-maximisation on the
 counts of held-out training documents, against estimates from the other training documents; the final estimates use
-all training documents.
+all training documents. Each round of EM is a sum over all held-out counts, which Spark adds up; the driver sees three
+numbers of each bucket.
 
 Counts never pass through one place. Documents are packed into chunks; a chunk sends its distinct tokens and bigrams,
 as sorted hashes cut into ranges, each range sums over all chunks, and what the totals exceed the chunk's own counts by
-comes back to it. EM sees every held-out event through a histogram of bounded size.
+comes back to it. A message holds a key at least, so there are never more of them than distinct tokens and bigrams.
 
 Tokens: words without white space, A-Z lower-cased, then one end token, which also is the context of the first word.
 Fold 1 of the crc32 of doc_id modulo 5 is held out from all learning; fold 0 gives the counts that the weights are
 learned on.
 
 Defined results: null text counts as empty and is the end token alone; a null doc_id counts as the empty text in the
-fold; repeated rows are scored each by itself and counted each; an empty table gives an empty result; further columns
-are ignored; without training documents the score is that of the uniform share.
+fold; repeated rows are scored each by itself and counted each; very long texts are scored whole, in one chunk; an empty
+table gives an empty result; further columns, whatever their names, are ignored; without training documents the score
+is that of the uniform share. There are no ties to settle.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -33,20 +33,25 @@ from .common import chunks, cut, fold, hashes, mixed, text_of
 
 FOLDS, HELD_OUT, TUNING = 5, 1, 0
 CHUNK_CHARS = 12_000_000
-BUCKETS, EM_ROUNDS, FLOOR = 32, 40, 1e-4
+#: EM ends when no weight changes by more than SETTLED any more, or after so many rounds.
+BUCKETS, EM_ROUNDS, SETTLED, FLOOR = 32, 40, 1e-3, 1e-4
 END = xxhash.xxh3_64_intdigest(b" ")  # no word holds a space
-#: Cells of the histogram to a factor of two in each of the two ratios, and their bounds.
-FINE, CELLS = 3, 240
 LEAST_RANGES = 64
 WORD, PAIR = 0, 1
 
 
-def _pack(x: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x).tobytes())
+def _pack_counts(x: np.ndarray) -> bytes:
+    """A byte for each count under 255; the others stand in full before them."""
+    large = x[x >= 255].astype(np.int64)
+    return zstandard.ZstdCompressor(level=1).compress(len(large).to_bytes(8, "little") + large.tobytes() + np.minimum(x, 255).astype(np.uint8).tobytes())
 
 
-def _unpack(x, kind) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(x)), kind)
+def _unpack_counts(blob) -> np.ndarray:
+    raw = zstandard.ZstdDecompressor().decompress(bytes(blob))
+    n = int.from_bytes(raw[:8], "little")
+    out = np.frombuffer(raw, np.uint8, offset=8 + 8 * n).astype(np.int64)
+    out[out == 255] = np.frombuffer(raw, np.int64, n, 8)
+    return out
 
 
 def _pack_keys(keys: np.ndarray) -> bytes:
@@ -80,18 +85,21 @@ class Tokens:
         self.pairs = mixed(mixed(self.before, 1) ^ self.words, 2)
 
 
-def _chunked(batches):
-    press = zstandard.ZstdCompressor(level=3)
-    for ids, folds, texts in chunks(batches, ["doc_id", "fold", "text"], CHUNK_CHARS):
-        coded = [b" ".join(t.encode("utf-8", "replace").lower().split()) for t in texts]
-        for tuning in (True, False):
-            own = [k for k, f in enumerate(folds) if (f == TUNING) == tuning]
-            if own:
-                blob = press.compress(b"\n".join(coded[k] for k in own))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([[ids[k] for k in own]], pa.list_(pa.int64())), pa.array([[int(folds[k]) for k in own]], pa.list_(pa.int32())), pa.array([tuning]), pa.array([blob], pa.binary())],
-                    ["ids", "folds", "tuning", "blob"],
-                )
+def _chunked(chars: int):
+    def chunked(batches):
+        press = zstandard.ZstdCompressor(level=3)
+        for ids, folds, texts in chunks(batches, ["doc_id", "fold", "text"], chars):
+            coded = [b" ".join(t.encode("utf-8", "replace").lower().split()) for t in texts]
+            for tuning in (True, False):
+                own = [k for k, f in enumerate(folds) if (f == TUNING) == tuning]
+                if own:
+                    blob = press.compress(b"\n".join(coded[k] for k in own))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([[ids[k] for k in own]], pa.list_(pa.int64())), pa.array([[int(folds[k]) for k in own]], pa.list_(pa.int32())), pa.array([tuning]), pa.array([blob], pa.binary())],
+                        ["ids", "folds", "tuning", "blob"],
+                    )
+
+    return chunked
 
 
 def _opened(row) -> tuple[list, np.ndarray, Tokens]:
@@ -100,13 +108,11 @@ def _opened(row) -> tuple[list, np.ndarray, Tokens]:
 
 
 def _local(tokens: Tokens, folds: np.ndarray):
-    """For words and for pairs: distinct keys, place of each token's key, counts in estimation and in tuning folds."""
-    each = np.repeat(folds, np.diff(tokens.bounds))
+    """For words and for pairs: distinct keys, a place of each, the key of each token, and counts in training folds."""
+    learned = np.repeat(folds, np.diff(tokens.bounds)) != HELD_OUT
     for kind, x in ((WORD, tokens.words), (PAIR, tokens.pairs)):
-        keys, place = np.unique(x, return_inverse=True)
-        a = np.bincount(place[(each != HELD_OUT) & (each != TUNING)], minlength=len(keys))
-        h = np.bincount(place[each == TUNING], minlength=len(keys))
-        yield kind, keys, place, a.astype(np.uint32), h.astype(np.uint32)
+        keys, first, own = np.unique(x, return_index=True, return_inverse=True)
+        yield kind, keys, first, own, np.bincount(own[learned], minlength=len(keys))
 
 
 def _cuts(keys: np.ndarray, ranges: int) -> np.ndarray:
@@ -119,125 +125,126 @@ def _sent(ranges: int):
         for batch in batches:
             for row in batch.to_pylist():
                 _, folds, tokens = _opened(row)
-                out: list[list] = [[], [], [], [], [], []]
-                for kind, keys, _, a, h in _local(tokens, folds):
+                for kind, keys, _, _, counts in _local(tokens, folds):
                     cuts = _cuts(keys, ranges)
-                    for r in np.flatnonzero(np.diff(cuts)).tolist():
-                        part = slice(cuts[r], cuts[r + 1])
-                        for column, value in zip(out, (r, row["g"], kind, _pack_keys(keys[part]), _pack(a[part]), _pack(h[part])), strict=True):
-                            column.append(value)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["r", "g", "kind", "keys", "a", "h"])
+                    own = np.flatnonzero(np.diff(cuts)).tolist()
+                    parts = [slice(cuts[r], cuts[r + 1]) for r in own]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(own, pa.int32()), pa.array([row["g"]] * len(own), pa.int64()), pa.array([kind] * len(own), pa.int32()), pa.array([row["tuning"]] * len(own)),
+                            pa.array([_pack_keys(keys[p]) for p in parts], pa.binary()), pa.array([_pack_counts(counts[p]) for p in parts], pa.binary()),
+                        ],
+                        ["r", "g", "kind", "tuning", "keys", "n"],
+                    )
 
     return sent
 
 
-RETURNED = "g long, r int, kind int, a binary, h binary, n_a long, n_h long, v_a long, v_t long"
+RETURNED = "g long, r int, kind int, others binary, estimated binary, n_a long, n_h long, v_a long, v_t long"
 
 
 def _summed(table: pa.Table) -> pa.Table:
-    """For each chunk, in the order of its keys, what the totals of this range exceed its own counts by; and, with g
-    null, the tokens and distinct tokens of the range."""
+    """For each chunk, in the order of its keys, what the totals of this range exceed its own counts by, and for tuning
+    chunks the totals of the estimation folds; and, with g null, the tokens and distinct tokens of the range."""
     out: list[dict] = []
     rows = table.to_pylist()
     for kind in (WORD, PAIR):
         own = [r for r in rows if r["kind"] == kind]
         if not own:
             continue
-        keys = [_unpack_keys(r["keys"]) for r in own]
-        counts = [[_unpack(r[c], np.uint32) for r in own] for c in "ah"]
+        keys, counts = [_unpack_keys(r["keys"]) for r in own], [_unpack_counts(r["n"]) for r in own]
         distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
-        ends = np.cumsum([len(k) for k in keys])
-        total = [np.bincount(place, np.concatenate(c), len(distinct)).astype(np.int64) for c in counts]
-        for r, end, k, a, h in zip(own, ends, keys, *counts, strict=True):
-            at = place[end - len(k) : end]
-            out.append({"g": r["g"], "r": r["r"], "kind": kind, "a": _pack(total[0][at] - a), "h": _pack(total[1][at] - h)})
+        places = np.split(place, np.cumsum([len(k) for k in keys])[:-1])
+        estimated, tuning = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
+        for r, at, n in zip(own, places, counts, strict=True):
+            (tuning if r["tuning"] else estimated)[at] += n  # a chunk names a key once
+        for r, at, n in zip(own, places, counts, strict=True):
+            out.append({"g": r["g"], "r": r["r"], "kind": kind, "others": _pack_counts(estimated[at] + tuning[at] - n), "estimated": _pack_counts(estimated[at]) if r["tuning"] else None})
         if kind == WORD:
-            out.append({"g": None, "r": own[0]["r"], "kind": kind, "n_a": int(total[0].sum()), "n_h": int(total[1].sum()), "v_a": int((total[0] > 0).sum()), "v_t": int((total[0] + total[1] > 0).sum())})
+            out.append({"g": None, "r": own[0]["r"], "kind": kind, "n_a": int(estimated.sum()), "n_h": int(tuning.sum()), "v_a": int((estimated > 0).sum()), "v_t": int((estimated + tuning > 0).sum())})
     names = [x.split()[0] for x in RETURNED.split(", ")]
     kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), *[pa.int64()] * 4]
     return pa.table([pa.array([r.get(n) for r in out], k) for n, k in zip(names, kinds, strict=True)], names)
 
 
-def _totals(tokens: Tokens, folds: np.ndarray, back: list[dict]):
-    """Counts over all documents behind each token: of the pair, of its context and of the word, in estimation folds
-    and in all training folds."""
-    found = {}
-    for kind, keys, place, a, h in _local(tokens, folds):
-        own = sorted((r for r in back if r["kind"] == kind), key=lambda r: r["r"])
-        a_all = a + np.concatenate([_unpack(r["a"], np.int64) for r in own])
-        found[kind] = (keys, place, a_all, a_all + h + np.concatenate([_unpack(r["h"], np.int64) for r in own]))
-    keys, place, a, t = found[WORD]
-    ends = int(np.searchsorted(keys, np.uint64(END)))
-    before = np.concatenate([[ends], place[:-1]])
-    pair = found[PAIR]
-    return [(pair[k][pair[1]], c[before], c[place]) for k, c in ((2, a), (3, t))]
+def _joined(back: list[dict], kind: int, column: str) -> np.ndarray:
+    return np.concatenate([_unpack_counts(r[column]) for r in sorted((r for r in back if r["kind"] == kind), key=lambda r: r["r"])])
 
 
 def _bucket(context: np.ndarray) -> np.ndarray:
     return np.minimum(BUCKETS - 1, np.floor(np.log2(context + 1.0))).astype(np.int64)
 
 
-def _estimates(counts, n: int, v: int):
-    pair, context, word = counts
-    return pair / np.maximum(1, context), word / max(1, n), 1.0 / (v + 1)
+def _estimates(pair: np.ndarray, context: np.ndarray, word: np.ndarray, n: int, v: int) -> np.ndarray:
+    """Of the pair, the word and the uniform share: (events, 3)."""
+    return np.stack([pair / np.maximum(1, context), word / max(1, n), np.full(len(pair), 1.0 / (v + 1))], 1)
 
 
-def em(cells: list[tuple[int, float, float, int]]) -> np.ndarray:
-    """Weights (bucket, of pair, word and uniform share) from events (bucket, ln of pair and of word estimate over the
-    uniform one, count); -inf stands for an estimate of 0."""
-    out = np.full((BUCKETS, 3), 1 / 3)
-    for b in range(BUCKETS):
-        own = [c for c in cells if c[0] == b]
-        if not own:
-            continue
-        p = np.exp(np.array([[c[1], c[2], 0.0] for c in own]))
-        n = np.array([c[3] for c in own], float)
-        for _ in range(EM_ROUNDS):
-            share = out[b] * p
-            share /= share.sum(1, keepdims=True)
-            out[b] = (n[:, None] * share).sum(0) / n.sum()
-    out = np.maximum(out, FLOOR)
-    return out / out.sum(1, keepdims=True)
+EVENTS = "pair binary, context binary, word binary, n binary"
 
 
-def _events(stats: tuple[int, int]):
-    n_a, v_a = stats
-
-    def events(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows:
-            return pa.table([pa.array([], t) for t in (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.float64(), pa.float64())], ["b", "x", "y", "n", "sx", "sy"])
-        _, folds, tokens = _opened(left.to_pylist()[0])
-        counts = _totals(tokens, folds, right.to_pylist())[0]
-        p2, p1, p0 = _estimates(counts, n_a, v_a)
-        b = _bucket(counts[1])
-        with np.errstate(divide="ignore"):
-            x, y = np.log2(p2 / p0), np.log2(p1 / p0)
-        cell = lambda z: np.where(np.isfinite(z), np.clip(np.round(z * FINE), -CELLS // 2, CELLS // 2), -CELLS).astype(np.int64)
-        code = (b * 1024 + cell(x) + 512) * 1024 + cell(y) + 512
-        codes, place = np.unique(code, return_inverse=True)
-        total = lambda z: np.bincount(place, np.where(np.isfinite(z), z, 0.0), len(codes))
-        return pa.table(
-            [pa.array((codes >> 20).astype(np.int32)), pa.array(((codes >> 10) % 1024 - 512).astype(np.int32)), pa.array((codes % 1024 - 512).astype(np.int32)), pa.array(np.bincount(place, minlength=len(codes))), pa.array(total(x)), pa.array(total(y))],
-            ["b", "x", "y", "n", "sx", "sy"],
-        )
+def _events(left: pa.Table, right: pa.Table) -> pa.Table:
+    """The distinct pairs of a tuning chunk: counts of the pair, of its context and of the word in the estimation folds,
+    and how often the chunk has the pair."""
+    columns: list[list[bytes]] = [[], [], [], []]
+    for row in left.to_pylist():
+        _, folds, tokens = _opened(row)
+        back = right.to_pylist()
+        (_, keys, _, own, _), (_, _, first, _, n) = _local(tokens, folds)
+        word = _joined(back, WORD, "estimated")
+        before = np.concatenate([[np.searchsorted(keys, np.uint64(END))], own[:-1]])
+        for column, x in zip(columns, (_joined(back, PAIR, "estimated"), word[before[first]], word[own[first]], n), strict=True):
+            column.append(_pack_counts(x))
+    return pa.table([pa.array(c, pa.binary()) for c in columns], [x.split()[0] for x in EVENTS.split(", ")])
+
 
-    return events
+def _expected(weights: np.ndarray, n: int, v: int):
+    def expected(batches):
+        total = np.zeros((BUCKETS, 4))
+        for batch in batches:
+            for row in batch.to_pylist():
+                pair, context, word, times = (_unpack_counts(row[c]) for c in ("pair", "context", "word", "n"))
+                b = _bucket(context)
+                share = weights[b] * _estimates(pair, context, word, n, v)
+                share *= (times / share.sum(1))[:, None]
+                total += np.stack([np.bincount(b, x, BUCKETS) for x in (*share.T, times)], 1)
+        used = np.flatnonzero(total[:, 3])
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), *(pa.array(x) for x in total[used].T)], ["b", "pair", "word", "uniform", "n"])
+
+    return expected
+
+
+def learn_weights(events: DataFrame, n: int, v: int) -> np.ndarray:
+    """Weights of the pair, the word and the uniform share by bucket of the context's count, by EM over all events."""
+    out = np.full((BUCKETS, 3), 1 / 3)
+    for _ in range(EM_ROUNDS):
+        sums = events.mapInArrow(_expected(out, n, v), "b int, pair double, word double, uniform double, n double").groupBy("b").agg(*(F.sum(c).alias(c) for c in ("pair", "word", "uniform", "n"))).collect()
+        new = out.copy()
+        for r in sums:
+            new[r.b] = np.array([r.pair, r.word, r.uniform]) / r.n
+        moved, out = np.abs(new - out).max(), new
+        if moved <= SETTLED:
+            break
+    out = np.maximum(out, FLOOR)
+    return out / out.sum(1, keepdims=True)
 
 
 def _scores(shared):
     def scores(left: pa.Table, right: pa.Table) -> pa.Table:
         weights, n, v = shared.value
         ids, folds, tokens = _opened(left.to_pylist()[0])
-        counts = _totals(tokens, folds, right.to_pylist())[1]
-        p2, p1, p0 = _estimates(counts, n, v)
-        w = weights[_bucket(counts[1])]
-        at = tokens.bounds[:-1]
-        add = lambda z: np.add.reduceat(z, at)
+        back = right.to_pylist()
+        (_, keys, _, own, words), (_, _, _, own_pair, pairs) = _local(tokens, folds)
+        words, pairs = words + _joined(back, WORD, "others"), pairs + _joined(back, PAIR, "others")
+        before = np.concatenate([[np.searchsorted(keys, np.uint64(END))], own[:-1]])
+        context, word = words[before], words[own]
+        mixture = (weights[_bucket(context)] * _estimates(pairs[own_pair], context, word, n, v)).sum(1)
+        add = lambda z: np.add.reduceat(z, tokens.bounds[:-1])
         size = np.diff(tokens.bounds)
         return pa.table(
             [
-                pa.array(ids, pa.int64()), pa.array(folds == HELD_OUT), pa.array(size), pa.array(add((counts[2] > 0).astype(np.int64))), pa.array(np.full(len(size), n)),
-                pa.array(add(np.log10((counts[2] + 0.5) / (n + 0.5 * (v + 1))))), pa.array(add(np.log10(w[:, 0] * p2 + w[:, 1] * p1 + w[:, 2] * p0))),
+                pa.array(ids, pa.int64()), pa.array(folds == HELD_OUT), pa.array(size), pa.array(add((word > 0).astype(np.int64))), pa.array(np.full(len(size), n)),
+                pa.array(add(np.log10((word + 0.5) / (n + 0.5 * (v + 1))))), pa.array(add(np.log10(mixture))),
             ],
             ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
         )
@@ -245,22 +252,18 @@ def _scores(shared):
     return scores
 
 
-def score(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    spark = docs.sparkSession
-    packed = text_of(docs, fold(F.col("doc_id"), FOLDS).cast("int").alias("fold")).mapInArrow(_chunked, "ids array<long>, folds array<int>, tuning boolean, blob binary")
+def score(docs: DataFrame, chars: int = CHUNK_CHARS) -> DataFrame:
+    """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; about ``chars``
+    characters make a chunk."""
+    packed = text_of(docs, fold(F.col("doc_id"), FOLDS).cast("int").alias("fold")).mapInArrow(_chunked(chars), "ids array<long>, folds array<int>, tuning boolean, blob binary")
     packed = cut(packed.withColumn("g", F.monotonically_increasing_id()))
-    ranges = LEAST_RANGES
-    while ranges < packed.count():
+    ranges, groups = LEAST_RANGES, packed.count()
+    while ranges < groups:
         ranges *= 2
-    sent = packed.mapInArrow(_sent(ranges), "r int, g long, kind int, keys binary, a binary, h binary")
-    back = cut(sent.groupBy("r").applyInArrow(_summed, RETURNED))
+    back = cut(packed.mapInArrow(_sent(ranges), "r int, g long, kind int, tuning boolean, keys binary, n binary").groupBy("r").applyInArrow(_summed, RETURNED))
     n_a, n_h, v_a, v_t = (x or 0 for x in back.where("g is null").agg(F.sum("n_a"), F.sum("n_h"), F.sum("v_a"), F.sum("v_t")).first())
-    counts = back.where("g is not null").select("g", "r", "kind", "a", "h")
-    tuning = packed.where("tuning")
-    events = tuning.groupBy("g").cogroup(counts.join(tuning.select("g"), "g", "left_semi").groupBy("g")).applyInArrow(_events((n_a, v_a)), "b int, x int, y int, n long, sx double, sy double")
-    cells = events.groupBy("b", "x", "y").agg(F.sum("n").alias("n"), F.sum("sx").alias("sx"), F.sum("sy").alias("sy")).collect()  # at most BUCKETS * CELLS**2 rows
-    log = lambda mark, total, n: -math.inf if mark == -CELLS else total / n * math.log(2)
-    weights = em(sorted((c.b, log(c.x, c.sx, c.n), log(c.y, c.sy, c.n), c.n) for c in cells))
-    shared = spark.sparkContext.broadcast((weights, n_a + n_h, v_t))
+    tuning = back.where("estimated is not null").select("g", "r", "kind", "estimated")
+    events = cut(packed.where("tuning").groupBy("g").cogroup(tuning.groupBy("g")).applyInArrow(_events, EVENTS))
+    shared = docs.sparkSession.sparkContext.broadcast((learn_weights(events, n_a, v_a), n_a + n_h, v_t))
+    counts = back.where("g is not null").select("g", "r", "kind", "others")
     return packed.groupBy("g").cogroup(counts.groupBy("g")).applyInArrow(_scores(shared), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
