@@ -1,12 +1,14 @@
 """Exact duplicates by a sharded cuckoo-filter index.
 
 A shard of the digest space holds a cuckoo filter (16-bit fingerprints, four to a bucket) and, slot by slot, the stored
-digests. A fingerprint hit is only a hint: it counts once the stored digest in that very bucket is equal. When an
-insertion runs out of kicks, the shard doubles its buckets and refills them from the stored digests, so no key is lost.
-
-Defined results: null text counts as empty, so nulls and blank texts form one group; a null doc_id sorts last; rows that
-repeat doc_id and text are the same document and get the same flags (``drop_duplicates`` keeps one of them); an empty
-table gives an empty result; further columns of the input are ignored by ``find_duplicates`` and kept by
+SHA-256 digest of the normalised text. A fingerprint hit is only a hint: it counts once the stored digest in that very
+bucket is equal. When an insertion runs out of kicks, the shard doubles its buckets and refills them from the stored
+digests, so no key is lost.
+
+Defined results: null text counts as empty, so nulls and blank texts form one group; a null doc_id sorts last; of texts
+of one group and length the smallest doc_id stays; rows that repeat doc_id and text are the same document and get the
+same flags (``drop_duplicates`` keeps one of them); very long texts are digested whole; an empty table gives an empty
+result; further columns of the input, whatever their names, are ignored by ``find_duplicates`` and kept by
 ``drop_duplicates``.
 """
 
@@ -18,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, text_of
+from .common import cut, free, text_of
 
 #: Characters that do not count: space and tab to carriage return.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -30,17 +32,17 @@ COMBINE_KEYS = 100_000
 
 
 class CuckooIndex:
-    """A cuckoo filter over live digests, with the digests and their counts beside the slots."""
+    """A cuckoo filter over live digests. Beside each slot stand the digest itself, how many copies are live, and a value
+    that came with the first of them; nothing else is stored."""
 
     def __init__(self, buckets: int = 64):
         self.resizes = 0
         self._empty(buckets)
-        self.count: dict[bytes, int] = {}
 
     def _empty(self, buckets: int) -> None:
         self.buckets = buckets
         self.marks = [0] * (buckets * SLOTS)
-        self.keys: list[bytes | None] = [None] * (buckets * SLOTS)
+        self.rows: list[tuple[bytes, int, object] | None] = [None] * (buckets * SLOTS)
 
     def _places(self, key: bytes) -> tuple[int, int, int]:
         mark = int.from_bytes(key[8:10], "little") % FINGERPRINT + 1
@@ -55,49 +57,55 @@ class CuckooIndex:
         mark, one, two = self._places(key)
         for bucket in (one, two):
             for slot in range(bucket * SLOTS, bucket * SLOTS + SLOTS):
-                if self.marks[slot] == mark and self.keys[slot] == key:
+                if self.marks[slot] == mark and self.rows[slot][0] == key:
                     return slot
         return -1
 
     def __contains__(self, key: bytes) -> bool:
         return self._slot(key) >= 0
 
-    def _place(self, key: bytes) -> bool:
-        mark, one, two = self._places(key)
+    def items(self) -> list[tuple[bytes, int, object]]:
+        """Digest, live copies and value of every live digest."""
+        return [row for row in self.rows if row]
+
+    def _place(self, row: tuple[bytes, int, object]) -> tuple[bytes, int, object] | None:
+        """None, or the row that is left without a slot."""
+        mark, one, two = self._places(row[0])
         for bucket in (one, two):
             for slot in range(bucket * SLOTS, bucket * SLOTS + SLOTS):
                 if not self.marks[slot]:
-                    self.marks[slot], self.keys[slot] = mark, key
-                    return True
+                    self.marks[slot], self.rows[slot] = mark, row
+                    return None
         bucket = two
         for turn in range(KICKS):
             slot = bucket * SLOTS + (mark + turn) % SLOTS
             mark, self.marks[slot] = self.marks[slot], mark
-            key, self.keys[slot] = self.keys[slot], key
+            row, self.rows[slot] = self.rows[slot], row
             bucket = self._other(bucket, mark)
             for free in range(bucket * SLOTS, bucket * SLOTS + SLOTS):
                 if not self.marks[free]:
-                    self.marks[free], self.keys[free] = mark, key
-                    return True
-        return False
+                    self.marks[free], self.rows[free] = mark, row
+                    return None
+        return row
 
-    def insert(self, key: bytes, times: int = 1) -> bool:
+    def insert(self, key: bytes, times: int = 1, value: object = None) -> bool:
         """True if the key was not live before."""
-        if key in self:
-            self.count[key] += times
+        slot = self._slot(key)
+        if slot >= 0:
+            own = self.rows[slot]
+            self.rows[slot] = (key, own[1] + times, own[2])
             return False
-        self.count[key] = times
-        if not self._place(key):
-            self._grow()
+        if homeless := self._place((key, times, value)):
+            self._grow(homeless)
         return True
 
-    def _grow(self) -> None:
-        buckets = self.buckets
+    def _grow(self, homeless: tuple[bytes, int, object]) -> None:
+        stored, buckets = [*self.items(), homeless], self.buckets
         while True:
             buckets *= 2
             self.resizes += 1
             self._empty(buckets)
-            if all(self._place(key) for key in self.count):
+            if not any(map(self._place, stored)):
                 return
 
     def delete(self, key: bytes, times: int = 1) -> bool:
@@ -105,10 +113,11 @@ class CuckooIndex:
         slot = self._slot(key)
         if slot < 0:
             return False
-        self.count[key] -= times
-        if self.count[key] <= 0:
-            del self.count[key]
-            self.marks[slot], self.keys[slot] = 0, None
+        _, live, value = self.rows[slot]
+        if live > times:
+            self.rows[slot] = (key, live - times, value)
+        else:
+            self.marks[slot], self.rows[slot] = 0, None
         return True
 
 
@@ -160,12 +169,11 @@ def _combined(batches):
 def _grouped(table: pa.Table) -> pa.Table:
     """The groups of one shard: the first insertion of a digest is its keeper, verified hits are its copies."""
     rows = sorted(zip(*(table.column(c).to_pylist() for c in ("digest", "n", "n_points", "doc_id")), strict=True), key=lambda r: (-r[2], r[3] is None, r[3]))
-    index, keeper = CuckooIndex(), {}
+    index = CuckooIndex()
     for digest, n, points, doc_id in rows:
-        if index.insert(key := bytes.fromhex(digest), n):
-            keeper[key] = (doc_id, points)
-    ids, points = zip(*keeper.values(), strict=True) if keeper else ((), ())
-    return pa.table({"digest": pa.array([k.hex() for k in keeper], pa.string()), "keep_id": pa.array(ids, pa.int64()), "keep_points": pa.array(points, pa.int64()), "group_size": pa.array([index.count[k] for k in keeper], pa.int64())})
+        index.insert(bytes.fromhex(digest), n, (doc_id, points))
+    own = index.items()
+    return pa.table({"digest": pa.array([k.hex() for k, _, _ in own], pa.string()), "keep_id": pa.array([v[0] for _, _, v in own], pa.int64()), "keep_points": pa.array([v[1] for _, _, v in own], pa.int64()), "group_size": pa.array([n for _, n, _ in own], pa.int64())})
 
 
 def groups(keyed: DataFrame, rows: int) -> DataFrame:
@@ -194,19 +202,21 @@ def find_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, one for each group, with all their columns."""
-    kept = find_duplicates(docs).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__digest")).distinct()
-    keyed = docs.withColumn("__digest", F.sha2(normalised(F.col("text")).cast("binary"), 256))
-    both = keyed.join(kept, keyed["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (keyed["__digest"] == kept["__digest"]), "left_semi")
-    return both.dropDuplicates(["doc_id", "__digest"]).drop("__digest")
+    """The rows of docs that stay, one for each group, with all their columns. Whole texts are shuffled once: rows that
+    repeat doc_id and text are combined before it, and the join with the rows that stay uses the same partitions."""
+    digest, own = free("__digest", docs), free("__own", docs)
+    name = lambda doc_id: F.coalesce(doc_id.cast("long").cast("string"), F.lit("")).alias(own)
+    kept = find_duplicates(docs).where("kept").select(F.col("text_sha256").alias(digest), name(F.col("doc_id"))).distinct()
+    keyed = docs.select("*", F.sha2(normalised(F.col("text")).cast("binary"), 256).alias(digest), name(F.col("doc_id")))
+    return keyed.dropDuplicates([digest, own]).join(kept, [digest, own], "left_semi").select(*docs.columns)
 
 
 INDEX = "shard int, digest string, live long, buckets int, resizes int"
 
 
 def _rows(index: CuckooIndex, shard: int) -> pa.Table:
-    keys = list(index.count)
-    return pa.table({"shard": pa.array([shard] * len(keys), pa.int32()), "digest": pa.array([k.hex() for k in keys], pa.string()), "live": pa.array([index.count[k] for k in keys], pa.int64()), "buckets": pa.array([index.buckets] * len(keys), pa.int32()), "resizes": pa.array([index.resizes] * len(keys), pa.int32())})
+    own = index.items()
+    return pa.table({"shard": pa.array([shard] * len(own), pa.int32()), "digest": pa.array([k.hex() for k, _, _ in own], pa.string()), "live": pa.array([n for _, n, _ in own], pa.int64()), "buckets": pa.array([index.buckets] * len(own), pa.int32()), "resizes": pa.array([index.resizes] * len(own), pa.int32())})
 
 
 def apply_changes(index: DataFrame | None, inserts: DataFrame, deletes: DataFrame | None = None, shards: int = LEAST_SHARDS) -> DataFrame:
