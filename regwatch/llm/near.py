@@ -7,13 +7,15 @@ of each of K coordinates is the signature: two documents agree in a coordinate w
 Jaccard similarity. A document looks at no more of the time axis than fills all coordinates, about K ln K darts.
 
 Documents of equal words are one class from the start. Classes that share a band meet in its bucket. First all of a
-bucket are compared with its leader, the one that meets most others; then the buckets of a leader, if several components
-are left in them, are searched exhaustively for links between components, in blocks. Every link is verified on the shingles.
+bucket are compared with its leader, the one that meets most others (of equals the least doc_id); then the buckets of a
+leader, if several components are left in them, are searched exhaustively for links between components, in blocks.
+Every link is verified on the shingles.
 
 Defined results: words are lower-cased runs without white space; a text of fewer than five words has one shingle, all
 of it; null, empty and blank texts are one class; rows that share a doc_id are one node; a row of null doc_id belongs to
-the class of equal words only, and to none (its class id is a hash) if that has no other id; an empty table gives an
-empty result; further columns are ignored by ``classes`` and kept by ``drop_near_duplicates``.
+the class of equal words only, and to none (its class id is a hash) if that has no other id; very long texts are signed
+whole; of a class the least doc_id stays; an empty table gives an empty result; further columns, whatever their names,
+are ignored by ``classes`` and kept by ``drop_near_duplicates``.
 """
 
 from __future__ import annotations
@@ -26,15 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, cut, hashes, mixed, text_of, words_of
+from .common import chunks, cut, free, hashes, mixed, text_of, words_of
 from .graph import components
 
 SHINGLE, BANDS, ROWS = 5, 24, 4
 K = BANDS * ROWS
 #: Two documents are linked when NUMBER * shared >= OVER * united shingles: a similarity of 0.8.
 OVER, NUMBER = 4, 5
-#: Classes of one block of a bucket that is searched exhaustively, and shingles that are compared at once.
-BLOCK, COLUMNS = 512, 4096
+#: Classes and bytes of strips of one block of a group that is searched exhaustively, and shingles compared at once.
+BLOCK, BLOCK_BYTES, COLUMNS = 512, 64_000_000, 4096
 
 
 def strips(words: list[bytes]) -> np.ndarray:
@@ -178,13 +180,24 @@ def _labels(docs: DataFrame, members: DataFrame) -> DataFrame:
     links = cut(stars.join(right, "b").join(left, "a").mapInArrow(_verified, "a long, b long").distinct())
     first = components(links)
 
-    # all buckets of one leader are searched as one group, so bands that meet the same classes again cost nothing
+    # All buckets of one leader are searched as one group, so bands that meet the same classes again cost nothing. Links
+    # between components have an end outside the group's largest one: those classes are compared with all others.
     met = stars.select(F.col("a").alias("key"), F.col("b").alias("node")).unionByName(stars.select(F.col("a").alias("key"), F.col("a").alias("node")).distinct())
-    placed = met.join(first, "node", "left").select("node", "key", F.coalesce("component", "node").alias("component"))
-    mixed_ = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo < hi and n > 2")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    dealt = placed.join(mixed_.select("key", "n"), "key").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    size = own.select("node", F.octet_length("strips").cast("long").alias("bytes"))
+    placed = met.join(first, "node", "left").join(size, "node").select("node", "key", F.coalesce("component", "node").alias("component"), "bytes")
+    parts = placed.groupBy("key", "component").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    sums = parts.groupBy("key").agg(F.max(F.struct("n", "component", "bytes")).alias("top"), F.count("*").alias("parts"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
+    blocks = lambda n, bytes_: F.ceil(F.greatest(n / BLOCK, bytes_ / BLOCK_BYTES)).cast("int")
+    wanted = sums.where("parts > 1 and n > 2").select(
+        "key",
+        F.col("top.component").alias("main"),
+        blocks(F.col("top.n"), F.col("top.bytes")).alias("inside"),
+        blocks(F.col("n") - F.col("top.n"), F.col("bytes") - F.col("top.bytes")).alias("outside"),
+    )
+    dealt = placed.join(wanted, "key").withColumn("in", F.col("component") == F.col("main"))
+    dealt = dealt.withColumn("block", F.when(F.col("in"), -1 - F.pmod(F.xxhash64("node"), F.col("inside"))).otherwise(F.pmod(F.xxhash64("node"), F.col("outside"))).cast("int"))
+    others = F.sequence(F.lit(0), F.col("outside") - 1)
+    dealt = dealt.withColumn("other", F.explode(F.when(F.col("in"), others).otherwise(F.concat(others, F.transform(F.sequence(F.lit(1), F.col("inside")), lambda x: -x)))))
     dealt = dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "component", "block")
     found = dealt.join(own, "node").groupBy("key", "i", "j").applyInArrow(_searched, "a long, b long")
     found = cut(found.distinct())
@@ -205,5 +218,6 @@ def classes(docs: DataFrame) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay: of each class the document of the least doc_id, and rows of null doc_id."""
-    gone = classes(docs).where("not kept and doc_id is not null").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(F.col("__id")), "left_anti")
+    own = free("__id", docs)
+    gone = classes(docs).where("not kept and doc_id is not null").select(F.col("doc_id").alias(own)).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone[own]), "left_anti")

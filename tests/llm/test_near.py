@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from regwatch.llm import graph, near
 
@@ -91,6 +92,36 @@ def test_classes_match_brute_force(spark, monkeypatch):
     assert near.classes(docs.limit(0)).count() == 0
 
 
+def test_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f", 7, 8), (2, "A b c d e  f", 7, 8), (None, None, 7, 8)], "doc_id int, text string, __id int, own int")
+    kept = near.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {1, None}
+
+
+def test_components_of_nothing_and_of_a_long_path(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long")
+    assert graph.components(edges.limit(0)).count() == 0
+    assert {r.component for r in graph.components(edges).collect()} == {0}
+    with pytest.raises(RuntimeError):
+        graph.components(edges, rounds=1)
+
+
+def test_groups_larger_than_a_block(spark, monkeypatch):
+    monkeypatch.setattr(near, "BLOCK", 4)
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(3000)]
+    rows = []
+    for family in range(3):  # families whose members meet in buckets without all being linked
+        base = rng.choices(words, k=120)
+        for i in range(40):
+            t = list(base)
+            for _ in range(rng.randrange(8)):
+                t[rng.randrange(120)] = rng.choice(words)
+            rows.append((family * 100 + i, " ".join(t)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in near.classes(docs).collect()} == brute(rows)
+
+
 def test_search_in_blocks_finds_all_components():
     import pyarrow as pa
 
