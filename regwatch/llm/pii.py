@@ -5,8 +5,9 @@ context words close by raise the score. Email, ip, card and phone are the base k
 written so that a long run of characters is tried once, from its start: they match what the plain ones match.
 
 Defined results: null and empty texts have no span and the hash of the empty string; a null doc_id stays null; repeated
-rows are judged each by itself; an empty table gives an empty result; further columns of the input are ignored by
-``find_spans`` and kept by ``with_spans``.
+rows are judged each by itself; spans of one start stand in the order of their kinds; very long texts are searched whole;
+an empty table gives an empty result; further columns of the input, whatever their names, are ignored by ``find_spans``
+and kept by ``with_spans`` and ``redact``.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import free, free_prefix, text_of
 
 #: Kinds in the order that breaks ties of start.
 KINDS = ("email", "ip", "card", "phone", "iban")
@@ -100,22 +101,23 @@ def _placed(kind: str, found: Column, between: Column, text: Column) -> Column:
     return F.aggregate(parts, F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out")), step, lambda s: s["out"])
 
 
-def with_spans(docs: DataFrame) -> DataFrame:
-    """docs with ``pii_spans``: all spans as structs (start, rank, kind, end, score), in order."""
-    out, none = docs.withColumn("__text", F.coalesce(F.col("text"), F.lit(""))), F.array().cast("array<string>")
-    text = F.col("__text")
+def with_spans(docs: DataFrame, name: str = "pii_spans") -> DataFrame:
+    """docs with a further column: all spans as structs (start, rank, kind, end, score), in order. A column of that name
+    is replaced."""
+    own = free_prefix("__", docs)
+    out, none = docs.withColumn(f"{own}text", F.coalesce(F.col("text"), F.lit(""))), F.array().cast("array<string>")
+    text = F.col(f"{own}text")
     for kind in KINDS:
         found = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
-        out = out.withColumn(f"__{kind}", F.when(F.contains(text, F.lit(NEEDS[kind])), found).otherwise(none) if kind in NEEDS else found)
+        out = out.withColumn(own + kind, F.when(F.contains(text, F.lit(NEEDS[kind])), found).otherwise(none) if kind in NEEDS else found)
     for kind in KINDS:
-        some = F.size(f"__{kind}") > 0
-        out = out.withColumn(f"__gaps_{kind}", F.when(some, F.split(text, PATTERNS[kind], -1)).otherwise(none))
+        some = F.size(own + kind) > 0
+        out = out.withColumn(f"{own}gaps_{kind}", F.when(some, F.split(text, PATTERNS[kind], -1)).otherwise(none))
     for kind in KINDS:
-        some = F.size(f"__{kind}") > 0
-        out = out.withColumn(f"__at_{kind}", F.when(some, _placed(kind, F.col(f"__{kind}"), F.col(f"__gaps_{kind}"), text)).otherwise(F.array().cast(_SPAN)))
-    every = F.array_sort(F.concat(*(F.col(f"__at_{k}") for k in KINDS)))
-    own = [c for c in out.columns if c.startswith("__")]
-    return out.withColumn("pii_spans", every).drop(*own)
+        some = F.size(own + kind) > 0
+        out = out.withColumn(f"{own}at_{kind}", F.when(some, _placed(kind, F.col(own + kind), F.col(f"{own}gaps_{kind}"), text)).otherwise(F.array().cast(_SPAN)))
+    every = F.array_sort(F.concat(*(F.col(f"{own}at_{k}") for k in KINDS)))
+    return out.withColumn(name, every).drop(*(c for c in out.columns if c.startswith(own)))
 
 
 def _joined(spans: Column) -> Column:
@@ -138,7 +140,8 @@ def find_spans(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame) -> DataFrame:
     """docs with every span of the text replaced by its kind in brackets; a span that begins inside an earlier one goes with it."""
-    spans, text = F.col("pii_spans"), F.col("text")
+    name = free("spans", docs)
+    spans, text = F.col(name), F.col("text")
 
     def step(state: Column, s: Column) -> Column:
         clear = F.substring(text, state["at"] + 1, F.greatest(F.lit(0), s["start"] - state["at"]))
@@ -146,4 +149,4 @@ def redact(docs: DataFrame) -> DataFrame:
         return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.concat(state["out"], piece).alias("out"))
 
     done = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    return with_spans(docs).withColumn("text", done).drop("pii_spans")
+    return with_spans(docs, name).withColumn("text", done).drop(name)

@@ -62,6 +62,13 @@ def test_checksums_and_context(spark):
     assert [r.text for r in pii.redact(docs).collect()] == ["my bank: [iban]", "say: [iban]", "DE89370400440532013001"]
 
 
+def test_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "to a@b.com", 2, 3, 4, 5)], "doc_id long, text string, __text int, __email int, spans int, pii_spans int")
+    got = pii.redact(docs)
+    assert got.columns == docs.columns and tuple(got.first()) == (1, "to [email]", 2, 3, 4, 5)
+    assert [c for c in pii.with_spans(docs).columns if c != "pii_spans"] == [c for c in docs.columns if c != "pii_spans"]
+
+
 def test_plan_has_no_python_and_no_shuffle(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     plan = pii.find_spans(docs)._jdf.queryExecution().toString()
