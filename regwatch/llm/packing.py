@@ -13,10 +13,12 @@ whatever their names, are ignored.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
 from bisect import bisect_left, insort
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -27,13 +29,15 @@ from .common import chunks, cut, free, text_of
 
 CAPACITY, END = 4096, 1
 #: Bytes of the parts of words that a worker remembers, in two generations, and what an entry takes besides its text.
-REMEMBERED, ENTRY = 120_000_000, 240
+REMEMBERED, ENTRY = 200_000_000, 150
 #: Rows that share one bucket of a length while ranks are dealt out, and the fewest buckets.
 RANK_ROWS, LEAST_BUCKETS = 20_000, 64
 
 #: How the vocabulary's pre-tokenizer splits lower-case Latin-1 text; any other word is left to the library whole.
-_LATIN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^\t-\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼-¾]+")
+_LATIN = re.compile(r"[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|'(?:s|t|re|ve|m|ll|d)|[^\t-\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼-¾]+")
 _SPECIAL = "<|"
+#: A blank, so that no part begins with it.
+FOREIGN = " "
 _BLANK = re.compile(r"[ \t-\r]")
 
 
@@ -51,29 +55,40 @@ class PartTokens:
         return cls._open[1]
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        self.whole, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        # Parts are split and lower-case already: only the vocabulary is left to apply.
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.size = 0
 
-    def _learn(self, parts: set[str]) -> None:
-        """Afterwards all parts are in the young generation."""
-        new = parts.difference(self.young)
-        if self.size > REMEMBERED // 2:
-            self.old, self.young, self.size, new = self.young, {}, 0, parts
-        known = [p for p in new if p in self.old]
+    def _learn(self, parts: list[str]) -> None:
+        """Afterwards all parts are in the young generation; their ids are taken from the old one where it has them."""
+        known = [p for p in parts if p in self.old]
         self.young.update(zip(known, map(self.old.__getitem__, known), strict=True))
-        fresh = list(new.difference(known)) if known else list(new)
-        codes = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        self.young.update(zip(fresh, [_little(c.ids) for c in codes], strict=True))
-        self.size += ENTRY * len(new) + 3 * sum(map(len, new))
+        fresh = list(set(parts).difference(known)) if known else parts
+        split = [p for p in fresh if p[0] != FOREIGN]
+        self.young.update(zip(split, [_little(c.ids) for c in self.plain.encode_batch_fast(split, add_special_tokens=False)], strict=True))
+        self.young.update((p, _little(self.whole.encode(p[1:], add_special_tokens=False).ids)) for p in fresh if p[0] == FOREIGN)
+        self.size += ENTRY * len(parts) + 3 * sum(map(len, parts))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [_parts(t) for t in texts]
-        self._learn(set().union(*split))
-        return [b"".join(map(self.young.__getitem__, parts)) for parts in split]
+        flat = pa.array(list(chain.from_iterable(split)), pa.large_string()).dictionary_encode()
+        distinct = flat.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if self.size > REMEMBERED // 2:
+            self.old, self.young, self.size = self.young, {}, 0
+        if new := [p for p in distinct if p not in self.young]:
+            self._learn(new)
+        codes = pa.array([self.young[p] for p in distinct], pa.large_binary()).take(flat.indices)
+        _, offsets, data = codes.buffers()
+        ends = np.frombuffer(offsets or b"\0" * 8, np.int64)[np.cumsum([0, *map(len, split)])].tolist()
+        view = memoryview(data or b"")
+        return [bytes(view[lo:hi]) for lo, hi in pairwise(ends)]
 
 
 def _little(ids: list[int]) -> bytes:
@@ -81,7 +96,8 @@ def _little(ids: list[int]) -> bytes:
 
 
 def _parts(text: str) -> list[str]:
-    """Strings whose ids, end to end, are the text's: the pre-tokenizer's parts, or whole words where it knows better."""
+    """Strings whose ids, end to end, are the text's: the pre-tokenizer's parts, and, behind a FOREIGN mark, whole words
+    that only the library can split."""
     if _SPECIAL not in text:
         try:
             text.encode("latin-1")
@@ -92,7 +108,7 @@ def _parts(text: str) -> list[str]:
     for word in _BLANK.split(text):
         if word:
             latin = max(word) <= "ÿ" and _SPECIAL not in word
-            out += _LATIN.findall(word.lower()) if latin else [word]
+            out += _LATIN.findall(word.lower()) if latin else [FOREIGN + word]
     return out
 
 
