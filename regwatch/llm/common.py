@@ -6,6 +6,7 @@ import gc
 import math
 import tempfile
 from collections.abc import Iterable
+from functools import lru_cache
 
 import numpy as np
 import xxhash
@@ -86,14 +87,48 @@ def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return z ^ (z >> np.uint64(31))
 
 
-def chunks(batches: Iterable, columns: list[str], chars: int = BATCH_CHARS):
-    """Lists of the columns of Arrow batches; the last column is text and a chunk holds about so many characters."""
+_BLANK = np.isin(np.arange(256), np.frombuffer(b" \t\n\v\f\r", np.uint8))
+_LETTERS = mixed(np.arange(256, dtype=np.uint64), 61)
+_BASE = 0x9E3779B97F4A7C15
+#: Words of more bytes are hashed by the library one by one: sums of powers are weak on very long ones.
+LONG_WORD = 64
+
+
+@lru_cache(maxsize=2)
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd base and of its inverse, modulo 2**64."""
+    out = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        p = np.full(n, base, np.uint64)
+        p[0] = 1
+        out.append(np.cumprod(p))
+    return out[0], out[1]
+
+
+def words_in(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of every word (as ``words_of`` splits) of the texts, end to end, and the bounds of the texts in it."""
+    data = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
+    edges = np.flatnonzero(np.diff(_BLANK[data], prepend=True))
+    starts, ends = edges[::2], edges[1::2]
+    up, down = powers(1 << max(10, (len(data) + 1).bit_length()))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_LETTERS[data] * up[: len(data)], out=sums[1:])
+    h = mixed((sums[ends] - sums[starts]) * down[starts] ^ (ends - starts).astype(np.uint64), 62)
+    for k in np.flatnonzero(ends - starts > LONG_WORD):
+        h[k] = xxhash.xxh3_64_intdigest(data[starts[k] : ends[k]].tobytes())
+    bounds = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    return h, np.searchsorted(starts, bounds)
+
+
+def chunks(batches: Iterable, columns: list[str], chars: int = BATCH_CHARS, rows: int = 256):
+    """Lists of the columns of Arrow batches; the last column is text and a chunk holds about so many characters, or so
+    many rows if they hold more."""
     out: list[list] = [[] for _ in columns]
     size = 0
     for batch in batches:
         got = [batch.column(batch.schema.get_field_index(c)) for c in columns]
-        for start in range(0, batch.num_rows, 256):
-            part = [c.slice(start, 256).to_pylist() for c in got]
+        for start in range(0, batch.num_rows, rows):
+            part = [c.slice(start, rows).to_pylist() for c in got]
             for whole, more in zip(out, part, strict=True):
                 whole += more
             size += sum(map(len, part[-1]))

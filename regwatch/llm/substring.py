@@ -22,7 +22,6 @@ whatever their names, are ignored by ``report`` and kept by ``remove``.
 from __future__ import annotations
 
 import hashlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,31 +29,22 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bloom, chunks, cut, free, hashes, in_bloom, mixed, text_of, words_of
+from .common import bloom, chunks, cut, free, in_bloom, mixed, powers, text_of, words_in, words_of
 
 WINDOW, ROUNDS = 50, 4
 #: Bits of a Bloom filter for each anchor.
 ANCHOR_BITS = 16
-BASE = 0x9E3779B97F4A7C15
-#: Characters of the texts that a task takes up at once, plain and compressed.
-CHUNK, PRESSED = 3_000_000, 1_000_000
-
-
-@lru_cache(maxsize=2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse, modulo 2**64."""
-    out = []
-    for base in (BASE, pow(BASE, -1, 1 << 64)):
-        p = np.full(n, base, np.uint64)
-        p[0] = 1
-        out.append(np.cumprod(p))
-    return out[0], out[1]
+BASE = np.uint64(0x9E3779B97F4A7C15)
+#: Characters and rows of the texts that a task takes up at once, plain and compressed.
+CHUNK, PRESSED, ROWS = 400_000, 1_000_000, 64
+#: Stretches of an anchor beyond which its windows are joined one by one, and windows of a bucket of other anchors.
+HOT_STRETCHES, BUCKET_WINDOWS = 20_000, 1_000_000
 
 
 def stretch_hashes(h: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of the words from each start to before each end."""
     n = 1 << max(10, int(len(h) + 1).bit_length())
-    up, down = _powers(n)
+    up, down = powers(n)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(h, 21) * up[: len(h)])])
     return mixed((sums[ends] - sums[starts]) * down[starts] ^ (ends - starts).astype(np.uint64), 22)
 
@@ -94,7 +84,7 @@ def levels(h: np.ndarray, bounds: np.ndarray) -> list[tuple[np.ndarray, np.ndarr
         second[1:] = pair[:-1]
         before, after = neighbours(d, lo, hi)
         nxt = np.concatenate([sym[1:], sym[:1]])
-        new = np.where(pair, mixed(sym * np.uint64(BASE) ^ mixed(nxt, 200 + k), 300 + k), sym)
+        new = np.where(pair, mixed(sym * BASE ^ mixed(nxt, 200 + k), 300 + k), sym)
         lo = np.where(left | second, lo, before)
         hi = np.where(left, after, hi)  # of a pair: hi of its right symbol, which is the neighbour's
         keep = ~second
@@ -153,36 +143,39 @@ def pressed(texts: DataFrame) -> DataFrame:
 
 
 def _texts(batches):
-    """Chunks of doc_id and text with the words, their hashes and the bounds of the texts."""
-    for rows in chunks(batches, ["doc_id", "text"], CHUNK):
-        split = [words_of(t) for t in rows[-1]]
-        bounds = np.concatenate([[0], np.cumsum([len(w) for w in split])]).astype(np.int64)
-        yield rows[0], split, hashes((w for words in split for w in words), int(bounds[-1])), bounds
+    """doc_id and text (as bytes) of chunks, with the hashes of the words and the bounds of the texts."""
+    for ids, texts in chunks(batches, ["doc_id", "text"], CHUNK, ROWS):
+        coded = [t.encode("utf-8", "replace") for t in texts]
+        yield ids, coded, *words_in(coded)
 
 
 def _short(sha: str) -> int:
     return int.from_bytes(bytes.fromhex(sha[:16]), "big", signed=True)
 
 
+def _sha(text: bytes) -> str:
+    return hashlib.sha256(b" ".join(text.split())).hexdigest()
+
+
 def _scanned(batches):
-    for ids, split, h, bounds in _texts(batches):
+    for ids, texts, h, bounds in _texts(batches):
         starts, keys, first, _ = runs(h, bounds)
         owner = np.searchsorted(bounds, starts[first], "right") - 1
-        own = np.split(keys[first], np.searchsorted(owner, np.arange(1, len(split))))
+        own = np.split(keys[first], np.searchsorted(owner, np.arange(1, len(texts))))
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(ids, pa.int64()),
-                pa.array([len(w) for w in split], pa.int64()),
-                pa.array([hashlib.sha256(b" ".join(w)).hexdigest() for w in split], pa.string()),
+                pa.array(np.diff(bounds), pa.int64()),
+                pa.array(map(_sha, texts), pa.string()),
                 pa.array([np.unique(k).view(np.int64) for k in own], pa.list_(pa.int64())),
             ],
             ["doc_id", "n_words", "sha", "keys"],
         )
 
 
-def _marks(split: list[list[bytes]], owner: np.ndarray) -> np.ndarray:
+def _marks(texts: list[bytes], owner: np.ndarray) -> np.ndarray:
     """For each owner a short mark of the text, as rows may share a doc_id."""
-    marks = {k: _short(hashlib.sha256(b" ".join(split[k])).hexdigest()) for k in np.unique(owner).tolist()}
+    marks = {k: _short(_sha(texts[k])) for k in np.unique(owner).tolist()}
     return np.array([marks[k] for k in owner.tolist()], np.int64)
 
 
@@ -190,13 +183,13 @@ def _met(shared):
     """Runs of windows whose anchors may occur elsewhere, with the hash of their stretch."""
 
     def met(batches):
-        for ids, split, h, bounds in _texts(batches):
+        for ids, texts, h, bounds in _texts(batches):
             starts, keys, first, last = runs(h, bounds)
             keep = in_bloom(shared.value, keys[first])
             first, last = first[keep], last[keep]
             owner = np.searchsorted(bounds, starts[first], "right") - 1
             spans = stretch_hashes(h, starts[first], starts[last - 1] + WINDOW)
-            columns = [np.array(ids, np.int64)[owner], _marks(split, owner), keys[first].view(np.int64), spans.view(np.int64), (starts[first] - bounds[owner]).astype(np.int32), (last - first).astype(np.int32)]
+            columns = [np.array(ids, np.int64)[owner], _marks(texts, owner), keys[first].view(np.int64), spans.view(np.int64), (starts[first] - bounds[owner]).astype(np.int32), (last - first).astype(np.int32)]
             yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["doc_id", "mark", "key", "span", "start", "n"])
 
     return met
@@ -207,51 +200,101 @@ def _first_of(key: np.ndarray, span: np.ndarray, doc_id: np.ndarray) -> np.ndarr
 
 
 def _named(batches):
-    """The one hash of (key, span, lo) that ``_single`` looks for."""
+    """The one hash of (key, span, lo) by which a task knows the runs that it is to compare."""
     for batch in batches:
         key, span, lo = (batch.column(c).to_numpy().view(np.uint64) for c in ("key", "span", "lo"))
         yield pa.RecordBatch.from_arrays([pa.array(_first_of(key, span, lo).view(np.int64))], ["key"])
 
 
-def _single(shared):
-    """The windows of those runs that stand for all equal stretches of an anchor with several."""
+def _single(shared, hot: bool):
+    """The windows of the runs that stand for all equal stretches of an anchor with several: a row for each run of an
+    anchor with few stretches, or for each window of the hot ones."""
 
     def single(batches):
-        for ids, split, h, bounds in _texts(batches):
+        firsts, hot_keys = shared.value
+        for ids, texts, h, bounds in _texts(batches):
             starts, keys, first, last = runs(h, bounds)
             owner = np.searchsorted(bounds, starts[first], "right") - 1
             spans = stretch_hashes(h, starts[first], starts[last - 1] + WINDOW)
-            keep = in_bloom(shared.value, _first_of(keys[first], spans, np.array(ids, np.int64)[owner].view(np.uint64)))
+            keep = in_bloom(firsts, _first_of(keys[first], spans, np.array(ids, np.int64)[owner].view(np.uint64)))
+            if hot_keys is not None:
+                is_hot = np.zeros(len(first), bool)
+                is_hot[in_bloom(hot_keys, keys[first])] = True
+                keep = keep[is_hot[keep] == hot]
             first, last, owner = first[keep], last[keep], owner[keep]
-            sizes = last - first
-            at = np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
-            each = stretch_hashes(h, starts[at], starts[at] + WINDOW).view(np.int64)
-            owner, marks = np.repeat(owner, sizes), np.repeat(_marks(split, owner), sizes)
-            columns = [np.array(ids, np.int64)[owner], marks, keys[at].view(np.int64), each, (starts[at] - bounds[owner]).astype(np.int32)]
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["doc_id", "mark", "key", "window", "start"])
+            each = stretch_hashes(h, starts, starts + WINDOW).view(np.int64)
+            marks = _marks(texts, owner)
+            if hot:
+                sizes = last - first
+                at = np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+                owner, marks, found = np.repeat(owner, sizes), np.repeat(marks, sizes), each[at]
+            else:
+                at, found = first, pa.array([each[a:b].tobytes() for a, b in zip(first, last, strict=True)], pa.binary())
+            columns = [np.array(ids, np.int64)[owner], marks, keys[at].view(np.int64), found, (starts[at] - bounds[owner]).astype(np.int32)]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["doc_id", "mark", "key", "windows", "start"])
 
     return single
 
 
+def _compared(table: pa.Table) -> pa.Table:
+    """Of the runs of a bucket of anchors the stretches of windows that a smaller document has too."""
+    ids, marks, start = (table.column(c).to_numpy() for c in ("doc_id", "mark", "start"))
+    each = [np.frombuffer(x.as_buffer(), np.int64) for x in table.column("windows")]
+    sizes = np.array([len(x) for x in each])
+    row = np.repeat(np.arange(len(each)), sizes)
+    _, code = np.unique(np.concatenate(each), return_inverse=True)
+    least = np.full(int(code.max()) + 1, np.iinfo(np.int64).max)
+    np.minimum.at(least, code, ids[row])
+    hit = np.flatnonzero(least[code] < ids[row])
+    new = np.ones(len(hit), bool)
+    new[1:] = (hit[1:] != hit[:-1] + 1) | (row[hit[1:]] != row[hit[:-1]])
+    first = np.flatnonzero(new)
+    n = np.diff(np.append(first, len(hit)))
+    at = hit[first]
+    turn = at - (np.cumsum(sizes) - sizes)[row[at]]
+    return pa.table([pa.array(ids[row[at]]), pa.array(marks[row[at]]), pa.array((start[row[at]] + turn).astype(np.int32)), pa.array(n.astype(np.int32))], ["doc_id", "mark", "start", "n"])
+
+
+STRETCHES = "doc_id long, mark long, start int, n int"
+
+
+def _anchors(scan: DataFrame, least: DataFrame) -> np.ndarray:
+    """A Bloom filter of the anchors that several texts have."""
+    own = scan.join(least, "sha").where("doc_id = least").select(F.explode("keys").alias("key"))
+    return bloom(cut(own.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")), ANCHOR_BITS)
+
+
+def _whole(texts: DataFrame, anchors: np.ndarray) -> tuple[DataFrame, np.ndarray, np.ndarray | None, int]:
+    """Stretches that a smaller document has whole; and what the windows of the others are found by: the filters of the
+    runs to compare and of hot anchors, and the number of windows."""
+    shared = texts.sparkSession.sparkContext.broadcast(anchors)
+    found = cut(texts.mapInArrow(_met(shared), "doc_id long, mark long, key long, span long, start int, n int"))
+    spans = cut(found.groupBy("key", "span").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.max("n").alias("n")))
+    counts = spans.groupBy("key").agg(F.count("*").alias("spans")).where("spans > 1")
+    firsts = cut(spans.join(counts, "key").select("key", "span", "lo", "n", "spans"))
+    hot = firsts.where(F.col("spans") > HOT_STRETCHES).select("key").distinct()
+    windows_ = firsts.agg(F.sum("n")).first()[0] or 0
+    whole = cut(found.join(spans.where("lo < hi").select("key", "span", "lo"), ["key", "span"]).where("doc_id > lo").select("doc_id", "mark", "start", "n"))
+    return whole, bloom(firsts.mapInArrow(_named, "key long"), ANCHOR_BITS), bloom(hot, ANCHOR_BITS) if not hot.isEmpty() else None, windows_
+
+
 def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The scan (doc_id, n_words, sha, least: the smallest doc_id of equal words) and the stretches of windows that also
     start in a smaller document (doc_id, mark, start, n), copies of a whole text aside."""
-    texts, share = text_of(docs), docs.sparkSession.sparkContext.broadcast
+    texts = text_of(docs)
     named = texts.where("doc_id is not null")
     scan = cut(texts.mapInArrow(_scanned, "doc_id long, n_words long, sha string, keys array<long>"))
     least = cut(scan.groupBy("sha").agg(F.min("doc_id").alias("least")))
-    own = scan.join(least, "sha").where("doc_id = least").select(F.explode("keys").alias("key"))
-    spread = cut(own.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
-    found = cut(named.mapInArrow(_met(share(bloom(spread, ANCHOR_BITS))), "doc_id long, mark long, key long, span long, start int, n int"))
-
-    spans = cut(found.groupBy("key", "span").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")))
-    varied = spans.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    firsts = cut(spans.join(varied, "key", "left_semi").select("key", "span", "lo").mapInArrow(_named, "key long"))
-    whole = cut(found.join(spans.where("lo < hi").select("key", "span", "lo"), ["key", "span"]).where("doc_id > lo").select("doc_id", "mark", "start", "n"))
-    single = cut(named.mapInArrow(_single(share(bloom(firsts, ANCHOR_BITS))), "doc_id long, mark long, key long, window long, start int"))
-    best = single.groupBy("key", "window").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("key", "window", "lo")
-    part = single.join(best, ["key", "window"]).where("doc_id > lo").select("doc_id", "mark", "start", F.lit(1).alias("n"))
-    return scan.select("doc_id", "n_words", "sha").join(least, "sha", "left"), whole.unionByName(part)
+    whole, firsts, hot, n = _whole(named, _anchors(scan, least))
+    shared = docs.sparkSession.sparkContext.broadcast((firsts, hot))
+    found = "doc_id long, mark long, key long, windows {}, start int"
+    dealt = named.mapInArrow(_single(shared, False), found.format("binary")).withColumn("bucket", F.pmod("key", F.lit(n // BUCKET_WINDOWS + 1)))
+    out = whole.unionByName(dealt.groupBy("bucket").applyInArrow(_compared, STRETCHES))
+    if hot is not None:  # too many stretches for one bucket: their windows are joined one by one
+        each = cut(named.mapInArrow(_single(shared, True), found.format("long")))
+        best = each.groupBy("key", "windows").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("key", "windows", "lo")
+        out = out.unionByName(each.join(best, ["key", "windows"]).where("doc_id > lo").select("doc_id", "mark", "start", F.lit(1).alias("n")))
+    return scan.select("doc_id", "n_words", "sha").join(least, "sha", "left"), out
 
 
 def _covered(n: int, places: list) -> np.ndarray:
@@ -268,7 +311,7 @@ def _places(found: DataFrame) -> DataFrame:
 
 
 def _own(places, words: list[bytes]) -> list:
-    mark = _short(hashlib.sha256(b" ".join(words)).hexdigest())
+    mark = _short(_sha(b" ".join(words)))
     return [(p["start"], p["n"]) for p in places if p["mark"] == mark]
 
 

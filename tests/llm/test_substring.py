@@ -2,9 +2,10 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 
 from regwatch.llm import substring
-from regwatch.llm.common import hashes
+from regwatch.llm.common import hashes, words_in
 
 
 def brute(rows, width):
@@ -61,6 +62,20 @@ def test_equal_windows_have_equal_anchors():
         assert len(seen) == 1
 
 
+def test_words_hash_alike_wherever_they_stand():
+    rng = random.Random(5)
+    words = [bytes(rng.choices(b"ab\xc3\xa9\0", k=rng.randrange(1, 90))) for _ in range(300)]
+    texts = [b"".join(rng.choice([b" ", b"\n\n", b"\t "]) + w for w in rng.choices(words, k=rng.randrange(9))) + b" " * rng.randrange(2) for _ in range(200)]
+    h, bounds = words_in(texts)
+    seen = {}
+    for t, lo, hi in zip(texts, bounds, bounds[1:], strict=False):
+        assert hi - lo == len(t.split())
+        for w, x in zip(t.split(), h[lo:hi].tolist(), strict=True):
+            assert seen.setdefault(w, x) == x
+    assert len(set(seen.values())) == len(seen)
+    assert [x.tolist() for x in words_in([])] == [[], [0]] and words_in([b"", b" "])[1].tolist() == [0, 0, 0]
+
+
 def test_rounds_shrink_periodic_texts():
     h = hashes([b"a", b"b"] * 2000, 4000)
     sizes = [len(sym) for sym, _, _ in substring.levels(h, np.array([0, 4000]))]
@@ -75,7 +90,9 @@ def test_clashing_names(spark):
     assert got.columns == docs.columns and {tuple(r) for r in got.collect()} == {(1, text, 5, 6), (2, "x y", 7, 8), (None, None, 9, 9)}
 
 
-def test_matches_brute_force(spark):
+@pytest.mark.parametrize("hot", [20_000, 3])
+def test_matches_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(substring, "HOT_STRETCHES", hot)
     rows = corpus(1)
     docs = spark.createDataFrame([(*r, 3, "z") for r in rows], "doc_id long, text string, n_words int, sha string")
     want = brute(rows, substring.WINDOW)
