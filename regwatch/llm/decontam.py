@@ -23,13 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bloom, chunks, cut, free, hashes, in_bloom, mixed, text_of, words_of
+from .common import bloom, chunks, cut, free, in_bloom, mixed, text_of, words_in
 
 #: Words that count (1) and words that are ignored (0).
 MASKS = ("11101011", "11001111")
 #: The masks of items of so many words or more, up to the next entry; all hold an ignored place.
 BY_LENGTH = {5: ("1011", "1101"), 6: ("10111", "11101"), 8: ("101111", "111011"), 10: ("110111", "11001011", "10100111"), 12: (*MASKS, "1111011"), 13: MASKS}
 WINDOW, AGREE, SHORT, LEAST_WORDS = 13, 0.8, 5, 1
+#: Characters of the texts that a task takes up at once.
+CHUNK = 400_000
 #: Bits of the Bloom filter for each seed.
 SEED_BITS = 512
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -49,8 +51,7 @@ def seeds(h: np.ndarray, mask: str) -> np.ndarray:
 
 
 def word_hashes(text: str) -> np.ndarray:
-    words = words_of(text.lower())
-    return hashes(words, len(words))
+    return words_in([text.lower().encode("utf-8", "replace")])[0]
 
 
 def masks_of(n: int) -> tuple[str, ...]:
@@ -117,10 +118,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     def hits(batches):
         filter_ = shared.value
-        for ids, texts in chunks(batches, ["doc_id", "text"], 4_000_000):
-            split = [words_of(t.lower()) for t in texts]
-            ends = np.cumsum([len(w) for w in split])
-            h = hashes((w for words in split for w in words), int(ends[-1]))
+        for ids, texts in chunks(batches, ["doc_id", "text"], CHUNK, 64):
+            h, bounds = words_in([t.lower().encode("utf-8", "replace") for t in texts])
+            ends = bounds[1:]
             rows: dict[int, tuple[list, list]] = {}
             for mask in masks:
                 s = seeds(h, mask)
@@ -134,14 +134,14 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 for k, seed, place in zip(own.tolist(), s[at].view(np.int64).tolist(), at.tolist(), strict=True):
                     found = rows.setdefault(k, ([], []))
                     found[0].append(seed)
-                    found[1].append(place - int(ends[k] - len(split[k])))
+                    found[1].append(place - int(bounds[k]))
             own = list(rows)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([ids[k] for k in own], pa.int64()),
                     pa.array([rows[k][0] for k in own], pa.list_(pa.int64())),
                     pa.array([rows[k][1] for k in own], pa.list_(pa.int32())),
-                    pa.array([h[ends[k] - len(split[k]) : ends[k]].view(np.int64) for k in own], pa.list_(pa.int64())),
+                    pa.array([h[bounds[k] : ends[k]].view(np.int64) for k in own], pa.list_(pa.int64())),
                 ],
                 ["doc_id", "seeds", "places", "words"],
             )

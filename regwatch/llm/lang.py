@@ -35,7 +35,7 @@ TEXTS = 2_000_000
 #: Probabilities that are held at once.
 CELLS = 1 << 20
 #: A document whose best language has a lower score is in none of the learned languages.
-LEAST_SCORE = 0.4
+LEAST_SCORE = 0.3
 UNKNOWN = "und"
 SPACE = 32
 #: A byte that UTF-8 never uses fills up columns.

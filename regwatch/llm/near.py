@@ -28,22 +28,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, cut, free, hashes, mixed, text_of, words_of
+from .common import chunks, cut, free, mixed, text_of, words_in
 from .graph import components
 
 SHINGLE, BANDS, ROWS = 5, 24, 4
 K = BANDS * ROWS
+#: Characters of the texts that a task takes up at once.
+CHUNK = 400_000
 #: Two documents are linked when NUMBER * shared >= OVER * united shingles: a similarity of 0.8.
 OVER, NUMBER = 4, 5
 #: Classes and bytes of strips of one block of a group that is searched exhaustively, and shingles compared at once.
 BLOCK, BLOCK_BYTES, COLUMNS = 512, 64_000_000, 4096
 
 
-def strips(words: list[bytes]) -> np.ndarray:
-    """Sorted hashes of the strips of a text's shingles: (shingle, occurrence) pairs."""
-    if not words:
+def strips(h: np.ndarray) -> np.ndarray:
+    """Sorted hashes of the strips of a text's shingles, (shingle, occurrence) pairs, from the hashes of its words."""
+    if not len(h):
         return np.zeros(0, np.uint64)
-    h = hashes(words, len(words))
     width = min(SHINGLE, len(h))
     n = len(h) - width + 1
     s = np.full(n, width, np.uint64)
@@ -95,19 +96,22 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 
 def _signed(batches):
-    for ids, texts in chunks(batches, ["doc_id", "text"], 4_000_000):
+    for ids, texts in chunks(batches, ["doc_id", "text"], CHUNK, 64):
         content, bands = [], []
-        for text in texts:
-            words = words_of(text.lower())
-            content.append(hashlib.blake2b(b" ".join(words), digest_size=16).hexdigest())
-            own = strips(words)
+        coded = [t.lower().encode("utf-8", "replace") for t in texts]
+        h, bounds = words_in(coded)
+        for text, lo, hi in zip(coded, bounds, bounds[1:], strict=False):
+            content.append(hashlib.blake2b(b" ".join(text.split()), digest_size=16).hexdigest())
+            own = strips(h[lo:hi])
             bands.append(band_keys(signature(own)).view(np.int64) if len(own) else None)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(content, pa.string()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "content", "bands"])
 
 
 def _stripped(batches):
-    for ids, texts in chunks(batches, ["doc_id", "text"], 2_000_000):
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([strips(words_of(t.lower())).tobytes() for t in texts], pa.binary())], ["node", "strips"])
+    for ids, texts in chunks(batches, ["doc_id", "text"], CHUNK, 64):
+        h, bounds = words_in([t.lower().encode("utf-8", "replace") for t in texts])
+        own = [strips(h[lo:hi]).tobytes() for lo, hi in zip(bounds, bounds[1:], strict=False)]
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(own, pa.binary())], ["node", "strips"])
 
 
 def _linked(a: np.ndarray, b: np.ndarray) -> bool:
