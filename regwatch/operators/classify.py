@@ -59,9 +59,10 @@ def existing_operator(matched: DataFrame, p: Params = DEFAULT) -> DataFrame:
     own = F.struct(F.col("first_seen_date").alias("existing_operator_first_seen"), F.col("entity_id").alias("existing_operator_id"), F.col("business_name").alias("existing_operator_name"))
     known = matched.where((F.col("best_score") >= p.score_medium) & F.col("first_seen_date").isNotNull() & F.col("entity_id").isNotNull()).select("best_company_number", own.alias("o"))
     # An entity's answer is the earliest row of its company, or, where that is its own, the earliest of the other entities.
-    first = known.groupBy("best_company_number").agg(F.min("o").alias("first"))
-    second = known.join(first, "best_company_number").where("o.existing_operator_id <> first.existing_operator_id").groupBy("best_company_number").agg(F.min("o").alias("second"))
-    rows = matched.join(first, "best_company_number").join(second, "best_company_number", "left")
+    once = known.groupBy("best_company_number", F.col("o.existing_operator_id").alias("id")).agg(F.min("o").alias("o"))
+    two = once.withColumn("rn", F.row_number().over(Window.partitionBy("best_company_number").orderBy("o"))).where("rn <= 2")
+    heads = two.groupBy("best_company_number").agg(*(F.min(F.when(F.col("rn") == k, F.col("o"))).alias(name) for k, name in ((1, "first"), (2, "second"))))
+    rows = matched.join(heads, "best_company_number")
     rows = rows.withColumn("o", F.when(F.col("first.existing_operator_id") != F.col("entity_id"), F.col("first")).otherwise(F.col("second")))
     return rows.where("o.existing_operator_first_seen < first_seen_date").groupBy(*EVENT).agg(F.min("o").alias("o")).select(*EVENT, "o.*")
 

