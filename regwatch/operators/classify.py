@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import address_key, edit_distance_within, text
 from ..params import DEFAULT, Params
-from .resolve import EVENT, name_similarity, weighted_names
+from .resolve import EVENT, name_keys, name_similarity, weighted_names
 
 # Fixed phrases: later stages read whether the address corroborates a company from them.
 ADDRESS_MATCH = "registered address is an exact match for this establishment's address"
@@ -43,12 +43,14 @@ def predecessor_exact(events: DataFrame, entities: DataFrame) -> DataFrame:
 
 
 def predecessor_fallback(events: DataFrame, entities: DataFrame, idf: DataFrame, exact: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """For events without an exact predecessor: one of the same postcode whose name scores enough."""
+    """For events without an exact predecessor: one of the same postcode whose name scores enough. Names are compared only
+    where they share a key, as all that score enough do."""
     code = lambda c: F.when(F.trim(c) != "", F.upper(F.trim(c)))
     left = weighted_names(events.join(exact.select(*EVENT), list(EVENT), "left_anti"), F.col("business_name"), idf).select(*EVENT, "first_seen_date", code(F.col("postcode")).alias("at"), F.col("norm").alias("norm_a"), F.col("bag").alias("bag_a"))
     right = weighted_names(_prior(entities), F.col("predecessor_name"), idf).withColumn("at", code(F.col("p_code")))
+    left, right = name_keys(left, "norm_a", "bag_a", "wa", p.fallback_score), name_keys(right, "norm", "bag", "wb", p.fallback_score)
     score = name_similarity(F.col("norm_a"), F.col("bag_a"), F.col("norm"), F.col("bag"))
-    rows = left.join(right, "at").where(_before()).withColumn("score", score).where(F.col("score") >= p.fallback_score)
+    rows = left.join(right, ["at", "key"]).where(_before()).withColumn("score", score).where(F.col("score") >= p.fallback_score)
     w = Window.partitionBy(*EVENT).orderBy(F.desc("score"), F.desc("predecessor_last_seen"), "predecessor_id")
     return rows.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").select(*EVENT, *PREDECESSOR)
 

@@ -60,6 +60,14 @@ def leading_words(bag: Column, total: Column, least: float) -> Column:
     return F.transform(F.filter(bag, lambda x: before(x) <= (1 - least) * total + 1e-9), lambda x: x["word"])
 
 
+def name_keys(df: DataFrame, norm: str, bag: str, weight: str, least: float) -> DataFrame:
+    """A row for each key of a name that is not empty: one of its leading words, or the whole name. Names whose score is
+    ``least`` or more have a key in common. ``weight`` is added, the weight of the bag."""
+    rows = df.where(f"{norm} <> ''").withColumn(weight, bag_weight(F.col(bag)))
+    whole = F.array(F.concat(F.lit("="), F.col(norm)))
+    return rows.withColumn("key", F.explode(F.concat(whole, leading_words(F.col(bag), F.col(weight), least))))
+
+
 def address_density(companies: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """companies with the number of companies at their address, and whether that is high."""
     keyed = companies.withColumn("density_key", address_density_key(F.col("address_line_1"), F.col("postcode")))
@@ -112,15 +120,10 @@ def national_candidates(events: DataFrame, companies: DataFrame, idf: DataFrame,
     score = S / (A + B - S) and S <= min(A, B), so a score of t needs min(A, B) >= t max(A, B), and one of the heaviest
     words of either name in common. The join takes only pairs within both bounds, or of equal names.
     """
-
-    def keyed(df: DataFrame, norm: str, bag: str, weight: str) -> DataFrame:
-        """A row for each key of a name: its first word, and in turn one of its leading words or the whole name."""
-        rows = df.where(f"{norm} <> ''").withColumn("block", F.substring_index(norm, " ", 1)).withColumn(weight, bag_weight(F.col(bag)))
-        whole = F.array(F.concat(F.lit("="), F.col(norm)))
-        return rows.withColumn("key", F.explode(F.concat(whole, leading_words(F.col(bag), F.col(weight), p.national_score))))
-
-    left = keyed(_prepared_events(events, F.col("business_name") if name is None else name, idf), "event_norm", "event_bag", "wa")
-    right = keyed(prepared_companies(companies, idf, p), "company_norm", "company_bag", "wb")
+    first = lambda df, norm: df.withColumn("block", F.substring_index(norm, " ", 1))
+    left = _prepared_events(events, F.col("business_name") if name is None else name, idf)
+    left = name_keys(first(left, "event_norm"), "event_norm", "event_bag", "wa", p.national_score)
+    right = name_keys(first(prepared_companies(companies, idf, p), "company_norm"), "company_norm", "company_bag", "wb", p.national_score)
     near = (F.least("wa", "wb") >= p.national_score * F.greatest("wa", "wb") - 1e-9) | (F.col("event_norm") == F.col("company_norm"))
     pairs = left.join(right, (left["block"] == right["block"]) & (left["key"] == right["key"]) & near)
     exact = name_similarity(F.col("event_norm"), F.col("event_bag"), F.col("company_norm"), F.col("company_bag"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as t
 from ..operators import feed, mailauth, territory, windows
+from ..sources.sinks import settled
 from .change_queries import ALL, events, judged_runs
 from .match_queries import LABELLED, labelled, merged
 from .registry import query
@@ -48,7 +49,7 @@ COUNCILS = ["NATION_1", "NATION_2", "NATION_3", "NATION_5", "NATION_8"]
 def x1_feed_records(v):
     inserts = v("inserts").select("entity_id", "insert_date", F.lit(False).alias("quarantined"))
     entities = v("entities").select("entity_id", "publisher", "business_name", "first_seen_date", "last_seen_date", "post_code")
-    return feed.feed_records(labelled(v), inserts, entities, v("register_publishers"), judged_runs(v), v("runs"), v("companies")).na.fill(False, ["batch_publication"])
+    return feed.feed_records(settled(labelled(v)), inserts, entities, v("register_publishers"), judged_runs(v), v("runs"), v("companies")).na.fill(False, ["batch_publication"])
 
 
 @query("select entity_id from {feed} where authority_name like '%NATION_1%' and lower(business_type) like '%pub%' and classification = 'NEW_VENUE' and regexp_extract(post_code, '^[A-Z]+') = 'D'")
@@ -161,12 +162,14 @@ TRUTH = "case when lb.entity_id % 3 = 0 then lpad(cast(1 + lb.entity_id % 97 as
 @query(f"""with {LABELLED}, tp as (select entity_id, count(*) as n, list({{'rank': rank, 'company_number': company_number, 'name_similarity_score': name_similarity_score}} order by rank) as cs from mg where rank <= 3 group by 1)
         select lb.entity_id, classification, cast(n as int) as n, cast(to_json(cs) as varchar) as candidates, {TRUTH} as true_company from lb left join tp on tp.entity_id = lb.entity_id""")
 def x17_audit_ledger(v):
-    return feed.audit_ledger(labelled(v), merged(v), truth(v)).select("entity_id", "classification", F.size("candidates").alias("n"), F.to_json("candidates").alias("candidates"), "true_company")
+    candidates = settled(merged(v))
+    return feed.audit_ledger(labelled(v, candidates), candidates, truth(v)).select("entity_id", "classification", F.size("candidates").alias("n"), F.to_json("candidates").alias("candidates"), "true_company")
 
 
 @query(f"with {LABELLED} select cast(count(*) as bigint) as labelled, cast(sum(case when evidence_company_number = {TRUTH} then 1 else 0 end) as bigint) as agree from lb where {TRUTH} <> ''")
 def x18_ground_truth_score(v):
-    return feed.ground_truth_score(feed.audit_ledger(labelled(v), merged(v), truth(v)))
+    candidates = settled(merged(v))
+    return feed.ground_truth_score(feed.audit_ledger(labelled(v, candidates), candidates, truth(v)))
 
 
 def gazetteer(v):

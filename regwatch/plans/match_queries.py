@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as t
 from ..operators import classify, enrich, resolve
 from ..params import Params
+from ..sources.sinks import settled
 from .registry import query
 from .text_queries import NORM
 
@@ -69,7 +70,7 @@ def district(v):
 def merged(v):
     i = idf(v)
     parts = resolve.district_candidates(v("inserts"), v("companies"), i), resolve.national_candidates(v("inserts"), v("companies"), i), resolve.operator_candidates(v("inserts"), v("companies"), i)
-    return resolve.merge_candidates(*parts).persist()
+    return resolve.merge_candidates(*parts)
 
 
 def matched(v, candidates):
@@ -78,14 +79,14 @@ def matched(v, candidates):
     return v("inserts").select("entity_id", "insert_date", "business_name", "first_seen_date").join(runs, ["entity_id", "insert_date"])
 
 
-def labelled(v):
+def labelled(v, candidates=None):
     """Classified events of the registers, with predecessors among the entities there."""
     events, entities, i = v("inserts"), v("entities"), idf(v)
     exact = classify.predecessor_exact(events, entities)
     before = exact.unionByName(classify.predecessor_fallback(events, entities, i, exact))
-    candidates = merged(v)
-    m = matched(v, candidates).persist()
-    return classify.classify(events, candidates, before.persist(), classify.existing_operator(m), classify.operator_venue_count(m), i)
+    candidates = settled(merged(v)) if candidates is None else candidates
+    m = settled(matched(v, candidates))
+    return classify.classify(events, candidates, settled(before), classify.existing_operator(m), classify.operator_venue_count(m), i)
 
 
 @query(f"with {IDF} select word, round(weight, 9) as weight from idf")
@@ -232,7 +233,16 @@ def k2_predecessor_fallback(v):
     return classify.predecessor_fallback(asked, v("spells"), idf(v), exact, Params(fallback_score=1.0)).select("entity_id", "predecessor_id")
 
 
-@query()
+@query(f"""with {IDF}, {K1_SQL}, nm as (select distinct business_name, {norm('business_name')} as norm from {{spells}}),
+        nw as (select norm, word, coalesce(weight, (select max(weight) from idf)) as weight from (select distinct norm, unnest(string_split(norm, ' ')) as word from nm where norm <> '') x left join idf using (word)),
+        na as (select norm, sum(weight) as total from nw group by 1),
+        sh as (select x.norm as a, y.norm as b, sum(x.weight) as s from nw x join nw y on x.word = y.word group by 1, 2),
+        sim as (select a, b, case when a = b then 1.0 else round(s / (ta.total + tb.total - s), 12) end as sim from sh join na ta on ta.norm = a join na tb on tb.norm = b where s > 0 or a = b),
+        near as (select n.business_name as mine, m.business_name as other, sim from sim join nm n on n.norm = a join nm m on m.norm = b where sim >= 0.9),
+        f as (select e.entity_id, p.entity_id as predecessor_id, row_number() over (partition by e.entity_id order by sim desc, p.last_seen_date desc, p.entity_id) as rn
+              from {{spells}} e join near on mine = e.business_name join {{spells}} p on p.business_name = other and upper(trim(e.postcode)) = upper(trim(p.postcode)) and e.entity_id <> p.entity_id and p.last_seen_date < e.first_seen_date
+              where e.entity_id not in (select entity_id from k1))
+        select entity_id, predecessor_id from f where rn = 1""")
 def k2_predecessor_fallback_all(v):
     """All spells, at the operator's own score."""
     exact = classify.predecessor_exact(v("spells"), v("spells"))
