@@ -152,7 +152,7 @@ def r1_stream_change_log(v):
 def r2_stream_change_events(v):
     stream, out = streamed(v, marked(v).select("publisher", "entity_id", "collection_date", "fingerprint"))
     twins.stream_change_events(stream, v("runs"), out, f"{out}/checkpoint")
-    return v("runs").sparkSession.read.schema("entity_id long, event_type string, publisher string, collection_date date").parquet(f"{out}/events").select("publisher", "collection_date", "entity_id", "event_type")
+    return twins.read_change_events(v("runs").sparkSession, v("runs"), out)
 
 
 def inserts_stream(v):
@@ -164,13 +164,14 @@ def inserts_stream(v):
 def r3_windowed_inserts(v):
     stream, out = inserts_stream(v)
     twins.to_table(twins.windowed_inserts(stream, length="7 days"), f"{out}/checkpoint", f"{out}/table")
-    return v("runs").sparkSession.read.parquet(f"{out}/table").select("publisher", F.to_date("w.start").alias("window_start"), "n")
+    return twins.latest(v("runs").sparkSession, f"{out}/table", ["w", "publisher"]).select("publisher", F.to_date("w.start").alias("window_start"), "n")
 
 
 @query("select entity_id from {inserts} where entity_id % 180 <= 90")
 def r4_late_evidence_recheck(v):
     stream, out = inserts_stream(v)
-    evidence = v("inserts").select("entity_id", F.date_add("insert_date", (c("entity_id") % 180).cast("int")).alias("evidence_date"))
+    found = F.date_add("insert_date", (c("entity_id") % 180).cast("int"))
+    evidence = streamed(v, v("inserts").select("entity_id", found.alias("evidence_date"), found.alias("collection_date")))[0].drop("collection_date")
     twins.run(twins.late_evidence(stream, evidence), f"{out}/checkpoint", twins.idempotent_sink(f"{out}/table", ["entity_id"]))
     return v("runs").sparkSession.read.parquet(f"{out}/table").select("entity_id")
 
@@ -179,7 +180,7 @@ def r4_late_evidence_recheck(v):
 def r5_freshness_lag(v):
     stream, out = streamed(v, v("runs"))
     twins.to_table(twins.freshness_lag(stream), f"{out}/checkpoint", f"{out}/table")
-    return v("runs").sparkSession.read.parquet(f"{out}/table")
+    return twins.latest(v("runs").sparkSession, f"{out}/table", ["publisher"])
 
 
 @query("select publisher, collection_date, item_count from {runs}")
@@ -194,9 +195,11 @@ def r6_idempotent_sink(v):
 @query("""with d as (select distinct publisher, collection_date from {snapshots}), g as (select *, case when collection_date - lag(collection_date) over (partition by publisher order by collection_date) <= 1 then 0 else 1 end as new from d),
           s as (select *, sum(new) over (partition by publisher order by collection_date) as spell from g) select publisher, min(collection_date) as first_day, cast(count(*) as bigint) as n from s group by publisher, spell""")
 def r7_session_gaps(v):
-    rows = v("snapshots").select("publisher", "collection_date").distinct().withColumn("ts", c("collection_date").cast("timestamp"))
-    stream, out = streamed(v, rows)
-    twins.to_table(twins.session_gaps(stream), f"{out}/checkpoint", f"{out}/table")
+    rows = v("snapshots").select("publisher", "collection_date").distinct()
+    # A row of no publisher, long after all others, lets the watermark close the last spells.
+    end = rows.agg(F.lit(None).cast("string").alias("publisher"), F.date_add(F.max("collection_date"), 30).alias("collection_date"))
+    stream, out = streamed(v, rows.unionByName(end).withColumn("ts", c("collection_date").cast("timestamp")))
+    twins.to_table(twins.session_gaps(stream), f"{out}/checkpoint", f"{out}/table", "append")
     return v("runs").sparkSession.read.parquet(f"{out}/table").select("publisher", F.to_date("w.start").alias("first_day"), "n")
 
 

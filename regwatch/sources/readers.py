@@ -29,12 +29,14 @@ def read_register_xml(spark: SparkSession, path: str) -> DataFrame:
     rows = _xml(spark, path, "EstablishmentDetail", DETAIL)
     number = lambda name, kind: _text(name).try_cast(kind)
     lines = [_text(f"AddressLine{k}").alias(f"address_line_{k}") for k in range(1, 5)]
+    # Spark refuses to read the broken records alone, so a part of no length of another column stands beside them.
+    broken = F.concat("_corrupt_record", F.substring(F.coalesce("FHRSID", F.lit("")), 1, 0)).alias("_corrupt_record")
     return rows.select(
         number("FHRSID", "long").alias("entity_id"), _text("LocalAuthorityBusinessID").alias("local_business_id"), _text("BusinessName").alias("business_name"), _text("BusinessType").alias("business_type"),
         number("BusinessTypeID", "long").alias("business_type_id"), *lines, _text("PostCode").alias("post_code"), _text("RatingValue").alias("rating_value"), number("RatingValue", "long").alias("rating_value_numeric"),
         _text("RatingKey").alias("rating_key"), number("RatingDate", "date").alias("rating_date"), _text("SchemeType").alias("scheme_type"), (F.lower(_text("NewRatingPending")) == "true").alias("new_rating_pending"),
         number("Scores.Hygiene", "long").alias("hygiene_score"), number("Scores.Structural", "long").alias("structural_score"), number("Scores.ConfidenceInManagement", "long").alias("confidence_in_management_score"),
-        number("Geocode.Longitude", "double").alias("longitude"), number("Geocode.Latitude", "double").alias("latitude"), F.col("_corrupt_record"), F.col("_metadata.file_path").alias("file"),
+        number("Geocode.Longitude", "double").alias("longitude"), number("Geocode.Latitude", "double").alias("latitude"), broken, F.col("_metadata.file_path").alias("file"),
     )
 
 
@@ -45,13 +47,19 @@ def read_register_header(spark: SparkSession, path: str) -> DataFrame:
 
 
 def split_bad_records(rows: DataFrame, key: str = "entity_id", file: str = "file") -> tuple[DataFrame, DataFrame]:
-    """Rows with a key, once for each file, and the rows skipped for each file: without a key, broken or repeated (S3)."""
+    """Rows with a key, once for each file, and the rows skipped for each file: without a key or repeated (S3). A file with
+    a broken record (``_corrupt_record``) failed as a whole: it is a run of status parse_error and none of its rows count."""
     repeated = F.row_number().over(Window.partitionBy(file, key).orderBy(F.hash(*[c for c in rows.columns if c != file])))
-    marked = rows.withColumn("__nth", repeated)
-    good = marked.where(F.col(key).isNotNull() & (F.col("__nth") == 1)).drop("__nth")
-    skipped = marked.groupBy(file).agg(F.count_if(F.col(key).isNull()).alias("no_key"), F.count_if(F.col(key).isNotNull() & (F.col("__nth") > 1)).alias("repeated"))
-    status = F.when(F.col("no_key") + F.col("repeated") > 0, "skipped").otherwise("ok")
-    return good, skipped.withColumn("status", status)
+    broken = F.col("_corrupt_record").isNotNull() if "_corrupt_record" in rows.columns else F.lit(False)
+    marked = rows.withColumn("__nth", repeated).withColumn("__broken", broken)
+    sound = ~F.col("__broken")
+    skipped = marked.groupBy(file).agg(
+        F.count_if(sound & F.col(key).isNull()).alias("no_key"), F.count_if(sound & F.col(key).isNotNull() & (F.col("__nth") > 1)).alias("repeated"), F.count_if("__broken").alias("broken")
+    )
+    status = F.when(F.col("broken") > 0, "parse_error").when(F.col("no_key") + F.col("repeated") > 0, "skipped").otherwise("ok")
+    skipped = skipped.withColumn("status", status)
+    good = marked.where(F.col(key).isNotNull() & (F.col("__nth") == 1)).drop("__nth", "__broken")
+    return good.join(skipped.where("broken > 0").select(file), file, "left_anti").select(*rows.columns), skipped
 
 
 def read_publisher_index(spark: SparkSession, path: str) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators import cdc
 from ..params import DEFAULT, Params
@@ -19,37 +22,72 @@ def run(stream: DataFrame, checkpoint: str, batch, mode: str = "append") -> None
     stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(batch).start().awaitTermination()
 
 
-def to_table(stream: DataFrame, checkpoint: str, path: str) -> None:
-    """A streaming aggregate as a table that each batch replaces."""
-    run(stream, checkpoint, lambda df, _: df.write.mode("overwrite").parquet(path), "complete")
+def to_table(stream: DataFrame, checkpoint: str, path: str, mode: str = "update") -> None:
+    """A streaming aggregate as a table of what each batch changed (update) or closed (append); ``latest`` reads it."""
+    run(stream, checkpoint, lambda df, n: df.write.mode("overwrite").parquet(f"{path}/batch={n}"), mode)
 
 
-def stream_change_log(stream: DataFrame, path: str, checkpoint: str, key: tuple = cdc.KEY, fp: str = "fingerprint", date: str = cdc.DATE) -> None:
-    """Append to path/log the rows of each batch that are new or changed, against the last fingerprints stored in
-    path/state/<batch>; rows of a key have to arrive in the order of their dates. A repeated batch writes the same."""
+def latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """Of a table that ``to_table`` has written the newest row of each key."""
+    rows = spark.read.parquet(path)
+    rest = [c for c in rows.columns if c not in (*keys, "batch")]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("__last")).select(*keys, "__last.*")
 
-    def batch(df: DataFrame, number: int) -> None:
-        spark, old = df.sparkSession, f"{path}/state/{number - 1}"
-        before = spark.read.parquet(old).withColumn("__old", F.lit(True)) if number and _there(spark, old) else None
-        rows = df.withColumn("__old", F.lit(False))
-        both = rows if before is None else rows.unionByName(before, allowMissingColumns=True)
-        cdc.change_log(both, key, fp, date).where("not __old").drop("__old").write.mode("overwrite").parquet(f"{path}/log/batch={number}")
-        both.groupBy(*key).agg(F.max(date).alias(date), F.max_by(fp, date).alias(fp)).write.mode("overwrite").parquet(f"{path}/state/{number}")
 
-    run(stream, checkpoint, batch)
+def stream_change_log(stream: DataFrame, path: str, checkpoint: str, key: tuple = cdc.KEY, fp: str = "fingerprint", date: str = cdc.DATE) -> None:
+    """Append to path/log the rows that are new or changed. Spark's state holds the last fingerprint of each key and
+    nothing else; rows of a key have to arrive in the order of their dates. A repeated batch writes the same."""
+
+    def changed(_, frames, state):
+        last = state.get[0] if state.exists else None
+        rows = pd.concat(list(frames)).sort_values(date, kind="stable")
+        kinds = []
+        for now in rows[fp]:
+            now = None if pd.isna(now) else now
+            kinds.append("first_seen" if last is None else "field_changed" if now is not None and now != last else None)
+            last = now
+        state.update((last,))
+        rows["change_type"] = kinds
+        yield rows[rows["change_type"].notna()]
+
+    out = StructType([*stream.schema.fields, StructField("change_type", StringType())])
+    last = StructType([StructField("last", stream.schema[fp].dataType)])
+    log = stream.groupBy(*key).applyInPandasWithState(changed, out, last, "append", GroupStateTimeout.NoTimeout)
+    run(log, checkpoint, lambda df, n: df.write.mode("overwrite").parquet(f"{path}/log/batch={n}"))
 
 
 def stream_change_events(stream: DataFrame, runs: DataFrame, path: str, checkpoint: str, fp: str = "fingerprint") -> None:
-    """Keep whole (publisher, date) partitions as they land and write the events of the runs that the ledger calls done.
-    Absence is judged on complete runs alone; runs that are there already are written again alike."""
+    """Write what ``read_change_events`` needs: the change log, from state, and the entities that a run no longer has.
 
-    def batch(df: DataFrame, number: int) -> None:
-        df.write.mode("overwrite").parquet(f"{path}/landed/batch={number}")
-        landed = df.sparkSession.read.parquet(f"{path}/landed")
-        done = runs.join(landed.select("publisher", cdc.DATE).distinct(), ["publisher", cdc.DATE], "left_semi")
-        cdc.write_run_events(cdc.change_events(landed.drop("batch"), done, fp), f"{path}/events")
+    Keys of landed runs lie in partitions (publisher, date). A batch compares its runs, and those that follow them, with
+    the run before, as the ledger of successful runs orders them, and so reads two runs for each of its own, however long
+    the history is. Runs that are there already are written again alike.
+    """
+    numbered = cdc.ok_runs(runs)
 
-    run(stream, checkpoint, batch)
+    def batch(df: DataFrame, number: int) -> None:
+        keys = df.select(*cdc.KEY, cdc.DATE).distinct()
+        keys.write.mode("overwrite").partitionBy("publisher", cdc.DATE).parquet(f"{path}/landed/batch={number}")
+        landed = df.sparkSession.read.schema(f"entity_id {df.schema['entity_id'].dataType.simpleString()}, batch long, publisher string, {cdc.DATE} date").parquet(f"{path}/landed")
+        here = keys.select("publisher", cdc.DATE).distinct()
+        there = landed.select("publisher", cdc.DATE).distinct()
+        asked = numbered.join(here, ["publisher", cdc.DATE], "left_semi").unionByName(numbered.join(here.withColumnRenamed(cdc.DATE, "previous_date"), ["publisher", "previous_date"], "left_semi")).distinct()
+        asked = asked.join(there, ["publisher", cdc.DATE], "left_semi").where("previous_date is not null").select("publisher", cdc.DATE, "previous_date")
+        before = landed.select("publisher", "entity_id", F.col(cdc.DATE).alias("previous_date")).distinct().join(asked, ["publisher", "previous_date"])
+        gone = before.join(landed.select(*cdc.KEY, cdc.DATE), [*cdc.KEY, cdc.DATE], "left_anti")
+        cdc.write_run_events(gone.select("entity_id", F.lit("DELETE").alias("event_type"), "publisher", cdc.DATE), f"{path}/deletes")
+
+    run(stream, f"{checkpoint}/landed", batch)
+    stream_change_log(stream, path, f"{checkpoint}/log", fp=fp)
+
+
+def read_change_events(spark: SparkSession, runs: DataFrame, path: str) -> DataFrame:
+    """The events of the runs that ``stream_change_events`` has met (publisher, date, entity_id, event_type)."""
+    log = spark.read.parquet(f"{path}/log").join(cdc.ok_runs(runs).select("publisher", cdc.DATE, "run_no"), ["publisher", cdc.DATE])
+    kind = F.when(F.col("change_type") == "first_seen", "INSERT").otherwise("UPDATE").alias("event_type")
+    changes = log.where("change_type = 'field_changed' or run_no > 1").select("publisher", cdc.DATE, "entity_id", kind)
+    deletes = spark.read.schema(f"entity_id {log.schema['entity_id'].dataType.simpleString()}, event_type string, publisher string, {cdc.DATE} date").parquet(f"{path}/deletes")
+    return changes.unionByName(deletes)
 
 
 def windowed_inserts(stream: DataFrame, ts: str = "ts", length: str = "28 days", slide: str = "1 day", late: str = "2 days") -> DataFrame:
@@ -57,10 +95,13 @@ def windowed_inserts(stream: DataFrame, ts: str = "ts", length: str = "28 days",
     return stream.withWatermark(ts, late).groupBy(F.window(ts, length, slide).alias("w"), "publisher").agg(F.count("*").alias("n"))
 
 
-def late_evidence(events: DataFrame, evidence: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """Streamed events with evidence that came within the recheck window after them (a stream joined with a table)."""
-    near = F.datediff("evidence_date", "insert_date").between(0, p.recheck_days)
-    return events.join(evidence, "entity_id").where(near)
+def late_evidence(events: DataFrame, evidence: DataFrame, p: Params = DEFAULT, late: str = "2 days") -> DataFrame:
+    """Events (insert_date) with evidence (evidence_date) that comes within the recheck window after them. Either may be
+    a stream: the window bounds what is kept of both, so evidence that comes batches later still meets its event."""
+    left = events.withColumn("__at", F.col("insert_date").cast("timestamp")).withWatermark("__at", late)
+    right = evidence.withColumnRenamed("entity_id", "__id").withColumn("__seen", F.col("evidence_date").cast("timestamp")).withWatermark("__seen", late)
+    near = (F.col("entity_id") == F.col("__id")) & (F.col("__seen") >= F.col("__at")) & (F.col("__seen") <= F.col("__at") + F.expr(f"interval {p.recheck_days} days"))
+    return left.join(right, near).drop("__at", "__id", "__seen")
 
 
 def freshness_lag(stream: DataFrame) -> DataFrame:
@@ -82,7 +123,7 @@ def idempotent_sink(path: str, keys: list[str]):
 
 
 def session_gaps(stream: DataFrame, ts: str = "ts", gap: str = "36 hours", late: str = "2 days") -> DataFrame:
-    """Spells of activity of each publisher without a pause as long as the gap."""
+    """Spells of activity of each publisher without a pause as long as the gap, each once the watermark has closed it."""
     return stream.withWatermark(ts, late).groupBy(F.session_window(ts, gap).alias("w"), "publisher").agg(F.count("*").alias("n"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from regwatch.functions import text as t
 from regwatch.operators import cdc, classify, feed, guard, mailauth, resolve, windows
 from regwatch.params import Params
+from regwatch.sources import readers
 from regwatch.streaming import twins
 
 D = dt.date
@@ -152,3 +153,27 @@ def test_picks_keep_a_place_for_named_takeovers(spark):
     got = windows.diverse_top_k(table, 4, ["territory"]).orderBy("pick").collect()
     assert [r.entity_id for r in got] == [0, 1, 2, 9]
     assert windows.diverse_top_k(table, 10, ["territory"]).count() == 7
+
+
+def test_broken_files_are_parse_errors(spark, tmp_path):
+    record = "<EstablishmentDetail><FHRSID>{}</FHRSID><BusinessName>x</BusinessName></EstablishmentDetail>"
+    whole = "<E>" + "".join(record.format(k) for k in (1, 2, 2, "")) + "</E>"
+    (tmp_path / "a.xml").write_text(whole)
+    (tmp_path / "b.xml").write_text("<E>" + record.format(3) + "<EstablishmentDetail><FHRSID>4</FHRSID><BusinessName>x</EstablishmentDetail></E>")
+    good, skipped = readers.split_bad_records(readers.read_register_xml(spark, str(tmp_path)))
+    assert sorted(r.entity_id for r in good.collect()) == [1, 2]
+    assert {r.file[-5:]: (r.no_key, r.repeated, r.broken > 0, r.status) for r in skipped.collect()} == {"a.xml": (1, 1, False, "skipped"), "b.xml": (0, 0, True, "parse_error")}
+
+
+def test_streams_in_many_batches_equal_the_whole(spark, tmp_path):
+    days = [f"2024-01-{d:02d}" for d in (1, 2, 3, 4, 5)]
+    rows = [("p", k, d, f"f{(k * (i // 2)) % 3}") for i, d in enumerate(days) for k in range(12) if (k + i) % 5 and not (k > 8 and i < 2)]
+    df = spark.createDataFrame(rows, "publisher string, entity_id long, day string, fingerprint string").selectExpr("publisher", "entity_id", "cast(day as date) as collection_date", "fingerprint")
+    runs = df.select("publisher", "collection_date").distinct().withColumn("status", F.lit("ok"))
+    for i, d in enumerate(days):
+        df.where(F.col("collection_date") == d).coalesce(1).write.parquet(str(tmp_path / "in" / f"{i}"))
+    stream = twins.files(spark, str(tmp_path / "in" / "*"), df.schema, 1)
+    twins.stream_change_events(stream, runs, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    got = twins.read_change_events(spark, runs, str(tmp_path / "out"))
+    want = cdc.change_events(df, runs).select(got.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and want.count() > 10
