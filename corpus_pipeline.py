@@ -1,8 +1,12 @@
 """Documents to training sequences: language, exact copies, near copies, benchmark leaks, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before it kept. All but the last return rows of
-``documents``; the last returns the packed pieces of what is left. Rows of null doc_id and null text are judged as the
-operators' docstrings say: a null text has no language and goes in the first stage.
+``documents``; the last returns the packed pieces of what is left.
+
+Defined results: a text that is null, blank or without a letter has no language and goes in the first stage; rows of null
+doc_id stay unless their text goes; of rows that repeat doc_id and text one stays; ties (equal texts, equal likeness) go
+to the least doc_id; very long texts are judged and packed whole; empty tables give empty results; further columns,
+whatever their names, pass through all stages but the last, which returns its own columns.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ from regwatch.llm.queries import vocabulary
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in some language; texts without a letter go."""
+    """Documents that the network finds to be in one of the learned languages; what it is sure of in none goes."""
     return lang.keep_known(docs)
 
 
@@ -48,9 +52,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The result of the last stage on documents; every stage is written in the shared folder and read again."""
+    """The result of the last stage on documents. Every stage is written in the shared folder and read again; a stage takes
+    the place of the last but one, so never more than two are kept."""
     docs, folder = spark.read.parquet(f"{sf_dir}/documents.parquet"), f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
-    for k, (name, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}-{name}")
-        docs = spark.read.parquet(f"{folder}/{k}-{name}")
+    for k, (_, stage) in enumerate(STAGES):
+        made = stage(spark, docs, sf_dir)
+        path, schema = f"{folder}/{k % 2}", made.schema
+        made.write.mode("overwrite").parquet(path)
+        docs = spark.read.schema(schema).parquet(path)
     return docs

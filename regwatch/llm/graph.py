@@ -1,4 +1,8 @@
-"""Connected components of an edge table, by alternating large and small stars."""
+"""Connected components of an edge table, by alternating large and small stars.
+
+Defined results: edges with a null end and loops count for nothing; repeated edges count once; an empty table gives an
+empty result; further columns are ignored. There are no ties: a component is named after its least node.
+"""
 
 from __future__ import annotations
 

@@ -8,8 +8,9 @@ for the letters they look like. Every hit gets a score from a window of words ar
 second persons raise it. A logistic regression over the sums gives the document's score.
 
 Defined results: null and empty texts get the score of a text without hits; a null doc_id stays null; labels of null
-count as absent; repeated rows are judged each by itself; an empty table gives an empty result; without labels of both
-kinds the score is 0 or the rate of the labels; further columns of the input are ignored.
+count as absent; repeated rows are judged each by itself; very long texts are scored whole; of several grades of a word
+the best counts, of equal ones either; an empty table gives an empty result; without labels of both kinds the score is 0
+or the rate of the labels; further columns of the input, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ from .common import chunks, cut, fold, text_of
 
 #: Labelled rows of either kind that may be learned from (about: a hash under a threshold picks them).
 TOXIC_ROWS, CLEAN_ROWS = 3000, 6000
-#: Lengths of stems, least documents behind a term, least ratio of its rates, and most terms.
-STEMS, LEAST_DOCS, LEAST_RATIO, MOST_TERMS = range(4, 8), 5, 20.0, 2000
+#: Lengths of stems, least documents behind a term, and least ratio of its rates.
+STEMS, LEAST_DOCS, LEAST_RATIO = range(4, 8), 5, 20.0
 #: A prefix is a stem unless one word makes up this share of it.
 ONE_WORD = 0.8
 #: Words to either side of a hit that make its context, and words that a worker remembers.
@@ -231,7 +232,8 @@ def learn_terms(drawn: DataFrame) -> tuple[list[str], list[str]]:
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     sums = drawn.mapInArrow(_counted, "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     ratio = (F.col("toxic") + 0.5) / (toxic + 1) / ((F.col("clean") + 0.5) / (clean + 1))
-    rows = sums.where((F.col("toxic") >= max(LEAST_DOCS, toxic // 400)) & (ratio >= LEAST_RATIO)).orderBy(F.desc("toxic"), "term").limit(MOST_TERMS).collect()
+    rows = sums.where((F.col("toxic") >= max(LEAST_DOCS, toxic // 400)) & (ratio >= LEAST_RATIO)).collect()  # each stands in LEAST_DOCS of TOXIC_ROWS documents
+    rows.sort(key=lambda r: (-r.toxic, r.term))
     words = {r.term[:-1]: r.toxic for r in rows if r.term.endswith("$")}
     stems: list[str] = []
     for r in sorted((r for r in rows if not r.term.endswith("$")), key=lambda r: len(r.term)):

@@ -6,8 +6,9 @@ warc_type, target_uri, warc_date, refers_to, content_type, payload_digest, block
 lines of the record, name to value) and block. Record ids are made from type and content, so a rerun gives the same.
 
 Defined results: null html is an empty payload; a null url gives a record without a target; repeated rows give repeated
-records; an empty table gives an empty result; further columns of the input are ignored. A response whose block has no
-empty line after its head is taken as a payload without headers.
+records; very long pages are converted whole; of several titles the first counts; an empty table gives an empty result;
+further columns of the input, whatever their names, are ignored. A response whose block has no empty line after its head
+is taken as a payload without headers.
 """
 
 from __future__ import annotations

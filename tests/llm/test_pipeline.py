@@ -29,3 +29,21 @@ def test_stages_match_brute_force(spark, tmp_path):
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in out} == want and {r.piece for r in out} == {0}
     assert all(re.fullmatch(r"\d+", str(r.sequence_id)) for r in out)
+
+
+def test_stages_take_odd_rows(spark, tmp_path):
+    text = "the thing of that and with " * 40
+    rows = [(1, text, "en", 1, 2, 3), (1, text, "en", 1, 2, 3), (2, text + "x", "en", 1, 2, 3), (None, "le des que où être garçon", "fr", 1, 2, 3), (3, None, "fr", 1, 2, 3), (4, "le que " * 30000, "fr", None, None, None), (5, "", None, 1, 2, 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, __id int, __digest int, __own int")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, "of no document at all")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    left = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        left = stage(spark, left, str(tmp_path))
+        assert left.columns == docs.columns, name
+    kept = [r.doc_id for r in left.collect()]
+    assert sorted(map(str, kept)) == ["1", "4", "None"]
+    assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == {1, 4, None}
+    empty = docs.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, str(tmp_path)).count() == 0, name
