@@ -44,13 +44,20 @@ def ip_hex(ip: Column) -> Column:
 
 
 def cidr_classify(ips: DataFrame, ranges: DataFrame) -> DataFrame:
-    """listed, unlisted or unparseable for each ip. ranges: label and lo, hi as addresses of either kind; the table is a
-    handful of networks, joined by range within the address kind."""
+    """listed, unlisted or unparseable for each ip. ranges: label and lo, hi as addresses of either kind.
+
+    All addresses of a range begin with the digits that its ends share, so an address meets the ranges by its first
+    digits, once for each number of digits that some range shares: 66 pairs of kind and number at most.
+    """
     number = lambda c: F.coalesce(F.lpad(F.hex(ip_number(c)), 32, "0"), ip_hex(c))
     kind = lambda c: F.when(ip_number(c).isNotNull(), 4).when(ip_hex(c).isNotNull(), 6)
     nets = ranges.select("label", F.upper(number(F.col("lo"))).alias("lo"), F.upper(number(F.col("hi"))).alias("hi"), kind(F.col("lo")).alias("kind"))
+    same = lambda i: F.substring("lo", i, F.lit(1)) == F.substring("hi", i, F.lit(1))
+    shared = F.coalesce(F.get(F.filter(F.sequence(F.lit(1), F.lit(32)), lambda i: ~same(i)), F.lit(0)) - 1, F.lit(32))
+    nets = nets.withColumn("digits", shared).withColumn("head", F.substring(F.col("lo"), F.lit(1), F.col("digits")))
     rows = ips.select("source_ip").distinct().withColumn("kind", kind(F.col("source_ip"))).withColumn("key", F.upper(number(F.col("source_ip"))))
-    hits = rows.join(nets, "kind").where(F.col("key").between(F.col("lo"), F.col("hi"))).groupBy("source_ip").agg(F.min("label").alias("label"))
+    asked = rows.join(F.broadcast(nets.select("kind", "digits").distinct()), "kind").withColumn("head", F.substring(F.col("key"), F.lit(1), F.col("digits")))
+    hits = asked.join(nets, ["kind", "digits", "head"]).where(F.col("key").between(F.col("lo"), F.col("hi"))).groupBy("source_ip").agg(F.min("label").alias("label"))
     state = F.when(F.col("key").isNull(), "unparseable").when(F.col("label").isNotNull(), "listed").otherwise("unlisted")
     return rows.join(hits, "source_ip", "left").select("source_ip", "label", state.alias("state"))
 
