@@ -26,12 +26,24 @@ NOT_CORROBORATED = "address isn't corroborat"
 SOLD = ("NEW_VENUE", "OPERATOR_CHANGE")
 REASONS = ("outside territory", "unclassified", "venue type", "incomplete address", "chain", "institution", "re-issue")
 LINES = tuple(f"address_line_{k}" for k in range(1, 5))
+# The feed's column names, in their order.
 FEED = (
     "fhrsid business_name address postcode postcode_source address_completeness google_maps_url authority_name authority_extract_date business_type rating_status first_seen_date "
     "days_since_first_seen batch_publication classification confidence reason reason_detail previous_business_name previous_fhrsid previous_last_seen match_status company_name "
     "company_number company_status incorporation_date sic_codes companies_house_url fhrs_url"
 ).split()
 
+# What a customer is told about a record; results must agree on it.
+SAID = {
+    "new": "New registration.",
+    "new with company": 'New registration, matched to Companies House company "%s".',
+    "change": "Operator change.",
+    "change of name": 'Operator change -- this address previously traded as "%s".',
+    "change of the same name": "Possible operator change -- kept the same trading name as the previous record; not company-confirmed.",
+    "other": "No confirmed company match.",
+    "other with company": 'Matched to Companies House company "%s", but not confirmed as a new registration.',
+}
+
 
 def feed_records(classifications: DataFrame, events: DataFrame, entities: DataFrame, publishers: DataFrame, diff_runs: DataFrame, runs: DataFrame, companies: DataFrame, since: Column | None = None, until: Column | None = None) -> DataFrame:
     """Classified INSERTs with all that is known of them; quarantined ones, closed or nameless entities go.
@@ -69,16 +81,20 @@ def is_noise_type(c: Column) -> Column:
 
 
 def customer_reason() -> Column:
+    """What SAID has for a record's label and evidence."""
     c = F.col
-    company, old = c("company_name"), c("previous_business_name")
-    new = F.when(t.text(company) != "", F.concat(F.lit('New registration, matched to Companies House company "'), company, F.lit('".'))).otherwise("New registration.")
-    change = (
-        F.when((t.text(old) != "") & ~old.eqNullSafe(c("business_name")), F.concat(F.lit('Operator change -- this address previously traded as "'), old, F.lit('".')))
-        .when(t.text(old) != "", "Possible operator change -- kept the same trading name as the previous record; not company-confirmed.")
-        .otherwise("Operator change.")
+    new, change = c("classification") == "NEW_VENUE", c("classification") == "OPERATOR_CHANGE"
+    known = lambda name: t.text(c(name)) != ""
+    said = lambda key, name=None: F.lit(SAID[key]) if name is None else F.format_string(SAID[key], t.text(c(name)))
+    return (
+        F.when(new & known("company_name"), said("new with company", "company_name"))
+        .when(new, said("new"))
+        .when(change & known("previous_business_name") & c("previous_business_name").eqNullSafe(c("business_name")), said("change of the same name"))
+        .when(change & known("previous_business_name"), said("change of name", "previous_business_name"))
+        .when(change, said("change"))
+        .when(known("evidence_company_number"), said("other with company", "company_name"))
+        .otherwise(said("other"))
     )
-    other = F.when(t.text(c("evidence_company_number")) != "", F.concat(F.lit('Matched to Companies House company "'), t.text(company), F.lit('", but not confirmed as a new registration.'))).otherwise("No confirmed company match.")
-    return F.when(c("classification") == "NEW_VENUE", new).when(c("classification") == "OPERATOR_CHANGE", change).otherwise(other)
 
 
 def build_feed(records: DataFrame, as_of: Column) -> DataFrame:
@@ -146,7 +162,7 @@ def removal_reason(audience: Column | str, inside: Column) -> Column:
 def filter_waterfall(records: DataFrame, audience: str = "all", publishers: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Records that stay, and the number removed for each of the seven reasons, zeros too."""
     if audience not in AUDIENCES:
-        raise ValueError(f"unknown audience {audience!r}: one of {', '.join(sorted(AUDIENCES))}")
+        raise ValueError(f"no audience is called {audience!r}; there are {', '.join(AUDIENCES)}")
     inside = F.lit(True) if publishers is None else F.col("authority_name").isin(*publishers)
     judged = records.withColumn("reason_removed", removal_reason(audience, inside))
     every = records.sparkSession.createDataFrame([(r,) for r in REASONS], "reason_removed string")

@@ -137,7 +137,7 @@ def test_chains_reissues_and_unknown_audience(spark):
     cases = [("Danisa Cafe", "", False), ("Nisa Local", "", True), ("Canteen, WM MORRISON PRODUCE", "", True), ("Canteen", "Wm Morrison Produce Ltd", True), ("Sparrow Inn", "", False)]
     rows = spark.createDataFrame(cases, "name string, address string, want boolean")
     assert all(r.got == r.want for r in rows.select("want", feed.is_chain(F.col("name"), F.col("address")).alias("got")).collect())
-    with pytest.raises(ValueError, match="unknown audience"):
+    with pytest.raises(ValueError, match="no audience"):
         feed.filter_waterfall(rows, "nobody")
 
 
