@@ -15,6 +15,8 @@ from ..functions.text import address_density_key, company_name_norm, is_multi_wo
 from ..params import DEFAULT, Params
 
 EVENT = ("entity_id", "insert_date")
+#: The density key of a blank line and postcode.
+NO_ADDRESS = "|"
 
 
 def words_of(norm: Column) -> Column:
@@ -69,10 +71,13 @@ def name_keys(df: DataFrame, norm: str, bag: str, weight: str, least: float) ->
 
 
 def address_density(companies: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """companies with the number of companies at their address, and whether that is high."""
+    """companies with the number of companies at their address, and whether that is high. Companies without any address
+    share one key, so they get their one number apart from the join."""
     keyed = companies.withColumn("density_key", address_density_key(F.col("address_line_1"), F.col("postcode")))
-    counts = keyed.groupBy("density_key").agg(F.count("*").alias("address_company_count"))
-    return keyed.join(counts, "density_key").withColumn("is_high_density_address", F.col("address_company_count") >= p.dense_address)
+    some, none = keyed.where(F.col("density_key") != NO_ADDRESS), keyed.where(F.col("density_key") == NO_ADDRESS)
+    n = F.count("*").alias("address_company_count")
+    counted = some.join(some.groupBy("density_key").agg(n), "density_key").unionByName(none.join(F.broadcast(none.agg(n))))
+    return counted.withColumn("is_high_density_address", F.col("address_company_count") >= p.dense_address)
 
 
 def prepared_companies(companies: DataFrame, idf: DataFrame, p: Params = DEFAULT) -> DataFrame:

@@ -177,3 +177,9 @@ def test_streams_in_many_batches_equal_the_whole(spark, tmp_path):
     got = twins.read_change_events(spark, runs, str(tmp_path / "out"))
     want = cdc.change_events(df, runs).select(got.columns)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and want.count() > 10
+
+
+def test_companies_without_an_address_are_counted_together(spark):
+    rows = spark.createDataFrame([("1", None, " "), ("2", "", None), ("3", "1 Road", "N1"), ("4", "1 road ", "n1"), ("5", "1 Road", None)], "company_number string, address_line_1 string, postcode string")
+    got = {r.company_number: r.address_company_count for r in resolve.address_density(rows).collect()}
+    assert got == {"1": 2, "2": 2, "3": 2, "4": 2, "5": 1}
