@@ -11,7 +11,6 @@ from . import decontam, exact, lang, lm, near, packing, pii, substring, toxicity
 VOCABULARY = "word_bpe_49k.json"
 
 
-
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -93,4 +92,13 @@ ORACLES = {
         select {_UUID} as record_id, kind as warc_type, url as target_uri, '{warc.UNDATED}' as warc_date, source as refers_to, ct as content_type,
                'sha256:' || sha256(body) as payload_digest, 'sha256:' || sha256(body) as block_digest, body as block, pd as source_payload_digest, bd as source_block_digest from n
     """,
+    "op6_substring_dedup": r"""
+        with p as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+        w as (select doc_id, unnest(ws) as word, generate_subscripts(ws, 1) as i from p),
+        v as (select doc_id, k, array_to_string(ws[k:k + 49], ' ') as x from (select doc_id, ws, unnest(range(1, len(ws) - 48)) as k from p where len(ws) >= 50) q),
+        f as (select x, min(doc_id) as lo from v group by 1), h as (select doc_id, k from v join f using (x) where doc_id > lo),
+        g as (select distinct doc_id, k + j as i from h cross join (select unnest(range(0, 50)) as j) r),
+        k as (select w.doc_id, string_agg(word, ' ' order by i) as kept, count(*) as n from w anti join g using (doc_id, i) group by 1)
+        select p.doc_id, cast(len(ws) as bigint) as n_words, cast(len(ws) - coalesce(k.n, 0) as bigint) as n_removed, sha256(coalesce(kept, '')) as kept_sha256 from p left join k on k.doc_id = p.doc_id
+    """,
 }
