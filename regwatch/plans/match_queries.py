@@ -176,7 +176,9 @@ def searched(v):
     return v("companies").drop("company_status", "sic_codes").join(part, "company_number").withColumns({"company_status": status, "sic_codes": codes})
 
 
-@query()
+@query(f"""with {PREFIXES}, hit as (with {blocked(PREFIX)} select distinct enorm from sc join {{part}} on p_partkey = cast(company_number as bigint) where raw >= 0.9 and p_size % 4 <> 0),
+        ck as (select {norm('company_name')} as checked from {{companies}} join {{part}} on p_partkey = cast(company_number as bigint) where p_size % 4 = 0 and p_size * 2 < 30)
+        select * from pf where strpos(prefix_norm, ' ') > 0 and prefix_norm not in (select enorm from hit) and prefix_norm not in (select checked from ck)""")
 def m11_unsatisfied_prefixes_national(v):
     """Prefixes without a hit among the active companies, unless the name of a dissolved one was checked lately."""
     found = searched(v)
