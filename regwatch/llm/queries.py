@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact, lang, lm, near, packing, pii, substring, toxicity, warc
+from . import decontam, exact, fingerprint, lang, lm, near, packing, pii, substring, toxicity, warc
 
 #: Vocabulary of the packing query; the file is never part of this library.
 VOCABULARY = "word_bpe_49k.json"
@@ -63,7 +63,11 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_exact_dedup, op3_warc_derivatives, op4_minhash_near_dedup, op5_toxicity, op6_substring_dedup, op7_decontamination, op8_language_id, op9_pii, op10_lm_scoring)}
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edits(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_exact_dedup, op3_warc_derivatives, op4_minhash_near_dedup, op5_toxicity, op6_substring_dedup, op7_decontamination, op8_language_id, op9_pii, op10_lm_scoring, op13_fingerprints)}
 
 #: An id from a hash h, as the WARC operator cuts it.
 _UUID = "'urn:uuid:' || substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-8' || substr(h, 18, 3) || '-' || substr(h, 21, 12)"
