@@ -18,6 +18,7 @@ further columns, whatever their names, are kept by ``with_fingerprint`` and left
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -109,10 +110,11 @@ def likeness(a: Column, b: Column, bins: int = BINS) -> Column:
     return F.when(a == b, 1.0).when((a == "") | (b == ""), 0.0).otherwise(apart)
 
 
-def with_next(docs: DataFrame, columns: list[str], key: str = "doc_id", ties: str = "text") -> DataFrame:
-    """docs with ``next_<column>`` for each of the columns: that column of the next document by ascending key (nulls
-    first), after the last one that of the first. Only the bounds of buckets and the first key of each, a few for every
-    shuffle partition, pass through the driver."""
+def with_next(docs: DataFrame, columns: list[str], key: str = "doc_id", ties: str = "text", made: Callable[[DataFrame], DataFrame] = lambda x: x) -> DataFrame:
+    """made(docs) with ``next_<column>`` for each of the columns: that column of the next document by ascending key (nulls
+    first), after the last one that of the first. made adds columns row by row; it runs before rows are dealt out and, of
+    the guests, on those alone. Only the bounds of buckets and the first key of each, a few for every shuffle partition,
+    pass through the driver."""
     spark = docs.sparkSession
     own = free_prefix("__", docs)
     at, bucket, guest = f"{own}at", f"{own}bucket", f"{own}guest"
@@ -123,13 +125,13 @@ def with_next(docs: DataFrame, columns: list[str], key: str = "doc_id", ties: st
     keyed = keyed.withColumn(bucket, _place(F.col(at), bounds, 0, len(bounds)))
     firsts = sorted(tuple(r) for r in keyed.groupBy(bucket).agg(F.min(at)).collect())
     if not firsts:
-        return docs.select("*", *(F.col(c).alias(f"next_{c}") for c in columns))
+        return made(docs).select("*", *(F.col(c).alias(f"next_{c}") for c in columns))
     before = {b: firsts[k - 1][0] for k, (b, _) in enumerate(firsts)}
     wanted = spark.createDataFrame([(first, before[b]) for b, first in firsts], f"{at} long, {own}to int")
     first_row = Window.partitionBy(at).orderBy(F.col(ties).asc_nulls_first())
     guests = keyed.drop(bucket).join(F.broadcast(wanted), at).withColumn(f"{own}n", F.row_number().over(first_row)).where(F.col(f"{own}n") == 1)
     guests = guests.withColumnRenamed(f"{own}to", bucket).withColumn(guest, F.lit(1))
-    both = keyed.withColumn(guest, F.lit(0)).unionByName(guests.drop(f"{own}n"))
+    both = made(keyed.withColumn(guest, F.lit(0)).unionByName(guests.drop(f"{own}n")))
     order = Window.partitionBy(bucket).orderBy(guest, at, F.col(ties).asc_nulls_first())
     out = both.select("*", *(F.lead(c).over(order).alias(f"next_{c}") for c in columns))
     return out.where(F.col(guest) == 0).drop(at, bucket, guest)
@@ -147,8 +149,7 @@ def edits(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_chars, the fingerprint, and for the text whose second half is replaced by the start
     of the next document its SHA-256 and fingerprint, with the likeness to it (near_edited) and to the next document
     (near_next)."""
-    made = with_fingerprint(text_of(docs))
-    made = with_next(made, ["text", "fingerprint"])
+    made = with_next(text_of(docs), ["text", "fingerprint"], made=with_fingerprint)
     n = F.length("text")
     half = F.shiftright(n, 1)
     made = made.withColumn("n_chars", n.cast("long")).withColumn("edited", F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half)))
