@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact, fingerprint, lang, lm, near, packing, pii, substring, toxicity, warc
+from . import decontam, exact, fingerprint, lang, lm, near, negatives, packing, pii, substring, toxicity, warc
 
 #: Vocabulary of the packing query; the file is never part of this library.
 VOCABULARY = "word_bpe_49k.json"
@@ -63,11 +63,15 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(_table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edits(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_exact_dedup, op3_warc_derivatives, op4_minhash_near_dedup, op5_toxicity, op6_substring_dedup, op7_decontamination, op8_language_id, op9_pii, op10_lm_scoring, op13_fingerprints)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_exact_dedup, op3_warc_derivatives, op4_minhash_near_dedup, op5_toxicity, op6_substring_dedup, op7_decontamination, op8_language_id, op9_pii, op10_lm_scoring, op12_hard_negatives, op13_fingerprints)}
 
 #: An id from a hash h, as the WARC operator cuts it.
 _UUID = "'urn:uuid:' || substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-8' || substr(h, 18, 3) || '-' || substr(h, 21, 12)"
@@ -96,6 +100,16 @@ ORACLES = {
         select {_UUID} as record_id, kind as warc_type, url as target_uri, '{warc.UNDATED}' as warc_date, source as refers_to, ct as content_type,
                'sha256:' || sha256(body) as payload_digest, 'sha256:' || sha256(body) as block_digest, body as block, pd as source_payload_digest, bd as source_block_digest from n
     """,
+    "op12_hard_negatives": """
+        with k as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v from embeddings
+                   where label is not null and embedding is not null and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))),
+        s as (select a.vec_id as anchor_id, r.vec_id, a.label = r.label as same, cast(list_inner_product(a.v, r.v) as bigint) as score from k a join k r on a.vec_id <> r.vec_id where a.vec_id % 50 = 0),
+        p as (select * from s where same qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+        n as (select p.anchor_id, p.vec_id as positive_id, s.vec_id as negative_id, p.score as positive_score, s.score as negative_score,
+                     row_number() over (partition by p.anchor_id, p.vec_id order by s.score desc, s.vec_id) as rank
+              from p join s on s.anchor_id = p.anchor_id and not s.same and 50 * p.score <= 100 * s.score and 100 * s.score <= 95 * p.score)
+        select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score from n where rank <= 3
+    """,
     "op6_substring_dedup": r"""
         with p as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
         w as (select doc_id, unnest(ws) as word, generate_subscripts(ws, 1) as i from p),
