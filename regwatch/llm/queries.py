@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact, fingerprint, lang, lm, near, negatives, packing, pii, substring, toxicity, warc
+from . import decontam, exact, fingerprint, lang, lm, near, negatives, packing, pii, substring, toxicity, trie, warc
 
 #: Vocabulary of the packing query; the file is never part of this library.
 VOCABULARY = "word_bpe_49k.json"
@@ -63,6 +63,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(_table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_tree(_table(spark, sf_dir, "conversations"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))
 
@@ -71,7 +75,7 @@ def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edits(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_exact_dedup, op3_warc_derivatives, op4_minhash_near_dedup, op5_toxicity, op6_substring_dedup, op7_decontamination, op8_language_id, op9_pii, op10_lm_scoring, op12_hard_negatives, op13_fingerprints)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_exact_dedup, op3_warc_derivatives, op4_minhash_near_dedup, op5_toxicity, op6_substring_dedup, op7_decontamination, op8_language_id, op9_pii, op10_lm_scoring, op11_prefix_trie, op12_hard_negatives, op13_fingerprints)}
 
 #: An id from a hash h, as the WARC operator cuts it.
 _UUID = "'urn:uuid:' || substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-8' || substr(h, 18, 3) || '-' || substr(h, 21, 12)"
@@ -100,6 +104,27 @@ ORACLES = {
         select {_UUID} as record_id, kind as warc_type, url as target_uri, '{warc.UNDATED}' as warc_date, source as refers_to, ct as content_type,
                'sha256:' || sha256(body) as payload_digest, 'sha256:' || sha256(body) as block_digest, body as block, pd as source_payload_digest, bd as source_block_digest from n
     """,
+    "op11_prefix_trie": r"""
+        with t as (select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+                          row_number() over (partition by conv_id order by turn nulls first, left(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 32)) as i
+                   from conversations where conv_id is not null),
+        c as (select distinct conv_id, list_reduce(list_prepend(cast(4294967295 as bigint), flatten(list_transform(string_split(cast(conv_id as varchar), ''), lambda x: [cast(ascii(x) as bigint), -1, -1, -1, -1, -1, -1, -1, -1]))),
+                  lambda a, x: case when x >= 0 then xor(a, x) when a % 2 = 1 then xor(a >> 1, cast(3988292384 as bigint)) else a >> 1 end) as crc from t),
+        h as (select conv_id, xor(crc, cast(4294967295 as bigint)) % 4 as h, conv_id - conv_id % 20 as base from c),
+        r as (select h.conv_id, 0 as part, i, role, text from h join t on t.conv_id = h.base and i <= h union all select h.conv_id, 1, i, role, text from h join t on t.conv_id = h.conv_id and i > h),
+        s as (select conv_id, row_number() over (partition by conv_id order by part, i) as d, role, text from r),
+        q as (select conv_id, d, text, sha256(string_agg(sha256(length(role) || ':' || role || text), '' order by d) over (partition by conv_id order by d rows unbounded preceding)) as node from s
+              union all select conv_id, 0, null, '' from c),
+        n as (select d, node, min(conv_id) as conv_id, count(*) as n_convs, any_value(text) as text from q group by 1, 2),
+        m as (select conv_id, max(d) as d from q group by 1), e as (select q.d, q.node, string_agg(cast(m.conv_id as varchar), ',' order by m.conv_id) as ids from m join q on q.conv_id = m.conv_id and q.d = m.d group by 1, 2),
+        u as (select n.*, a.node as above, coalesce(n.n_convs - 1, 0) * len(regexp_extract_all(coalesce(n.text, ''), '[^\x20\x09-\x0D]+')) as saved, p.conv_id as parent_conv_id
+              from n left join q a on a.conv_id = n.conv_id and a.d = n.d - 1 left join n p on p.d = a.d and p.node = a.node),
+        k as (select d - 1 as d, above as node, count(*) as n_children from u where d > 0 group by 1, 2),
+        v as (select a.d, a.node, sum(u.saved) as saved_tokens, count(*) filter (k.node is null) as n_leaves from u join q a on a.conv_id = u.conv_id and a.d <= u.d left join k on k.d = u.d and k.node = u.node group by 1, 2)
+        select u.conv_id, cast(u.d as bigint) as depth, u.parent_conv_id, cast(u.n_convs as bigint) as n_convs, cast(coalesce(k.n_children, 0) as bigint) as n_children, cast(v.n_leaves as bigint) as n_leaves,
+               cast(v.saved_tokens as bigint) as saved_tokens, sha256(coalesce(e.ids, '')) as ends_sha256
+        from u join v using (d, node) left join k using (d, node) left join e using (d, node)
+    """,
     "op12_hard_negatives": """
         with k as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v from embeddings
                    where label is not null and embedding is not null and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))),
