@@ -13,11 +13,12 @@ and kept by ``with_spans`` and ``redact``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free, free_prefix, text_of
+from .common import free_prefix, text_of
 
 #: Kinds in the order that breaks ties of start.
 KINDS = ("email", "ip", "card", "phone", "iban")
@@ -84,39 +85,75 @@ VALID: dict[str, Callable[[Column], Column]] = {
     "iban": mod97,
 }
 _SPAN = "array<struct<start:int,rank:int,kind:string,end:int,score:double>>"
+#: Elements that one running sum takes in at a time, and characters of the pieces that a text is cut into.
+RUN, PIECE = 256, 256
 
 
-def _placed(kind: str, found: Column, between: Column, text: Column) -> Column:
-    """The confirmed spans with their places: the gaps and matches before a match sum up to its start."""
+def _running(df: DataFrame, arrays: dict[str, tuple[str, str, Callable[[Column, Column], Column]]]) -> DataFrame:
+    """df with further columns, by name (array column, type of its elements, op): its elements as structs (before, item),
+    where before is op over the field ``x`` of all elements before, from 0. Runs of RUN elements are summed by themselves
+    and moved on by the sums of the runs before them, so no array grows by more than a run, or than the number of runs."""
+    own = free_prefix("__run_", df)
+    runs = lambda c: F.transform(F.sequence(F.lit(0), F.floor((F.size(c) - 1) / RUN).cast("int")), lambda k: F.slice(c, k * RUN + 1, RUN))
+    none = lambda kind: F.array().cast(f"array<struct<before:int,item:{kind}>>")
 
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + x["gap"]
-        end = start + F.length(x["span"])
-        near = F.lower(F.substring(text, F.greatest(F.lit(1), start + 1 - REACH), end - start + 2 * REACH))
+    def summed(kind: str, op: Callable) -> Callable[[Column], Column]:
+        step = lambda s, x: F.struct(op(s["at"], x["x"]).alias("at"), F.concat(s["out"], F.array(F.struct(s["at"].alias("before"), x.alias("item")))).alias("out"))
+        return lambda run: F.aggregate(run, F.struct(F.lit(0).alias("at"), none(kind).alias("out")), step)
+
+    def moved(sums: str, op: Callable) -> Column:
+        step = lambda s, r: F.struct(op(s["at"], r["at"]).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out"))
+        offsets = F.aggregate(F.col(sums), F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), step, lambda s: s["out"])
+        return F.flatten(F.zip_with(F.col(sums), offsets, lambda r, off: F.transform(r["out"], lambda e: F.struct(op(off, e["before"]).alias("before"), e["item"].alias("item")))))
+
+    df = df.withColumns({f"{own}runs_{n}": F.when(F.size(c) > 0, runs(F.col(c))) for n, (c, _, _) in arrays.items()})
+    df = df.withColumns({f"{own}sums_{n}": F.transform(f"{own}runs_{n}", summed(kind, op)) for n, (_, kind, op) in arrays.items()})
+    df = df.withColumns({n: F.coalesce(moved(f"{own}sums_{n}", op), none(kind)) for n, (_, kind, op) in arrays.items()})
+    return df.drop(*(c for c in df.columns if c.startswith(own)))
+
+
+def _part(pieces: Column, start: Column, length: Column) -> Column:
+    """length characters from start on (from 0), out of the pieces that hold them."""
+    first = F.floor(start / PIECE).cast("int")
+    count = F.floor((start + length) / PIECE).cast("int") - first + 1
+    return F.substring(F.array_join(F.slice(pieces, first + 1, count), ""), start - first * PIECE + 1, length)
+
+
+def _pieces(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def _confirmed(kind: str, placed: str, pieces: Column) -> Column:
+    """The spans of a kind that hold, scored by the words around them."""
+
+    def span(e: Column) -> Column:
+        start = e["before"] + e["item"]["gap"]
+        end = e["before"] + e["item"]["x"]
+        near = F.lower(_part(pieces, F.greatest(F.lit(0), start - REACH), end - start + 2 * REACH))
         score = F.lit(SCORES[kind]) + F.when(near.rlike(rf"\b(?:{CONTEXT[kind]})"), BONUS).otherwise(0.0)
-        span = F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind).alias("kind"), end.alias("end"), F.round(score, 2).alias("score"))
-        return F.struct(end.alias("at"), F.when(VALID[kind](x["span"]), F.concat(state["out"], F.array(span))).otherwise(state["out"]).alias("out"))
+        return F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind).alias("kind"), end.alias("end"), F.round(score, 2).alias("score"))
 
-    parts = F.transform(found, lambda s, i: F.struct(s.alias("span"), F.length(F.get(between, i)).alias("gap")))
-    return F.aggregate(parts, F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out")), step, lambda s: s["out"])
+    return F.transform(F.filter(F.col(placed), lambda e: VALID[kind](e["item"]["span"])), span).cast(_SPAN)
 
 
 def with_spans(docs: DataFrame, name: str = "pii_spans") -> DataFrame:
     """docs with a further column: all spans as structs (start, rank, kind, end, score), in order. A column of that name
-    is replaced."""
-    own = free_prefix("__", docs)
+    is replaced. Time is in proportion to the text and its spans: each step is a column of its own that the next one
+    reads more than once or outside of lambdas, so that Spark does not move it into the work on a single span."""
+    own, spans = free_prefix("__", docs), F.array().cast(_SPAN)
     out, none = docs.withColumn(f"{own}text", F.coalesce(F.col("text"), F.lit(""))), F.array().cast("array<string>")
-    text = F.col(f"{own}text")
+    text, pieces = F.col(f"{own}text"), F.col(f"{own}pieces")
     for kind in KINDS:
         found = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
         out = out.withColumn(own + kind, F.when(F.contains(text, F.lit(NEEDS[kind])), found).otherwise(none) if kind in NEEDS else found)
-    for kind in KINDS:
-        some = F.size(own + kind) > 0
-        out = out.withColumn(f"{own}gaps_{kind}", F.when(some, F.split(text, PATTERNS[kind], -1)).otherwise(none))
-    for kind in KINDS:
-        some = F.size(own + kind) > 0
-        out = out.withColumn(f"{own}at_{kind}", F.when(some, _placed(kind, F.col(own + kind), F.col(f"{own}gaps_{kind}"), text)).otherwise(F.array().cast(_SPAN)))
-    every = F.array_sort(F.concat(*(F.col(f"{own}at_{k}") for k in KINDS)))
+    held = {k: F.size(own + k) > 0 for k in KINDS}
+    gaps = {f"{own}gaps_{k}": F.when(held[k], F.split(text, PATTERNS[k], -1)).otherwise(none) for k in KINDS}
+    out = out.withColumns(gaps | {f"{own}pieces": F.when(reduce(lambda a, b: a | b, held.values()), _pieces(text)).otherwise(none)})
+    part = lambda s, g: F.struct(s.alias("span"), F.length(g).alias("gap"), (F.length(g) + F.length(s)).alias("x"))
+    out = out.withColumns({f"{own}parts_{k}": F.zip_with(own + k, F.slice(F.col(f"{own}gaps_{k}"), F.lit(1), F.size(own + k)), part) for k in KINDS})
+    out = _running(out, {f"{own}at_{k}": (f"{own}parts_{k}", "struct<span:string,gap:int,x:int>", lambda a, x: a + x) for k in KINDS})
+    out = out.withColumns({f"{own}done_{k}": F.when(held[k], _confirmed(k, f"{own}at_{k}", pieces)).otherwise(spans) for k in KINDS})
+    every = F.array_sort(F.concat(*(F.col(f"{own}done_{k}") for k in KINDS)))
     return out.withColumn(name, every).drop(*(c for c in out.columns if c.startswith(own)))
 
 
@@ -139,14 +176,20 @@ def find_spans(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """docs with every span of the text replaced by its kind in brackets; a span that begins inside an earlier one goes with it."""
-    name = free("spans", docs)
-    spans, text = F.col(name), F.col("text")
-
-    def step(state: Column, s: Column) -> Column:
-        clear = F.substring(text, state["at"] + 1, F.greatest(F.lit(0), s["start"] - state["at"]))
-        piece = F.when(s["start"] >= state["at"], F.concat(clear, F.lit("["), s["kind"], F.lit("]"))).otherwise("")
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.concat(state["out"], piece).alias("out"))
-
-    done = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    return with_spans(docs, name).withColumn("text", done).drop(name)
+    """docs with every span of the text replaced by its kind in brackets; a span that begins inside an earlier one goes with
+    it. What lies between two spans is read from the pieces that hold it, so the work grows with the text."""
+    own = free_prefix("__", docs)
+    spans, parts, at, pieces, last = (f"{own}{x}" for x in ("spans", "parts", "at", "pieces", "last"))
+    out = with_spans(docs, spans).withColumn(pieces, F.when(F.size(spans) > 0, _pieces(F.col("text"))))
+    kind = "struct<start:int,kind:string,x:int>"
+    out = out.withColumn(parts, F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("x"))))
+    out = _running(out, {at: (parts, kind, lambda a, x: F.greatest(a, x))}).withColumn(last, F.array_max(F.transform(spans, lambda s: s["end"])))
+
+    def piece(e: Column) -> Column:
+        start = e["item"]["start"]
+        clear = F.when(start > e["before"], _part(F.col(pieces), e["before"], start - e["before"])).otherwise("")
+        return F.when(start >= e["before"], F.concat(clear, F.lit("["), e["item"]["kind"], F.lit("]"))).otherwise("")
+
+    rest = F.substring("text", F.col(last) + 1, F.length("text"))
+    done = F.when(F.size(pieces) > 0, F.concat(F.array_join(F.transform(at, piece), ""), rest)).otherwise(F.col("text"))
+    return out.withColumn("text", done).drop(spans, parts, at, pieces, last)

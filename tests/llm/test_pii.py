@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -69,7 +70,51 @@ def test_clashing_names(spark):
     assert [c for c in pii.with_spans(docs).columns if c != "pii_spans"] == [c for c in docs.columns if c != "pii_spans"]
 
 
-def test_plan_has_no_python_and_no_shuffle(spark):
+def bodies(plan):
+    """What stands inside the lambdas of a plan."""
+    for m in re.finditer(r"lambdafunction\(", plan):
+        depth, k = 1, m.end()
+        while depth and k < len(plan):
+            depth += {"(": 1, ")": -1}.get(plan[k], 0)
+            k += 1
+        yield plan[m.end() : k]
+
+
+def test_plan_has_no_python_no_shuffle_and_no_split_in_a_lambda(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
-    plan = pii.find_spans(docs)._jdf.queryExecution().toString()
-    assert not re.search("Python|Pandas|Arrow|Exchange", plan)
+    for made in (pii.find_spans(docs), pii.redact(docs)):
+        query = made._jdf.queryExecution()
+        assert not re.search("Python|Pandas|Arrow|Exchange", query.toString())
+        inside = list(bodies(query.optimizedPlan().toString()))
+        assert inside and not any(re.search(r"split\(|regexp_extract_all\(|flatten\(", x) for x in inside)
+
+
+def test_dense_spans_take_time_in_proportion(spark):
+    text = "mail ab@cd.com now " * 50_000
+    docs = spark.createDataFrame([(1, text), (2, "+1 (555) 123-4567, é 1.2.3.4 " * 700)], "doc_id long, text string")
+    began = time.time()
+    a, b = pii.find_spans(docs).collect()
+    assert (a.n_email, b.n_phone, b.n_ip) == (50_000, 700, 700) and time.time() - began < 60
+    for r, whole in ((a, text), (b, docs.where("doc_id = 2").first().text)):
+        counts, sha = brute(whole)
+        assert ([r.n_email, r.n_ip, r.n_card, r.n_phone], r.base_sha256) == (counts, sha)
+    began = time.time()
+    assert pii.redact(docs).first().text == "mail [email] now " * 50_000 and time.time() - began < 60
+
+
+def test_scores_and_redaction_match_brute_force(spark):
+    rng = random.Random(8)
+    bits = ["mail ", "a@b.com", " 1.2.3.4 ", "Server", "+1 (555) 123-4567", "tel", "é", " ", "😀 ", "x" * 37, "4539148803436467 ", "DE89370400440532013000 ", "bank"]
+    texts = ["".join(rng.choices(bits, k=rng.randrange(1, 60))) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found, redacted = pii.find_spans(docs).collect(), pii.redact(docs).collect()
+    for text, r, q in zip(texts, found, redacted, strict=True):
+        at, out = 0, ""
+        for span, score in zip(filter(None, r.spans.split(",")), r.scores.split(","), strict=bool(r.spans)):
+            kind, start, end = span.split(":")[0], *map(int, span.split(":")[1:])
+            low = max(0, start - pii.REACH)
+            near = text[low : low + end - start + 2 * pii.REACH].lower()
+            assert float(score) == round(pii.SCORES[kind] + (pii.BONUS if re.search(rf"\b(?:{pii.CONTEXT[kind]})", near) else 0), 2)
+            out += f"{text[at:start]}[{kind}]" if start >= at else ""
+            at = max(at, end)
+        assert q.text == out + text[at:]
