@@ -2,12 +2,13 @@
 
 A snapshot row has a key (by default publisher and entity_id) and a collection_date; a run is one publisher's snapshot
 of one date and stands in the ledger even if it has no rows. Rows are ordered by date within a key by window functions,
-so one plan replays any number of days, and nothing but the key is shuffled.
+so one plan replays any number of days, and nothing but the key is shuffled. A key that repeats in one run counts once
+where it repeats with the same fingerprint; rows that differ follow each other in the order of their fingerprints.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 KEY, DATE = ("publisher", "entity_id"), "collection_date"
@@ -27,20 +28,27 @@ def company_fingerprint(df: DataFrame, cols: list[str], codes: str = "sic_codes"
     return df.withColumn(name, F.sha2(F.to_json(F.array(*(F.col(c).cast("string") for c in cols), F.to_json(F.array_sort(codes)))), 256))
 
 
+def _in_order(key: tuple, fp: str, date: str) -> WindowSpec:
+    return Window.partitionBy(*key).orderBy(date, fp)
+
+
+def _kind(fp: str, w: WindowSpec) -> Column:
+    """first_seen, field_changed or null of a row, by the row before it of its key."""
+    return F.when(F.row_number().over(w) == 1, "first_seen").when(~F.col(fp).eqNullSafe(F.lag(fp).over(w)), "field_changed")
+
+
 def change_log(snapshots: DataFrame, key: tuple = KEY, fp: str = "fingerprint", date: str = DATE) -> DataFrame:
     """Rows that are new (first_seen) or whose fingerprint differs from the one before (field_changed)."""
-    before = F.lag(fp).over(Window.partitionBy(*key).orderBy(date))
-    kind = F.when(F.col("__before").isNull(), "first_seen").when(F.col(fp) != F.col("__before"), "field_changed")
-    return snapshots.withColumn("__before", before).withColumn("change_type", kind).where("change_type is not null").drop("__before")
+    return snapshots.withColumn("change_type", _kind(fp, _in_order(key, fp, date))).where("change_type is not null")
 
 
 def current_state(snapshots: DataFrame, key: tuple = KEY, fp: str = "fingerprint", date: str = DATE) -> DataFrame:
-    """The latest row of each key, with first_seen_date, last_seen_date and last_changed_date."""
-    w = Window.partitionBy(*key).orderBy(date)
-    changed = F.when(F.lag(fp).over(w).isNull() | (F.col(fp) != F.lag(fp).over(w)), F.col(date))
+    """The latest row of each key, with first_seen_date, last_seen_date and last_changed_date. Of rows of one date the one
+    of the greatest fingerprint counts, and of those the one of the greatest hash."""
+    changed = F.when(_kind(fp, _in_order(key, fp, date)).isNotNull(), F.col(date))
     rest = [c for c in snapshots.columns if c not in (*key, date)]
     one = snapshots.withColumn("__changed", changed).groupBy(*key).agg(
-        F.max_by(F.struct(*rest), date).alias("__last"), F.min(date).alias("first_seen_date"), F.max(date).alias("last_seen_date"), F.max("__changed").alias("last_changed_date")
+        F.max_by(F.struct(*rest), F.struct(date, fp, F.xxhash64(*rest))).alias("__last"), F.min(date).alias("first_seen_date"), F.max(date).alias("last_seen_date"), F.max("__changed").alias("last_changed_date")
     )
     return one.select(*key, "__last.*", "first_seen_date", "last_seen_date", "last_changed_date")
 
@@ -49,17 +57,16 @@ def company_current(snapshots: DataFrame, key: tuple = ("company_number",), fp:
     """As current_state, but values (source among them) stay those of the last real change."""
     log = change_log(snapshots, key, fp, date)
     rest = [c for c in log.columns if c not in (*key, date, "change_type")]
-    last = log.groupBy(*key).agg(F.max_by(F.struct(*rest), date).alias("__last"), F.max(date).alias("last_changed_date"))
+    last = log.groupBy(*key).agg(F.max_by(F.struct(*rest), F.struct(date, fp, F.xxhash64(*rest))).alias("__last"), F.max(date).alias("last_changed_date"))
     seen = snapshots.groupBy(*key).agg(F.min(date).alias("first_seen_date"), F.max(date).alias("last_seen_date"))
     return last.join(seen, list(key)).select(*key, "__last.*", "first_seen_date", "last_seen_date", "last_changed_date")
 
 
 def ingest_stats(snapshots: DataFrame, key: tuple = KEY, fp: str = "fingerprint", date: str = DATE) -> DataFrame:
     """Rows of each run that are new, changed and unchanged."""
-    before = F.lag(fp).over(Window.partitionBy(*key).orderBy(date))
-    kind = F.when(before.isNull(), "f").when(F.col(fp) != before, "c").otherwise("u")
+    kind = F.coalesce(_kind(fp, _in_order(key, fp, date)), F.lit("unchanged"))
     count = lambda k, name: F.count_if(F.col("__kind") == k).alias(name)
-    return snapshots.withColumn("__kind", kind).groupBy("publisher", date).agg(count("f", "first_seen"), count("c", "changed"), count("u", "unchanged"))
+    return snapshots.withColumn("__kind", kind).groupBy("publisher", date).agg(count("first_seen", "first_seen"), count("field_changed", "changed"), count("unchanged", "unchanged"))
 
 
 def ok_runs(runs: DataFrame) -> DataFrame:
@@ -79,18 +86,19 @@ def change_events(snapshots: DataFrame, runs: DataFrame, fp: str = "fingerprint"
     """INSERT, UPDATE and DELETE of each run (publisher, collection_date, entity_id, event_type).
 
     A publisher's first run emits nothing. DELETE compares with the run before; it belongs to the first successful run
-    that misses the entity. ``permanent_only`` leaves out absences that ended, as a replay of the archive does.
+    that misses the entity. ``permanent_only`` leaves out absences that ended, as a replay of the archive does. The row
+    before and the row after come from one window, so the snapshots are shuffled once.
     """
-    numbered = ok_runs(runs)
-    log = change_log(snapshots.join(numbered.select("publisher", DATE, "run_no"), ["publisher", DATE]), fp=fp)
-    changes = log.where("change_type = 'field_changed' or run_no > 1").select(
-        "publisher", DATE, "entity_id", F.when(F.col("change_type") == "first_seen", "INSERT").otherwise("UPDATE").alias("event_type")
-    )
-    seen = snapshots.join(numbered, ["publisher", DATE])
-    after = F.lead("run_no").over(Window.partitionBy(*KEY).orderBy(DATE))
-    gone = F.col("__after").isNull() if permanent_only else F.col("__after").isNull() | (F.col("__after") != F.col("run_no") + 1)
-    deletes = seen.withColumn("__after", after).where(gone & F.col("next_date").isNotNull()).select("publisher", F.col("next_date").alias(DATE), "entity_id", F.lit("DELETE").alias("event_type"))
-    return changes.unionByName(deletes)
+    rows = snapshots.select(*KEY, DATE, fp).join(ok_runs(runs).select("publisher", DATE, "run_no", "next_date"), ["publisher", DATE])
+    w = _in_order(KEY, fp, DATE)
+    rows = rows.select(*KEY, DATE, "run_no", "next_date", _kind(fp, w).alias("kind"), F.lead("run_no").over(w).alias("after"))
+    now = F.when(F.col("kind") == "field_changed", "UPDATE").when((F.col("kind") == "first_seen") & (F.col("run_no") > 1), "INSERT")
+    # A repeated row is followed by one of the same run: only the last of them can be the entity's last.
+    gone = F.col("after").isNull() if permanent_only else F.col("after").isNull() | (F.col("after") > F.col("run_no") + 1)
+    then = F.when(gone & F.col("next_date").isNotNull(), "DELETE")
+    both = F.array(F.struct(F.col(DATE).alias("date"), now.alias("kind")), F.struct(F.col("next_date").alias("date"), then.alias("kind")))
+    out = rows.select(*KEY, F.explode(F.filter(both, lambda e: e["kind"].isNotNull())).alias("e"))
+    return out.select("publisher", F.col("e.date").alias(DATE), "entity_id", F.col("e.kind").alias("event_type"))
 
 
 def diff_runs(events: DataFrame, runs: DataFrame) -> DataFrame:

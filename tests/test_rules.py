@@ -183,3 +183,21 @@ def test_companies_without_an_address_are_counted_together(spark):
     rows = spark.createDataFrame([("1", None, " "), ("2", "", None), ("3", "1 Road", "N1"), ("4", "1 road ", "n1"), ("5", "1 Road", None)], "company_number string, address_line_1 string, postcode string")
     got = {r.company_number: r.address_company_count for r in resolve.address_density(rows).collect()}
     assert got == {"1": 2, "2": 2, "3": 2, "4": 2, "5": 1}
+
+
+def test_repeated_rows_of_a_run_are_no_departure(spark):
+    days = [("a", 1, d, "x") for d in (1, 2, 3)]
+    ledger = runs(spark, [("a", d, "ok") for d in (1, 2, 3)])
+    assert found(cdc.change_events(snapshots(spark, [*days, days[1], days[0], days[0]]), ledger)) == []
+    differing = snapshots(spark, [*days, ("a", 1, 2, "w")])
+    # both rows of day 2 count, in the order of their fingerprints: x, w, x, x
+    assert found(cdc.change_events(differing, ledger)) == [(2, 1, "UPDATE"), (2, 1, "UPDATE")]
+    assert cdc.current_state(differing).first().fingerprint == "x"
+    assert [tuple(r)[2:] for r in cdc.ingest_stats(snapshots(spark, [*days, days[1]])).orderBy("collection_date").collect()] == [(1, 0, 0), (0, 0, 2), (0, 0, 1)]
+
+
+def test_a_replayed_state_breaks_ties_alike(spark):
+    rows = snapshots(spark, [("a", 1, 1, "x"), ("a", 1, 1, "z"), ("a", 1, 1, "y")])
+    for n in (1, 3):
+        r = cdc.current_state(rows.repartition(n)).first()
+        assert (r.fingerprint, r.last_changed_date) == ("z", D(2024, 1, 1))
