@@ -35,11 +35,27 @@ def _before() -> Column:
 
 
 def predecessor_exact(events: DataFrame, entities: DataFrame) -> DataFrame:
-    """The entity that last left the event's address before it appeared, if any."""
-    left = events.select(*EVENT, "first_seen_date", address_key(F.col("address_line_1"), F.col("postcode")).alias("at"))
-    right = _prior(entities).withColumn("at", address_key(F.col("p_line"), F.col("p_code")))
-    w = Window.partitionBy(*EVENT).orderBy(F.desc("predecessor_last_seen"), "predecessor_id")
-    return left.join(right, "at").where(_before()).withColumn("__rn", F.row_number().over(w)).where("__rn = 1").select(*EVENT, *PREDECESSOR)
+    """The entity that last left the event's address before it appeared, if any.
+
+    An as-of merge: departures and arrivals of an address stand in one order of time, in which an arrival comes before
+    the departures of its day, and of those the one of the smallest id last. Two running values go along: the last
+    departure, and the last one of another entity than that; an arrival takes the first of them that is not its own.
+    """
+    at = address_key(F.col("address_line_1"), F.col("postcode"))
+    who = F.struct(F.col("predecessor_id"), F.col("predecessor_name"), F.col("predecessor_first_seen"), F.col("predecessor_last_seen"))
+    event = F.struct(*EVENT)
+    left = _prior(entities).withColumn("at", address_key(F.col("p_line"), F.col("p_code"))).where("predecessor_last_seen is not null and predecessor_id is not null")
+    departures = left.select("at", F.col("predecessor_last_seen").alias("on"), F.lit(1).alias("kind"), (-F.col("predecessor_id").cast("decimal(20,0)")).alias("tie"), who.alias("gone"))
+    arrivals = events.select(at.alias("at"), F.col("first_seen_date").alias("on"), F.lit(0).alias("kind"), event.alias("event")).where("on is not null")
+    merged = departures.unionByName(arrivals, allowMissingColumns=True).where("at is not null")
+    order = Window.partitionBy("at").orderBy("on", "kind", "tie")
+    before, so_far = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.unboundedPreceding, 0)
+    rows = merged.withColumn("last", F.last("gone", ignorenulls=True).over(before))
+    rows = rows.withColumn("turn", F.when(F.col("last.predecessor_id") != F.col("gone.predecessor_id"), F.col("last")))
+    rows = rows.withColumn("other", F.last("turn", ignorenulls=True).over(so_far)).where("event is not null")
+    rows = rows.select("event", F.when(F.col("last.predecessor_id") != F.col("event.entity_id"), F.col("last")).otherwise(F.col("other")).alias("found")).where("found is not null")
+    best = F.struct(F.col("found.predecessor_last_seen").alias("on"), (-F.col("found.predecessor_id").cast("decimal(20,0)")).alias("tie"))
+    return rows.groupBy("event").agg(F.max_by("found", best).alias("found")).select("event.*", "found.*")
 
 
 def predecessor_fallback(events: DataFrame, entities: DataFrame, idf: DataFrame, exact: DataFrame, p: Params = DEFAULT) -> DataFrame:

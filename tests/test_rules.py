@@ -201,3 +201,36 @@ def test_a_replayed_state_breaks_ties_alike(spark):
     for n in (1, 3):
         r = cdc.current_state(rows.repartition(n)).first()
         assert (r.fingerprint, r.last_changed_date) == ("z", D(2024, 1, 1))
+
+
+def spells(spark, rows):
+    return spark.createDataFrame([(i, f"n{i}", a, "P1 1AA", D(2024, 1, 1) + dt.timedelta(x), D(2024, 1, 1) + dt.timedelta(y)) for i, a, x, y in rows], "entity_id long, business_name string, address_line_1 string, postcode string, first_seen_date date, last_seen_date date")
+
+
+def test_predecessor_is_an_as_of_merge(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = []
+    for i in range(400):
+        x = rng.randrange(60)
+        rows.append((rng.randrange(150), rng.choice(["a", "b", " A ", "", None]), x, x + rng.randrange(12)))
+    table = spells(spark, rows)
+    arrivals = table.withColumn("insert_date", F.col("first_seen_date"))
+    got = {(r.entity_id, r.insert_date): (r.predecessor_id, r.predecessor_last_seen) for r in classify.predecessor_exact(arrivals, table).collect()}
+    want = {}
+    at = lambda a: (a or "").strip().upper()
+    for i, a, x, _ in rows:
+        for j, b, _, y in rows:
+            if at(a) and at(a) == at(b) and i != j and y < x:
+                k = (i, D(2024, 1, 1) + dt.timedelta(x))
+                want[k] = max(want.get(k, (-1, 0)), (y, -j))
+    assert got == {k: (-j, D(2024, 1, 1) + dt.timedelta(y)) for k, (y, j) in want.items()}
+
+
+def test_a_hundred_thousand_entities_of_one_address(spark):
+    ids = spark.range(100_000).select(F.col("id").alias("entity_id"), F.lit("n").alias("business_name"), F.lit("1 High St").alias("address_line_1"), F.lit("P1 1AA").alias("postcode"))
+    day = lambda n: F.date_add(F.lit("2000-01-01").cast("date"), n)
+    table = ids.withColumn("first_seen_date", day((F.col("entity_id") * 2).cast("int"))).withColumn("last_seen_date", day((F.col("entity_id") * 2 + 1).cast("int")))
+    rows = classify.predecessor_exact(table.withColumn("insert_date", F.col("first_seen_date")), table)
+    assert rows.agg(F.count("*"), F.sum(F.col("entity_id") - F.col("predecessor_id"))).first()[:] == (99_999, 99_999)
