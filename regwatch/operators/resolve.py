@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import address_density_key, company_name_norm, is_multi_word, operator_prefix, postcode_district, text
 from ..params import DEFAULT, Params
+from ..sources.scratch import settled
 
 EVENT = ("entity_id", "insert_date")
 #: The density key of a blank line and postcode.
@@ -109,14 +110,64 @@ def _ranked(rows: DataFrame, top: int) -> DataFrame:
     return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
 
 
-def district_candidates(events: DataFrame, companies: DataFrame, idf: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """The best companies of an event's district, whatever their score."""
-    left, right = _prepared_events(events, F.col("business_name"), idf), prepared_companies(companies, idf, p)
-    pairs = left.join(right, left["event_district"] == right["district"])
+def _scored(pairs: DataFrame) -> DataFrame:
+    """Pairs of an event and a company of its district as candidates."""
     score = F.round(name_similarity(F.col("event_norm"), F.col("event_bag"), F.col("company_norm"), F.col("company_bag")), 4)
     rows = pairs.withColumn("name_similarity_score", score).withColumn("match_strategy", F.lit("district")).withColumn("postcode_district", F.col("district"))
-    rows = rows.withColumn("address_matches_establishment", F.coalesce(F.col("event_key") == F.col("density_key"), F.lit(False)))
-    return _ranked(rows.select(*CANDIDATE), p.top_candidates)
+    return rows.withColumn("address_matches_establishment", F.coalesce(F.col("event_key") == F.col("density_key"), F.lit(False))).select(*CANDIDATE)
+
+
+def _once(rows: DataFrame, top: int) -> DataFrame:
+    """The best of each event. A company that was found more than once stands side by side with itself, and counts once."""
+    w = Window.partitionBy(*EVENT).orderBy(*priority())
+    ranked = rows.withColumn("rank", F.dense_rank().over(w)).withColumn("__again", F.lag("company_number").over(w).eqNullSafe(F.col("company_number")))
+    return ranked.where((F.col("rank") <= top) & ~F.col("__again")).drop("__again")
+
+
+def heaviest_first(bag: Column) -> Column:
+    """Words of a bag that weigh anything, with the weight of each and of all from it on (``rest``), the heaviest first."""
+    words = F.reverse(F.array_sort(F.transform(F.filter(bag, lambda x: x["weight"] > 0), lambda x: F.struct(x["weight"].alias("weight"), x["word"].alias("word")))))
+    empty = F.array().cast("array<struct<weight:double,word:string,rest:double>>")
+    step = lambda s, x: F.struct((s["sum"] + x["weight"]).alias("sum"), F.concat(F.array(F.struct(x["weight"].alias("weight"), x["word"].alias("word"), (s["sum"] + x["weight"]).alias("rest"))), s["out"]).alias("out"))
+    return F.aggregate(F.reverse(words), F.struct(F.lit(0.0).alias("sum"), empty.alias("out")), step, lambda s: s["out"])
+
+
+def district_candidates(events: DataFrame, companies: DataFrame, idf: DataFrame, p: Params = DEFAULT, first_words: int = 2) -> DataFrame:
+    """The best companies of an event's district, whatever their score.
+
+    Not all pairs are scored. A company among the best has the event's address and a low density there, or has a word in
+    common with it (or its whole name), or scores 0 and is among the first numbers of its district. Words are taken heaviest
+    first: companies that share none of an event's heaviest words score at most the weight of the words left over that
+    of its name, so once the last of the best found so far scores more than that, the lighter words are not looked up.
+    """
+    left = _prepared_events(events, F.col("business_name"), idf).where("event_district is not null")
+    left = settled(left.withColumn("words", heaviest_first(F.col("event_bag"))).withColumn("weight", bag_weight(F.col("event_bag"))))
+    right = settled(prepared_companies(companies, idf, p).where("district is not null"))
+    by_number = Window.partitionBy("district").orderBy("company_number")
+    heads = right.withColumn("n", F.row_number().over(by_number)).where(F.col("n") <= p.top_candidates).drop("n")
+    same_place = left["event_district"] == right["district"]
+    least = left.join(heads, left["event_district"] == heads["district"])
+    there = left.join(right.where("not is_high_density_address"), same_place & (left["event_key"] == right["density_key"]))
+    whole = lambda norm: F.array(F.concat(F.lit("="), norm))
+    words = F.transform(F.filter(F.coalesce("company_bag", F.array().cast("array<struct<word:string,weight:double>>")), lambda x: x["weight"] > 0), lambda x: x["word"])
+    named = right.where("company_norm <> ''").withColumn("key", F.explode(F.concat(whole(F.col("company_norm")), words)))
+
+    def sharing(rows: DataFrame, keys: Column) -> DataFrame:
+        asked = rows.where("event_norm <> ''").withColumn("key", F.explode(keys))
+        return asked.join(named, (asked["event_district"] == named["district"]) & (asked["key"] == named["key"]))
+
+    leading = F.transform(F.slice(F.coalesce("words", F.array().cast("array<struct<weight:double,word:string,rest:double>>")), 1, first_words), lambda x: x["word"])
+    columns = [*left.columns, *right.columns]
+    found = least.select(*columns).unionByName(there.select(*columns)).unionByName(sharing(left, F.concat(whole(F.col("event_norm")), leading)).select(*columns))
+    early = settled(_once(_scored(found), p.top_candidates).drop("rank"))
+    # What a further company has to score: more than nothing, and no less than the last of a full list.
+    trusted = F.col("address_matches_establishment") & ~F.col("is_high_density_address")
+    bounds = early.groupBy(*EVENT).agg(F.count("*").alias("held"), F.min(F.when(~trusted, F.col("name_similarity_score"))).alias("last"))
+    bounds = bounds.select(*EVENT, F.when(F.col("held") < p.top_candidates, 0.0).otherwise(F.coalesce("last", F.lit(float("inf")))).alias("floor"))
+    open_ = left.where(F.size("words") > first_words).join(bounds, list(EVENT), "left")
+    lighter = F.filter(F.slice("words", first_words + 1, F.size("words")), lambda x: x["rest"] >= (F.coalesce("floor", F.lit(0.0)) - 1e-4) * F.col("weight"))
+    late = sharing(open_, F.transform(lighter, lambda x: x["word"])).select(*columns)
+    return _once(early.unionByName(_scored(late)), p.top_candidates)
 
 
 def national_candidates(events: DataFrame, companies: DataFrame, idf: DataFrame, p: Params = DEFAULT, name: Column | None = None, strategy: str = "national") -> DataFrame:

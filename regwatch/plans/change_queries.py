@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cdc, guard
 from ..params import Params
-from ..sources.sinks import settled
+from ..sources.scratch import settled
 from .registry import query
 
 #: Guard thresholds at which the test data triggers.

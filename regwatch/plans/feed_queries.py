@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as t
 from ..operators import feed, mailauth, territory, windows
-from ..sources.sinks import settled
+from ..sources.scratch import settled
 from .change_queries import ALL, events, judged_runs
 from .match_queries import LABELLED, labelled, merged
 from .registry import query

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import feed
 from ..sources import readers, sinks
+from ..sources.scratch import scratch
 from ..streaming import twins
 from .change_queries import LOG, events_sql, marked
 from .feed_queries import BULK
@@ -16,7 +17,7 @@ c = F.col
 
 
 def landed(df, form: str, **options) -> str:
-    path = sinks.scratch(df.sparkSession)
+    path = scratch(df.sparkSession)
     df.write.format(form).options(**options).save(path)
     return path
 
@@ -91,7 +92,7 @@ def s6_read_lookup_pages(v):
 @query(f"select cast(entity_id as varchar) as fhrsid, business_name, nullif(coalesce({BULK}, ''), '') as postcode from {{feed}}")
 def s9_write_feed(v):
     rows = feed.build_feed(v("feed"), F.lit("1998-01-31").cast("date"))
-    path = sinks.scratch(rows.sparkSession)
+    path = scratch(rows.sparkSession)
     sinks.write_feed(rows, path)
     return rows.sparkSession.read.option("header", True).csv(path, schema=", ".join(f"{x} string" for x in feed.FEED)).select("fhrsid", "business_name", "postcode")
 
@@ -99,7 +100,7 @@ def s9_write_feed(v):
 @query("select entity_id as id, business_name as n, classification as c, confidence as k, batch_publication as bp from {feed}")
 def s10_write_json_feed(v):
     rows = v("feed")
-    path = sinks.scratch(rows.sparkSession)
+    path = scratch(rows.sparkSession)
     sinks.write_json_feed(rows, path)
     return rows.sparkSession.read.schema("id long, n string, c string, k string, bp boolean").json(path)
 
@@ -131,14 +132,14 @@ def a1_read_auth_reports(v):
 
 def by_day(v, df) -> tuple[str, object]:
     """df as one file of a date each, in their order, and its schema."""
-    path = sinks.scratch(df.sparkSession)
+    path = scratch(df.sparkSession)
     df.repartitionByRange(8, "collection_date").sortWithinPartitions("collection_date").write.parquet(path)
     return path, df.schema
 
 
 def streamed(v, df):
     path, schema = by_day(v, df)
-    return twins.files(df.sparkSession, path, schema), sinks.scratch(df.sparkSession)
+    return twins.files(df.sparkSession, path, schema), scratch(df.sparkSession)
 
 
 @query(f"with {LOG} select publisher, entity_id, collection_date, case when nth = 1 then 'first_seen' else 'field_changed' end as change_type from log where nth = 1 or rating is distinct from before")

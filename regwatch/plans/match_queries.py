@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as t
 from ..operators import classify, enrich, resolve
 from ..params import Params
-from ..sources.sinks import settled
+from ..sources.scratch import settled
 from .registry import query
 from .text_queries import NORM
 

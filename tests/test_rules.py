@@ -234,3 +234,37 @@ def test_a_hundred_thousand_entities_of_one_address(spark):
     table = ids.withColumn("first_seen_date", day((F.col("entity_id") * 2).cast("int"))).withColumn("last_seen_date", day((F.col("entity_id") * 2 + 1).cast("int")))
     rows = classify.predecessor_exact(table.withColumn("insert_date", F.col("first_seen_date")), table)
     assert rows.agg(F.count("*"), F.sum(F.col("entity_id") - F.col("predecessor_id"))).first()[:] == (99_999, 99_999)
+
+
+def all_pairs(events, companies, idf, p):
+    """District candidates from every pair of a district."""
+    left, right = resolve._prepared_events(events, F.col("business_name"), idf), resolve.prepared_companies(companies, idf, p)
+    return resolve._ranked(resolve._scored(left.join(right, left["event_district"] == right["district"])), p.top_candidates)
+
+
+@pytest.mark.parametrize(("words", "first_words"), [(12, 2), (40, 1), (6, 3)])
+def test_district_candidates_equal_all_pairs(spark, words, first_words):
+    import random
+
+    rng = random.Random(words)
+    lexicon = [f"W{min(rng.randrange(words), rng.randrange(words))}" for _ in range(4 * words)]
+    name = lambda: " ".join(rng.choices(lexicon, k=rng.choice([0, 1, 2, 3, 5])))
+    line = lambda: rng.choice([f"{rng.randrange(30)} High St", "", None])
+    code = lambda: rng.choice([f"D{rng.randrange(3)} 1AA", "D9 1AA", None, "?"])
+    day = lambda: rng.choice([None, D(2024, 1, 1) + dt.timedelta(rng.randrange(300))])
+    companies = spark.createDataFrame([(f"{i:05}", name(), line(), code(), day()) for i in range(300)], "company_number string, company_name string, address_line_1 string, postcode string, date_of_creation date")
+    events = spark.createDataFrame([(i, D(2024, 5, 1), name(), line(), code()) for i in range(150)], "entity_id long, insert_date date, business_name string, address_line_1 string, postcode string")
+    idf = resolve.word_idf(companies)
+    got = resolve.district_candidates(events, companies, idf, first_words=first_words)
+    rows = lambda df: sorted((tuple(map(str, r)) for r in df.select(*resolve.CANDIDATE, "rank").collect()))
+    assert rows(got) == rows(all_pairs(events, companies, idf, Params()))
+
+
+def test_district_candidates_do_not_pair_all_of_a_district(spark):
+    rows = spark.range(3000)
+    companies = rows.select(F.lpad(F.col("id").cast("string"), 8, "0").alias("company_number"), F.concat(F.lit("N"), "id").alias("company_name"), F.lit("").alias("address_line_1"), F.lit("D1 1AA").alias("postcode"), F.lit(None).cast("date").alias("date_of_creation"))
+    events = companies.selectExpr("cast(company_number as long) as entity_id", "date'2024-01-01' as insert_date", "company_name as business_name", "address_line_1", "postcode")
+    got = resolve.district_candidates(events, companies, resolve.word_idf(companies))
+    assert got.groupBy().agg(F.count("*"), F.count_if((F.col("name_similarity_score") == 1) & (F.col("rank") == 1) & (F.col("company_number").cast("long") == F.col("entity_id")))).first()[:] == (15_000, 3000)
+    graph = got._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in graph and "BroadcastNestedLoopJoin" not in graph
