@@ -29,6 +29,20 @@ STREET_WORDS = (
     "road", "street", "lane", "avenue", "way", "drive", "close", "place", "row", "court", "square", "parade", "terrace", "crescent", "gardens", "walk", "mews",
     "hill", "rise", "grove", "bank", "wharf", "quay", "unit", "floor", "premises", "estate", "park ", "centre", "arcade", "precinct", "retail", "industrial", "business",
 )
+#: Counties and countries that stand in addresses as a line of their own, in lower case; a dimension that callers may replace.
+COUNTIES = (
+    "avon", "bedfordshire", "berkshire", "buckinghamshire", "cambridgeshire", "cheshire", "cleveland", "cornwall", "cumbria", "derbyshire", "devon",
+    "dorset", "durham", "co durham", "county durham", "east sussex", "essex", "gloucestershire", "greater manchester", "hampshire", "herefordshire",
+    "hertfordshire", "humberside", "isle of wight", "kent", "lancashire", "leicestershire", "lincolnshire", "merseyside", "middlesex", "norfolk",
+    "north humberside", "north yorkshire", "northamptonshire", "northumberland", "nottinghamshire", "oxfordshire", "rutland", "shropshire",
+    "somerset", "south humberside", "south yorkshire", "staffordshire", "suffolk", "surrey", "tyne and wear", "tyne & wear", "warwickshire",
+    "west midlands", "west sussex", "west yorkshire", "wiltshire", "worcestershire", "scotland", "wales", "england", "united kingdom", "uk", "antrim",
+    "armagh", "down", "co down", "county down", "fermanagh", "londonderry", "derry", "tyrone", "northern ireland", "ayrshire", "banffshire",
+    "berwickshire", "caithness", "dumfriesshire", "dunbartonshire", "inverness-shire", "kincardineshire", "kirkcudbrightshire", "lanarkshire",
+    "morayshire", "peeblesshire", "perthshire", "renfrewshire", "ross-shire", "roxburghshire", "selkirkshire", "stirlingshire", "sutherland",
+    "wigtownshire", "clwyd", "dyfed", "gwent", "glamorgan", "mid glamorgan", "south glamorgan", "west glamorgan",
+)
+STREET_LENGTH = 42
 ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿāăąćĉċčďēĕėęěĝğġģĥĩīĭįĵķĺļľńņňōŏőŕŗřśŝşšţťũūŭůűųŵŷźżž"
 
 
@@ -144,8 +158,15 @@ def format_codes(c: Column) -> Column:
     return F.coalesce(F.array_join(F.from_json(c, "array<string>"), ", "), F.lit(""))
 
 
+def stripped(c: Column) -> Column:
+    """Without white space at either end; null is empty."""
+    return F.regexp_replace(text(c), r"^\s+|\s+$", "")
+
+
 def tidy_name(c: Column) -> Column:
-    """Title case for names all in capitals and longer than three characters, small words lower except the first."""
+    """The name without white space around it, null as empty; in title case where it is all in capitals and longer than
+    three characters, small words lower except the first."""
+    c = stripped(c)
     pieces = F.transform(F.split(F.lower(c), r"(?<=[^\p{L}])"), lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.substring(x, F.lit(2), F.length(x))))
     words = F.split(F.array_join(pieces, ""), " ")
     small = F.transform(words, lambda w, i: F.when((i > 0) & F.lower(w).isin(*SMALL_WORDS), F.lower(w)).otherwise(w))
@@ -174,15 +195,17 @@ def _plain(letters: str) -> str:
 
 
 def clean_name(c: Column) -> Column:
-    """tidy_name, and of 'A B/B' the part before the slash where it holds the other."""
+    """tidy_name, and of two names with a slash between them the first, where it holds the other. Empty parts do not count."""
     tidy = tidy_name(c)
-    left, right = F.trim(F.substring_index(tidy, "/", 1)), F.trim(F.substring(tidy, F.instr(tidy, "/") + 1, F.length(tidy)))
-    return F.when(F.contains(tidy, F.lit("/")) & (right != "") & F.contains(F.lower(left), F.lower(right)), left).otherwise(tidy)
+    parts = F.filter(F.transform(F.split(tidy, "/"), lambda x: stripped(x)), lambda x: x != "")
+    first, second = F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
+    return F.when((F.size(parts) == 2) & F.contains(F.lower(first), F.lower(second)), first).otherwise(tidy)
 
 
 def looks_like_street(c: Column) -> Column:
-    """A house number in front, or a street word at the start or after a space (so 'row' also meets 'Rowan')."""
-    return text(c).rlike(rf"(?i)^\s*\d+|(?:^| )(?:{'|'.join(STREET_WORDS)})")
+    """A house number in front (12, 12a, but not 12th), or a street word after a space or at the start (so 'row' also meets
+    'Rowan')."""
+    return F.concat(text(c), F.lit(" ")).rlike(rf"(?i)^\s*\d+[a-z]?\b|(?:^| )(?:{'|'.join(STREET_WORDS)})")
 
 
 def effective_postcode(bulk: Column, live: Column, order: str = "bulk") -> Column:
@@ -194,20 +217,45 @@ def edit_distance_within(a: Column, b: Column, most: int) -> Column:
     return F.levenshtein(a, b, most).between(0, most)
 
 
-def address_parts(name: Column, lines: list[Column], council: Column, postcode: Column) -> Column:
+def _literal(c: Column) -> Column:
+    """A text as a pattern that matches itself."""
+    return F.concat(F.lit("(?i)"), F.regexp_replace(c, r"([\\\\.\[\]{}()*+?^$|-])", r"\\$1"))
+
+
+def address_parts(name: Column, lines: list[Column], council: Column, postcode: Column, counties: tuple[str, ...] = COUNTIES, longest: int = STREET_LENGTH) -> Column:
     """Struct of name, street, town, postcode from loose address lines.
 
-    Lines that repeat the name or the council go, and the postcode is cut out of them; the last line that is no street
-    is the town unless it is the first of several; without one the council is. The street is cut at 42 characters.
+    The postcode is cut out of every line, in any case. Lines that repeat the name go, as does a line that is the council
+    (with or without what it has in brackets), which is remembered, and a county. The rest is read from its end: streets
+    are passed over; the first other line is the town, unless it is the first of several, where reading stops. What stands
+    after the town goes. Without a town a remembered council is the town. A street longer than allowed keeps its last line.
     """
-    code = text(postcode)
-    cleaned = F.filter(F.transform(F.array(*(text(x) for x in lines)), lambda x: F.trim(F.regexp_replace(F.when(code != "", F.replace(x, code, F.lit(""))).otherwise(x), "[ ,]+$", ""))), lambda x: x != "")
-    lines_ = F.filter(cleaned, lambda x: (fold_accents(x) != fold_accents(name)) & (fold_accents(x) != fold_accents(council)))
-    places = F.filter(F.sequence(F.lit(0), F.size(lines_)), lambda i: (i < F.size(lines_)) & ~looks_like_street(F.get(lines_, i)) & ((i > 0) | (F.size(lines_) == 1)))
-    at = F.when(F.size(places) > 0, F.element_at(places, -1)).otherwise(-1)
-    town = F.when(at >= 0, tidy_name(F.get(lines_, at))).otherwise(text(council))
-    street = F.array_join(F.filter(lines_, lambda x, i: i != at), ", ")
-    return F.struct(clean_name(name).alias("name"), F.trim(F.substring(street, 1, 42)).alias("street"), town.alias("town"), code.alias("postcode"))
+    code, title = stripped(postcode), clean_name(name)
+    shown = stripped(F.regexp_replace(text(council), r"\s*\(.*?\)\s*", ""))
+    edges = lambda x, chars: F.regexp_replace(x, f"^[{chars}]+|[{chars}]+$", "")
+    cut = lambda x: F.when((code != "") & (x != ""), edges(F.regexp_replace(x, _literal(code), F.lit("")), " ,")).otherwise(x)
+    kept = F.filter(F.transform(F.array(*(stripped(x) for x in lines)), cut), lambda x: x != "")
+    kept = F.filter(kept, lambda x: fold_accents(x) != fold_accents(title))
+    is_council = lambda x: edges(F.lower(x), " ,").isin(F.lower(text(council)), F.lower(shown))
+    named = F.filter(kept, is_council)
+    whole = F.transform(F.filter(kept, lambda x: ~is_council(x) & ~edges(F.lower(x), " ,").isin(*counties)), tidy_name)
+    start = F.struct(F.size(whole).alias("at"), F.lit(-1).alias("town"), F.lit(False).alias("stopped"), whole.alias("lines"))
+
+    def back(s: Column, line: Column) -> Column:
+        at = s["at"] - 1
+        passed = s["stopped"] | looks_like_street(line)
+        town = ~passed & ((at > 0) | (F.size(s["lines"]) == 1))
+        return F.struct(at.alias("at"), F.when(town, at).otherwise(s["town"]).alias("town"), (s["stopped"] | ~looks_like_street(line)).alias("stopped"), s["lines"].alias("lines"))
+
+    def done(s: Column) -> Column:
+        found = s["town"] >= 0
+        town = F.when(found, F.get(s["lines"], s["town"])).when(F.size(named) > 0, F.when(shown != "", shown).otherwise(tidy_name(F.get(named, F.size(named) - 1)))).otherwise("")
+        street = F.slice(s["lines"], F.lit(1), F.when(found, s["town"]).otherwise(F.size(s["lines"])))
+        joined = F.array_join(street, ", ")
+        short = F.when((F.length(joined) > longest) & (F.size(street) > 0), F.element_at(street, -1)).otherwise(joined)
+        return F.struct(title.alias("name"), short.alias("street"), town.alias("town"), code.alias("postcode"))
+
+    return F.aggregate(F.reverse(whole), start, back, done)
 
 
 def any_of(c: Column, parts: tuple[str, ...]) -> Column:

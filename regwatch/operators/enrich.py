@@ -9,9 +9,10 @@ from ..params import DEFAULT, Params
 
 
 def backfill_candidates(entities: DataFrame, as_of: Column, p: Params = DEFAULT) -> DataFrame:
-    """Entities without a postcode of their own that were never looked up, or not lately."""
+    """Entities without a postcode of their own that were never looked up, or not lately; one that was filled from the second
+    source is looked up again as well."""
     due = F.col("postcode_checked_at").isNull() | (F.datediff(as_of, "postcode_checked_at") >= p.backfill_days)
-    return entities.where(F.col("post_code").isNull() & F.col("postcode_live").isNull() & due)
+    return entities.where(F.col("post_code").isNull() & due)
 
 
 def apply_backfill(entities: DataFrame, lookup: DataFrame, as_of: Column) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "conversations", "labels")
 #: DuckDB's spelling to Spark's.
-SPARK = (("arg_max(", "max_by("), ("as varchar", "as string"), ("unnest(", "explode("))
+SPARK = (("arg_max(", "max_by("), ("as varchar", "as string"), ("unnest(", "explode("), ("string_split(", "split("))
 
 VIEWS = {
     "raw_snapshots": """
@@ -82,7 +82,7 @@ VIEWS = {
         from {supplier} cross join (select r_regionkey as k from {region} where r_regionkey < 3) x where s_suppkey % 10 > 1""",
     "territory_publishers": "select r_name as territory, cast(n_nationkey as varchar) as publisher from {nation} join {region} on n_regionkey = r_regionkey",
     "strings": """
-        select c_custkey as k,
+        select 'case ' || cast(c_custkey as varchar) as k,
                case c_custkey % 12 when 0 then 'NG17 3GA' when 1 then 'sw1a 1aa' when 2 then 'M1 1AE' when 3 then 'OX7 ' when 4 then 'S43' when 5 then '' when 6 then null when 7 then '12345' when 8 then 'N1 9GU' when 9 then 'ABCDE' when 10 then 'RH20' else ' b33 8th ' end as postcode,
                case c_custkey % 13 when 0 then 'FOO LTD LTD' when 1 then 'The Cafe & Bar Limited' when 2 then 'LIMITED' when 3 then 'D''MUMBAI KITCHEN AND BAR' when 4 then 'foo cafeltd' when 5 then null when 6 then ''
                     when 7 then 'Sodexo Ltd @ St Mary''s' when 8 then ' @ nowhere' when 9 then 'BLIND COW' when 10 then 'Old Mill Bar/Bar' when 11 then 'Café Été, ' else 'A-B  (C) plc' end as name,
@@ -90,7 +90,10 @@ VIEWS = {
                case c_custkey % 8 when 0 then '5' when 1 then 'AwaitingInspection' when 2 then 'Awaiting Publication' when 3 then 'exempt' when 4 then null when 5 then 'Pass' when 6 then 'pass' else '' end as rating,
                case c_custkey % 6 when 0 then '2024-03-01' when 1 then '2024-3-1' when 2 then '2024-02-30' when 3 then null when 4 then 'x' else '2023-12-31' end as day_text,
                case c_custkey % 5 when 0 then '["56101","10710"]' when 1 then '[]' when 2 then null when 3 then 'bad' else '["1"]' end as codes, c_mktsegment as segment
-        from {customer}""",
+        from {customer}
+        union all select 'customer ' || cast(c_custkey as varchar), 'M' || cast(c_nationkey as varchar) || ' ' || cast(c_custkey % 10 as varchar) || 'AA', c_name || ' @ ' || c_mktsegment, cast(c_custkey as varchar) || ' ' || lower(c_mktsegment) || ' road', c_mktsegment, cast(c_acctbal as varchar), c_mktsegment, c_mktsegment from {customer}
+        union all select 'part ' || cast(p_partkey as varchar), p_type, upper(p_name) || ' AND ' || replace(p_brand, '#', ' & ') || ' LTD', cast(p_size as varchar) || 'a ' || p_name, p_type, p_name, '["' || p_name || '","' || p_brand || '"]', p_brand from {part}
+        union all select distinct 'word ' || w, w, w, w, w, w, w, w from (select unnest(string_split(replace(replace(text, chr(10), ' '), 'ß', 'ss'), ' ')) as w from {documents}) x""",
     "auth_records": """
         select '10.' || cast(user_id % 4 as varchar) || '.' || cast(user_id % 250 as varchar) || '.' || cast(user_id % 7 as varchar) as source_ip, cast(1 + floor(value) % 5 as bigint) as count,
                case when event_type = 'error' then 'reject' else 'none' end as disposition, case when event_type in ('click', 'view') then 'pass' else 'fail' end as dkim, case when event_type in ('click', 'signup') then 'pass' when event_type = 'error' then null else 'fail' end as spf,

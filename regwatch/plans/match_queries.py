@@ -388,7 +388,7 @@ def looked_up(v):
     return v("feed").where("entity_id % 4 <> 3").select("entity_id", F.when(c("entity_id") % 4 == 0, F.concat(F.lit("D"), (c("entity_id") % 10).cast("string"))).alias("post_code"))
 
 
-@query("select entity_id from {feed} where post_code is null and postcode_live is null and (entity_id % 2 <> 0 or entity_id % 60 >= 30)")
+@query("select entity_id from {feed} where post_code is null and (entity_id % 2 <> 0 or entity_id % 60 >= 30)")
 def e1_backfill_candidates(v):
     return enrich.backfill_candidates(unfilled(v), date("1998-01-01")).select("entity_id")
 

@@ -268,3 +268,69 @@ def test_district_candidates_do_not_pair_all_of_a_district(spark):
     assert got.groupBy().agg(F.count("*"), F.count_if((F.col("name_similarity_score") == 1) & (F.col("rank") == 1) & (F.col("company_number").cast("long") == F.col("entity_id")))).first()[:] == (15_000, 3000)
     graph = got._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in graph and "BroadcastNestedLoopJoin" not in graph
+
+
+def model_parts(record, counties=t.COUNTIES):
+    """address_parts line by line, in plain Python."""
+    import re
+    import unicodedata
+
+    def tidy(x):
+        x = (x or "").strip()
+        if not x.isupper() or len(x) <= 3:
+            return x
+        first, *rest = x.title().split(" ")
+        return " ".join([first, *(w.lower() if w.lower() in t.SMALL_WORDS else w for w in rest)])
+
+    def plain(x):
+        return "".join(c for c in unicodedata.normalize("NFKD", x.lower()) if not unicodedata.combining(c)).strip(" ,.")
+
+    def is_street(x):
+        return bool(re.match(r"\s*\d+[a-z]?\b", x.lower())) or any(f" {w}" in f" {x.lower()} " for w in t.STREET_WORDS)
+
+    name, lines, council, code = record
+    name, code, council = tidy(name), (code or "").strip(), council or ""
+    halves = [h.strip() for h in name.split("/") if h.strip()]
+    name = halves[0] if len(halves) == 2 and halves[1].lower() in halves[0].lower() else name
+    shown = re.sub(r"\s*\(.*?\)\s*", "", council).strip()
+    kept, met = [], None
+    for line in lines:
+        line = (line or "").strip()
+        line = re.sub(re.escape(code), "", line, flags=re.IGNORECASE).strip(" ,") if code and line else line
+        low = line.lower().strip(" ,")
+        if not line or plain(line) == plain(name):
+            continue
+        if low in (council.lower(), shown.lower()):
+            met = shown or tidy(line)
+        elif low not in counties:
+            kept.append(tidy(line))
+    town = next((k for k in range(len(kept) - 1, -1, -1) if not is_street(kept[k])), None)
+    town = None if town == 0 and len(kept) > 1 else town
+    street = kept[:town] if town is not None else kept
+    joined = ", ".join(street)
+    return name, street[-1] if len(joined) > 42 else joined, kept[town] if town is not None else met or "", code
+
+
+def test_address_parts_match_a_model(spark):
+    import random
+
+    rng = random.Random(11)
+    lines = ["12 High Street", "12th Man", "THE OLD MILL", "Rowan House", "Kent", "KENT", "Fife", "fife,", "Ayton", "AYTON ON SEA", "ng17 3ga", "Ayton NG17 3GA", "NG17 3GA", "Hyde Park", "Parkside", "Unit 4, The Long Industrial Estate Of Somewhere", "City of Edinburgh", "Edinburgh", "St Mary's Café", "St Mary's Cafe", "", None, " ,", "7a Mews", "D'MUMBAI (X+Y)", "England"]
+    names = ["St Mary's Café", "A B/B", "A B/B/C", "A/B", "Fuel Bar /", " BLIND COW ", None, "12th Man", "THE OLD MILL/OLD MILL"]
+    councils = ["Fife", "Edinburgh (City of)", "Ayton", "Kent", None, "(none)"]
+    rows = [(i, rng.choice(names), *(rng.choice(lines) for _ in range(4)), rng.choice(councils), rng.choice(["NG17 3GA", " ng17 3ga ", "", None, "D.1+"])) for i in range(5000)]
+    table = spark.createDataFrame(rows, "k long, name string, l1 string, l2 string, l3 string, l4 string, council string, code string")
+    parts = t.address_parts(F.col("name"), [F.col(f"l{i}") for i in (1, 2, 3, 4)], F.col("council"), F.col("code"))
+    got = {r.k: tuple(r.p) for r in table.select("k", parts.alias("p")).collect()}
+    for k, name, *four, council, code in rows:
+        assert got[k] == model_parts((name, four, council, code)), (name, four, council, code)
+
+
+@pytest.mark.parametrize(("value", "want"), [("12th Man", False), ("12 High", True), ("12a Mews", True), ("7B", True), ("Hyde Park", True), ("Parkside", False), ("Rowan House", True), ("Throw", False), ("", False)])
+def test_looks_like_street(spark, value, want):
+    assert one(spark, value, t.looks_like_street) is want
+
+
+@pytest.mark.parametrize(("value", "want"), [("A B/B/C", "A B/B/C"), ("A B/B", "A B"), ("A B/ /B", "A B"), ("A/B", "A/B"), (" OLD MILL/MILL ", "Old Mill"), ("x/", "x/")])
+def test_clean_name_takes_two_parts_alone(spark, value, want):
+    assert one(spark, value, t.clean_name) == want
