@@ -71,11 +71,20 @@ def feed_run_check(company_runs: DataFrame, date: Column) -> DataFrame:
     return status.select(date.alias(DATE), F.coalesce("status", F.lit("missing")).alias("status"), (F.coalesce("status", F.lit("missing")) != "ok").alias("alert"))
 
 
-def canary_check(entities: DataFrame, canaries: DataFrame) -> DataFrame:
-    """Canaries (entity_id, publisher, expected_name) that are missing or differ, with what differs."""
-    rows = canaries.join(entities.select("entity_id", "publisher", "business_name").withColumn("__there", F.lit(True)), ["entity_id", "publisher"], "left")
-    wrong = F.array_compact(F.array(F.when(F.col("__there").isNull(), "missing"), F.when(F.col("__there") & ~F.col("business_name").eqNullSafe(F.col("expected_name")), "name")))
-    return rows.select("entity_id", "publisher", F.array_join(wrong, ",").alias("mismatches")).where("mismatches <> ''")
+#: The fields by which a canary is known: its column, the column of what is expected, and the name in the list of mismatches.
+CANARY_FIELDS = (("publisher", "publisher", "publisher"), ("business_name", "expected_name", "name"), ("business_id", "expected_business_id", "business_id"))
+
+
+def canary_check(entities: DataFrame, canaries: DataFrame, fields: tuple = CANARY_FIELDS) -> DataFrame:
+    """Canaries (entity_id, publisher, expected_name, expected_business_id) that are missing or differ in what should never
+    change, with the list of what differs. The entity is looked up by its id alone, so one that moved is no missing one.
+    An id that several publishers have is fine if one of them agrees in all."""
+    there = entities.select("entity_id", *(F.col(c).alias(f"__{c}") for c, _, _ in fields), F.lit(True).alias("__there"))
+    rows = canaries.join(there, "entity_id", "left")
+    differs = lambda c, want, name: F.when(F.col("__there") & ~F.col(f"__{c}").eqNullSafe(F.col(want)), name)
+    wrong = F.array_compact(F.array(F.when(F.col("__there").isNull(), "missing"), *(differs(*f) for f in fields)))
+    least = rows.withColumn("mismatches", wrong).groupBy("entity_id", "publisher").agg(F.min(F.struct(F.size("mismatches").alias("n"), F.array_join("mismatches", ",").alias("mismatches"))).alias("x"))
+    return least.where("x.n > 0").select("entity_id", "publisher", "x.mismatches")
 
 
 def flagged_runs(diff_runs: DataFrame, publishers: DataFrame, date: Column) -> DataFrame:

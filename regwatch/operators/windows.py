@@ -57,20 +57,46 @@ def subscriber_status(subscribers: DataFrame, issues: DataFrame) -> DataFrame:
     return subscribers.where("active").join(last_issue(issues), "subscriber_id", "left")
 
 
+def cumulative_counts(rows: DataFrame, keys: list[str], date: str) -> DataFrame:
+    """keys, date and n: how many rows of the keys there are up to each date that has any."""
+    daily = rows.where(F.col(date).isNotNull()).groupBy(*keys, date).agg(F.count("*").alias("__n"))
+    return daily.select(*keys, date, F.sum("__n").over(Window.partitionBy(*keys).orderBy(date)).alias("n"))
+
+
+def counts_until(counts: DataFrame, asked: DataFrame, keys: list[str], date: str) -> DataFrame:
+    """asked (keys, date, and more) with n of the last date that is not after its own, 0 before the first: counts and
+    questions stand in one order of dates, and the last count goes along, so no question meets more than its answer."""
+    there = counts.withColumn("__kind", F.lit(0))
+    both = there.unionByName(asked.withColumn("__kind", F.lit(1)), allowMissingColumns=True)
+    so_far = Window.partitionBy(*keys).orderBy(date, "__kind").rowsBetween(Window.unboundedPreceding, 0)
+    return both.withColumn("n", F.coalesce(F.last("n", ignorenulls=True).over(so_far), F.lit(0))).where("__kind = 1").drop("__kind")
+
+
 def report_for_all(subscribers: DataFrame, windows: DataFrame, territories: DataFrame, records: DataFrame) -> DataFrame:
-    """For every subscriber with a window the records within it by what became of them (null: kept), all at once.
-    territories: territory, publisher."""
+    """For every subscriber with a window the number of records within it by what became of them (null: kept).
+    territories: territory, publisher.
+
+    A record is judged once for each audience. What a window holds is the difference of two running counts of a
+    publisher, so subscribers never meet records.
+    """
     owed = windows.where("state = 'owed'").join(subscribers.select("subscriber_id", "territory", "audience"), "subscriber_id")
-    mine = owed.join(territories, "territory")
-    rows = mine.join(records, "publisher").where(F.col("first_seen_date").between(F.col("since"), F.col("until")))
-    judged = rows.withColumn("reason_removed", feed.removal_reason(F.col("audience"), F.lit(True)))
-    return judged.groupBy("subscriber_id", "reason_removed").agg(F.count("*").alias("n"))
+    audience, kept = F.explode(F.array(*(F.lit(a) for a in feed.AUDIENCES))).alias("audience"), F.lit("")
+    judged = records.select("*", audience).withColumn("reason_removed", F.coalesce(feed.removal_reason(F.col("audience"), F.lit(True)), kept))
+    keys = ["publisher", "audience", "reason_removed"]
+    counts = cumulative_counts(judged, keys, "first_seen_date")
+    ends = F.explode(F.array(F.struct(F.col("until").alias("first_seen_date"), F.lit(1).alias("sign")), F.struct(F.date_sub("since", 1).alias("first_seen_date"), F.lit(-1).alias("sign")))).alias("end")
+    reasons = F.explode(F.array(kept, *(F.lit(r) for r in feed.REASONS))).alias("reason_removed")
+    asked = owed.join(territories, "territory").select("subscriber_id", "publisher", "audience", ends).select("subscriber_id", "publisher", "audience", "end.*", reasons)
+    rows = counts_until(counts, asked, keys, "first_seen_date").groupBy("subscriber_id", "reason_removed").agg(F.sum(F.col("sign") * F.col("n")).alias("n"))
+    return rows.where("n > 0").select("subscriber_id", F.nullif("reason_removed", kept).alias("reason_removed"), "n")
 
 
 def demand_counts(rows: DataFrame, territories: DataFrame, until: Column) -> DataFrame:
-    """Venues of each (territory, audience) in the last 7 and 28 days. rows: publisher, audience, first_seen_date."""
-    inside = rows.join(territories, "publisher").where(F.col("first_seen_date").between(F.date_sub(until, 27), until))
-    return inside.groupBy("territory", "audience").agg(F.count_if(F.col("first_seen_date") >= F.date_sub(until, 6)).alias("days_7"), F.count("*").alias("days_28"))
+    """Venues of each (territory, audience) in the last 7 and 28 days. rows: publisher, audience, first_seen_date. They are
+    counted by publisher before those meet their territories."""
+    inside = rows.where(F.col("first_seen_date").between(F.date_sub(until, 27), until)).groupBy("publisher", "audience")
+    counts = inside.agg(F.count_if(F.col("first_seen_date") >= F.date_sub(until, 6)).alias("days_7"), F.count("*").alias("days_28"))
+    return counts.join(territories, "publisher").groupBy("territory", "audience").agg(F.sum("days_7").alias("days_7"), F.sum("days_28").alias("days_28"))
 
 
 def send_gate(batch: DataFrame, demand: DataFrame) -> DataFrame:

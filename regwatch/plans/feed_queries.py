@@ -178,10 +178,13 @@ def gazetteer(v):
     rows = pubs.select(F.concat(F.lit("greater "), F.lower("region_name")).alias("place_key"), F.lit("region_synonym").alias("kind"), c("region_name").alias("target")).distinct()
     rows = rows.unionByName(pubs.select(F.concat(F.lower("name"), F.lit(" city")).alias("place_key"), F.lit("city").alias("kind"), c("name").alias("target")))
     one = pubs.where("publisher = '0'")
+    group = one.select(F.explode(F.array(F.lit("ASIA"), F.lit("MU"), F.lit("LEMURIA"))).alias("target")).select(F.lit("far lands").alias("place_key"), F.lit("region_group").alias("kind"), "target")
+    rows = rows.unionByName(group)
     return rows.unionByName(one.select(F.lit("everywhere").alias("place_key"), F.lit("national").alias("kind"), F.lit("").alias("target"))).unionByName(one.select(F.lit("uk").alias("place_key"), F.lit("abbreviation").alias("kind"), F.lit("nation_5").alias("target")))
 
 
-PLACE = """case o_orderkey % 9 when 0 then 'Nation_3, Nation_7' when 1 then 'Greater Asia' when 2 then 'UK' when 3 then 'Nation_8 City and Nation_9' when 4 then 'Atlantis' when 5 then 'Nation_3 and Atlantis' when 6 then 'Everywhere' when 7 then 'EUROPE / Nation_12' else ' the nation_2. ' end"""
+PLACE = """case o_orderkey % 14 when 0 then 'Nation_3, Nation_7' when 1 then 'Greater Asia' when 2 then 'UK' when 3 then 'Nation_8 City and Nation_9' when 4 then 'Atlantis' when 5 then 'Nation_3 and Atlantis' when 6 then 'Everywhere' when 7 then 'EUROPE / Nation_12'
+        when 8 then ' the nation_2. ' when 9 then 'Far lands' when 10 then 'Nation_1, Far lands and the UK' when 11 then 'Nation_4,' when 12 then ' , ' else 'Asia,Nation_1 and Nation_1' end"""
 
 
 def resolved(v):
@@ -192,10 +195,12 @@ def resolved(v):
 @query(f"""with pl as (select distinct {PLACE} as place from {{orders}}), want as (
         select place, p.publisher from pl join {{publishers}} p on
           (place = 'Nation_3, Nation_7' and name in ('NATION_3', 'NATION_7')) or (place = 'Greater Asia' and region_name = 'ASIA') or (place = 'UK' and name = 'NATION_5') or (place = 'Nation_8 City and Nation_9' and name in ('NATION_8', 'NATION_9'))
-          or place = 'Everywhere' or (place = 'EUROPE / Nation_12' and (region_name = 'EUROPE' or name = 'NATION_12')) or (place = ' the nation_2. ' and name = 'NATION_2'))
-        select pl.place, string_agg(publisher, ',' order by publisher) as publishers from pl left join want on pl.place = want.place group by 1""")
+          or place = 'Everywhere' or (place in (' the nation_2. ') and name = 'NATION_2') or (place = 'Nation_4,' and name = 'NATION_4') or (place = 'Asia,Nation_1 and Nation_1' and (region_name = 'ASIA' or name = 'NATION_1')))
+        select pl.place, string_agg(publisher, ',' order by publisher) as publishers,
+               case pl.place when 'Atlantis' then 'unknown: Atlantis' when 'Nation_3 and Atlantis' then 'unknown: Atlantis' when 'EUROPE / Nation_12' then 'unknown: EUROPE / Nation_12' when 'Far lands' then 'absent: LEMURIA, MU' when 'Nation_1, Far lands and the UK' then 'absent: LEMURIA, MU' when ' , ' then 'no territory given' end as reason
+        from pl left join want on pl.place = want.place group by 1""")
 def t1_resolve_territories(v):
-    return resolved(v).select("place", F.array_join("publishers", ",").alias("publishers"))
+    return resolved(v).select("place", F.array_join("publishers", ",").alias("publishers"), "reason")
 
 
 @query("select region_name, string_agg(publisher, ',' order by publisher) as publishers from {publishers} group by 1")
@@ -264,9 +269,9 @@ def w6_unsent_issues(v):
     return windows.unsent_issues(v("issues")).select("issue_id")
 
 
-@query("select s.subscriber_id, arg_max(issue_id, until) as issue_id from {subscribers} s left join {issues} i on i.subscriber_id = s.subscriber_id where active group by 1")
+@query("select s.subscriber_id, territory, audience, active, started_date, arg_max(issue_id, until) as issue_id, max(until) as until from {subscribers} s left join {issues} i on i.subscriber_id = s.subscriber_id where active group by all")
 def w7_subscriber_status(v):
-    return windows.subscriber_status(v("subscribers"), v("issues")).select("subscriber_id", "issue_id")
+    return windows.subscriber_status(v("subscribers"), v("issues"))
 
 
 @query(f"""with {NEXT} select nx.subscriber_id, {removal('s.audience')} as reason_removed, cast(count(*) as bigint) as n from nx join {{subscribers}} s on s.subscriber_id = nx.subscriber_id join {{territory_publishers}} t on t.territory = s.territory
@@ -290,12 +295,13 @@ def w9_demand_counts(v):
     return demand(v)
 
 
-@query(f"""with {DEMAND} select s.subscriber_id as lead_id, s.subscriber_id % 7 <> 0 as resolved, case when s.subscriber_id % 7 = 0 then 'unresolved' when own.days_28 > 0 then 'send' when s.subscriber_id % 2 = 0 and wide.days_28 > 0 then 'widen' else 'hold' end as decision
-        from {{subscribers}} s left join dm own on own.territory = s.territory and own.audience = s.audience left join dm wide on wide.territory = 'ASIA' and wide.audience = s.audience""".replace("s.subscriber_id % 7 <> 0 as resolved, ", ""))
+@query(f"""with {DEMAND} select s.subscriber_id as lead_id, s.territory, s.audience, case when s.subscriber_id % 7 = 0 then 'unresolved' when own.days_28 > 0 then 'send' when s.subscriber_id % 2 = 0 and wide.days_28 > 0 then 'widen' else 'hold' end as decision,
+        coalesce(own.days_28, 0) as days_28, case when s.subscriber_id % 7 <> 0 and s.subscriber_id % 3 <> coalesce(own.days_28, 0) then printf('stored %d, now %d', s.subscriber_id % 3, coalesce(own.days_28, 0)) else '' end as note
+        from {{subscribers}} s left join dm own on own.territory = s.territory and own.audience = s.audience left join dm wide on wide.territory = 'ASIA' and wide.audience = s.audience""")
 def w10_send_gate(v):
     k = c("subscriber_id")
-    batch = v("subscribers").select(k.alias("lead_id"), "territory", "audience", F.when(k % 2 == 0, "ASIA").alias("wider"), F.lit(1).cast("long").alias("stored_28"), (k % 7 != 0).alias("resolved"))
-    return windows.send_gate(batch, demand(v)).select("lead_id", "decision")
+    batch = v("subscribers").select(k.alias("lead_id"), "territory", "audience", F.when(k % 2 == 0, "ASIA").alias("wider"), (k % 3).alias("stored_28"), (k % 7 != 0).alias("resolved"))
+    return windows.send_gate(batch, demand(v))
 
 
 VENUES = f"select entity_id, {tidy('business_name')} as venue, case when classification = 'OPERATOR_CHANGE' then 'Change of operator' else 'New opening' end as status, authority_name as council, case when classification = 'OPERATOR_CHANGE' then coalesce(previous_business_name, '') else '' end as previously from {{feed}}"

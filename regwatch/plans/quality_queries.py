@@ -28,8 +28,23 @@ def company_runs(v):
     return v("company_snapshots").groupBy("collection_date").agg(F.lit("ok").alias("status"))
 
 
+def identified(v):
+    return v("entities").withColumn("business_id", F.concat(F.lit("B"), c("entity_id").cast("string")))
+
+
 def canaries(v):
-    return v("entities").where("entity_id % 3 = 0").select("entity_id", "publisher", F.when(c("entity_id") % 2 == 0, c("business_name")).otherwise("wrong").alias("expected_name"))
+    """Every third entity and one that is not there: of some the name, of some the publisher, of some the business id is expected to be another."""
+    rows = v("entities").where("entity_id % 3 = 0")
+    name = F.when(c("entity_id") % 2 == 0, c("business_name")).otherwise("wrong")
+    publisher = F.when(c("entity_id") % 5 == 0, "elsewhere").otherwise(c("publisher"))
+    number = F.when(c("entity_id") % 7 == 0, None).otherwise(F.concat(F.lit("B"), c("entity_id").cast("string")))
+    lost = v("entities").agg((-F.max("entity_id") - 1).alias("entity_id")).select("entity_id", F.lit("nowhere").alias("publisher"), F.lit("x").alias("expected_name"), F.lit("y").alias("expected_business_id"))
+    return rows.select("entity_id", publisher.alias("publisher"), name.alias("expected_name"), number.alias("expected_business_id")).unionByName(lost)
+
+
+CANARIES = """(select entity_id, case when entity_id % 5 = 0 then 'elsewhere' else publisher end as publisher,
+          concat_ws(',', case when entity_id % 5 = 0 then 'publisher' end, case when entity_id % 2 <> 0 and business_name is distinct from 'wrong' then 'name' end, case when entity_id % 7 = 0 then 'business_id' end) as mismatches
+          from {entities} where entity_id % 3 = 0 and (entity_id % 5 = 0 or (entity_id % 2 <> 0 and business_name is distinct from 'wrong') or entity_id % 7 = 0) union all select -max(entity_id) - 1, 'nowhere', 'missing' from {entities})"""
 
 
 @query(f"{ALL} select publisher, cast(sum(insert_count) as bigint) as new_records from vd where collection_date between {DAY} - 6 and {DAY} and not coalesce(quarantined, false) group by 1")
@@ -94,16 +109,16 @@ def q10_feed_run_check(v):
     return quality.feed_run_check(company_runs(v), day(v)).select("collection_date", "alert")
 
 
-@query("select entity_id, publisher, 'name' as mismatches from {entities} where entity_id % 3 = 0 and entity_id % 2 <> 0 and business_name is distinct from 'wrong'")
+@query(f"select * from {CANARIES} x")
 def q11_canary_check(v):
-    return quality.canary_check(v("entities"), canaries(v))
+    return quality.canary_check(identified(v), canaries(v))
 
 
-@query(f"{ALL} select publisher, insert_count, quarantined from vd where collection_date = (select max(collection_date) from vd where triggered) and triggered")
+@query(f"{ALL} select publisher, insert_count, quarantined, printf('%d inserts, overlap %.0f%%', insert_count, reissue_overlap * 100) as text from vd where collection_date = (select max(collection_date) from vd where triggered) and triggered")
 def q12_flagged_runs(v):
     runs = judged_runs(v).na.fill(False, ["quarantined", "batch_publication"])
     last = runs.where("quarantined or batch_publication").agg(F.max("collection_date")).first()[0]
-    return quality.flagged_runs(runs, v("register_publishers"), F.lit(last)).select("publisher", "insert_count", "quarantined")
+    return quality.flagged_runs(runs, v("register_publishers"), F.lit(last))
 
 
 @query(f"""with {AGES}, {CADENCE}, {DEVIATION}, fine as (select publisher from {{runs}} where collection_date = {DAY} and status = 'ok'),
@@ -113,11 +128,11 @@ def q12_flagged_runs(v):
         union all select 'missing', publisher, case when publisher = 'silent' then 'timeout' else 'no run' end from {{register_publishers}} where publisher not in (select publisher from {{runs}} where collection_date = {DAY})
         union all select 'parse', publisher, case when status <> 'ok' then 'failed' else 'skipped' end from {{runs}} where collection_date = {DAY} and (status <> 'ok' or skipped_records * 1.0 / item_count > 0.01)
         union all select 'company_feed', 'missing', 'missing' where not exists (select 1 from {{company_snapshots}} where collection_date = {DAY})
-        union all select 'canary', cast(entity_id as varchar), 'name' from {{entities}} where entity_id % 3 = 0 and entity_id % 2 <> 0 and business_name is distinct from 'wrong'
+        union all select 'canary', cast(entity_id as varchar), mismatches from {CANARIES} cn
         union all select 'flagged', publisher, printf('%d inserts, overlap %.0f%%', insert_count, reissue_overlap * 100) from fl where collection_date = {DAY} and publisher in (select publisher from {{register_publishers}})""")
 def q13_collect_alerts(v):
     runs = judged_runs(v).na.fill(False, ["quarantined", "batch_publication"])
-    return quality.collect_alerts(v("register_publishers"), v("runs"), runs, company_runs(v), v("entities"), canaries(v), manifest(v), day(v), P)
+    return quality.collect_alerts(v("register_publishers"), v("runs"), runs, company_runs(v), identified(v), canaries(v), manifest(v), day(v), P)
 
 
 @query(f"with {events_sql()}, {DIFF}, w as (select * from dr where collection_date between {DAY} - 6 and {DAY}) select publisher, cast(sum(insert_count) as bigint) as inserts, cast(sum(update_count) as bigint) as updates, cast(sum(delete_count) as bigint) as deletes from w group by rollup (publisher)")

@@ -62,7 +62,7 @@ def test_m11_uses_national_hits_and_recent_checks(v, weights):
         if not hit and not lately:
             want.add(p.prefix_norm)
     assert dropped
-    assert {r.prefix_norm for r in m.m11_unsatisfied_prefixes_national(v).collect()} == want
+    assert {r.prefix_norm for r in m.m11_unsatisfied_prefixes(v).collect()} == want
 
 
 def test_k2_finds_similar_names_of_all_spells(spark, v, weights):
@@ -83,6 +83,6 @@ def test_k2_finds_similar_names_of_all_spells(spark, v, weights):
         if best:
             want[a[0]] = -best[2]
             scores[best[0] < 1] += 1
-    got = m.k2_predecessor_fallback_all(lambda name: spells if name == "spells" else v(name)).collect()
+    got = m.k2_predecessor_fallback(lambda name: spells if name == "spells" else v(name)).collect()
     assert {r.entity_id: r.predecessor_id for r in got} == want
     assert scores[True] and scores[False] and any(k % 5 for k in want)

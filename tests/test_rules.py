@@ -334,3 +334,37 @@ def test_looks_like_street(spark, value, want):
 @pytest.mark.parametrize(("value", "want"), [("A B/B/C", "A B/B/C"), ("A B/B", "A B"), ("A B/ /B", "A B"), ("A/B", "A/B"), (" OLD MILL/MILL ", "Old Mill"), ("x/", "x/")])
 def test_clean_name_takes_two_parts_alone(spark, value, want):
     assert one(spark, value, t.clean_name) == want
+
+
+def test_territories_are_strict(spark):
+    from regwatch.operators import territory
+
+    publishers = spark.createDataFrame([("1", "Bournemouth, Christchurch and Poole", "SOUTH"), ("2", "Leeds", "NORTH"), ("3", "Leeds", "SOUTH")], "publisher string, name string, region_name string")
+    rows = [("the north", "region_group", "NORTH"), ("uplands", "region_group", "NORTH"), ("uplands", "region_group", "WEST"), ("gb", "abbreviation", "leeds"), ("all", "national", ""), ("dorset", "county", "Bournemouth, Christchurch and Poole"), ("dorset", "county", "Gone")]
+    gazetteer = spark.createDataFrame(rows, "place_key string, kind string, target string")
+    places = ["Bournemouth, Christchurch and Poole", "Uplands", "Leeds and Uplands", "GB", "ALL", "Dorset, Leeds", "South / North", "Leeds And South", "", None, ",", "Leeds,"]
+    got = {r.place: (r.publishers, r.reason) for r in territory.resolve_territories(spark.createDataFrame([(p,) for p in places], "place string"), gazetteer, publishers).collect()}
+    # "And" in capitals is no separator, nor is a slash; a comma at the end leaves a single part, which the whole already is
+    assert got == {
+        "Bournemouth, Christchurch and Poole": (["1"], None), "Uplands": (None, "absent: WEST"), "Leeds and Uplands": (None, "absent: WEST"), "GB": (["2", "3"], None), "ALL": (["1", "2", "3"], None), "Dorset, Leeds": (["1", "2", "3"], None),
+        "South / North": (None, "unknown: South / North"), "Leeds And South": (None, "unknown: Leeds And South"), "": (None, "no territory given"), None: (None, "no territory given"), ",": (None, "no territory given"), "Leeds,": (["2", "3"], None),
+    }
+    with pytest.raises(Exception, match="territory Uplands: absent: WEST"):
+        territory.resolve_territories(spark.createDataFrame([("Uplands",)], "place string"), gazetteer, publishers, strict=True).collect()
+
+
+def test_a_canary_that_moved_is_not_missing(spark):
+    from regwatch.operators import quality
+
+    there = spark.createDataFrame([(1, "a", "x", "B1"), (2, "b", "y", None), (3, "a", "z", "B3"), (3, "b", "z", "B3")], "entity_id long, publisher string, business_name string, business_id string")
+    wanted = spark.createDataFrame([(1, "b", "x", "B2"), (2, "b", "y", None), (3, "b", "z", "B3"), (4, "b", "q", "B4")], "entity_id long, publisher string, expected_name string, expected_business_id string")
+    assert sorted(tuple(r) for r in quality.canary_check(there, wanted).collect()) == [(1, "b", "publisher,business_id"), (4, "b", "missing")]
+
+
+def test_windows_count_records_of_both_ends(spark):
+    days = spark.createDataFrame([("p", "all", "", D(2024, 1, d)) for d in (2, 2, 5, 9)] + [("p", "all", "", None)], "publisher string, audience string, reason_removed string, first_seen_date date")
+    keys = ["publisher", "audience", "reason_removed"]
+    counts = windows.cumulative_counts(days, keys, "first_seen_date")
+    asked = spark.createDataFrame([("p", "all", "", D(2024, 1, d)) for d in (1, 2, 4, 5, 30)] + [("q", "all", "", D(2024, 1, 3))], "publisher string, audience string, reason_removed string, first_seen_date date")
+    got = {(r.publisher, r.first_seen_date.day): r.n for r in windows.counts_until(counts, asked, keys, "first_seen_date").collect()}
+    assert got == {("p", 1): 0, ("p", 2): 2, ("p", 4): 2, ("p", 5): 3, ("p", 30): 4, ("q", 3): 0}
