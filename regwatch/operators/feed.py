@@ -28,10 +28,11 @@ REASONS = ("outside territory", "unclassified", "venue type", "incomplete addres
 LINES = tuple(f"address_line_{k}" for k in range(1, 5))
 # The feed's column names, in their order.
 FEED = (
-    "fhrsid business_name address postcode postcode_source address_completeness google_maps_url authority_name authority_extract_date business_type rating_status first_seen_date "
-    "days_since_first_seen batch_publication classification confidence reason reason_detail previous_business_name previous_fhrsid previous_last_seen match_status company_name "
-    "company_number company_status incorporation_date sic_codes companies_house_url fhrs_url"
-).split()
+    "fhrsid", "business_name", "address", "postcode", "postcode_source", "address_completeness", "google_maps_url", "authority_name",
+    "authority_extract_date", "business_type", "rating_status", "first_seen_date", "days_since_first_seen", "batch_publication", "classification",
+    "confidence", "reason", "reason_detail", "previous_business_name", "previous_fhrsid", "previous_last_seen", "match_status", "company_name",
+    "company_number", "company_status", "incorporation_date", "sic_codes", "companies_house_url", "fhrs_url",
+)
 
 # What a customer is told about a record; results must agree on it.
 SAID = {
@@ -214,6 +215,53 @@ def audit_ledger(classifications: DataFrame, candidates: DataFrame, truth: DataF
     return classifications.join(best, list(EVENT), "left").join(truth, "entity_id", "left")
 
 
+#: Short keys of a JSON feed and the feed's columns behind them, in their order.
+SHORT = {
+    "id": "fhrsid", "au": "authority_name", "n": "business_name", "a": "address", "pc": "postcode", "ac": "address_completeness", "bt": "business_type", "rst": "rating_status", "fs": "first_seen_date",
+    "cl": "classification", "cf": "confidence", "rs": "reason", "pbn": "previous_business_name", "pls": "previous_last_seen", "ms": "match_status", "bp": "batch_publication", "cnm": "company_name",
+    "cn": "company_number", "cst": "company_status", "ic": "incorporation_date", "sic": "sic_codes", "url": "fhrs_url", "gmu": "google_maps_url", "chu": "companies_house_url",
+}
+STRATEGIES = {"district": "d", "national": "n", "operator-prefix": "op"}
+
+
+def short_feed(rows: DataFrame) -> DataFrame:
+    """Rows of the feed under short keys: the id as a number, the two flags as booleans; an absent batch flag is false."""
+
+    def value(key: str, column: str) -> Column:
+        if column not in rows.columns:
+            return F.lit(False) if key == "bp" else F.lit(None).cast("string")
+        c = F.col(column)
+        return F.coalesce(c == "Yes", F.lit(False)) if key in ("ms", "bp") else c.cast("long") if key == "id" else c
+
+    return rows.select(*(value(k, c).alias(k) for k, c in SHORT.items()))
+
+
+def short_ledger(labels: DataFrame, entities: DataFrame, publishers: DataFrame, candidates: DataFrame, truth: DataFrame, top: int = 3) -> DataFrame:
+    """Labelled events under short keys, each with its best candidates as an array in the order of rank (empty if there is
+    none) and its label by hand (rmf, rcn, notes; null without one). Unknown stays null in ri and pm; the candidates' flags are
+    true or false; a strategy without a code is the district's.
+
+    labels: entity_id, publisher, insert_date and what ``classify`` gives; truth: entity_id, real_match, real_company, notes.
+    """
+    c = F.col
+    code = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in STRATEGIES.items() for x in kv]), c("match_strategy")), F.lit("d"))
+    no = F.lit(False)
+    one = F.struct(
+        "rank", c("company_name").alias("n"), c("company_number").alias("no"), c("name_similarity_score").alias("s"), code.alias("st"), F.coalesce("is_high_density_address", no).alias("hd"),
+        F.coalesce("address_matches_establishment", no).alias("am"), c("date_of_creation").alias("dc"),
+    )
+    best = candidates.where(c("rank") <= top).groupBy(*EVENT).agg(F.array_sort(F.collect_list(one)).alias("__best")).withColumn("__best", F.transform("__best", lambda x: x.dropFields("rank")))
+    hand = truth.select("entity_id", F.struct(*(F.trim(t.text(c(x))).alias(k) for k, x in (("rmf", "real_match"), ("rcn", "real_company"), ("notes", "notes")))).alias("gt"))
+    known = entities.select("entity_id", "business_name", "address_line_1", t.effective_postcode(c("post_code"), c("postcode_live")).alias("pc"), "first_seen_date")
+    rows = labels.select("entity_id", "publisher", "insert_date", "classification", "confidence", "reason", "recently_incorporated", "predecessor_name_match", "evidence_company_number").join(known, "entity_id")
+    rows = rows.join(publishers.select("publisher", "name"), "publisher", "left").join(best, list(EVENT), "left").join(hand, "entity_id", "left")
+    none = F.array().cast(best.schema["__best"].dataType)
+    return rows.select(
+        c("entity_id").alias("id"), c("business_name").alias("n"), c("address_line_1").alias("a"), "pc", F.coalesce("name", "publisher").alias("au"), c("first_seen_date").alias("fs"), c("classification").alias("cl"), c("confidence").alias("cf"),
+        c("reason").alias("rs"), c("recently_incorporated").alias("ri"), c("predecessor_name_match").alias("pm"), c("evidence_company_number").alias("cn"), F.coalesce("__best", none).alias("cand"), "gt",
+    )
+
+
 def ground_truth_score(ledger: DataFrame) -> DataFrame:
     """How often the evidence names the company that was labelled by hand."""
     known = ledger.where("coalesce(true_company, '') <> ''")

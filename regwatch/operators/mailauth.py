@@ -1,5 +1,5 @@
 """Rollup of mail-authentication reports (A2-A5). records: source_ip, count, disposition, dkim, spf, header_from, reporter,
-begin, end."""
+begin, end, and the nested results auth_spf and auth_dkim (arrays of domain and result)."""
 
 from __future__ import annotations
 
@@ -9,13 +9,21 @@ from pyspark.sql import functions as F
 _V4 = r"^(\d{1,3})\.(\d{1,3})\.(\d{1,3})\.(\d{1,3})$"
 
 
+FIELDS = ("spf", "dkim", "disposition")
+
+
 def source_rollup(records: DataFrame) -> DataFrame:
-    """Per source the messages, reporters, domains, span, and messages by result as maps."""
-    sums = records.groupBy("source_ip").agg(F.sum("count").alias("messages"), F.array_sort(F.collect_set("reporter")).alias("reporters"), F.array_sort(F.collect_set("header_from")).alias("domains"), F.min("begin").alias("first_seen"), F.max("end").alias("last_seen"))
-    for field in ("spf", "dkim", "disposition"):
-        one = records.groupBy("source_ip", field).agg(F.sum("count").alias("n")).where(F.col(field).isNotNull())
-        sums = sums.join(one.groupBy("source_ip").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(field, "n")))).alias(f"{field}_results")), "source_ip", "left")
-    return sums
+    """Per source the messages, reporters, domains, first and last day of reports, the sets of domain=result that the checks
+    found, and messages by result as maps; an absent result is '?', an absent domain adds nothing."""
+    named = lambda field: F.array_distinct(F.flatten(F.collect_set(F.transform(F.filter(field, lambda x: F.coalesce(x["domain"], F.lit("")) != ""), lambda x: F.concat(x["domain"], F.lit("="), F.coalesce(x["result"], F.lit("?")))))))
+    sums = records.groupBy("source_ip").agg(
+        F.sum("count").alias("messages"), F.array_sort(F.collect_set("reporter")).alias("reporters"), F.array_sort(F.collect_set(F.nullif("header_from", F.lit("")))).alias("domains"), F.min("begin").alias("first_seen"), F.max("begin").alias("last_seen"),
+        F.array_sort(named("auth_spf")).alias("spf_domains"), F.array_sort(named("auth_dkim")).alias("dkim_domains"),
+    )
+    kinds = F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.coalesce(F.col(f), F.lit("?")).alias("result")) for f in FIELDS))).alias("r")
+    counts = records.select("source_ip", "count", kinds).groupBy("source_ip", "r").agg(F.sum("count").alias("n"))
+    entry = lambda f: F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("r.field") == f, F.struct("r.result", "n"))))).alias(f"{f}_results")
+    return sums.join(counts.groupBy("source_ip").agg(*(entry(f) for f in FIELDS)), "source_ip")
 
 
 def auth_tally(records: DataFrame) -> DataFrame:

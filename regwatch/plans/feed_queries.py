@@ -62,10 +62,20 @@ def x3_is_noise_type(v):
     return v("feed").select("entity_id", feed.is_noise_type(c("business_type")).alias("noise"))
 
 
-@query("""select entity_id, case classification when 'NEW_VENUE' then case when coalesce(company_name, '') <> '' then 'New registration, matched to Companies House company "' || company_name || '".' else 'New registration.' end
-          when 'OPERATOR_CHANGE' then case when coalesce(previous_business_name, '') <> '' and previous_business_name <> business_name then 'Operator change -- this address previously traded as "' || previous_business_name || '".'
-               when coalesce(previous_business_name, '') <> '' then 'Possible operator change -- kept the same trading name as the previous record; not company-confirmed.' else 'Operator change.' end
-          else case when coalesce(evidence_company_number, '') <> '' then 'Matched to Companies House company "' || coalesce(company_name, '') || '", but not confirmed as a new registration.' else 'No confirmed company match.' end end as out from {feed}""")
+def said(key: str, name: str = "''") -> str:
+    """A phrase of the feed with a name in it, as SQL."""
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    head, _, tail = feed.SAID[key].partition("%s")
+    return f"{quoted(head)} || {name} || {quoted(tail)}" if tail else quoted(head)
+
+
+REASON = f"""case classification when 'NEW_VENUE' then case when coalesce(company_name, '') <> '' then {said("new with company", "company_name")} else {said("new")} end
+          when 'OPERATOR_CHANGE' then case when coalesce(previous_business_name, '') <> '' and previous_business_name <> business_name then {said("change of name", "previous_business_name")}
+               when coalesce(previous_business_name, '') <> '' then {said("change of the same name")} else {said("change")} end
+          else case when coalesce(evidence_company_number, '') <> '' then {said("other with company", "coalesce(company_name, '')")} else {said("other")} end end"""
+
+
+@query(f"select entity_id, {REASON} as out from {{feed}}")
 def x4_customer_reason(v):
     return v("feed").select("entity_id", feed.customer_reason().alias("out"))
 
@@ -73,11 +83,28 @@ def x4_customer_reason(v):
 BULK = "coalesce(nullif(post_code, ''), nullif(postcode_live, ''))"
 
 
-@query(f"""select cast(entity_id as varchar) as fhrsid, business_name, {ADDRESS} as address, coalesce({BULK}, '') as postcode, case when coalesce(post_code, '') <> '' then 'bulk' when coalesce(postcode_live, '') <> '' then 'live_api' else '' end as postcode_source,
-           cast(cast(date '1998-01-31' - first_seen_date as int) as varchar) as days_since_first_seen, case when batch_publication then 'Yes' else 'No' end as batch_publication, case when coalesce(evidence_company_number, '') <> '' then 'Yes' else 'No' end as match_status,
-           coalesce(company_name, '') as company_name, '56101, 56102' as sic_codes, coalesce(cast(previous_last_seen as varchar), '') as previous_last_seen from {{feed}}""")
+MAPPED = f"concat_ws(', ', nullif({ADDRESS}, ''), {BULK})"
+#: Every column of the feed, as SQL.
+COLUMNS = {
+    "fhrsid": "entity_id", "business_name": "business_name", "address": ADDRESS, "postcode": BULK, "postcode_source": "case when coalesce(post_code, '') <> '' then 'bulk' when coalesce(postcode_live, '') <> '' then 'live_api' end",
+    "address_completeness": f"case when {BULK} is null then 'no_address' when length(replace({BULK}, ' ', '')) < 5 then 'district_only' when {ADDRESS} <> '' then 'full' else 'postcode_only' end",
+    "google_maps_url": f"case when {MAPPED} <> '' then '{t.MAP_LINK}' || replace(replace(url_encode({MAPPED}), '%2F', '/'), '%7E', '~') end", "authority_name": "authority_name", "authority_extract_date": "authority_extract_date",
+    "business_type": "business_type", "rating_status": "case when rating_value in ('0', '1', '2', '3', '4', '5', 'Pass') then 'Rated' when rating_value = 'AwaitingInspection' then 'Awaiting Inspection' when rating_value = 'Awaiting Publication' then rating_value when rating_value = 'Exempt' then 'Exempt' else 'Unknown' end",
+    "first_seen_date": "first_seen_date", "days_since_first_seen": "cast(date '1998-01-31' - first_seen_date as int)", "batch_publication": "case when batch_publication then 'Yes' else 'No' end", "classification": "classification", "confidence": "confidence",
+    "reason": REASON, "reason_detail": "reason", "previous_business_name": "previous_business_name", "previous_fhrsid": "evidence_predecessor_id", "previous_last_seen": "previous_last_seen",
+    "match_status": "case when coalesce(evidence_company_number, '') <> '' then 'Yes' else 'No' end", "company_name": "company_name", "company_number": "evidence_company_number", "company_status": "company_status",
+    "incorporation_date": "incorporation_date", "sic_codes": "'56101, 56102'", "companies_house_url": f"'{t.COMPANY_LINK}' || nullif(evidence_company_number, '')", "fhrs_url": f"'{t.ENTITY_LINK}' || cast(entity_id as varchar)",
+}
+
+
+def shown(column: str, name: str) -> str:
+    """A column of the feed as the text that stands there, by another name."""
+    return f"coalesce(cast({COLUMNS[column]} as varchar), '') as {name}"
+
+
+@query(f"select {', '.join(shown(x, x) for x in COLUMNS)} from {{feed}}")
 def x5_build_feed(v):
-    return feed.build_feed(v("feed"), F.lit("1998-01-31").cast("date")).select("fhrsid", "business_name", "address", "postcode", "postcode_source", "days_since_first_seen", "batch_publication", "match_status", "company_name", "sic_codes", "previous_last_seen")
+    return feed.build_feed(v("feed"), F.lit("1998-01-31").cast("date"))
 
 
 def address():
@@ -122,10 +149,18 @@ def x11_audience_types(v):
     return rows.join(flag("broker"), "business_type", "left").join(flag("roaster"), "business_type", "left").select("entity_id", F.coalesce("broker", F.lit(False)).alias("broker"), F.coalesce("roaster", F.lit(False)).alias("roaster"))
 
 
-@query(f"""select entity_id, case when classification = 'OPERATOR_CHANGE' then 'Change of operator' else 'New opening' end as status, {ADDRESS} as address, coalesce({LIVE}, '') as postcode, authority_name as council,
-           case when {SURE} and coalesce(evidence_company_number, '') <> '' then coalesce(company_name, '') else '' end as company from {{feed}}""")
+CHANGE = "classification = 'OPERATOR_CHANGE'"
+KNOWN = f"{SURE} and coalesce(evidence_company_number, '') <> ''"
+
+
+@query(f"""select entity_id, {tidy("business_name")} as venue, case when {CHANGE} then 'Change of operator' else 'New opening' end as status,
+           case business_type when 'Restaurant/Cafe/Canteen' then 'Cafe / restaurant' when 'Pub/bar/nightclub' then 'Pub / bar' when 'Takeaway/sandwich shop' then 'Takeaway' else coalesce(business_type, '') end as premises,
+           {ADDRESS} as address, coalesce({LIVE}, '') as postcode, authority_name as council, first_seen_date as registered, case when {CHANGE} then {tidy("previous_business_name")} else '' end as previously,
+           case when {KNOWN} then coalesce(company_name, '') else '' end as company, case when {KNOWN} then evidence_company_number else '' end as company_no, case when {KNOWN} then coalesce(cast(incorporation_date as varchar), '') else '' end as incorporated,
+           concat_ws('; ', case when batch_publication then 'published in a batch' end, case when {CHANGE} and coalesce(previous_business_name, '') = '' then 'previous name unknown' end, case when confidence <> 'HIGH' then lower(confidence) || ' confidence' end) as notes,
+           '{t.ENTITY_LINK}' || cast(entity_id as varchar) as link from {{feed}}""")
 def x12_report_rows(v):
-    return feed.report_rows(v("feed")).select("entity_id", "status", "address", "postcode", "council", "company")
+    return feed.report_rows(v("feed"))
 
 
 @query(f"""with j as (select *, {removal(chr(39) + 'all' + chr(39))} as why from {{feed}})
@@ -323,14 +358,26 @@ def w12_split_counts(v):
 
 
 def records(v):
-    return v("auth_records").withColumnsRenamed({"begin_": "begin", "end_": "end"})
+    """Records with what each sender's own checks found: one result of spf, two of dkim, of which one has no result."""
+    pair = lambda domain, result: F.struct(domain.alias("domain"), result.alias("result"))
+    own = {"auth_spf": F.array(pair(c("header_from"), c("spf"))), "auth_dkim": F.array(pair(c("header_from"), c("dkim")), pair(F.concat(F.lit("bulk."), "reporter"), F.lit(None).cast("string")))}
+    return v("auth_records").withColumnsRenamed({"begin_": "begin", "end_": "end"}).withColumns(own)
+
+
+def results(field: str) -> str:
+    return f"{field}_counts as (select source_ip, string_agg(r || ':' || cast(n as varchar), ',' order by r) as {field}_results from (select source_ip, coalesce({field}, '?') as r, sum(count) as n from {{auth_records}} group by 1, 2) x group by 1)"
 
 
-@query("""select source_ip, cast(sum(count) as bigint) as messages, string_agg(distinct reporter, ',' order by reporter) as reporters, string_agg(distinct header_from, ',' order by header_from) as domains, min(begin_) as first_seen, max(end_) as last_seen,
-          cast(sum(case when spf = 'pass' then count end) as bigint) as spf_pass from {auth_records} group by 1""")
+@query(f"""with {results("spf")}, {results("dkim")}, {results("disposition")},
+          dk as (select source_ip, string_agg(d, ',' order by d) as dkim_domains from (select source_ip, header_from || '=' || dkim as d from {{auth_records}} union select source_ip, 'bulk.' || reporter || '=?' from {{auth_records}}) y group by 1),
+          sp as (select source_ip, string_agg(d, ',' order by d) as spf_domains from (select distinct source_ip, header_from || '=' || coalesce(spf, '?') as d from {{auth_records}}) y group by 1),
+          su as (select source_ip, cast(sum(count) as bigint) as messages, string_agg(distinct reporter, ',' order by reporter) as reporters, string_agg(distinct header_from, ',' order by header_from) as domains, min(begin_) as first_seen, max(begin_) as last_seen from {{auth_records}} group by 1)
+          select * from su join spf_counts using (source_ip) join dkim_counts using (source_ip) join disposition_counts using (source_ip) join dk using (source_ip) join sp using (source_ip)""")
 def a2_source_rollup(v):
     rows = mailauth.source_rollup(records(v))
-    return rows.select("source_ip", "messages", F.array_join("reporters", ",").alias("reporters"), F.array_join("domains", ",").alias("domains"), "first_seen", "last_seen", F.try_element_at("spf_results", F.lit("pass")).alias("spf_pass"))
+    joined = [F.array_join(x, ",").alias(x) for x in ("reporters", "domains", "spf_domains", "dkim_domains")]
+    counted = [F.array_join(F.transform(F.map_entries(x), lambda e: F.concat(e["key"], F.lit(":"), e["value"].cast("string"))), ",").alias(x) for x in ("spf_results", "dkim_results", "disposition_results")]
+    return rows.select("source_ip", "messages", *joined, "first_seen", "last_seen", *counted)
 
 
 @query("""with x as (select count, coalesce(spf = 'pass', false) as s, coalesce(dkim = 'pass', false) as d from {auth_records}) select cast(sum(count) as bigint) as messages, cast(sum(case when s or d then count else 0 end) as bigint) as passed, cast(sum(case when not (s or d) then count else 0 end) as bigint) as failed,

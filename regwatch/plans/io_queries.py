@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from ..operators import feed
 from ..sources import readers, sinks
-from ..sources.scratch import scratch
+from ..sources.scratch import scratch, settled
 from ..streaming import twins
 from .change_queries import LOG, events_sql, marked
-from .feed_queries import BULK
+from .feed_queries import COLUMNS, shown
+from .match_queries import LABELLED, labelled, merged
 from .registry import query
 
 c = F.col
@@ -89,20 +90,43 @@ def s6_read_lookup_pages(v):
     return readers.read_lookup_pages(pages.sparkSession, landed(pages, "json", maxRecordsPerFile=1))
 
 
-@query(f"select cast(entity_id as varchar) as fhrsid, business_name, nullif(coalesce({BULK}, ''), '') as postcode from {{feed}}")
+@query(f"select {', '.join(f'nullif({x}, {chr(39) * 2}) as {x}' for x in COLUMNS)} from (select {', '.join(shown(x, x) for x in COLUMNS)} from {{feed}}) x")
 def s9_write_feed(v):
     rows = feed.build_feed(v("feed"), F.lit("1998-01-31").cast("date"))
     path = scratch(rows.sparkSession)
     sinks.write_feed(rows, path)
-    return rows.sparkSession.read.option("header", True).csv(path, schema=", ".join(f"{x} string" for x in feed.FEED)).select("fhrsid", "business_name", "postcode")
+    return rows.sparkSession.read.option("header", True).csv(path, schema=", ".join(f"{x} string" for x in feed.FEED))
 
 
-@query("select entity_id as id, business_name as n, classification as c, confidence as k, batch_publication as bp from {feed}")
+FLAGS = {"ms": "coalesce(evidence_company_number, '') <> ''", "bp": "batch_publication", "id": "entity_id"}
+
+
+@query(f"select {', '.join(f'{FLAGS[k]} as {k}' if k in FLAGS else shown(x, k) for k, x in feed.SHORT.items())} from {{feed}}")
 def s10_write_json_feed(v):
-    rows = v("feed")
+    rows = feed.build_feed(v("feed"), F.lit("1998-01-31").cast("date"))
     path = scratch(rows.sparkSession)
     sinks.write_json_feed(rows, path)
-    return rows.sparkSession.read.schema("id long, n string, c string, k string, bp boolean").json(path)
+    return rows.sparkSession.read.schema(", ".join(f"{k} {'long' if k == 'id' else 'boolean' if k in FLAGS else 'string'}" for k in feed.SHORT)).json(path)
+
+
+LEDGER = """id long, n string, a string, pc string, au string, fs date, cl string, cf string, rs string, ri boolean, pm boolean, cn string,
+    cand array<struct<n: string, no: string, s: double, st: string, hd: boolean, am: boolean, dc: date>>, gt struct<rmf: string, rcn: string, notes: string>"""
+
+
+@query(f"""with {LABELLED}, tp as (select entity_id, insert_date, list({{'n': company_name, 'no': company_number, 's': name_similarity_score, 'st': case match_strategy when 'national' then 'n' when 'operator-prefix' then 'op' else 'd' end,
+                'hd': coalesce(is_high_density_address, false), 'am': coalesce(address_matches_establishment, false), 'dc': date_of_creation}} order by rank) as cs from mg where rank <= 3 group by 1, 2)
+        select lb.entity_id as id, e.business_name as n, e.address_line_1 as a, e.post_code as pc, coalesce(p.name, lb.publisher) as au, e.first_seen_date as fs, classification as cl, confidence as cf, reason as rs, recently_incorporated as ri, predecessor_name_match as pm,
+               evidence_company_number as cn, coalesce(cast(to_json(cs) as varchar), '[]') as cand, case when lb.entity_id % 4 = 0 then 'y / 0000' || cast(lb.entity_id as varchar) || ' / ' end as gt
+        from lb join {{entities}} e on e.entity_id = lb.entity_id left join {{register_publishers}} p on p.publisher = lb.publisher left join tp on tp.entity_id = lb.entity_id and tp.insert_date = lb.insert_date""")
+def s10_write_json_ledger(v):
+    candidates = settled(merged(v))
+    entities = v("entities").withColumn("postcode_live", F.lit("unread"))
+    hand = v("entities").where("entity_id % 4 = 0").select("entity_id", F.lit(" y").alias("real_match"), F.concat(F.lit("0000"), c("entity_id").cast("string"), F.lit(" ")).alias("real_company"), F.lit(None).cast("string").alias("notes"))
+    rows = feed.short_ledger(labelled(v, candidates), entities, v("register_publishers"), candidates, hand)
+    path = scratch(rows.sparkSession)
+    sinks.write_json_ledger(rows, path)
+    back = rows.sparkSession.read.schema(LEDGER).json(path)
+    return back.withColumns({"cand": F.to_json("cand"), "gt": F.when(c("gt").isNotNull(), F.concat_ws(" / ", "gt.rmf", "gt.rcn", "gt.notes"))})
 
 
 @query("select entity_id, coalesce(evidence_company_number, '') as true_company, evidence_company_number is null as blank from {feed}")

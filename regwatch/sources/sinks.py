@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ..operators.feed import FEED
+from ..operators.feed import FEED, short_feed
 
 
 def write_feed(df: DataFrame, path: str) -> None:
@@ -14,6 +13,10 @@ def write_feed(df: DataFrame, path: str) -> None:
 
 
 def write_json_feed(df: DataFrame, path: str) -> None:
-    """Compact rows with short keys; an absent batch flag is false."""
-    flag = F.coalesce(F.col("batch_publication"), F.lit(False)) if "batch_publication" in df.columns else F.lit(False)
-    df.select(F.col("entity_id").alias("id"), F.col("business_name").alias("n"), F.col("classification").alias("c"), F.col("confidence").alias("k"), flag.alias("bp")).write.json(path)
+    """The feed as JSON rows under short keys; null values are written."""
+    short_feed(df).write.option("ignoreNullFields", False).json(path)
+
+
+def write_json_ledger(df: DataFrame, path: str) -> None:
+    """A ledger of ``short_ledger`` as JSON rows, candidates and labels nested; null values are written."""
+    df.write.option("ignoreNullFields", False).json(path)
