@@ -3,6 +3,9 @@ the shared scratch folder, and read back by the operator."""
 
 from __future__ import annotations
 
+import io
+import zipfile
+
 from pyspark.sql import functions as F
 
 from ..operators import feed
@@ -138,7 +141,7 @@ def s11_read_ground_truth(v):
 def auth_reports(v):
     """Reports of a reporter and day; as many of each as the largest day of one fills."""
     seconds = lambda x: F.unix_timestamp(c(x).cast("timestamp"))
-    record = F.struct(F.struct("source_ip", "count", F.struct("disposition", "dkim", "spf").alias("policy_evaluated")).alias("row"), F.struct("header_from").alias("identifiers"))
+    record = F.struct(F.struct("source_ip", "count", F.struct("disposition", "dkim", "spf").alias("policy_evaluated")).alias("row"), F.struct("header_from").alias("identifiers"), F.struct(F.struct(F.lit("r").alias("domain"), c("spf").alias("result")).alias("spf")).alias("auth_results"))
     day = ["reporter", "begin_", "end_"]
     most = v("auth_records").groupBy(*day).count().agg(F.max("count")).first()[0] or 0
     # Equal records are dealt out too: the number of a row stands in the hash.
@@ -147,11 +150,42 @@ def auth_reports(v):
     return rows.select(F.struct(c("reporter").alias("org_name"), F.struct(seconds("begin_").alias("begin"), seconds("end_").alias("end")).alias("date_range")).alias("report_metadata"), F.struct(F.lit("none").alias("p")).alias("policy_published"), "record")
 
 
-@query("select source_ip, cast(sum(count) as bigint) as messages, min(begin_) as begin_ from {auth_records} group by 1")
+def put(spark, path: str, content: bytes) -> None:
+    """A small file in the shared folder."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at)
+    out.write(bytearray(content))
+    out.close()
+
+
+def zipped(name: str, content: bytes) -> bytes:
+    made = io.BytesIO()
+    with zipfile.ZipFile(made, "w") as archive:
+        archive.writestr(name, content)
+    return made.getvalue()
+
+
+@query("""select source_ip, cast(sum(count) as bigint) as messages, min(begin_) as begin_, cast(count(*) as bigint) as records, string_agg(distinct coalesce(spf, '?'), ',' order by coalesce(spf, '?')) as spf, 0 as broken, min('r=' || coalesce(spf, '?')) as checked from {auth_records} group by 1
+          union all select 'all of them', cast(sum(count) as bigint), min(begin_), 1, 'pass', 0, 'r=pass' from {auth_records}
+          union all select 'unreadable', null, null, 0, null, 2, null""")
 def a1_read_auth_reports(v):
+    """The records as gzip reports, their sum as a report in a zip archive, and two files that cannot be read."""
     rows = auth_reports(v)
-    out = readers.read_auth_reports(rows.sparkSession, landed(rows, "xml", rowTag="feedback", rootTag="reports"))
-    return out.groupBy("source_ip").agg(F.sum("count").alias("messages"), F.min("begin").alias("begin_"))
+    spark = rows.sparkSession
+    path = landed(rows, "xml", rowTag="feedback", rootTag="reports", compression="gzip")
+    n, first = v("auth_records").agg(F.sum("count"), F.unix_timestamp(F.min("begin_").cast("timestamp"))).first()
+    whole = f"<feedback><report_metadata><org_name>sums</org_name><date_range><begin>{first}</begin></date_range></report_metadata><record><row><source_ip>all of them</source_ip><count>{n}</count><policy_evaluated><spf>pass</spf></policy_evaluated></row><auth_results><spf><domain>r</domain><result>pass</result></spf></auth_results></record></feedback>"
+    put(spark, f"{path}/sum.zip", zipped("sum.xml", whole.encode()))
+    put(spark, f"{path}/broken.xml", whole.encode()[:-9])
+    put(spark, f"{path}/broken.gz", whole.encode())
+    out = readers.read_auth_reports(spark, path)
+    found = F.get("auth_spf", F.lit(0))
+    sums = readers.auth_records(out).groupBy("source_ip").agg(
+        F.sum("count").alias("messages"), F.min("begin").alias("begin_"), F.count("*").alias("records"), F.array_join(F.array_sort(F.collect_set(F.coalesce("spf", F.lit("?")))), ",").alias("spf"), F.lit(0).alias("broken"),
+        F.min(F.concat(found["domain"], F.lit("="), F.coalesce(found["result"], F.lit("?")))).alias("checked"),
+    )
+    lost = readers.auth_failures(out).agg(F.lit("unreadable").alias("source_ip"), F.lit(0).cast("long").alias("records"), F.count("*").cast("int").alias("broken"))
+    return sums.unionByName(lost, allowMissingColumns=True)
 
 
 def by_day(v, df) -> tuple[str, object]:

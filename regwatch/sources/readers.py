@@ -2,8 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import gzip
+import io
+import zipfile
+from collections.abc import Iterator
+from xml.etree import ElementTree
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 DETAIL = """FHRSID string, LocalAuthorityBusinessID string, BusinessName string, BusinessType string, BusinessTypeID string, AddressLine1 string, AddressLine2 string, AddressLine3 string, AddressLine4 string,
 PostCode string, RatingValue string, RatingKey string, RatingDate string, SchemeType string, NewRatingPending string, Scores struct<Hygiene: string, Structural: string, ConfidenceInManagement: string>,
@@ -12,8 +22,6 @@ HEADER = "ExtractDate string, ItemCount string, ReturnCode string"
 PUBLISHER = "LocalAuthorityId string, LocalAuthorityIdCode string, Name string, FriendlyName string, RegionName string, FileName string, EstablishmentCount string, Url string, Email string"
 COMPANY = "company_name string, company_number string, company_status string, company_subtype string, company_type string, date_of_creation string, date_of_cessation string, registered_office_address struct<address_line_1: string, address_line_2: string, locality: string, region: string, postal_code: string, country: string>, sic_codes array<string>"
 LOOKUP = "establishments array<struct<FHRSID: string, PostCode: string, BusinessName: string>>, meta struct<totalCount: long, totalPages: long, pageNumber: long>"
-AUTH = """report_metadata struct<org_name: string, date_range: struct<`begin`: long, `end`: long>>, policy_published struct<domain: string, p: string, sp: string, pct: int, adkim: string, aspf: string>,
-record array<struct<row: struct<source_ip: string, count: long, policy_evaluated: struct<disposition: string, dkim: string, spf: string>>, identifiers: struct<header_from: string>>>"""
 
 
 def _xml(spark: SparkSession, path: str, row: str, schema: str) -> DataFrame:
@@ -101,11 +109,67 @@ def read_ground_truth(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.trim("entity_id").try_cast("long").alias("entity_id"), company.alias("true_company"), F.coalesce(F.trim("note"), F.lit("")).alias("note"), (company == "").alias("blank"))
 
 
+RESULT = "array<struct<domain: string, result: string>>"
+AUTH = f"file string, source_ip string, count long, disposition string, dkim string, spf string, header_from string, reporter string, begin date, end date, domain string, policy string, auth_spf {RESULT}, auth_dkim {RESULT}, error string"
+#: Rows of a batch that a task hands on.
+ROWS = 4096
+
+
+def _opened(name: str, raw: bytes) -> bytes:
+    """What a report file holds: the first member of a zip archive, an unpacked gzip, or the bytes themselves."""
+    if name.lower().endswith(".zip"):
+        with zipfile.ZipFile(io.BytesIO(raw)) as archive:
+            return archive.read(archive.namelist()[0])
+    return gzip.decompress(raw) if name.lower().endswith(".gz") else raw
+
+
+def _records(file: str, xml: bytes) -> Iterator[dict]:
+    """The records of all reports in an XML document."""
+    root = ElementTree.fromstring(xml)
+    said = lambda node, path, default=None: (node.findtext(path) or "").strip() or default
+    day = lambda x: dt.datetime.fromtimestamp(int(x), dt.timezone.utc).date() if x else None
+    for report in [root] if root.tag == "feedback" else root.findall("feedback"):
+        span = "report_metadata/date_range"
+        shared = {"file": file, "reporter": said(report, "report_metadata/org_name", "?"), "begin": day(said(report, f"{span}/begin")), "end": day(said(report, f"{span}/end")), "domain": said(report, "policy_published/domain", "?"), "policy": said(report, "policy_published/p", "-")}
+        for record in report.findall("record"):
+            checks = {f"auth_{k}": [{"domain": said(x, "domain"), "result": said(x, "result")} for x in record.findall(f"auth_results/{k}")] for k in ("spf", "dkim")}
+            judged = {k: said(record, f"row/policy_evaluated/{k}") for k in ("disposition", "dkim", "spf")}
+            yield shared | judged | checks | {"source_ip": said(record, "row/source_ip", "?"), "count": int(said(record, "row/count", "0")), "header_from": said(record, "identifiers/header_from")}
+
+
+def _empty(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files of no bytes, which Spark's readers pass over."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for d in store.globStatus(at) or [] for f in store.listStatus(d.getPath()) if f.isFile() and f.getLen() == 0 and not f.getPath().getName().startswith(("_", "."))]
+
+
 def read_auth_reports(spark: SparkSession, path: str) -> DataFrame:
-    """A row for each record of mail-authentication reports, plain or gzip (A1)."""
-    rows = _xml(spark, path, "feedback", AUTH).select("report_metadata", "policy_published", F.explode("record").alias("r"))
-    at = lambda name: F.to_date(F.timestamp_seconds(F.col(f"report_metadata.date_range.{name}")))
-    return rows.select(
-        F.col("r.row.source_ip").alias("source_ip"), F.col("r.row.count").alias("count"), F.col("r.row.policy_evaluated.disposition").alias("disposition"), F.col("r.row.policy_evaluated.dkim").alias("dkim"),
-        F.col("r.row.policy_evaluated.spf").alias("spf"), F.col("r.identifiers.header_from").alias("header_from"), F.col("report_metadata.org_name").alias("reporter"), at("begin").alias("begin"), at("end").alias("end"),
-    )
+    """A row for each record of mail-authentication reports, plain, gzip or zip, with the results of the senders' checks
+    nested (A1). A file that cannot be read gives one row that holds its name and the error alone, and none of its records;
+    ``auth_failures`` and ``auth_records`` tell them apart. A task holds one report file at a time."""
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    schema = to_arrow_schema(StructType.fromDDL(AUTH))
+
+    def parse(batches: Iterator) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                name = batch.column("path")[k].as_py().rsplit("/", 1)[-1]
+                try:
+                    rows = list(_records(name, _opened(name, batch.column("content")[k].as_py())))
+                except Exception as e:
+                    rows = [{"file": name, "error": f"{type(e).__name__}: {e}"}]
+                for at in range(0, len(rows), ROWS):
+                    yield pa.RecordBatch.from_pylist(rows[at : at + ROWS], schema=schema)
+
+    empty = spark.createDataFrame([(name, "no content") for name in _empty(spark, path)], "file string, error string")
+    return files.mapInArrow(parse, AUTH).unionByName(empty, allowMissingColumns=True)
+
+
+def auth_records(reports: DataFrame) -> DataFrame:
+    return reports.where("error is null").drop("error")
+
+
+def auth_failures(reports: DataFrame) -> DataFrame:
+    """Files that could not be read, and why."""
+    return reports.where("error is not null").select("file", "error")

@@ -368,3 +368,31 @@ def test_windows_count_records_of_both_ends(spark):
     asked = spark.createDataFrame([("p", "all", "", D(2024, 1, d)) for d in (1, 2, 4, 5, 30)] + [("q", "all", "", D(2024, 1, 3))], "publisher string, audience string, reason_removed string, first_seen_date date")
     got = {(r.publisher, r.first_seen_date.day): r.n for r in windows.counts_until(counts, asked, keys, "first_seen_date").collect()}
     assert got == {("p", 1): 0, ("p", 2): 2, ("p", 4): 2, ("p", 5): 3, ("p", 30): 4, ("q", 3): 0}
+
+
+def test_mail_reports_plain_gzip_zip_and_broken(spark, tmp_path):
+    import gzip
+    import io
+    import zipfile
+
+    def report(org, *records):
+        return f"<feedback><report_metadata><org_name>{org}</org_name><date_range><begin>1704067200</begin><end>1704153600</end></date_range></report_metadata><policy_published><domain>d.example</domain><p>none</p></policy_published>{''.join(records)}</feedback>".encode()
+
+    one = "<record><row><source_ip>1.2.3.4</source_ip><count>3</count><policy_evaluated><disposition>none</disposition><spf>pass</spf></policy_evaluated></row><identifiers><header_from>a.example</header_from></identifiers><auth_results><spf><domain>s1</domain><result>pass</result></spf><dkim><domain>k1</domain><result>fail</result></dkim><dkim><domain>k2</domain></dkim><dkim><result>pass</result></dkim></auth_results></record>"
+    (tmp_path / "a.xml").write_bytes(report("plain", one, "<record/>"))
+    (tmp_path / "b.xml.gz").write_bytes(gzip.compress(report("packed", one)))
+    made = io.BytesIO()
+    with zipfile.ZipFile(made, "w") as z:
+        z.writestr("x.xml", report("archived", one))
+    (tmp_path / "c.zip").write_bytes(made.getvalue())
+    for name, content in (("d.xml", b"<feedback>"), ("e.zip", b"PK no archive"), ("f.gz", b"plain"), ("g.xml", report("bad", one.replace("<count>3", "<count>three"))), ("h.xml", b"")):
+        (tmp_path / name).write_bytes(content)
+    got = readers.read_auth_reports(spark, str(tmp_path))
+    assert sorted(r.file for r in readers.auth_failures(got).collect()) == ["d.xml", "e.zip", "f.gz", "g.xml", "h.xml"]
+    rows = readers.auth_records(got)
+    assert sorted((r.reporter, r.source_ip, r["count"]) for r in rows.collect()) == [("archived", "1.2.3.4", 3), ("packed", "1.2.3.4", 3), ("plain", "1.2.3.4", 3), ("plain", "?", 0)]
+    sums = {r.source_ip: r for r in mailauth.source_rollup(rows).collect()}
+    r = sums["1.2.3.4"]
+    assert (r.messages, r.reporters, r.domains, r.spf_domains, r.dkim_domains) == (9, ["archived", "packed", "plain"], ["a.example"], ["s1=pass"], ["k1=fail", "k2=?"])
+    assert (r.spf_results, r.dkim_results, r.disposition_results, r.last_seen) == ({"pass": 9}, {"?": 9}, {"none": 9}, D(2024, 1, 1))
+    assert (sums["?"].messages, sums["?"].domains, sums["?"].spf_results) == (0, [], {"?": 0})
