@@ -25,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, cut, free, text_of
+from .common import chunks, cut, free, give_back, text_of
 
 CAPACITY, END = 4096, 1
 #: Bytes of the parts of words that a worker remembers, in two generations, and what an entry takes besides its text.
-REMEMBERED, ENTRY = 200_000_000, 150
+REMEMBERED, ENTRY = 100_000_000, 150
 #: Rows that share one bucket of a length while ranks are dealt out, and the fewest buckets.
 RANK_ROWS, LEAST_BUCKETS = 20_000, 64
 
@@ -131,6 +131,8 @@ def tokenize(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: boo
             if not with_ids:
                 columns, names = columns[:-1], names[:-1]
             yield pa.RecordBatch.from_arrays(columns, names)
+        tokens.old = {}
+        give_back()
 
     return text_of(docs).mapInArrow(pieces, "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids)
 
