@@ -200,16 +200,23 @@ def streamed(v, df):
     return twins.files(df.sparkSession, path, schema), scratch(df.sparkSession)
 
 
+def logged(v):
+    """Marked snapshots as a stream, with a row that closes them."""
+    rows = v("raw_snapshots").agg(F.max("collection_date")).first()[0]
+    marks = marked(v).select("publisher", "entity_id", "collection_date", "fingerprint")
+    return streamed(v, marks.unionByName(twins.closing(marks.schema, marks.sparkSession, rows)) if rows else marks)
+
+
 @query(f"with {LOG} select publisher, entity_id, collection_date, case when nth = 1 then 'first_seen' else 'field_changed' end as change_type from log where nth = 1 or rating is distinct from before")
 def r1_stream_change_log(v):
-    stream, out = streamed(v, marked(v).select("publisher", "entity_id", "collection_date", "fingerprint"))
+    stream, out = logged(v)
     twins.stream_change_log(stream, out, f"{out}/checkpoint")
     return v("runs").sparkSession.read.parquet(f"{out}/log").select("publisher", "entity_id", "collection_date", "change_type")
 
 
 @query(f"with {events_sql()} select * from ev")
 def r2_stream_change_events(v):
-    stream, out = streamed(v, marked(v).select("publisher", "entity_id", "collection_date", "fingerprint"))
+    stream, out = logged(v)
     twins.stream_change_events(stream, v("runs"), out, f"{out}/checkpoint")
     return twins.read_change_events(v("runs").sparkSession, v("runs"), out)
 

@@ -43,7 +43,7 @@ def n4_squash(v):
     return one(v, out=t.squash(c("name")))
 
 
-@query(sql("regexp_replace(lower(coalesce(name, '')), '[^\p{{L}}\p{{N}}]', '', 'g')"))
+@query(sql(r"regexp_replace(lower(coalesce(name, '')), '[^\p{{L}}\p{{N}}]', '', 'g')"))
 def n5_overlap_key(v):
     return one(v, out=t.overlap_key(c("name")))
 

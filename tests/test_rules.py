@@ -1,6 +1,7 @@
 """Rules that the tables do not reach, on rows made by hand."""
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -79,6 +80,7 @@ def test_stream_equals_batch(spark, tmp_path):
     rows = snapshots(spark, [("a", e, d, str((e * d) // 5)) for e in range(30) for d in range(1, 9) if (e + d) % 7])
     for d in range(1, 9):
         rows.where(F.dayofmonth("collection_date") == d).coalesce(1).write.parquet(str(tmp_path / "in" / f"day{d}"))
+    twins.closing(rows.schema, spark, D(2024, 1, 8)).coalesce(1).write.parquet(str(tmp_path / "in" / "day9"))  # lets the watermark pass all others
     stream = twins.files(spark, str(tmp_path / "in" / "*"), rows.schema, 1)
     twins.stream_change_log(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
     pick = ["entity_id", "collection_date", "change_type"]
@@ -172,6 +174,7 @@ def test_streams_in_many_batches_equal_the_whole(spark, tmp_path):
     runs = df.select("publisher", "collection_date").distinct().withColumn("status", F.lit("ok"))
     for i, d in enumerate(days):
         df.where(F.col("collection_date") == d).coalesce(1).write.parquet(str(tmp_path / "in" / f"{i}"))
+    twins.closing(df.schema, spark, D(2024, 1, 5)).coalesce(1).write.parquet(str(tmp_path / "in" / "last"))
     stream = twins.files(spark, str(tmp_path / "in" / "*"), df.schema, 1)
     twins.stream_change_events(stream, runs, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
     got = twins.read_change_events(spark, runs, str(tmp_path / "out"))
@@ -396,3 +399,82 @@ def test_mail_reports_plain_gzip_zip_and_broken(spark, tmp_path):
     assert (r.messages, r.reporters, r.domains, r.spf_domains, r.dkim_domains) == (9, ["archived", "packed", "plain"], ["a.example"], ["s1=pass"], ["k1=fail", "k2=?"])
     assert (r.spf_results, r.dkim_results, r.disposition_results, r.last_seen) == ({"pass": 9}, {"?": 9}, {"none": 9}, D(2024, 1, 1))
     assert (sums["?"].messages, sums["?"].domains, sums["?"].spf_results) == (0, [], {"?": 0})
+
+
+def test_a_sink_opens_the_ledger_of_its_own_days_alone(spark, tmp_path):
+    path = str(tmp_path / "table")
+    sink = twins.idempotent_sink(path, ["publisher", "collection_date"])
+    rows = lambda *days: spark.createDataFrame([(p, D(2024, 1, 1) + dt.timedelta(d), n) for d in days for p in ("a", "b c/d") for n in (1, 2)], "publisher string, collection_date date, n long")
+    opened = []
+    for number in range(12):
+        sink(rows(number, number - 1), number)  # the day before comes again
+        known = twins.finished_runs(spark, path, "collection_date", [D(2024, 1, 1) + dt.timedelta(number)], "publisher string, collection_date date")
+        opened.append(len(known.inputFiles()))
+    assert set(opened) == {1}
+    sink(rows(11, 10), 11)  # a batch that is repeated
+    got = spark.read.parquet(path)
+    assert got.count() == 13 * 4 and got.distinct().count() == 13 * 4
+
+
+def test_deletes_of_a_stream_read_two_runs_for_each_of_their_own(spark, tmp_path, monkeypatch):
+    ledger = runs(spark, [("a b", d, "ok") for d in range(1, 11)])
+    opened, read = [], twins._read
+    monkeypatch.setattr(twins, "_read", lambda *x: opened.append(len(twins._folders(*x[:3]))) or read(*x))
+    rows = snapshots(spark, [("a b", e, d, "x") for d in range(1, 11) for e in range(5) if (e + d) % 5])
+    landed = str(tmp_path / "in")
+    rows.repartitionByRange(10, "collection_date").sortWithinPartitions("collection_date").write.parquet(landed)
+    twins.closing(rows.schema, spark, D(2024, 1, 10)).write.mode("append").parquet(landed)
+    twins.stream_change_events(twins.files(spark, landed, rows.schema, 1), ledger, str(tmp_path / "out"), str(tmp_path / "check"))
+    assert len(opened) > 10 and max(opened) <= 4
+    assert found(twins.read_change_events(spark, ledger, str(tmp_path / "out"))) == found(cdc.change_events(rows, ledger))
+
+
+def test_a_stream_puts_late_rows_in_order(spark, tmp_path):
+    import random
+
+    rng = random.Random(7)
+    rows = snapshots(spark, [("p", e, d, rng.choice("xyz")) for e in range(6) for d in range(1, 20) if rng.random() < 0.8])
+    files, landed = sorted(rows.collect(), key=lambda r: r.collection_date.day + rng.random() * 6), str(tmp_path / "in")
+    for k in range(0, len(files), 20):  # each file holds rows of several days, and days are spread over files
+        spark.createDataFrame(files[k : k + 20], rows.schema).coalesce(1).write.mode("append").parquet(landed)
+        time.sleep(1.1)  # files are read in the order of their times
+    twins.closing(rows.schema, spark, D(2024, 1, 19)).coalesce(1).write.mode("append").parquet(landed)
+    stored = spark.createDataFrame([("p", 0, "x"), ("p", 1, "y")], "publisher string, entity_id long, fingerprint string")
+    twins.stream_change_log(twins.files(spark, landed, rows.schema, 1), str(tmp_path / "out"), str(tmp_path / "check"), late="8 days", stored=stored)
+    key = lambda r: (r.entity_id, r.collection_date.day, r.fingerprint, r.change_type)
+    got = sorted(map(key, spark.read.parquet(str(tmp_path / "out/log")).collect()))
+    earlier = stored.select("publisher", "entity_id", F.lit(D(2023, 12, 1)).alias("collection_date"), "fingerprint")
+    want = cdc.change_log(rows.unionByName(earlier)).where("collection_date >= date'2024-01-01'")
+    assert got == sorted(map(key, want.collect()))
+
+
+def test_one_broken_publisher_leaves_the_others_done(spark, tmp_path):
+    from regwatch.operators import runs as driver
+
+    days = [D(2024, 1, d) for d in (1, 2, 3)]
+    rows = snapshots(spark, [(p, e, d, "x" if (e + d) % 4 else "y") for p in "abcde" for d in (1, 2, 3) for e in range(8) if (e * d) % 5 or d == 1])
+    rows = rows.unionByName(rows.where("publisher = 'a'"))
+    asked, broken = [], {("c", days[1])}
+
+    def snapshot_of(runs_):
+        asked.append(runs_)
+        if broken & set(runs_):
+            raise ValueError("unreadable")
+        return rows.where((F.col("collection_date") == runs_[0][1]) & F.col("publisher").isin([p for p, _ in runs_]))
+
+    store, landed = str(tmp_path / "store"), spark.createDataFrame([(p, d) for p in "abcde" for d in days], "publisher string, collection_date date")
+    status = lambda made: {(r.publisher, r.collection_date.day): r.status for r in made.collect()}
+    first = status(driver.incremental_run(spark, store, landed, snapshot_of))
+    assert {k for k, v in first.items() if v != "ok"} == {("c", 2)} and len(first) == 15
+    assert len(asked) < 12  # halves, not one job for each publisher
+    ledger = landed.withColumn("status", F.when((F.col("publisher") == "c") & (F.col("collection_date") == days[1]), "failed").otherwise("ok"))
+    kept = lambda: spark.read.schema("entity_id long, event_type string, publisher string, collection_date date").parquet(f"{store}/events")
+    key = lambda df: sorted((r.publisher, r.collection_date, r.entity_id, r.event_type) for r in df.collect())
+    assert key(kept()) == key(cdc.change_events(rows.join(ledger.where("status = 'ok'"), ["publisher", "collection_date"], "left_semi"), ledger))
+    asked.clear()
+    broken.clear()
+    assert status(driver.incremental_run(spark, store, landed, snapshot_of)) == {("c", 2): "ok"} and asked == [[("c", days[1])]]
+    assert driver.incremental_run(spark, store, landed, snapshot_of).count() == 0 and len(asked) == 1
+    before = key(kept())
+    again = driver.incremental_run(spark, store, landed.where("publisher = 'a'"), snapshot_of, force=True)
+    assert status(again) == {("a", d): "ok" for d in (1, 2, 3)} and key(kept()) == before
