@@ -8,8 +8,9 @@ if shorter) agrees in at least AGREE of its words. The masks of a length hit eve
 allows: two in 10 to 13 words, one in 5 to 9.
 
 Defined results: words are lower-cased runs without white space; null and empty texts contain nothing; an item of
-fewer than LEAST_WORDS words (none) is not looked for, one of fewer than SHORT words must occur whole and unchanged; rows
-that share a doc_id get what any of them contains; of equal stretches the first one counts, of equal items the last in
+fewer than LEAST_WORDS words (none) is not looked for, one of fewer than SHORT words must occur whole and unchanged; an
+item is known by its id and text together, so one of null id is looked for, texts that share an id are items each, and rows
+that repeat both are one; rows that share a doc_id get what any of them contains; of equal stretches the first one counts, of equal items the last in
 order; very long texts are searched whole; empty tables give no hits; further columns, whatever their names, are ignored
 by ``overlaps`` and ``report`` and kept by ``drop_contaminated``.
 """
@@ -65,32 +66,34 @@ def masks_for(lengths: list[int]) -> list[str]:
 
 
 def _items(batches):
-    for ids, texts in chunks(batches, ["item_id", "text"]):
-        rows = [(i, word_hashes(t)) for i, t in zip(ids, texts, strict=True)]
-        rows = [(i, h) for i, h in rows if len(h) >= LEAST_WORDS]
-        yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.string()), pa.array([len(h) for _, h in rows], pa.int32()), pa.array([h.view(np.int64) for _, h in rows], pa.list_(pa.int64()))], ["item_id", "n", "item"])
+    for keys, ids, texts in chunks(batches, ["item_key", "item_id", "text"]):
+        rows = [(k, i, word_hashes(t)) for k, i, t in zip(keys, ids, texts, strict=True)]
+        rows = [x for x in rows if len(x[2]) >= LEAST_WORDS]
+        columns = [pa.array([k for k, _, _ in rows], pa.string()), pa.array([i for _, i, _ in rows], pa.string()), pa.array([len(h) for _, _, h in rows], pa.int32()), pa.array([h.view(np.int64) for _, _, h in rows], pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(columns, ["item_key", "item_id", "n", "item"])
 
 
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
-    """item_id (as text), n and the word hashes of the items that are looked for."""
+    """item_key (a digest of id and text), item_id (as text), n and the word hashes of the items that are looked for."""
     rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(_items, "item_id string, n int, item array<long>")
+    key = F.left(F.sha2(F.to_json(F.array("item_id", "text")), 256), F.lit(32)).alias("item_key")
+    return rows.select(key, "item_id", "text").mapInArrow(_items, "item_key string, item_id string, n int, item array<long>").dropDuplicates(["item_key"])
 
 
 def _item_seeds(items: DataFrame) -> DataFrame:
     def made(batches):
         for batch in batches:
             out: list[list] = [[], [], []]
-            for item_id, item in zip(batch.column("item_id").to_pylist(), batch.column("item"), strict=True):
+            for item_id, item in zip(batch.column("item_key").to_pylist(), batch.column("item"), strict=True):
                 h = item.values.to_numpy(zero_copy_only=False).view(np.uint64)
                 for mask in masks_of(len(h)):
                     s = seeds(h, mask).view(np.int64)
                     out[0] += s.tolist()
                     out[1] += [item_id] * len(s)
                     out[2] += range(len(s))
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.int32())], ["seed", "item_id", "place"])
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.int32())], ["seed", "item_key", "place"])
 
-    return items.mapInArrow(made, "seed long, item_id string, place int")
+    return items.mapInArrow(made, "seed long, item_key string, place int")
 
 
 def _agreeing(doc: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[int, int, int]:
@@ -149,25 +152,25 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     met = text_of(docs).mapInArrow(hits, "doc_id long, seeds array<long>, places array<int>, words array<long>")
     met = cut(met.withColumn("row", F.monotonically_increasing_id()))
     single = met.select("row", F.explode(F.arrays_zip("seeds", "places")).alias("s")).select("row", F.col("s.seeds").alias("seed"), F.col("s.places").alias("at"))
-    near = single.join(item_seeds, "seed").select("row", "item_id", (F.col("at") - F.col("place")).alias("diagonal")).distinct()
-    pairs = near.join(items, "item_id").join(met.select("row", "doc_id", "words"), "row")
+    near = single.join(item_seeds, "seed").select("row", "item_key", (F.col("at") - F.col("place")).alias("diagonal")).distinct()
+    pairs = near.join(items, "item_key").join(met.select("row", "doc_id", "words"), "row")
 
     def verified(batches):
         for batch in batches:
-            out: list[list] = [[], [], [], [], [], []]
-            columns = [batch.column(c) for c in ("doc_id", "item_id", "diagonal", "item", "words")]
-            for doc_id, item_id, diagonal, item, words in zip(*columns, strict=True):
+            out: list[list] = [[], [], [], [], [], [], []]
+            columns = [batch.column(c) for c in ("doc_id", "item_key", "item_id", "diagonal", "item", "words")]
+            for doc_id, item_key, item_id, diagonal, item, words in zip(*columns, strict=True):
                 item, words = (x.values.to_numpy(zero_copy_only=False) for x in (item, words))
                 agreeing, best, start = _agreeing(words, item, diagonal.as_py())
                 width = len(item) if len(item) < SHORT else min(len(item), WINDOW)
                 if best >= (width if len(item) < SHORT else math.ceil(AGREE * width)):
-                    for column, value in zip(out, (doc_id.as_py(), item_id.as_py(), len(item), agreeing, best, start), strict=True):
+                    for column, value in zip(out, (doc_id.as_py(), item_key.as_py(), item_id.as_py(), len(item), agreeing, best, start), strict=True):
                         column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32()), strict=True)], ["doc_id", "item_id", "item_words", "agreeing", "best", "start"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32()), strict=True)], ["doc_id", "item_key", "item_id", "item_words", "agreeing", "best", "start"])
 
-    found = pairs.select("doc_id", "item_id", "diagonal", "item", "words").mapInArrow(verified, "doc_id long, item_id string, item_words int, agreeing int, best int, start int")
+    found = pairs.select("doc_id", "item_key", "item_id", "diagonal", "item", "words").mapInArrow(verified, "doc_id long, item_key string, item_id string, item_words int, agreeing int, best int, start int")
     top = F.max(F.struct("agreeing", "best", (-F.col("start")).alias("start"), "item_words")).alias("top")
-    return found.groupBy("doc_id", "item_id").agg(top).select("doc_id", "item_id", "top.item_words", "top.agreeing", "top.best", (-F.col("top.start")).alias("start"))
+    return found.groupBy("doc_id", "item_key", "item_id").agg(top).select("doc_id", "item_id", "top.item_words", "top.agreeing", "top.best", (-F.col("top.start")).alias("start"))
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -240,7 +240,8 @@ def train(docs: DataFrame, rows: int = SAMPLE_ROWS) -> ByteGru | None:
             yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array([crops(t) for t in texts], pa.list_(pa.binary()))], ["lang", "crops"])
 
     sample = known.where(F.element_at(share, F.col("lang")) > draw).select("lang", "text").mapInArrow(sampled, "lang string, crops array<binary>")
-    found = sample.limit(2 * rows * len(langs)).collect()  # a bound for the driver; the threshold lets half as many pass
+    # A bound for the driver: the threshold lets half as many pass. Only copies of one text can pass it, and then the first in order stay.
+    found = sample.orderBy("lang", F.xxhash64("crops"), "crops").limit(2 * rows * len(langs)).collect()
     pairs = sorted((bytes(c), langs.index(r.lang)) for r in found for c in r.crops)
     return ByteGru(langs).fit([c for c, _ in pairs], np.array([k for _, k in pairs], np.int64)) if pairs else None
 

@@ -206,7 +206,7 @@ def sample(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, cle
     counts = {r["__toxic"]: r.n for r in known.groupBy("__toxic").agg(F.count("*").alias("n")).collect()}
     draw = F.pmod(F.xxhash64(F.col("__id").cast("string"), F.lit(5)), F.lit(1 << 30)) / float(1 << 30)
     share = lambda toxic, rows: min(1.0, rows / max(1, counts.get(toxic, 0)))
-    drawn = known.where(draw < F.when(F.col("__toxic"), share(True, toxic_rows)).otherwise(share(False, clean_rows))).limit(2 * (toxic_rows + clean_rows))
+    drawn = known.where(draw < F.when(F.col("__toxic"), share(True, toxic_rows)).otherwise(share(False, clean_rows))).orderBy(draw, "__id", "__toxic").limit(2 * (toxic_rows + clean_rows))
     return text_of(docs).join(F.broadcast(drawn), F.col("doc_id") == F.col("__id")).select("text", F.col("__toxic").cast("int").alias("toxic"))
 
 

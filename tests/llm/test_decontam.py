@@ -82,3 +82,12 @@ def test_clashing_names(spark):
     items = spark.createDataFrame([(1, "one two three four five six seven eight nine ten eleven twelve thirteen")], "item_id long, text string")
     kept = decontam.drop_contaminated(docs, items)
     assert kept.columns == docs.columns and {tuple(r) for r in kept.collect()} == {(2, "clean", 8), (None, None, 9)}
+
+
+def test_items_without_an_id_and_with_a_shared_one(spark):
+    first, second, third = (" ".join(f"{c}{k}" for k in range(20)) for c in "abc")
+    benchmark = spark.createDataFrame([(None, first), ("x", second), ("x", third), ("x", third)], "item_id string, text string")
+    docs = spark.createDataFrame([(1, f"so {first} on"), (2, f"{second} and {third}"), (3, "clean")], "doc_id long, text string")
+    got = {r.doc_id: (r.contaminated, r.n_items, r.worst_item) for r in decontam.report(docs, benchmark).collect()}
+    assert got == {1: (True, 1, None), 2: (True, 2, "x"), 3: (False, 0, None)}
+    assert [r.doc_id for r in decontam.drop_contaminated(docs, benchmark).collect()] == [3]
