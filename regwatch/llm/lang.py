@@ -29,7 +29,7 @@ SAMPLE_ROWS, MOST_LANGS = 300, 200
 CROPS, CROP = 4, 96
 HIDDEN, EPOCHS, BATCH, RATE = 12, 4, 64, 0.02
 #: Bytes of a text that one column of a batch labels, bytes of context to either side, and columns of a batch.
-STRETCH, CONTEXT, COLUMNS = 256, 32, 512
+STRETCH, CONTEXT, COLUMNS = 1024, 128, 512
 #: Characters of the texts that a task takes up at once.
 TEXTS = 2_000_000
 #: Probabilities that are held at once.

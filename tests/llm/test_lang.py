@@ -4,6 +4,8 @@ import zlib
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from regwatch.llm import lang
 
 WORDS = {"en": "the of and thing that with".split(), "de": "der die und über nicht schön".split(), "fr": "le des être où garçon que".split()}
@@ -109,3 +111,38 @@ def test_too_many_languages_are_an_error(spark, monkeypatch):
     docs = spark.createDataFrame([(i, "some text", f"l{i % 3}") for i in range(60)], "doc_id long, text string, lang string")
     with pytest.raises(ValueError, match="more than 2 languages"):
         lang.train(docs)
+
+
+def whole_recurrence(model, text):
+    """Mean probability of each language, byte by byte over the whole text, from the weights alone."""
+    p = {k: v.astype(np.float64) for k, v in model.p.items()}
+    n, data = model.hidden, np.frombuffer(b" " + text.encode() + b" ", np.uint8)
+
+    def states(seq, d):
+        h, out = np.zeros(n), []
+        for byte in seq:
+            a, g = p[f"x{d}"][byte] + p[f"b{d}"], h @ p[f"h{d}"]
+            z, r = (1 / (1 + np.exp(-(a[k * n : k * n + n] + g[k * n : k * n + n]))) for k in (0, 1))
+            h = (1 - z) * h + z * np.tanh(a[2 * n :] + r * g[2 * n :])
+            out.append(h)
+        return np.array(out)
+
+    logits = np.concatenate([states(data, "f"), states(data[::-1], "b")[::-1]], 1) @ p["o"] + p["c"]
+    e = np.exp(logits - logits.max(1, keepdims=True))
+    return (e / e.sum(1, keepdims=True)).mean(0)
+
+
+def test_identify_matches_the_recurrence_over_whole_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = lang.train(docs)
+    rows = docs.where("text is not null").orderBy(F.xxhash64("doc_id")).limit(150).select("doc_id", "text").collect()
+    rows += [(10_001, "a"), (10_002, ""), (10_003, " ".join(r.text for r in rows[:40]))]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in lang.identify(spark.createDataFrame([tuple(r) for r in rows], "doc_id long, text string"), model).collect()}
+    apart = []  # by the context of 128 bytes from which a stretch of 1024 starts
+    for doc_id, text in rows:
+        if any(map(str.isalpha, text)):
+            prob = whole_recurrence(model, text)
+            apart.append(abs(got[doc_id][1] - prob.max()))
+            second = np.sort(prob)[-2]
+            assert got[doc_id][0] == model.langs[int(prob.argmax())] or prob.max() - second < 0.02, text[:100]
+    assert np.mean(apart) < 0.0005 and np.max(apart) < 0.02

@@ -80,3 +80,44 @@ def test_held_out_accuracy_and_edges(spark):
     assert toxicity.score(docs, marks).count() == len(rows)
     assert toxicity.score(docs.limit(0), marks).count() == 0
     assert {r.score for r in toxicity.score(docs, marks.limit(0)).collect()} == {toxicity.score(docs.limit(1), marks.limit(0)).first().score}
+
+
+def plain_grade(word, words, stems):
+    """The grade of a word by tables of edit distances over the whole lexicon, without automaton, trie or memory."""
+    best = 0
+    for term in toxicity.terms_of(word):
+        own = 0
+        for w in words:
+            d = distance(term, w)
+            own = max(own, 2 if d == 0 else 1 if d <= toxicity.edits_for(w) else 0)
+        for s in stems:
+            near = min(distance(term[:k], s) for k in range(len(term) + 1))
+            own = max(own, 2 if term.startswith(s) else 1 if near <= max(0, toxicity.edits_for(s) - 1) else 0)
+        if not own and any(c in "@$0123456789*!" for c in term):
+            alike = lambda c, x: c == "*" or c == x or x in (toxicity.LOOKS.get(c) or c)
+            plain = lambda t: sum(c not in toxicity.LOOKS for c in t)
+            whole = any(len(w) == len(term) and all(map(alike, term, w)) and plain(term) >= max(2, len(w) / 2) for w in words)
+            begun = any(len(s) <= len(term) and all(map(alike, term, s)) and plain(term[: len(s)]) >= max(2, len(s) / 2) for s in stems)
+            own = int(whole or begun)
+        best = max(best, own)
+    return best
+
+
+def test_scores_match_a_plain_scorer(spark):
+    import math
+
+    rng = random.Random(9)
+    words, stems, weights = ["idiot", "dummkopf", "shit", "imbécile"], ["vequa", "stupid"], [-3.0, 2.5, 1.5, 0.7, 1.1]
+    vocabulary = ["idiot", "idoit", "idiots", "dumkopf", "shit", "$hit", "sh1t", "imbecile", "imbéciles", "vequax", "veqa-x", "stupidly", "stu*id", "1d10t", "the", "a", "you", "said", '"the', 'end"', "«oui", "non»", "dinner.", "house,", "well...idiot", "x" * 40, "日本", "10th", "e-mail", "tu"]
+    texts = [" ".join(rng.choices(vocabulary, k=rng.choice([0, 1, 3, 12, 60]))) for _ in range(500)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.score, r.predicted) for r in toxicity.score(docs, model=(words, stems, weights)).collect()}
+    for k, text in enumerate(texts):
+        split = text.split()
+        sums = [0.0, 0.0, 0.0]
+        for i, w in enumerate(split):
+            if grade := plain_grade(w, words, stems):
+                sums[grade] += toxicity.context_score(split, i)
+        x = [1.0, math.log1p(sums[2]), math.log1p(sums[1]), min(1.0, 20 * (sums[1] + sums[2]) / max(1, len(split))), float(sums[2] > 0)]
+        want = 1 / (1 + math.exp(-sum(a * b for a, b in zip(weights, x, strict=True))))
+        assert abs(got[k][0] - want) < 1e-9 and got[k][1] == int(want >= 0.3), text
