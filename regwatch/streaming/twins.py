@@ -204,13 +204,16 @@ def finished_runs(spark: SparkSession, path: str, by: str, days: list, schema: s
     return _read(spark, f"{path}-runs", [{by: day} for day in days], f"{schema}, batch long")
 
 
-def idempotent_sink(path: str, keys: list[str], by: str = cdc.DATE):
+def idempotent_sink(path: str, keys: list[str], by: str | None = None):
     """A foreachBatch function that writes only runs that the table does not have yet.
 
     Beside the table lies a ledger of its runs, in folders of their day (``by``, one of the keys) and batch. A batch reads
     the folders of its own days, writes its rows and then its part of the ledger; a batch that is repeated after a loss
-    passes over its own entries and writes both again.
+    passes over its own entries and writes both again. Without ``by`` the day is the collection date, or the last key.
     """
+    by = by or (cdc.DATE if cdc.DATE in keys else keys[-1])
+    if by not in keys:
+        raise ValueError(f"{by} is none of the keys {keys}")
 
     def batch(df: DataFrame, number: int) -> None:
         spark, df = df.sparkSession, df.persist()
