@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import address_key, edit_distance_within, text
+from ..functions.text import address_key, company_name_norm, edit_distance_within, text
 from ..params import DEFAULT, Params
-from .resolve import EVENT, name_keys, name_similarity, weighted_names
+from .resolve import EVENT, bagged, name_bags, name_keys, name_similarity
 
 # Fixed phrases: later stages read whether the address corroborates a company from them.
 ADDRESS_MATCH = "registered address is an exact match for this establishment's address"
@@ -30,45 +30,59 @@ def _prior(entities: DataFrame) -> DataFrame:
 PREDECESSOR = ["predecessor_id", "predecessor_name", "predecessor_first_seen", "predecessor_last_seen"]
 
 
-def _before() -> Column:
-    return (F.col("entity_id") != F.col("predecessor_id")) & (F.col("predecessor_last_seen") < F.col("first_seen_date"))
+def _last_other(departures: DataFrame, arrivals: DataFrame, place: list[str]) -> DataFrame:
+    """For each arrival (place, on, event) the entity that last left its place before, other than its own, as ``found``.
 
-
-def predecessor_exact(events: DataFrame, entities: DataFrame) -> DataFrame:
-    """The entity that last left the event's address before it appeared, if any.
-
-    An as-of merge: departures and arrivals of an address stand in one order of time, in which an arrival comes before
+    An as-of merge: departures and arrivals of a place stand in one order of time, in which an arrival comes before
     the departures of its day, and of those the one of the smallest id last. Two running values go along: the last
     departure, and the last one of another entity than that; an arrival takes the first of them that is not its own.
     """
-    at = address_key(F.col("address_line_1"), F.col("postcode"))
-    who = F.struct(F.col("predecessor_id"), F.col("predecessor_name"), F.col("predecessor_first_seen"), F.col("predecessor_last_seen"))
-    event = F.struct(*EVENT)
-    left = _prior(entities).withColumn("at", address_key(F.col("p_line"), F.col("p_code"))).where("predecessor_last_seen is not null and predecessor_id is not null")
-    departures = left.select("at", F.col("predecessor_last_seen").alias("on"), F.lit(1).alias("kind"), (-F.col("predecessor_id").cast("decimal(20,0)")).alias("tie"), who.alias("gone"))
-    arrivals = events.select(at.alias("at"), F.col("first_seen_date").alias("on"), F.lit(0).alias("kind"), event.alias("event")).where("on is not null")
-    merged = departures.unionByName(arrivals, allowMissingColumns=True).where("at is not null")
-    order = Window.partitionBy("at").orderBy("on", "kind", "tie")
+    merged = departures.withColumn("kind", F.lit(1)).unionByName(arrivals.withColumn("kind", F.lit(0)), allowMissingColumns=True)
+    order = Window.partitionBy(*place).orderBy("on", "kind", "tie")
     before, so_far = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.unboundedPreceding, 0)
     rows = merged.withColumn("last", F.last("gone", ignorenulls=True).over(before))
     rows = rows.withColumn("turn", F.when(F.col("last.predecessor_id") != F.col("gone.predecessor_id"), F.col("last")))
     rows = rows.withColumn("other", F.last("turn", ignorenulls=True).over(so_far)).where("event is not null")
-    rows = rows.select("event", F.when(F.col("last.predecessor_id") != F.col("event.entity_id"), F.col("last")).otherwise(F.col("other")).alias("found")).where("found is not null")
-    best = F.struct(F.col("found.predecessor_last_seen").alias("on"), (-F.col("found.predecessor_id").cast("decimal(20,0)")).alias("tie"))
-    return rows.groupBy("event").agg(F.max_by("found", best).alias("found")).select("event.*", "found.*")
+    return rows.withColumn("found", F.when(F.col("last.predecessor_id") != F.col("event.entity_id"), F.col("last")).otherwise(F.col("other"))).where("found is not null")
+
+
+def _departures(entities: DataFrame) -> DataFrame:
+    """Entities as ``gone``, with the day they were last seen and the place of their id among those of a day."""
+    rows = _prior(entities).where("predecessor_last_seen is not null and predecessor_id is not null")
+    who = F.struct(F.col("predecessor_id"), F.col("predecessor_name"), F.col("predecessor_first_seen"), F.col("predecessor_last_seen"))
+    return rows.withColumns({"on": F.col("predecessor_last_seen"), "tie": -F.col("predecessor_id").cast("decimal(20,0)"), "gone": who})
+
+
+def _latest() -> Column:
+    """Order of predecessors: who left last, of these the least id."""
+    return F.struct(F.col("found.predecessor_last_seen").alias("on"), (-F.col("found.predecessor_id").cast("decimal(20,0)")).alias("tie"))
+
+
+def predecessor_exact(events: DataFrame, entities: DataFrame) -> DataFrame:
+    """The entity that last left the event's address before it appeared, if any."""
+    at = address_key(F.col("address_line_1"), F.col("postcode"))
+    gone = _departures(entities).select(address_key(F.col("p_line"), F.col("p_code")).alias("at"), "on", "tie", "gone").where("at is not null")
+    arrivals = events.select(at.alias("at"), F.col("first_seen_date").alias("on"), F.struct(*EVENT).alias("event")).where("on is not null and at is not null")
+    return _last_other(gone, arrivals, ["at"]).groupBy("event").agg(F.max_by("found", _latest()).alias("found")).select("event.*", "found.*")
 
 
 def predecessor_fallback(events: DataFrame, entities: DataFrame, idf: DataFrame, exact: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """For events without an exact predecessor: one of the same postcode whose name scores enough. Names are compared only
-    where they share a key, as all that score enough do."""
+    """For events without an exact predecessor: one of the same postcode whose name scores enough.
+
+    Names are compared, each once in a postcode, and only where they share a key, as all that score enough do. The last
+    entity of each such name that left before the event then comes from an as-of merge, not from pairs of rows.
+    """
     code = lambda c: F.when(F.trim(c) != "", F.upper(F.trim(c)))
-    left = weighted_names(events.join(exact.select(*EVENT), list(EVENT), "left_anti"), F.col("business_name"), idf).select(*EVENT, "first_seen_date", code(F.col("postcode")).alias("at"), F.col("norm").alias("norm_a"), F.col("bag").alias("bag_a"))
-    right = weighted_names(_prior(entities), F.col("predecessor_name"), idf).withColumn("at", code(F.col("p_code")))
-    left, right = name_keys(left, "norm_a", "bag_a", "wa", p.fallback_score), name_keys(right, "norm", "bag", "wb", p.fallback_score)
+    rows = events.join(exact.select(*EVENT), list(EVENT), "left_anti").where("first_seen_date is not null and entity_id is not null")
+    rows = rows.select(F.struct(*EVENT).alias("event"), F.col("first_seen_date").alias("on"), code(F.col("postcode")).alias("at"), company_name_norm(F.col("business_name")).alias("norm_a")).where("at is not null and norm_a <> ''")
+    gone = _departures(entities).select("on", "tie", "gone", code(F.col("p_code")).alias("at"), company_name_norm(F.col("predecessor_name")).alias("norm")).where("at is not null and norm <> ''")
+    left = name_keys(bagged(rows.select("at", "norm_a").distinct(), "norm_a", "bag_a", idf), "norm_a", "bag_a", "wa", p.fallback_score)
+    right = name_keys(bagged(gone.select("at", "norm").distinct(), "norm", "bag", idf), "norm", "bag", "wb", p.fallback_score)
     score = name_similarity(F.col("norm_a"), F.col("bag_a"), F.col("norm"), F.col("bag"))
-    rows = left.join(right, ["at", "key"]).where(_before()).withColumn("score", score).where(F.col("score") >= p.fallback_score)
-    w = Window.partitionBy(*EVENT).orderBy(F.desc("score"), F.desc("predecessor_last_seen"), "predecessor_id")
-    return rows.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").select(*EVENT, *PREDECESSOR)
+    near = left.join(right, ["at", "key"]).select("at", "norm_a", "norm", score.alias("score")).where(F.col("score") >= p.fallback_score).distinct()
+    found = _last_other(gone, rows.join(near, ["at", "norm_a"]).drop("norm_a"), ["at", "norm"])
+    best = F.struct("score", _latest())
+    return found.groupBy("event").agg(F.max_by("found", best).alias("found")).select("event.*", "found.*").select(*EVENT, *PREDECESSOR)
 
 
 def existing_operator(matched: DataFrame, p: Params = DEFAULT) -> DataFrame:
@@ -116,8 +130,12 @@ def classify(events: DataFrame, candidates: DataFrame, predecessors: DataFrame,
     key = list(EVENT)
     rows = events.join(predecessors, key, "left").join(best, key, "left").join(found, key, "left").join(operators, key, "left")
     rows = rows.join(venues, rows["company_number"] == venues["best_company_number"], "left").drop("best_company_number")
-    rows = weighted_names(rows, F.col("business_name"), idf).withColumnsRenamed({"norm": "__na", "bag": "__ba"})
-    rows = weighted_names(rows, F.col("predecessor_name"), idf).withColumnsRenamed({"norm": "__nb", "bag": "__bb"})
+    # Bags come from the names of the tables that went in, so that the joined rows are not made once more for them.
+    norms = company_name_norm(F.col("business_name")), company_name_norm(F.col("predecessor_name"))
+    bags = name_bags(events.select(norms[0].alias("norm")).unionByName(predecessors.select(norms[1].alias("norm"))), idf)
+    rows = rows.withColumns({"__na": norms[0], "__nb": norms[1]})
+    for n, b in (("__na", "__ba"), ("__nb", "__bb")):
+        rows = rows.join(bags.withColumnsRenamed({"norm": n, "bag": b}), n, "left")
     c = F.col
     score, created = c("name_similarity_score"), c("date_of_creation")
     rows = (

@@ -41,3 +41,12 @@ def test_national_candidates_of_one_name(events, companies, idf):
 
 def test_operator_candidates_of_one_name(events, companies, idf):
     assert firsts(resolve.operator_candidates(events, companies, idf)) == (5 * N, N, 5 * N)
+
+
+def test_a_fallback_among_spells_of_one_name(spark, idf):
+    day = lambda n: F.date_add(F.lit("2000-01-01").cast("date"), n)
+    ids = spark.range(N).select(F.col("id").alias("entity_id"), F.lit("Blue Door 1").alias("business_name"), F.col("id").cast("string").alias("address_line_1"), F.lit("D1 1AA").alias("postcode"))
+    table = ids.withColumn("first_seen_date", day((F.col("entity_id") * 2).cast("int"))).withColumn("last_seen_date", day((F.col("entity_id") * 2 + 1).cast("int"))).withColumn("insert_date", F.col("first_seen_date"))
+    exact = classify.predecessor_exact(table, table)
+    got = classify.predecessor_fallback(table, table, idf, exact)
+    assert got.agg(F.count("*"), F.sum(F.col("entity_id") - F.col("predecessor_id"))).first()[:] == (N - 1, N - 1)
