@@ -50,3 +50,18 @@ def test_a_fallback_among_spells_of_one_name(spark, idf):
     exact = classify.predecessor_exact(table, table)
     got = classify.predecessor_fallback(table, table, idf, exact)
     assert got.agg(F.count("*"), F.sum(F.col("entity_id") - F.col("predecessor_id"))).first()[:] == (N - 1, N - 1)
+
+
+def test_every_pair_of_similar_names_once(spark, events, companies, idf):
+    named, some = events.where("entity_id < 300").withColumn("business_name", F.substring_index("business_name", " @ ", 1)), companies.where("company_number < '00000400'")
+    left, right = resolve._prepared_events(named, F.col("business_name"), idf), resolve.prepared_companies(some, idf)
+    score = F.round(resolve.name_similarity(F.col("event_norm"), F.col("event_bag"), F.col("company_norm"), F.col("company_bag")), 9).alias("score")
+    pick = ["entity_id", "company_number", "score"]
+    want = left.join(right, F.col("event_district") == F.col("district")).select("entity_id", "company_number", score).where("score > 0")
+    got = resolve.district_similarity(named, some, idf)
+    assert sorted(map(tuple, got.select(*pick).collect())) == sorted(map(tuple, want.select(*pick).collect()))
+
+
+def test_search_results_of_one_title(spark, idf):
+    rows = spark.range(2 * N).select(F.lit("Blue Door 1").alias("prefix"), F.lit("BLUE DOOR 1 LTD").alias("title"), F.lpad(F.col("id").cast("string"), 8, "0").alias("company_number"), F.lit("active").alias("company_status"), F.when(F.col("id") < 3, F.array(F.lit("99999"))).otherwise(F.array(F.lit("1"))).alias("sic_codes"))
+    assert [tuple(r)[:3] for r in resolve.accept_search_results(rows, idf).collect()] == [("Blue Door 1", "00000003", "BLUE DOOR 1 LTD")]
