@@ -172,7 +172,7 @@ def a1_read_auth_reports(v):
     """The records as gzip reports, their sum as a report in a zip archive, and two files that cannot be read."""
     rows = auth_reports(v)
     spark = rows.sparkSession
-    path = landed(rows, "xml", rowTag="feedback", rootTag="reports", compression="gzip")
+    path = landed(rows, "xml", rowTag="feedback", rootTag="reports", compression="gzip", maxRecordsPerFile=10)
     n, first = v("auth_records").agg(F.sum("count"), F.unix_timestamp(F.min("begin_").cast("timestamp"))).first()
     whole = f"<feedback><report_metadata><org_name>sums</org_name><date_range><begin>{first}</begin></date_range></report_metadata><record><row><source_ip>all of them</source_ip><count>{n}</count><policy_evaluated><spf>pass</spf></policy_evaluated></row><auth_results><spf><domain>r</domain><result>pass</result></spf></auth_results></record></feedback>"
     put(spark, f"{path}/sum.zip", zipped("sum.xml", whole.encode()))

@@ -7,6 +7,7 @@ import gzip
 import io
 import zipfile
 from collections.abc import Iterator
+from itertools import islice
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -115,26 +116,56 @@ AUTH = f"file string, source_ip string, count long, disposition string, dkim str
 ROWS = 4096
 
 
-def _opened(name: str, raw: bytes) -> bytes:
-    """What a report file holds: the first member of a zip archive, an unpacked gzip, or the bytes themselves."""
+def _opened(name: str, raw: bytes) -> io.BufferedIOBase:
+    """What a report file holds, as a stream: the first member of a zip archive, an unpacked gzip, or the bytes themselves."""
     if name.lower().endswith(".zip"):
-        with zipfile.ZipFile(io.BytesIO(raw)) as archive:
-            return archive.read(archive.namelist()[0])
-    return gzip.decompress(raw) if name.lower().endswith(".gz") else raw
+        archive = zipfile.ZipFile(io.BytesIO(raw))
+        return archive.open(archive.namelist()[0])
+    return gzip.GzipFile(fileobj=io.BytesIO(raw)) if name.lower().endswith(".gz") else io.BytesIO(raw)
 
 
-def _records(file: str, xml: bytes) -> Iterator[dict]:
-    """The records of all reports in an XML document."""
-    root = ElementTree.fromstring(xml)
-    said = lambda node, path, default=None: (node.findtext(path) or "").strip() or default
+def _said(node, path: str, default: str | None = None) -> str | None:
+    return (node.findtext(path) or "").strip() or default
+
+
+def _parts(source: io.BufferedIOBase) -> Iterator[tuple[str, dict]]:
+    """What an XML document says, as it is read: each record of a report, and after them the report itself. What was read
+    is dropped, so a document takes no more memory than one record and the heads of a report."""
     day = lambda x: dt.datetime.fromtimestamp(int(x), dt.timezone.utc).date() if x else None
-    for report in [root] if root.tag == "feedback" else root.findall("feedback"):
-        span = "report_metadata/date_range"
-        shared = {"file": file, "reporter": said(report, "report_metadata/org_name", "?"), "begin": day(said(report, f"{span}/begin")), "end": day(said(report, f"{span}/end")), "domain": said(report, "policy_published/domain", "?"), "policy": said(report, "policy_published/p", "-")}
-        for record in report.findall("record"):
-            checks = {f"auth_{k}": [{"domain": said(x, "domain"), "result": said(x, "result")} for x in record.findall(f"auth_results/{k}")] for k in ("spf", "dkim")}
-            judged = {k: said(record, f"row/policy_evaluated/{k}") for k in ("disposition", "dkim", "spf")}
-            yield shared | judged | checks | {"source_ip": said(record, "row/source_ip", "?"), "count": int(said(record, "row/count", "0")), "header_from": said(record, "identifiers/header_from")}
+    above: list = []
+    for kind, node in ElementTree.iterparse(source, ("start", "end")):
+        if kind == "start":
+            above.append(node)
+            continue
+        above.pop()
+        base = 0 if (above or [node])[0].tag == "feedback" else 1
+        if node.tag == "record" and len(above) == base + 1 and above[base].tag == "feedback":
+            checks = {f"auth_{k}": [{"domain": _said(x, "domain"), "result": _said(x, "result")} for x in node.findall(f"auth_results/{k}")] for k in ("spf", "dkim")}
+            judged = {k: _said(node, f"row/policy_evaluated/{k}") for k in ("disposition", "dkim", "spf")}
+            yield "record", judged | checks | {"source_ip": _said(node, "row/source_ip", "?"), "count": int(_said(node, "row/count", "0")), "header_from": _said(node, "identifiers/header_from")}
+            above[-1].remove(node)
+        elif len(above) == base:
+            if node.tag == "feedback":
+                span = "report_metadata/date_range"
+                yield "report", {"reporter": _said(node, "report_metadata/org_name", "?"), "begin": day(_said(node, f"{span}/begin")), "end": day(_said(node, f"{span}/end")), "domain": _said(node, "policy_published/domain", "?"), "policy": _said(node, "policy_published/p", "-")}
+            if above:
+                above[-1].remove(node)
+
+
+def _records(file: str, raw: bytes) -> Iterator[dict]:
+    """The records of all reports in a file. It is read twice: first to see that all of it can be read, and what its reports
+    say of all their records, wherever that stands; then to tell the records one by one."""
+    reports = [said for kind, said in _parts(_opened(file, raw)) if kind == "report"]
+    return _told(file, raw, reports)
+
+
+def _told(file: str, raw: bytes, reports: list[dict]) -> Iterator[dict]:
+    n = 0
+    for kind, said in _parts(_opened(file, raw)):
+        if kind == "record":
+            yield {"file": file} | reports[n] | said
+        else:
+            n += 1
 
 
 def _empty(spark: SparkSession, path: str) -> list[str]:
@@ -147,7 +178,7 @@ def _empty(spark: SparkSession, path: str) -> list[str]:
 def read_auth_reports(spark: SparkSession, path: str) -> DataFrame:
     """A row for each record of mail-authentication reports, plain, gzip or zip, with the results of the senders' checks
     nested (A1). A file that cannot be read gives one row that holds its name and the error alone, and none of its records;
-    ``auth_failures`` and ``auth_records`` tell them apart. A task holds one report file at a time."""
+    ``auth_failures`` and ``auth_records`` tell them apart. A task holds the bytes of its files and ROWS records at a time."""
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     schema = to_arrow_schema(StructType.fromDDL(AUTH))
 
@@ -156,11 +187,11 @@ def read_auth_reports(spark: SparkSession, path: str) -> DataFrame:
             for k in range(batch.num_rows):
                 name = batch.column("path")[k].as_py().rsplit("/", 1)[-1]
                 try:
-                    rows = list(_records(name, _opened(name, batch.column("content")[k].as_py())))
+                    rows = _records(name, batch.column("content")[k].as_py())
                 except Exception as e:
-                    rows = [{"file": name, "error": f"{type(e).__name__}: {e}"}]
-                for at in range(0, len(rows), ROWS):
-                    yield pa.RecordBatch.from_pylist(rows[at : at + ROWS], schema=schema)
+                    rows = iter([{"file": name, "error": f"{type(e).__name__}: {e}"}])
+                while some := list(islice(rows, ROWS)):
+                    yield pa.RecordBatch.from_pylist(some, schema=schema)
 
     empty = spark.createDataFrame([(name, "no content") for name in _empty(spark, path)], "file string, error string")
     return files.mapInArrow(parse, AUTH).unionByName(empty, allowMissingColumns=True)
