@@ -238,7 +238,7 @@ def r4_late_evidence_recheck(v):
     stream, out = inserts_stream(v)
     found = F.date_add("insert_date", (c("entity_id") % 180).cast("int"))
     evidence = streamed(v, v("inserts").select("entity_id", found.alias("evidence_date"), found.alias("collection_date")))[0].drop("collection_date")
-    twins.run(twins.late_evidence(stream, evidence), f"{out}/checkpoint", twins.idempotent_sink(f"{out}/table", ["entity_id", "insert_date"], "insert_date"))
+    twins.run(twins.late_evidence(stream, evidence), f"{out}/checkpoint", twins.idempotent_sink(f"{out}/table", ["entity_id", "insert_date"], "insert_date"), store=twins.ROCKS)
     return v("runs").sparkSession.read.parquet(f"{out}/table").select("entity_id")
 
 
