@@ -329,6 +329,15 @@ def test_address_parts_match_a_model(spark):
         assert got[k] == model_parts((name, four, council, code)), (name, four, council, code)
 
 
+def test_address_parts_read_each_input_once(spark):
+    """What stood for a value was written out wherever the value was read: more than a hundred times for the name."""
+    inputs = ["name", "l1", "l2", "l3", "l4", "council", "code"]
+    table = spark.createDataFrame([("a",) * 7], ", ".join(f"{x} string" for x in inputs))
+    tidied = table.select(t.address_parts(F.col("name"), [F.col(x) for x in inputs[1:5]], F.col("council"), F.col("code")).alias("p"))
+    text = tidied._jdf.queryExecution().analyzed().expressions().head().toString()
+    assert [x for x in inputs if text.count(f"{x}#") != 1] == ["council"] and text.count("council#") == 2
+
+
 @pytest.mark.parametrize(("value", "want"), [("12th Man", False), ("12 High", True), ("12a Mews", True), ("7B", True), ("Hyde Park", True), ("Parkside", False), ("Rowan House", True), ("Throw", False), ("", False)])
 def test_looks_like_street(spark, value, want):
     assert one(spark, value, t.looks_like_street) is want
