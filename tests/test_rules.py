@@ -157,6 +157,27 @@ def test_picks_keep_a_place_for_named_takeovers(spark):
     assert windows.diverse_top_k(table, 10, ["territory"]).count() == 7
 
 
+def test_picks_of_a_large_group_are_few_rows_before_the_shuffle(spark):
+    """Each task holds a few rows of each council and class; before, one task sorted a whole group."""
+    kinds = F.when(F.col("id") % 3 == 0, "New opening").otherwise("Change of operator").alias("status"), F.when(F.col("id") % 3 == 2, "Old").otherwise("").alias("previously")
+    names = F.concat(F.lit("c"), (F.col("id") * 7 % 3).cast("string")).alias("council"), F.concat(F.lit("v"), (F.col("id") * 31 % 977).cast("string")).alias("venue")
+    table = spark.range(0, 30_000, 1, 4).select(F.lit("t").alias("territory"), F.col("id").alias("entity_id"), *kinds, *names)
+    rows, got = table.collect(), windows.diverse_top_k(table, 7, ["territory"])
+    assert "WindowGroupLimit" in got._jdf.queryExecution().executedPlan().toString()
+    turns, classes = {}, {0: [], 1: [], 2: []}
+    for r in sorted(rows, key=lambda r: (r.venue, r.entity_id)):
+        kind = 0 if r.status == "New opening" else 2 if r.previously else 1
+        turns[kind, r.council] = turns.get((kind, r.council), 0) + 1
+        classes[kind].append((turns[kind, r.council], r.council, r.venue, r.entity_id))
+    plain, named = sorted(classes[0]) + sorted(classes[1]), sorted(classes[2])
+    want = [x[3] for x in plain[:6] + named[:1]]
+    assert [r.entity_id for r in got.orderBy("pick").collect()] == want
+    # A class that runs out gives its places to the next.
+    few = table.where("status <> 'New opening' or entity_id < 9").where("status = 'New opening' or previously = 'Old' or entity_id < 3")
+    pick = [r.entity_id for r in windows.diverse_top_k(few, 7, ["territory"]).orderBy("pick").collect()]
+    assert len(pick) == 7 and set(pick[:4]) == {0, 3, 6, 1}
+
+
 def test_broken_files_are_parse_errors(spark, tmp_path):
     record = "<EstablishmentDetail><FHRSID>{}</FHRSID><BusinessName>x</BusinessName></EstablishmentDetail>"
     whole = "<E>" + "".join(record.format(k) for k in (1, 2, 2, "")) + "</E>"
