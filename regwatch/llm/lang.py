@@ -141,31 +141,35 @@ class ByteGru:
 
     def _states(self, x: np.ndarray, steps: Iterable[int], d: str) -> np.ndarray:
         """States of one direction after each of the steps, by step: (rows of x, hidden, columns). A state stands still
-        on FILL. Gates are computed as tanh of halves, with the halves put into the weights."""
+        on FILL. Gates and tanh are computed by exp, which numpy does many at a time: sigmoid(v) = 1 / (1 + exp(-v)) and
+        tanh(v) = 1 - 2 / (1 + exp(2 v)), with these factors put into the weights; an exp that overflows gives the limit."""
         n = self.hidden
-        half = np.repeat(np.array([0.5, 0.5, 1.0], np.float32), n)
-        wx = np.ascontiguousarray(((self.p[f"x{d}"] + self.p[f"b{d}"]) * half).T)
-        wx[:n, FILL[0]] = -30.0
-        wh = np.ascontiguousarray(self.p[f"h{d}"].T) * np.float32(0.5)
+        factor = np.repeat(np.array([-1.0, -1.0, 2.0], np.float32), n)
+        wx = np.ascontiguousarray(((self.p[f"x{d}"] + self.p[f"b{d}"]) * factor).T)
+        wx[:n, FILL[0]] = 60.0
+        wh = np.ascontiguousarray((self.p[f"h{d}"] * factor).T)
         out = np.empty((len(x), n, x.shape[1]), np.float32)
         h = np.zeros((n, x.shape[1]), np.float32)
         a, g = np.empty((3 * n, x.shape[1]), np.float32), np.empty((3 * n, x.shape[1]), np.float32)
         gates, s = a[: 2 * n], a[2 * n :]
         z, r = gates[:n], gates[n:]
-        for t in steps:
-            np.take(wx, x[t], 1, out=a, mode="clip")
-            np.matmul(wh, h, out=g)
-            gates += g[: 2 * n]
-            np.tanh(gates, out=gates)
-            r += 1
-            r *= g[2 * n :]
-            s += r
-            np.tanh(s, out=s)
-            z += 1
-            z *= 0.5
-            s -= h
-            s *= z
-            h = np.add(h, s, out=out[t])
+        with np.errstate(over="ignore"):
+            for t in steps:
+                np.take(wx, x[t], 1, out=a, mode="clip")
+                np.matmul(wh, h, out=g)
+                gates += g[: 2 * n]
+                np.exp(gates, out=gates)
+                gates += 1
+                np.reciprocal(gates, out=gates)
+                r *= g[2 * n :]
+                s += r
+                np.exp(s, out=s)
+                s += 1
+                np.divide(-2, s, out=s)
+                s += 1
+                s -= h
+                s *= z
+                h = np.add(h, s, out=out[t])
         return out
 
     def sums(self, texts: list[bytes]) -> np.ndarray:
@@ -175,25 +179,28 @@ class ByteGru:
         for i in range(0, len(parts), COLUMNS):
             own = parts[i : i + COLUMNS]
             most = own[-1][0]
-            rows = most + 2 * CONTEXT
+            # Context that no column of the batch has is not run over.
+            ahead = max(min(lo, CONTEXT) for _, _, lo in own)
+            behind = max(min(len(texts[k]) - lo - n, CONTEXT) for n, k, lo in own)
+            rows = ahead + most + behind
             filled = []
             for n, k, lo in own:
                 left = min(lo, CONTEXT)
-                filled.append((FILL * (CONTEXT + most - n - left) + texts[k][lo - left : lo + n + CONTEXT]).ljust(rows, FILL))
+                filled.append((FILL * (ahead + most - n - left) + texts[k][lo - left : lo + n + CONTEXT]).ljust(rows, FILL))
             x = np.frombuffer(b"".join(filled), np.uint8).reshape(len(own), rows).T.astype(np.intp)
-            forth = self._states(x, range(rows - CONTEXT), "f")
-            back = self._states(x, range(rows - 1, CONTEXT - 1, -1), "b")
+            forth = self._states(x, range(ahead + most), "f")
+            back = self._states(x, range(rows - 1, ahead - 1, -1), "b")
             lengths = np.array([n for n, _, _ in own])
             pooled = np.zeros((len(self.langs), len(own)))
             wide = max(1, CELLS // (len(self.langs) * len(own)))
-            for lo in range(CONTEXT, CONTEXT + most, wide):
-                at = slice(lo, min(lo + wide, CONTEXT + most))
+            for lo in range(ahead, ahead + most, wide):
+                at = slice(lo, min(lo + wide, ahead + most))
                 e = np.matmul(self.p["o"][: self.hidden].T, forth[at]) + np.matmul(self.p["o"][self.hidden :].T, back[at])
                 e += self.p["c"][:, None]
                 e -= e.max(1, keepdims=True)
                 np.exp(e, out=e)
                 e /= e.sum(1, keepdims=True)
-                e *= (np.arange(at.start, at.stop)[:, None] >= CONTEXT + most - lengths)[:, None, :]
+                e *= (np.arange(at.start, at.stop)[:, None] >= ahead + most - lengths)[:, None, :]
                 pooled += e.sum(0)
             np.add.at(out.T, [k for _, k, _ in own], np.concatenate([pooled, lengths[None, :]]).T)
         return out.T

@@ -65,6 +65,17 @@ def test_every_position_is_labelled_from_its_context(monkeypatch):
         assert row[-1] == len(text) and np.allclose(row[:-1], want, atol=1e-3)
 
 
+def test_context_that_no_text_has_is_not_run_over(monkeypatch):
+    """Before, texts of one stretch were run over with CONTEXT bytes of filling on either side."""
+    steps, states_of = [], lang.ByteGru._states
+    monkeypatch.setattr(lang.ByteGru, "_states", lambda self, x, way, d: steps.append(len(way)) or states_of(self, x, way, d))
+    lang.ByteGru(["a", "b"]).sums([b"x" * 50, b"y" * 20])
+    assert steps == [50, 50]
+    steps.clear()
+    lang.ByteGru(["a", "b"]).sums([b"x" * (lang.STRETCH + 50)])
+    assert steps == [lang.CONTEXT + lang.STRETCH, lang.STRETCH + 50]
+
+
 def test_the_order_of_words_matters():
     model = lang.ByteGru(["a", "b"])
     one, two = model.sums([lang.framed("foo bar"), lang.framed("bar foo")])
