@@ -151,17 +151,18 @@ def c12_incremental_run(v):
     store = scratch(spark)
     runs.bootstrap(spark, store, rows.where(~late), ledger.where(~late))
     unread = F.raise_error(F.lit("this file is broken")).cast("string")
+    # What lands lies apart from the archive, so that a day's work does not read it; at most two runs of a publisher are asked for.
+    fresh = settled(rows.where(late))
+    failed = {(r.publisher, r.collection_date) for r in ledger.where(late & (F.col("status") != "ok")).select("publisher", "collection_date").collect()}
 
     def snapshot_of(asked):
         day = asked[0][1]
-        part = rows.where((F.col("collection_date") == F.lit(day)) & F.col("publisher").isin([p for p, _ in asked]))
-        broken = F.col("publisher").isin([r.publisher for r in ledger.where((F.col("collection_date") == F.lit(day)) & (F.col("status") != "ok")).collect()])
-        if ("view", last - dt.timedelta(days=1)) in asked:
-            broken = broken | (F.col("publisher") == "view")
-        lost = [p for p, d in asked if ledger.where((F.col("publisher") == p) & (F.col("collection_date") == F.lit(d)) & (F.col("status") != "ok")).count()]
+        part = fresh.where((F.col("collection_date") == F.lit(day)) & F.col("publisher").isin([p for p, _ in asked]))
+        lost = [p for p, d in asked if (p, d) in failed]
         if lost:
             raise ValueError(f"no snapshot of {lost}")
-        return part.withColumn("fingerprint", F.when(broken, unread).otherwise(F.col("fingerprint")))
+        broken = [p for p, d in asked if p == "view" and d == last - dt.timedelta(days=1)]
+        return part.withColumn("fingerprint", F.when(F.col("publisher").isin(broken), unread).otherwise(F.col("fingerprint"))) if broken else part
 
     landed = ledger.where(late).select("publisher", "collection_date")
     made = runs.incremental_run(spark, store, landed, snapshot_of)

@@ -508,3 +508,12 @@ def test_one_broken_publisher_leaves_the_others_done(spark, tmp_path):
     before = key(kept())
     again = driver.incremental_run(spark, store, landed.where("publisher = 'a'"), snapshot_of, force=True)
     assert status(again) == {("a", d): "ok" for d in (1, 2, 3)} and key(kept()) == before
+
+
+def test_daily_runs_ask_for_their_ledger_once(spark):
+    """Each attempt read the ledger once for each of its runs, and the whole archive for its day: 182 jobs, now 136."""
+    from __spark_entry__ import queries
+
+    spark.sparkContext.setJobGroup("c12 jobs", "")
+    assert queries()["c12_incremental_run"](spark, "/root/testdata/sf0.001").count() > 0
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("c12 jobs")) < 160
