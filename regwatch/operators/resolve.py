@@ -26,10 +26,11 @@ def words_of(norm: Column) -> Column:
 
 
 def word_idf(companies: DataFrame, name: str = "company_name") -> DataFrame:
-    """word and weight, over the companies whose normalised name is not empty."""
-    names = companies.select(company_name_norm(F.col(name)).alias("norm")).where("norm <> ''")
-    total = names.agg(F.count("*").alias("n"))
-    df = names.select(F.explode(words_of(F.col("norm"))).alias("word")).groupBy("word").agg(F.count("*").alias("df"))
+    """word and weight, over the companies whose normalised name is not empty. A name is normalised once for all its companies."""
+    names = companies.groupBy(F.col(name).alias("name")).agg(F.count("*").alias("bearers"))
+    names = names.select(company_name_norm(F.col("name")).alias("norm"), "bearers").where("norm <> ''")
+    total = names.agg(F.coalesce(F.sum("bearers"), F.lit(0)).alias("n"))
+    df = names.select(F.explode(words_of(F.col("norm"))).alias("word"), "bearers").groupBy("word").agg(F.sum("bearers").alias("df"))
     return df.join(F.broadcast(total)).select("word", F.greatest(F.lit(0.0), F.log(F.col("n") / (1 + F.col("df")))).alias("weight"))
 
 
@@ -81,11 +82,11 @@ def name_keys(df: DataFrame, norm: str, bag: str, weight: str, least: float) ->
 
 def address_density(companies: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """companies with the number of companies at their address, and whether that is high. Companies without any address
-    share one key, so they get their one number apart from the join."""
+    share one key, so they get their one number apart from the join, which sorts: neither side goes through the driver."""
     keyed = companies.withColumn("density_key", address_density_key(F.col("address_line_1"), F.col("postcode")))
     some, none = keyed.where(F.col("density_key") != NO_ADDRESS), keyed.where(F.col("density_key") == NO_ADDRESS)
     n = F.count("*").alias("address_company_count")
-    counted = some.join(some.groupBy("density_key").agg(n), "density_key").unionByName(none.join(F.broadcast(none.agg(n))))
+    counted = some.join(some.groupBy("density_key").agg(n).hint("merge"), "density_key").unionByName(none.join(F.broadcast(none.agg(n))))
     return counted.withColumn("is_high_density_address", F.col("address_company_count") >= p.dense_address)
 
 
@@ -198,21 +199,21 @@ def _pair_scores(pairs: DataFrame, digits: int) -> DataFrame:
     return pairs.select(*NAMED, "company_norm", "first", score.alias("score"))
 
 
-def district_candidates(events: DataFrame, companies: DataFrame, idf: DataFrame, p: Params = DEFAULT, first_words: int = 2) -> DataFrame:
+def district_candidates(events: DataFrame, companies: DataFrame, idf: DataFrame, p: Params = DEFAULT, first_words: int = 2, named: DataFrame | None = None) -> DataFrame:
     """The best companies of an event's district, whatever their score.
 
     A score depends on names alone, so names are compared, each once in a district, however many events and companies bear
     them. An event takes the best companies of its name by score and number, and those at its own address if they are few
-    enough to be trusted; these may be among the former, so as many more of the former are held.
+    enough to be trusted. These come first and leave as many places fewer, so the former need no more than a full list.
 
     Not all pairs of names are scored. A company among the best has a word in common with the event (or its whole name), or
     scores 0 and is among the first numbers of its district. Words are taken heaviest first: companies that share none of an
     event's heaviest words score at most the weight of the words left over that of its name, so once the last of the best
-    found so far scores more than that, the lighter words are not looked up.
+    found so far scores more than that, the lighter words are not looked up. ``named``: ``named_companies``, if at hand.
     """
-    most = p.top_candidates + p.dense_address - 1
+    most = p.top_candidates
     left = settled(named_events(events, F.col("business_name")).where("event_district is not null"))
-    right = settled(named_companies(companies, p).where("district is not null"))
+    right = (settled(named_companies(companies, p)) if named is None else named).where("district is not null")
     names = spread(bagged(left.select(*NAMED).distinct(), "event_norm", "event_bag", idf), *NAMED)
     names = settled(names.withColumn("words", heaviest_first(F.col("event_bag"))).withColumn("weight", bag_weight(F.col("event_bag"))))
     classes = settled(name_classes(right, ("district", "company_norm"), most, idf))
@@ -250,16 +251,21 @@ def district_similarity(events: DataFrame, companies: DataFrame, idf: DataFrame,
     return left.join(scored, list(NAMED)).drop("event_norm").join(right, ["event_district", "company_norm"]).select(*EVENT, "company_number", "score")
 
 
-def national_candidates(events: DataFrame, companies: DataFrame, idf: DataFrame, p: Params = DEFAULT, name: Column | None = None, strategy: str = "national") -> DataFrame:
+def national_classes(named: DataFrame, idf: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """The names of ``named_companies``, as both national channels read them."""
+    return settled(name_classes(named.where("company_norm <> ''"), ("company_norm",), p.top_candidates, idf))
+
+
+def national_candidates(events: DataFrame, companies: DataFrame, idf: DataFrame, p: Params = DEFAULT, name: Column | None = None, strategy: str = "national", classes: DataFrame | None = None) -> DataFrame:
     """Companies anywhere that share the first word and score enough.
 
     score = S / (A + B - S) and S <= min(A, B), so a score of t needs min(A, B) >= t max(A, B), and one of the heaviest
     words of either name in common. The join takes only pairs within both bounds, or of equal names. Names are compared,
-    each once, however many events and companies bear them.
+    each once, however many events and companies bear them. ``classes``: ``national_classes``, if at hand.
     """
     first = lambda df, norm: df.withColumn("block", F.substring_index(norm, " ", 1))
-    rows = named_events(events, F.col("business_name") if name is None else name).where("event_norm <> ''")
-    classes = settled(name_classes(named_companies(companies, p).where("company_norm <> ''"), ("company_norm",), p.top_candidates, idf))
+    rows = settled(named_events(events, F.col("business_name") if name is None else name)).where("event_norm <> ''")
+    classes = national_classes(named_companies(companies, p), idf, p) if classes is None else classes
     left = spread(bagged(rows.select("event_norm").distinct(), "event_norm", "event_bag", idf), "event_norm")
     left = name_keys(first(left, "event_norm"), "event_norm", "event_bag", "wa", p.national_score)
     right = name_keys(first(classes.drop("members"), "company_norm"), "company_norm", "company_bag", "wb", p.national_score)
@@ -272,10 +278,18 @@ def national_candidates(events: DataFrame, companies: DataFrame, idf: DataFrame,
     return _once(_candidates(rows.withColumn("event_key", F.lit(None).cast("string")).join(best, "event_norm"), strategy), p.top_candidates)
 
 
-def operator_candidates(events: DataFrame, companies: DataFrame, idf: DataFrame, p: Params = DEFAULT) -> DataFrame:
+def operator_candidates(events: DataFrame, companies: DataFrame, idf: DataFrame, p: Params = DEFAULT, classes: DataFrame | None = None) -> DataFrame:
     """National candidates of the operator named before an '@'."""
     rows = events.withColumn("__prefix", operator_prefix(F.col("business_name"))).where("__prefix is not null")
-    return national_candidates(rows, companies, idf, p, F.col("__prefix"), "operator-prefix")
+    return national_candidates(rows, companies, idf, p, F.col("__prefix"), "operator-prefix", classes)
+
+
+def all_candidates(events: DataFrame, companies: DataFrame, idf: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """The three channels, merged; companies are named once for all of them."""
+    named = settled(named_companies(companies, p))
+    classes = national_classes(named, idf, p)
+    national, operator = (f(events, companies, idf, p, classes=classes) for f in (national_candidates, operator_candidates))
+    return merge_candidates(district_candidates(events, companies, idf, p, named=named), national, operator, p)
 
 
 def merge_candidates(district: DataFrame, national: DataFrame, operator: DataFrame, p: Params = DEFAULT) -> DataFrame:

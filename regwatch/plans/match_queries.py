@@ -68,9 +68,7 @@ def district(v):
 
 
 def merged(v):
-    i = idf(v)
-    parts = resolve.district_candidates(v("inserts"), v("companies"), i), resolve.national_candidates(v("inserts"), v("companies"), i), resolve.operator_candidates(v("inserts"), v("companies"), i)
-    return resolve.merge_candidates(*parts)
+    return resolve.all_candidates(v("inserts"), v("companies"), idf(v))
 
 
 def matched(v, candidates):

@@ -65,3 +65,29 @@ def test_every_pair_of_similar_names_once(spark, events, companies, idf):
 def test_search_results_of_one_title(spark, idf):
     rows = spark.range(2 * N).select(F.lit("Blue Door 1").alias("prefix"), F.lit("BLUE DOOR 1 LTD").alias("title"), F.lpad(F.col("id").cast("string"), 8, "0").alias("company_number"), F.lit("active").alias("company_status"), F.when(F.col("id") < 3, F.array(F.lit("99999"))).otherwise(F.array(F.lit("1"))).alias("sic_codes"))
     assert [tuple(r)[:3] for r in resolve.accept_search_results(rows, idf).collect()] == [("Blue Door 1", "00000003", "BLUE DOOR 1 LTD")]
+
+
+def test_all_candidates_name_companies_once(spark, events, companies, idf, monkeypatch):
+    some, few, calls = events.where("entity_id < 300"), companies.where("company_number < '00000400'"), []
+    want = resolve.merge_candidates(*(f(some, few, idf) for f in (resolve.district_candidates, resolve.national_candidates, resolve.operator_candidates)))
+    made = resolve.named_companies
+    monkeypatch.setattr(resolve, "named_companies", lambda *a: calls.append(1) or made(*a))
+    got = resolve.all_candidates(some, few, idf)
+    assert len(calls) == 1
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect()))
+
+
+def test_a_full_list_has_the_trusted_first_and_then_the_best(spark, companies, idf):
+    """Four trusted companies, two of them among the first five by score and number: one place is left, for the first other."""
+    day = F.lit("2024-01-01").cast("date")
+    at = F.when(F.col("company_number").isin("00000000", "00000004", "00000012", "00000013"), "1 High Street").otherwise("")
+    few = companies.where("company_number < '00000020'").withColumn("address_line_1", at)
+    event = spark.range(1).select(F.col("id").alias("entity_id"), day.alias("insert_date"), F.lit("Blue Door 0").alias("business_name"), F.lit("1 High Street").alias("address_line_1"), F.lit("D1 1AA").alias("postcode"))
+    got = resolve.district_candidates(event, few, idf).orderBy("rank").collect()
+    assert [(r["company_number"], r["address_matches_establishment"]) for r in got] == [("00000000", True), ("00000004", True), ("00000012", True), ("00000013", True), ("00000002", False)]
+
+
+def test_numbers_at_addresses_are_not_broadcast(companies):
+    rows = companies.withColumn("address_line_1", F.concat(F.col("company_number"), F.lit(" High Street")))
+    text = resolve.address_density(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
